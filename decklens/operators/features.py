@@ -55,6 +55,7 @@ def _derive(cmc: Column, rarity: Column, type_: Column, power: Column, toughness
         "ss_cmc": cmc_d * cmc_d,
         "s_cps": X.card_power_score(p, t, cmc_d, rar, type_),
         "s_rar": rar,
+        "n_rar": F.when(rar.isNotNull(), F.lit(1)).otherwise(F.lit(0)),
         "n_creat": creature,
         "s_pow": F.when(creature == 1, p).otherwise(F.lit(0.0)),
         "s_tou": F.when(creature == 1, t).otherwise(F.lit(0.0)),
@@ -114,9 +115,10 @@ def deck_card_pairs(deck_cards: DataFrame) -> DataFrame:
             .agg(F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")))
 
 
-def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """D1-D10 fused: one row per deck_name with the 25 features."""
+def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int):
+    """Per-deck sums over the (line x printing) rows, via per-name statistics.
+
+    ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones."""
     pairs = deck_card_pairs(deck_cards)
     stats = broadcast_if_small(card_stats(cards), broadcast_rows)
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
@@ -130,11 +132,30 @@ def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
     weighted = ["n_rows", "s_cps", "s_rar", "n_creat", "s_pow", "s_tou", "s_meff"] + \
         [f"t_{w}" for w in X.TYPE_WORDS] + [f"k_{k}" for k in KEYWORDS] + \
         [f"c_{c}" for c in X.COLOR_LABELS]
-    unweighted = ["n_rows", "n_cmc", "s_cmc", "ss_cmc", "s_cc"]
+    unweighted = ["n_rows", "n_cmc", "s_cmc", "ss_cmc", "s_cc", "s_rar", "n_rar"]
     agg = j.groupBy("deck_name").agg(
         *[F.sum(q * v(k)).alias(f"w_{k}") for k in weighted],
         *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted])
+    return agg, pairs
+
+
+def _unique_types(pairs: DataFrame, cards: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Distinct type tokens per deck (count-distinct over (deck, token))."""
+    toks = broadcast_if_small(card_type_tokens(cards), broadcast_rows)
+    tj = pairs.select("deck_name", "card_name").join(toks, pairs.card_name == toks.name)
+    return tj.groupBy("deck_name").agg(F.count_distinct("token").alias("unique_types"))
+
+
+def _with_unique_types(main: DataFrame, pairs: DataFrame, cards: DataFrame, broadcast_rows: int) -> DataFrame:
+    ut = _unique_types(pairs, cards, broadcast_rows)
+    return main.join(ut, "deck_name", "left").withColumn(
+        "unique_types", F.coalesce(F.col("unique_types"), F.lit(0)).cast("bigint"))
+
 
+def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """D1-D10 fused: one row per deck_name with the 25 features."""
+    agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows)
     Q = F.col("w_n_rows")
     n = F.col("u_n_cmc")
     s, ss = F.col("u_s_cmc"), F.col("u_ss_cmc")
@@ -160,13 +181,36 @@ def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
         cols[name] = X.pct(F.col(f"w_c_{c}"), color_total)
     cols["avg_colors"] = F.col("u_s_cc") / F.col("u_n_rows")
     main = agg.select("deck_name", *[e.alias(k) for k, e in cols.items()])
-
-    toks = broadcast_if_small(card_type_tokens(cards), broadcast_rows)
-    tj = pairs.select("deck_name", "card_name").join(toks, pairs.card_name == toks.name)
-    ut = tj.groupBy("deck_name").agg(F.count_distinct("token").alias("unique_types"))
-    out = main.join(ut, "deck_name", "left").withColumn(
-        "unique_types", F.coalesce(F.col("unique_types"), F.lit(0)).cast("bigint"))
-    return out.select("deck_name", *FEATURE_COLUMNS)
+    return _with_unique_types(main, pairs, cards, broadcast_rows).select("deck_name", *FEATURE_COLUMNS)
+
+
+def baseline_features(deck_cards: DataFrame, cards: DataFrame,
+                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Unweighted avg_cmc and avg_rarity, total_cards, avg_colors,
+    unique_types (the exploratory feature set)."""
+    agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows)
+    n, nr = F.col("u_n_cmc"), F.col("u_n_rar")
+    main = agg.select(
+        "deck_name", F.when(n > 0, F.col("u_s_cmc") / n).alias("avg_cmc"),
+        F.when(nr > 0, F.col("u_s_rar") / nr).alias("avg_rarity"),
+        F.col("w_n_rows").cast("bigint").alias("total_cards"),
+        (F.col("u_s_cc") / F.col("u_n_rows")).alias("avg_colors"))
+    return _with_unique_types(main, pairs, cards, broadcast_rows)
+
+
+def color_pivot(deck_cards: DataFrame, cards: DataFrame,
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Copies per (deck, colour bucket) as a pivot with 0 fill."""
+    pairs = deck_card_pairs(deck_cards)
+    stats = broadcast_if_small(card_stats(cards), broadcast_rows)
+    j = pairs.join(stats, pairs.card_name == stats.name, "left")
+    miss = _miss_defaults()
+    long = j.select("deck_name", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("cat"), (F.col("q") * F.coalesce(F.col(f"c_{c}"), miss[f"c_{c}"])).alias("v"))
+        for c in X.COLOR_LABELS])).alias("e")).select("deck_name", "e.cat", "e.v")
+    return (long.groupBy("deck_name").pivot("cat", X.COLOR_LABELS).agg(F.sum("v"))
+            .na.fill(0, X.COLOR_LABELS)
+            .select("deck_name", *[F.col(c).cast("bigint").alias(c) for c in X.COLOR_LABELS]))
 
 
 def add_targets(df: DataFrame, tier_col: str = "tier", key_col: str = "row_id",

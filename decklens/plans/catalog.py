@@ -64,3 +64,298 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("deck_features", sql_rounded(O.with_ctes(*O.FEATURES_CTES) + "SELECT * FROM final",
                                       _FEATURE_DOUBLES, _FEATURE_OTHERS))(flagship)
+
+
+# --------------------------------------------------------------------------
+# helpers shared by several queries
+# --------------------------------------------------------------------------
+from decklens.functions import expressions as X  # noqa: E402
+from decklens.operators import metrics as M  # noqa: E402
+from decklens.operators import profile as P  # noqa: E402
+from decklens.operators import split as S  # noqa: E402
+from decklens.operators import text as T  # noqa: E402
+from decklens.operators.joins import attach_deck_attributes, merge_cards, prune_card_columns  # noqa: E402
+from decklens.session import checkpoint_dir  # noqa: E402
+
+
+def _cards(spark, sf_dir):
+    return D.cards_from_part(D.read_table(spark, sf_dir, "part"))
+
+
+def _cards_n(spark, sf_dir):
+    c = _cards(spark, sf_dir)
+    return c.withColumn("name", X.normalize_key("name"))
+
+
+def _decks_n(spark, sf_dir):
+    d = D.decks_from_orders(D.read_table(spark, sf_dir, "orders"))
+    return d.withColumn("Name", X.normalize_key("Name"))
+
+
+def _deck_cards(spark, sf_dir):
+    i = inputs(spark, sf_dir)
+    _, lists = T.normalize_frames(i["cards"], i["deck_lists"])
+    return T.expand_decks(lists, extra=["row_id"])
+
+
+def _features_only(spark, sf_dir):
+    i = inputs(spark, sf_dir)
+    cards_n, lists_n = T.normalize_frames(i["cards"], i["deck_lists"])
+    return FT.deck_aggregates(T.expand_decks(lists_n), cards_n)
+
+
+def _sql(body: str, ctes=None) -> str:
+    return O.with_ctes(*(ctes or O.BASE)) + body
+
+
+def _both(name, spark_fn, sql_body, doubles=(), others=(), ctes=None):
+    """Register a query whose doubles are rounded on both sides."""
+    sql = None if sql_body is None else sql_rounded(_sql(sql_body, ctes), list(doubles), list(others))
+    register(name, sql)(lambda spark, sf_dir: rounded(spark_fn(spark, sf_dir)))
+
+
+CARD_COLS = ["name", "cmc", "rarity", "color_identity", "type", "power", "toughness", "text"]
+
+# --------------------------------------------------------------------------
+# B: normalisation, parsing, expansion
+# --------------------------------------------------------------------------
+_both("normalize_names",
+      lambda s, d: _cards(s, d).select(F.col("name").alias("raw_name"),
+                                       X.normalize_key("name").alias("name")),
+      f"SELECT name AS raw_name, lower({O.strip('name')}) AS name FROM cards_raw",
+      others=["raw_name", "name"])
+
+_both("parse_decklist",
+      lambda s, d: T.parse_decklist(inputs(s, d)["deck_lists"], "Deck list", keep=["row_id"]),
+      "SELECT row_id, card_name, quantity FROM deck_cards",
+      others=["row_id", "card_name", "quantity"])
+
+_both("expand_decks", _deck_cards,
+      "SELECT row_id, deck_name, tier, year, card_name, quantity FROM deck_cards",
+      others=["row_id", "deck_name", "tier", "year", "card_name", "quantity"])
+
+_both("prune_columns", lambda s, d: prune_card_columns(_cards_n(s, d)),
+      "SELECT * FROM cards", doubles=["cmc"],
+      others=["name", "rarity", "color_identity", "type", "power", "toughness", "text"])
+
+_both("fill_string",
+      lambda s, d: _cards(s, d).select(
+          "name", F.when(F.col("type").contains("Planeswalker"), F.length("name") % 5)
+          .alias("loyalty")).select("name", F.coalesce(F.col("loyalty").cast("string"), F.lit(""))
+                                    .alias("loyalty")),
+      "SELECT name, coalesce(CAST(CASE WHEN contains(type, 'Planeswalker') THEN length(name) % 5 END"
+      " AS VARCHAR), '') AS loyalty FROM cards_raw",
+      others=["name", "loyalty"])
+
+
+def _shape(spark, sf_dir):
+    c = _cards(spark, sf_dir)
+    dk = D.decks_from_orders(D.read_table(spark, sf_dir, "orders"))
+    dc = _deck_cards(spark, sf_dir)
+    return P.shape(c, "cards").unionByName(P.shape(dk, "decks")).unionByName(P.shape(dc, "deck_cards"))
+
+
+_both("profile_shape", _shape,
+      "SELECT 'cards' AS \"table\", CAST(count(*) AS BIGINT) AS n_rows, CAST(8 AS BIGINT) AS n_cols FROM cards_raw"
+      " UNION ALL SELECT 'decks', count(*), 4 FROM decks"
+      " UNION ALL SELECT 'deck_cards', count(*), 6 FROM deck_cards",
+      others=["table", "n_rows", "n_cols"])
+
+# --------------------------------------------------------------------------
+# C: scalar expressions over the card catalogue / decks
+# --------------------------------------------------------------------------
+_VALS_SQL = ("vals AS (SELECT *, {rar} AS rarity_v,"
+             " TRY_CAST(replace(power, '*', '0') AS DOUBLE) AS p,"
+             " TRY_CAST(replace(toughness, '*', '0') AS DOUBLE) AS t,"
+             " coalesce(CAST(CAST(cmc AS FLOAT) AS DOUBLE), 1.0::DOUBLE) AS cmc1,"
+             " lower(coalesce(type, 'nan')) AS tl, lower(coalesce(text, 'nan')) AS xl,"
+             " len(string_split(regexp_replace(coalesce(color_identity, 'nan'), '[\\[\\]]', '', 'g'), ','))"
+             " AS cc FROM cards)").format(rar=O._rarity_case("rarity"))
+_CARD_CTES = O.BASE + [_VALS_SQL]
+_EFF = ("CASE WHEN p IS NOT NULL AND t IS NOT NULL AND cmc1 > 0 THEN (p + t) / cmc1 * 0.5::DOUBLE"
+        " WHEN p IS NOT NULL AND t IS NOT NULL AND cmc1 <= 0 THEN (p + t) * 0.3::DOUBLE ELSE 0.0::DOUBLE END")
+_BONUS = ("CASE WHEN contains(tl, 'planeswalker') THEN 2.0::DOUBLE WHEN regexp_matches(tl, 'instant|sorcery')"
+          " THEN 0.5::DOUBLE WHEN contains(tl, 'creature') THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END")
+
+
+def _card_expr(*cols):
+    def fn(spark, sf_dir):
+        c = _cards_n(spark, sf_dir)
+        return c.select("name", *[e(c).alias(n) for n, e in cols])
+    return fn
+
+
+def _p(c):
+    return X.numeric_coerce(c.power)
+
+
+def _t(c):
+    return X.numeric_coerce(c.toughness)
+
+
+_both("rarity_value", _card_expr(("rarity", lambda c: c.rarity), ("rarity_value", lambda c: X.rarity_value(c.rarity))),
+      "SELECT name, rarity, rarity_v AS rarity_value FROM vals", doubles=["rarity_value"],
+      others=["name", "rarity"], ctes=_CARD_CTES)
+_both("numeric_coerce", _card_expr(("power", lambda c: c.power), ("toughness", lambda c: c.toughness),
+                                   ("power_num", _p), ("toughness_num", _t)),
+      "SELECT name, power, toughness, p AS power_num, t AS toughness_num FROM vals",
+      doubles=["power_num", "toughness_num"], others=["name", "power", "toughness"], ctes=_CARD_CTES)
+_both("creature_efficiency",
+      _card_expr(("creature_efficiency", lambda c: X.creature_efficiency(_p(c), _t(c), X.cmc_value(c.cmc)))),
+      f"SELECT name, {_EFF} AS creature_efficiency FROM vals", doubles=["creature_efficiency"],
+      others=["name"], ctes=_CARD_CTES)
+_both("type_bonus", _card_expr(("type", lambda c: c.type), ("type_bonus", lambda c: X.type_bonus(c.type))),
+      f"SELECT name, type, {_BONUS} AS type_bonus FROM vals", doubles=["type_bonus"],
+      others=["name", "type"], ctes=_CARD_CTES)
+_both("card_power_score",
+      _card_expr(("card_power_score", lambda c: X.card_power_score(
+          _p(c), _t(c), X.cmc_value(c.cmc), X.rarity_value(c.rarity), c.type))),
+      f"SELECT name, {_EFF} + coalesce(rarity_v, 1.0::DOUBLE) * 0.2::DOUBLE + {_BONUS} AS card_power_score"
+      " FROM vals", doubles=["card_power_score"], others=["name"], ctes=_CARD_CTES)
+_both("type_flags", _card_expr(*[(f"is_{w}", (lambda w: lambda c: X.type_flag(c.type, w))(w))
+                                 for w in X.TYPE_WORDS]),
+      "SELECT name, " + ", ".join(f"CAST(contains(tl, '{w}') AS INTEGER) AS is_{w}" for w in X.TYPE_WORDS)
+      + " FROM vals", others=["name"] + [f"is_{w}" for w in X.TYPE_WORDS], ctes=_CARD_CTES)
+_both("keyword_flags", _card_expr(*[(f"has_{k}", (lambda k: lambda c: X.keyword_flag(c.text, k))(k))
+                                    for k in FT.KEYWORDS]),
+      "SELECT name, " + ", ".join(f"CAST(({cond}) AS INTEGER) AS has_{k}" for k, cond in O._KW.items())
+      + " FROM vals", others=["name"] + [f"has_{k}" for k in FT.KEYWORDS], ctes=_CARD_CTES)
+_both("color_count", _card_expr(("color_identity", lambda c: c.color_identity),
+                                ("color_count", lambda c: X.color_count(c.color_identity))),
+      "SELECT name, color_identity, CAST(cc AS INTEGER) AS color_count FROM vals",
+      others=["name", "color_identity", "color_count"], ctes=_CARD_CTES)
+_both("color_category", _card_expr(("color_category", lambda c: X.color_category(X.color_count(c.color_identity)))),
+      "SELECT name, CASE WHEN cc <= 1 THEN 'mono' WHEN cc <= 2 THEN 'two_color' WHEN cc <= 10 THEN 'three_plus'"
+      " ELSE 'nan' END AS color_category FROM vals", others=["name", "color_category"], ctes=_CARD_CTES)
+
+
+def _deck_expr(*cols):
+    def fn(spark, sf_dir):
+        d = _decks_n(spark, sf_dir)
+        return d.select("row_id", *[e(d).alias(n) for n, e in cols])
+    return fn
+
+
+_both("clip_values", _deck_expr(("tier_clipped", lambda d: X.clip(d.Tier - 1, 1, 3, 3)),
+                                ("year_clipped", lambda d: X.clip(d.Year, 1996, 2000))),
+      "SELECT row_id, least(greatest(coalesce(Tier - 1, 3), 1), 3) AS tier_clipped,"
+      " CASE WHEN Year IS NOT NULL THEN least(greatest(Year, 1996), 2000) END AS year_clipped FROM decks",
+      others=["row_id", "tier_clipped", "year_clipped"])
+_both("competitive_label", _deck_expr(("tier", lambda d: d.Tier), ("competitive", lambda d: X.competitive_label(d.Tier))),
+      "SELECT row_id, Tier AS tier, CASE WHEN regexp_matches(CAST(Tier AS VARCHAR), '^[12]$') THEN 1 ELSE 0 END"
+      " AS competitive FROM decks", others=["row_id", "tier", "competitive"])
+_both("competitiveness_base",
+      _deck_expr(("base_score", lambda d: X.competitiveness_base(X.tier_numeric(d.Tier)))),
+      "SELECT row_id, " + O.BASE_CASE.replace("tier_num", "least(greatest(coalesce(CAST(Tier AS DOUBLE), 3.0), 1.0), 5.0)")
+      + " AS base_score FROM decks", doubles=["base_score"], others=["row_id"])
+
+
+def _targets(spark, sf_dir):
+    d = _decks_n(spark, sf_dir).withColumnRenamed("Tier", "tier")
+    return FT.add_targets(d).select("row_id", "tier", *FT.TARGET_COLUMNS)
+
+
+_both("competitiveness_score",
+      lambda s, d: _targets(s, d).select("row_id", "competitiveness_score"),
+      "SELECT row_id, competitiveness_score FROM final",
+      doubles=["competitiveness_score"], others=["row_id"],
+      ctes=O.BASE + ["features AS (SELECT DISTINCT Name AS deck_name FROM decks)", O.TARGETS])
+_both("targets", _targets,
+      "SELECT row_id, tier, competitive, tier_multiclass, competitiveness_score FROM final",
+      doubles=["competitiveness_score"], others=["row_id", "tier", "competitive", "tier_multiclass"],
+      ctes=O.BASE + ["features AS (SELECT DISTINCT Name AS deck_name FROM decks)", O.TARGETS])
+
+# --------------------------------------------------------------------------
+# E: joins
+# --------------------------------------------------------------------------
+_MERGED_OUT = ["deck_name", "tier", "year", "card_name", "quantity", "rarity", "color_identity",
+               "type", "power", "toughness", "text"]
+_both("merge_cards",
+      lambda s, d: merge_cards(T.expand_decks(T.normalize_frames(_cards(s, d), inputs(s, d)["deck_lists"])[1]),
+                               _cards_n(s, d)),
+      "SELECT * FROM merged", doubles=["cmc"], others=_MERGED_OUT, ctes=O.BASE + [O.MERGED])
+
+
+def _deck_attrs(spark, sf_dir):
+    f = _features_only(spark, sf_dir).select("deck_name")
+    return attach_deck_attributes(f, _decks_n(spark, sf_dir))
+
+
+_both("deck_attributes", _deck_attrs,
+      "SELECT f.deck_name, d.row_id, d.Tier AS tier, d.Year AS year FROM"
+      " (SELECT DISTINCT deck_name FROM deck_cards WHERE deck_name IS NOT NULL) f"
+      " LEFT JOIN decks d ON f.deck_name = d.Name",
+      others=["deck_name", "row_id", "tier", "year"])
+
+# --------------------------------------------------------------------------
+# D: per-deck aggregates (subsets of the fused aggregate)
+# --------------------------------------------------------------------------
+_AGG_CTES = O.BASE + [O.MERGED, O.VALUES, O.AGG]
+_DECK_GROUPS = {
+    "power_score": ["power_score"],
+    "cmc_curve": ["avg_cmc", "std_cmc", "var_cmc"],
+    "rarity_weighted": ["total_cards", "avg_rarity_weighted"],
+    "type_percentages": X.TYPE_PCT_COLUMNS,
+    "keyword_percentages": FT.KEYWORD_PCT_COLUMNS,
+    "board_presence": ["avg_power", "avg_toughness"],
+    "mana_efficiency": ["mana_efficiency"],
+    "color_percentages": FT.COLOR_PCT_COLUMNS + ["avg_colors"],
+    "unique_types": ["unique_types"],
+}
+for _name, _cols in _DECK_GROUPS.items():
+    _ints = [c for c in _cols if c in ("total_cards", "unique_types")]
+    _dbl = [c for c in _cols if c not in _ints]
+    _both(_name, (lambda cols: lambda s, d: _features_only(s, d).select("deck_name", *cols))(_cols),
+          f"SELECT deck_name, {', '.join(_cols)} FROM features", doubles=_dbl,
+          others=["deck_name"] + _ints, ctes=_AGG_CTES)
+
+
+def _color_pivot(spark, sf_dir):
+    i = inputs(spark, sf_dir)
+    cards_n, lists_n = T.normalize_frames(i["cards"], i["deck_lists"])
+    return FT.color_pivot(T.expand_decks(lists_n), cards_n)
+
+
+_both("color_pivot", _color_pivot,
+      "SELECT deck_name, " + ", ".join(
+          f"CAST(sum(CASE WHEN color_category = '{c}' THEN quantity ELSE 0 END) AS BIGINT) AS {c}"
+          for c in X.COLOR_LABELS) + " FROM vals WHERE deck_name IS NOT NULL GROUP BY deck_name",
+      others=["deck_name"] + X.COLOR_LABELS, ctes=O.BASE + [O.MERGED, O.VALUES])
+
+
+def _baseline(spark, sf_dir):
+    i = inputs(spark, sf_dir)
+    cards_n, lists_n = T.normalize_frames(i["cards"], i["deck_lists"])
+    _, decks_n = T.normalize_frames(i["cards"], i["decks"])
+    b = FT.baseline_features(T.expand_decks(lists_n), cards_n)
+    return attach_deck_attributes(b, decks_n)
+
+
+_both("baseline_features", _baseline,
+      "SELECT a.deck_name, a.avg_cmc, a.avg_rarity, a.total_cards, a.avg_colors, f.unique_types,"
+      " d.row_id, d.Tier AS tier, d.Year AS year FROM"
+      " (SELECT deck_name, avg(cmc) AS avg_cmc, avg(rarity_v) AS avg_rarity,"
+      "  CAST(sum(quantity) AS BIGINT) AS total_cards, avg(cc) AS avg_colors"
+      "  FROM vals WHERE deck_name IS NOT NULL GROUP BY deck_name) a"
+      " JOIN features f ON a.deck_name = f.deck_name LEFT JOIN decks d ON a.deck_name = d.Name",
+      doubles=["avg_cmc", "avg_rarity", "avg_colors"],
+      others=["deck_name", "total_cards", "unique_types", "row_id", "tier", "year"], ctes=_AGG_CTES)
+
+
+def _distinct(spark, sf_dir):
+    dc = _deck_cards(spark, sf_dir)
+    cols = ["deck_name", "card_name", "tier", "year", "quantity"]
+    return dc.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot(
+        [], cols, "column", "n_distinct")
+
+
+_both("distinct_values", _distinct,
+      " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct"
+                         " FROM deck_cards" for c in ["deck_name", "card_name", "tier", "year", "quantity"]),
+      others=["column", "n_distinct"])
+
+_both("deck_features_view",
+      lambda s, d: flagship(s, d).select(*FT.FEATURE_COLUMNS, *FT.TARGET_COLUMNS),
+      "SELECT " + ", ".join(FT.FEATURE_COLUMNS + FT.TARGET_COLUMNS) + " FROM final",
+      doubles=_FEATURE_DOUBLES, others=["total_cards", "unique_types", "competitive", "tier_multiclass"],
+      ctes=O.FEATURES_CTES)

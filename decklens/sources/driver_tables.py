@@ -107,3 +107,38 @@ def load_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "decks": decks_from_orders(orders),
         "deck_lists": deck_list_fragments(lineitem, part, orders),
     }
+
+
+# ---------------------------------------------------------------------------
+# Deterministic stand-in predictions for the metric operators (no training):
+# label/score/prediction per model from keyed hashes of the order key.
+# ---------------------------------------------------------------------------
+CLS_MODELS = ["logreg", "svm", "rf", "xgb", "knn"]
+REG_MODELS = ["linear_reg", "ridge", "svr", "rf_reg", "xgb_reg"]
+
+
+def _u(key, salt: str):
+    k = F.concat(key.cast("string"), F.lit(":" + salt))
+    return F.conv(F.substr(F.md5(k), F.lit(1), F.lit(8)), 16, 10).cast("bigint").cast("double") / 4294967296.0
+
+
+def pseudo_classification(orders: DataFrame) -> DataFrame:
+    """(model, row_id, label, score, prediction): label = tier 1-2; the score
+    leans towards the label and is rounded to 2 places so ties occur."""
+    tier = F.substring("o_orderpriority", 1, 1).cast("int")
+    base = orders.select(F.col("o_orderkey").alias("row_id"),
+                         tier.isin(1, 2).cast("int").alias("label"),
+                         F.explode(F.array(*map(F.lit, CLS_MODELS))).alias("model"))
+    score = F.round(0.7 * _u(F.col("row_id"), "") + 0.3 * F.col("label"), 2)
+    return base.select("model", "row_id", "label", score.alias("score"),
+                       (score >= 0.5).cast("int").alias("prediction"))
+
+
+def pseudo_regression(orders: DataFrame) -> DataFrame:
+    """(model, row_id, label, prediction): label = tier/5 with keyed noise."""
+    tier = F.substring("o_orderpriority", 1, 1).cast("double")
+    base = orders.select(F.col("o_orderkey").alias("row_id"), tier.alias("tier"),
+                         F.posexplode(F.array(*map(F.lit, REG_MODELS))).alias("i", "model"))
+    y = tier / 5.0 + (_u(F.col("row_id"), "y") - 0.5) * 0.1
+    err = (_u(F.col("row_id"), "e") - 0.5) * 0.2 * (F.col("i") + 1) / 5.0
+    return base.select("model", "row_id", y.alias("label"), (y + err).alias("prediction"))
