@@ -35,14 +35,25 @@ def classification_metrics(pred: DataFrame, group: str = "model") -> DataFrame:
                     ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
+def _bucketize(g: DataFrame, buckets: int) -> DataFrame:
+    """Quantile buckets of the distinct scores: the cut points come from one
+    ``percentile_approx`` (a sketch of ``buckets`` numbers, the only thing
+    the driver sees); ``Bucketizer`` assigns buckets by binary search."""
+    from pyspark.ml.feature import Bucketizer
+    probs = [i / buckets for i in range(1, buckets)]
+    row = g.agg(F.percentile_approx("score", probs, 10000).alias("b")).first()
+    cuts = sorted({float(x) for x in (row["b"] or [])})
+    splits = [float("-inf")] + cuts + [float("inf")]
+    bz = Bucketizer(splits=splits, inputCol="score", outputCol="_b", handleInvalid="keep")
+    return bz.transform(g).withColumn("bucket", F.col("_b").cast("int")).drop("_b")
+
+
 def _score_ranks(pred: DataFrame, group: str, buckets: int) -> DataFrame:
     """Per (group, distinct score): pos, neg and counts of strictly lower scores."""
     g = pred.groupBy(group, F.col("score").cast("double").alias("score")).agg(
         F.sum(F.col("label").cast("long")).alias("pos"),
         F.sum((1 - F.col("label")).cast("long")).alias("neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = g.agg(F.percentile_approx("score", probs, 10000)).scalar()
-    g = g.withColumn("bucket", F.size(F.filter(bounds, lambda b: b < F.col("score"))))
+    g = _bucketize(g, buckets)
     bt = g.groupBy(group, "bucket").agg(F.sum("pos").alias("pb"), F.sum("neg").alias("nb"))
     wb = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select(group, "bucket", F.coalesce(F.sum("pb").over(wb), F.lit(0)).alias("pos_pre_b"),

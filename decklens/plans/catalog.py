@@ -359,3 +359,279 @@ _both("deck_features_view",
       "SELECT " + ", ".join(FT.FEATURE_COLUMNS + FT.TARGET_COLUMNS) + " FROM final",
       doubles=_FEATURE_DOUBLES, others=["total_cards", "unique_types", "competitive", "tier_multiclass"],
       ctes=O.FEATURES_CTES)
+
+# --------------------------------------------------------------------------
+# A: sources and sinks (scratch output under spark.checkpoint.dir)
+# --------------------------------------------------------------------------
+from decklens.sources import io as IO  # noqa: E402
+
+_both("csv_roundtrip", lambda s, d: IO.csv_roundtrip(inputs(s, d)["deck_lists"], "deck_lists"),
+      'SELECT f.row_id, \' Deck \' || CAST(o.o_custkey AS VARCHAR) || chr(9) AS Name, f.Tier, f.Year,'
+      ' f.deck_list AS "Deck list" FROM fragments f JOIN orders o ON f.row_id = o.o_orderkey',
+      others=["row_id", "Name", "Tier", "Year", "Deck list"])
+_both("csv_cards_na", lambda s, d: IO.csv_roundtrip(_cards(s, d), "cards"),
+      "SELECT name, cmc, rarity, color_identity, type, power, toughness, nullif(text, '') AS text FROM cards_raw",
+      doubles=["cmc"], others=["name", "rarity", "color_identity", "type", "power", "toughness", "text"])
+_both("parquet_roundtrip", lambda s, d: IO.parquet_roundtrip(_deck_cards(s, d), "deck_cards"),
+      "SELECT row_id, deck_name, tier, year, card_name, quantity FROM deck_cards",
+      others=["row_id", "deck_name", "tier", "year", "card_name", "quantity"])
+
+# --------------------------------------------------------------------------
+# F: profiling
+# --------------------------------------------------------------------------
+
+
+def _value_counts(spark, sf_dir):
+    c, dk = _cards(spark, sf_dir), _decks_n(spark, sf_dir)
+    return (P.value_counts(c, "rarity").unionByName(P.value_counts(c, "color_identity"))
+            .unionByName(P.value_counts(dk, "Tier")))
+
+
+_both("value_counts", _value_counts,
+      " UNION ALL ".join(
+          f"SELECT '{col}' AS \"column\", CAST({col} AS VARCHAR) AS value, count(*) AS n,"
+          f" count(*) / (SELECT count(*) FROM {t})::DOUBLE AS share FROM {t} GROUP BY {col}"
+          for col, t in [("rarity", "cards_raw"), ("color_identity", "cards_raw"), ("Tier", "decks")]),
+      doubles=["share"], others=["column", "value", "n"])
+
+_both("null_fraction", lambda s, d: P.null_fraction(IO.na_to_null(_cards(s, d))),
+      "SELECT \"column\", null_fraction FROM (UNPIVOT (SELECT "
+      + ", ".join(f"avg(CAST(nullif({c}, '') IS NULL AS DOUBLE)) AS {c}" if c != "cmc"
+                  else f"avg(CAST({c} IS NULL AS DOUBLE)) AS {c}" for c in CARD_COLS)
+      + " FROM cards_raw) ON COLUMNS(*) INTO NAME \"column\" VALUE null_fraction)"
+      " ORDER BY null_fraction DESC, \"column\" LIMIT 10",
+      doubles=["null_fraction"], others=["column"])
+
+_LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _li(spark, sf_dir):
+    return D.read_table(spark, sf_dir, "lineitem")
+
+
+_both("describe", lambda s, d: P.describe(_li(s, d), _LI_NUM),
+      " UNION ALL ".join(
+          f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,"
+          f" min({c})::DOUBLE AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,"
+          f" quantile_cont({c}, 0.75) AS p75, max({c})::DOUBLE AS max FROM lineitem" for c in _LI_NUM),
+      doubles=["mean", "std", "min", "p25", "p50", "p75", "max"], others=["column", "count"])
+
+_both("histogram", lambda s, d: P.histogram(_li(s, d), "l_extendedprice", 15),
+      "SELECT bin, lo + (bin - 1) * ((hi - lo) / 15) AS bin_lo, lo + bin * ((hi - lo) / 15) AS bin_hi,"
+      " count(*) AS n FROM (SELECT CASE WHEN hi = lo THEN 1 ELSE"
+      " least(CAST(floor(15 * (x - lo) / (hi - lo)) AS BIGINT) + 1, 15) END AS bin, lo, hi FROM"
+      " (SELECT l_extendedprice AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),"
+      " (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)) GROUP BY bin, lo, hi",
+      doubles=["bin_lo", "bin_hi"], others=["bin", "n"])
+
+_both("kde", lambda s, d: P.kde(_cards(s, d), "cmc", 100),
+      "SELECT g, lo + (hi - lo) * g / 99 AS x,"
+      " sum(c * exp(-0.5 * ((lo + (hi - lo) * g / 99 - v) / h) * ((lo + (hi - lo) * g / 99 - v) / h)))"
+      " / (n * h * sqrt(2 * pi())) AS density FROM"
+      " (SELECT cmc AS v, count(*) AS c FROM cards_raw WHERE cmc IS NOT NULL GROUP BY cmc),"
+      " (SELECT count(cmc)::DOUBLE AS n, min(cmc) AS lo, max(cmc) AS hi,"
+      "  stddev_samp(cmc) * pow(count(cmc)::DOUBLE, -0.2) AS h FROM cards_raw),"
+      " (SELECT range AS g FROM range(100)) GROUP BY g, lo, hi, n, h",
+      doubles=["x", "density"], others=["g"])
+
+_PAIR_COLS = ["avg_cmc", "avg_rarity_weighted", "avg_colors", "unique_types", "total_cards"]
+_both("pairwise_corr", lambda s, d: P.pairwise_corr(_features_only(s, d), _PAIR_COLS),
+      " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS corr FROM features"
+                         for i, a in enumerate(_PAIR_COLS) for b in _PAIR_COLS[i + 1:]),
+      doubles=["corr"], others=["feature_a", "feature_b"], ctes=_AGG_CTES)
+
+_DC_TYPES = [("row_id", "bigint"), ("deck_name", "string"), ("tier", "int"), ("year", "int"),
+             ("card_name", "string"), ("quantity", "int")]
+_both("column_info", lambda s, d: P.column_info(_deck_cards(s, d)),
+      " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS non_null, '{t}' AS dtype FROM deck_cards"
+                         for c, t in _DC_TYPES),
+      others=["column", "non_null", "dtype"])
+
+
+def _top_k(spark, sf_dir):
+    f = attach_deck_attributes(_features_only(spark, sf_dir), _decks_n(spark, sf_dir))
+    f = FT.add_targets(f)
+    imp = f.agg(*[F.abs(F.corr(F.col(c).cast("double"), F.col("competitive").cast("double"))).alias(c)
+                  for c in FT.FEATURE_COLUMNS])
+    long = imp.unpivot([], FT.FEATURE_COLUMNS, "feature", "importance")
+    return P.top_k(long, "importance", 20, "feature")
+
+
+_both("top_k", _top_k,
+      "SELECT feature, importance FROM (UNPIVOT (SELECT "
+      + ", ".join(f"abs(corr(CAST({c} AS DOUBLE), CAST(competitive AS DOUBLE))) AS {c}" for c in FT.FEATURE_COLUMNS)
+      + " FROM final) ON COLUMNS(*) INTO NAME feature VALUE importance)"
+      " ORDER BY importance DESC NULLS LAST, feature LIMIT 20",
+      doubles=["importance"], others=["feature"], ctes=O.FEATURES_CTES)
+
+# --------------------------------------------------------------------------
+# G: splits and folds
+# --------------------------------------------------------------------------
+
+
+def _u_sql(key: str, salt_sql: str) -> str:
+    return (f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':' || {salt_sql}), 1, 8) AS BIGINT)"
+            " / 4294967296.0e0)")
+
+
+_TGT_CTES = O.BASE + ["features AS (SELECT DISTINCT Name AS deck_name FROM decks)", O.TARGETS]
+
+
+def _split_q(kind):
+    def fn(spark, sf_dir):
+        t = _targets(spark, sf_dir)
+        if kind == "split_stratified":
+            out = S.split_flag(t, "row_id", purpose="cls", stratify="competitive").select(
+                "row_id", "competitive", "is_test")
+        elif kind == "split_random":
+            out = S.split_flag(t, "row_id", purpose="reg").select("row_id", "competitiveness_score", "is_test")
+        elif kind == "kfold_stratified":
+            out = S.fold_column(t, "row_id", purpose="cls", stratify="competitive").select(
+                "row_id", "competitive", "fold")
+        else:
+            out = S.fold_column(t, "row_id", purpose="reg").select("row_id", "fold")
+        return out
+    return fn
+
+
+_both("split_stratified", _split_q("split_stratified"),
+      f"SELECT row_id, competitive, {_u_sql('row_id', chr(39) + 'split-cls-42:' + chr(39) + ' || competitive')}"
+      " < 0.25 AS is_test FROM final", others=["row_id", "competitive", "is_test"], ctes=_TGT_CTES)
+_both("split_random", _split_q("split_random"),
+      f"SELECT row_id, competitiveness_score, {_u_sql('row_id', chr(39) + 'split-reg-42' + chr(39))} < 0.25 AS is_test"
+      " FROM final", doubles=["competitiveness_score"], others=["row_id", "is_test"], ctes=_TGT_CTES)
+_both("kfold_stratified", _split_q("kfold_stratified"),
+      f"SELECT row_id, competitive, CAST(floor({_u_sql('row_id', chr(39) + 'fold-cls-42:' + chr(39) + ' || competitive')}"
+      " * 5) AS INTEGER) AS fold FROM final", others=["row_id", "competitive", "fold"], ctes=_TGT_CTES)
+_both("kfold", _split_q("kfold"),
+      f"SELECT row_id, CAST(floor({_u_sql('row_id', chr(39) + 'fold-reg-42' + chr(39))} * 5) AS INTEGER) AS fold"
+      " FROM final", others=["row_id", "fold"], ctes=_TGT_CTES)
+
+# --------------------------------------------------------------------------
+# H: metrics over deterministic stand-in predictions
+# --------------------------------------------------------------------------
+_U0 = _u_sql("o_orderkey", "''")
+_PRED_CTES = [
+    "cls_pred AS (SELECT model, row_id, label, score, CAST(score >= 0.5 AS INTEGER) AS prediction FROM ("
+    " SELECT m.model, o_orderkey AS row_id,"
+    " CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) IN (1, 2) AS INTEGER) AS label,"
+    f" round(0.7::DOUBLE * {_U0} + 0.3::DOUBLE *"
+    " CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) IN (1, 2) AS INTEGER), 2) AS score"
+    " FROM orders, (VALUES " + ", ".join(f"('{m}')" for m in D.CLS_MODELS) + ") m(model)))",
+    "reg_pred AS (SELECT model, row_id, y AS label, y + (ue - 0.5) * 0.2 * (i + 1) / 5.0::DOUBLE AS prediction"
+    " FROM (SELECT m.model, m.i, o_orderkey AS row_id,"
+    " CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) / 5.0::DOUBLE"
+    f" + ({_u_sql('o_orderkey', chr(39) + 'y' + chr(39))} - 0.5) * 0.1::DOUBLE AS y,"
+    f" {_u_sql('o_orderkey', chr(39) + 'e' + chr(39))} AS ue"
+    " FROM orders, (VALUES " + ", ".join(f"({i}, '{m}')" for i, m in enumerate(D.REG_MODELS)) + ") m(i, model)))",
+]
+_MET_CTES = _PRED_CTES + [
+    "cm AS (SELECT model, count(*) AS n,"
+    " sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,"
+    " sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,"
+    " sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn,"
+    " sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS tn FROM cls_pred GROUP BY model)",
+    "cls_m AS (SELECT model, coalesce((tp + tn) / nullif(n, 0)::DOUBLE, 0.0) AS accuracy,"
+    " coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0.0) AS precision,"
+    " coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0.0) AS recall,"
+    " coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0.0) AS f1 FROM cm)",
+    # AUC: for each positive, negatives with a lower score + half the ties
+    "sc AS (SELECT model, score, sum(label) AS pos, sum(1 - label) AS neg FROM cls_pred GROUP BY model, score)",
+    "sc2 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY score"
+    " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,"
+    " coalesce(sum(pos) OVER (PARTITION BY model ORDER BY score"
+    " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below FROM sc)",
+    "auc AS (SELECT model, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN"
+    " sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg))::DOUBLE END AS roc_auc FROM sc2 GROUP BY model)",
+    "results AS (SELECT c.model, c.accuracy, c.f1, a.roc_auc FROM cls_m c LEFT JOIN auc a ON c.model = a.model)",
+    "reg_m AS (SELECT model, 1 - sum((label - prediction) ^ 2) / (var_pop(label) * count(*)) AS r2,"
+    " avg(abs(label - prediction)) AS mae, sqrt(avg((label - prediction) ^ 2)) AS rmse FROM reg_pred GROUP BY model)",
+]
+
+
+def _orders(spark, sf_dir):
+    return D.read_table(spark, sf_dir, "orders")
+
+
+def _cls_pred(spark, sf_dir):
+    return D.pseudo_classification(_orders(spark, sf_dir))
+
+
+def _reg_pred(spark, sf_dir):
+    return D.pseudo_regression(_orders(spark, sf_dir))
+
+
+def _results(spark, sf_dir):
+    return M.model_results(_cls_pred(spark, sf_dir))
+
+
+_both("metrics_classification", lambda s, d: M.classification_metrics(_cls_pred(s, d)),
+      "SELECT * FROM cls_m", doubles=["accuracy", "precision", "recall", "f1"], others=["model"], ctes=_MET_CTES)
+_both("metrics_auc", lambda s, d: M.roc_auc(_cls_pred(s, d)),
+      "SELECT * FROM auc", doubles=["roc_auc"], others=["model"], ctes=_MET_CTES)
+_both("metrics_regression", lambda s, d: M.regression_metrics(_reg_pred(s, d)),
+      "SELECT * FROM reg_m", doubles=["r2", "mae", "rmse"], others=["model"], ctes=_MET_CTES)
+_both("confusion_matrix", lambda s, d: M.confusion_matrix(_cls_pred(s, d)),
+      "SELECT model, label, count(*) FILTER (WHERE prediction = 0) AS pred_0,"
+      " count(*) FILTER (WHERE prediction = 1) AS pred_1 FROM cls_pred GROUP BY model, label",
+      others=["model", "label", "pred_0", "pred_1"], ctes=_MET_CTES)
+_REPORT_CTE = ("r AS (SELECT model,"
+               " coalesce(tn / nullif(tn + fn, 0)::DOUBLE, 0.0) AS p0, coalesce(tn / nullif(tn + fp, 0)::DOUBLE, 0.0) AS r0,"
+               " coalesce(2 * tn / nullif(2 * tn + fn + fp, 0)::DOUBLE, 0.0) AS f0, CAST(tn + fp AS BIGINT) AS s0,"
+               " coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0.0) AS p1, coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0.0) AS r1,"
+               " coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0.0) AS f1, CAST(tp + fn AS BIGINT) AS s1 FROM cm)")
+_both("classification_report", lambda s, d: M.classification_report(_cls_pred(s, d)),
+      "SELECT model, '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1, CAST(s0 AS BIGINT) AS support FROM r"
+      " UNION ALL SELECT model, '1', p1, r1, f1, s1 FROM r"
+      " UNION ALL SELECT model, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, s0 + s1 FROM r"
+      " UNION ALL SELECT model, 'weighted avg', (p0 * s0 + p1 * s1) / (s0 + s1), (r0 * s0 + r1 * s1) / (s0 + s1),"
+      " (f0 * s0 + f1 * s1) / (s0 + s1), s0 + s1 FROM r",
+      doubles=["precision", "recall", "f1"], others=["model", "class", "support"], ctes=_MET_CTES + [_REPORT_CTE])
+_both("roc_curve", lambda s, d: M.roc_curve(_cls_pred(s, d)),
+      "SELECT model, score AS threshold, (N - neg_below) / N::DOUBLE AS fpr, (P - pos_below) / P::DOUBLE AS tpr"
+      " FROM sc2 JOIN (SELECT model AS m2, sum(pos) AS P, sum(neg) AS N FROM sc GROUP BY model) t"
+      " ON sc2.model = t.m2",
+      doubles=["threshold", "fpr", "tpr"], others=["model"], ctes=_MET_CTES)
+_both("metrics_unpivot", lambda s, d: P.unpivot_metrics(_results(s, d), "model", ["accuracy", "f1", "roc_auc"]),
+      "SELECT model, metric, score FROM (UNPIVOT results ON accuracy, f1, roc_auc INTO NAME metric VALUE score)",
+      doubles=["score"], others=["model", "metric"], ctes=_MET_CTES)
+_both("rank_models", lambda s, d: P.rank_rows(_results(s, d), "f1", "model"),
+      "SELECT *, row_number() OVER (ORDER BY f1 DESC NULLS LAST, model) AS rank FROM results",
+      doubles=["accuracy", "f1", "roc_auc"], others=["model", "rank"], ctes=_MET_CTES)
+_both("best_model", lambda s, d: P.top_k(_results(s, d), "f1", 1, "model"),
+      "SELECT * FROM results ORDER BY f1 DESC NULLS LAST, model LIMIT 1",
+      doubles=["accuracy", "f1", "roc_auc"], others=["model"], ctes=_MET_CTES)
+_both("metrics_summary", lambda s, d: M.metrics_summary(_results(s, d)),
+      "SELECT b.model AS best_model, b.accuracy AS best_accuracy, b.f1 AS best_f1, b.roc_auc AS best_roc_auc,"
+      " (SELECT string_agg(model || ':' || coalesce(printf('%.6f', accuracy), 'null') || ':'"
+      " || coalesce(printf('%.6f', f1), 'null') || ':' || coalesce(printf('%.6f', roc_auc), 'null'), ';'"
+      " ORDER BY model) FROM results) AS all_models"
+      " FROM (SELECT * FROM results ORDER BY f1 DESC NULLS LAST, model LIMIT 1) b",
+      doubles=["best_accuracy", "best_f1", "best_roc_auc"], others=["best_model", "all_models"], ctes=_MET_CTES)
+_both("chart_series", lambda s, d: M.chart_series(_results(s, d), ["accuracy", "f1", "roc_auc"]),
+      "SELECT model, metric, coalesce(value, 0.0) AS value, printf('%.3f', coalesce(value, 0.0)) AS label"
+      " FROM (UNPIVOT results ON accuracy, f1, roc_auc INTO NAME metric VALUE value)",
+      doubles=["value"], others=["model", "metric", "label"], ctes=_MET_CTES)
+
+
+def _pred_vs_actual(spark, sf_dir):
+    rp = _reg_pred(spark, sf_dir)
+    best = P.top_k(M.regression_metrics(rp), "r2", 1, "model").select("model")
+    p = rp.join(F.broadcast(best), "model", "left_semi")  # best: one row
+    lo = p.agg(F.least(F.min("label"), F.min("prediction"))).scalar()
+    hi = p.agg(F.greatest(F.max("label"), F.max("prediction"))).scalar()
+    return p.select("model", "row_id", F.col("label").alias("actual"), F.col("prediction").alias("predicted"),
+                    lo.alias("line_lo"), hi.alias("line_hi"))
+
+
+_both("pred_vs_actual", _pred_vs_actual,
+      "SELECT model, row_id, label AS actual, prediction AS predicted,"
+      " (SELECT least(min(label), min(prediction)) FROM reg_pred WHERE model = b.m) AS line_lo,"
+      " (SELECT greatest(max(label), max(prediction)) FROM reg_pred WHERE model = b.m) AS line_hi"
+      " FROM reg_pred JOIN (SELECT model AS m FROM reg_m ORDER BY r2 DESC NULLS LAST, model LIMIT 1) b"
+      " ON reg_pred.model = b.m",
+      doubles=["actual", "predicted", "line_lo", "line_hi"], others=["model", "row_id"], ctes=_MET_CTES)
+_both("predictions_long",
+      lambda s, d: IO.parquet_roundtrip(_cls_pred(s, d), "predictions", partition_by=["model"]),
+      "SELECT * FROM cls_pred", doubles=["score"], others=["model", "row_id", "label", "prediction"],
+      ctes=_MET_CTES)

@@ -139,6 +139,6 @@ def pseudo_regression(orders: DataFrame) -> DataFrame:
     tier = F.substring("o_orderpriority", 1, 1).cast("double")
     base = orders.select(F.col("o_orderkey").alias("row_id"), tier.alias("tier"),
                          F.posexplode(F.array(*map(F.lit, REG_MODELS))).alias("i", "model"))
-    y = tier / 5.0 + (_u(F.col("row_id"), "y") - 0.5) * 0.1
+    y = F.col("tier") / 5.0 + (_u(F.col("row_id"), "y") - 0.5) * 0.1
     err = (_u(F.col("row_id"), "e") - 0.5) * 0.2 * (F.col("i") + 1) / 5.0
     return base.select("model", "row_id", y.alias("label"), (y + err).alias("prediction"))
