@@ -44,6 +44,8 @@ def _bucketize(g: DataFrame, buckets: int) -> DataFrame:
     row = g.agg(F.percentile_approx("score", probs, 10000).alias("b")).first()
     cuts = sorted({float(x) for x in (row["b"] or [])})
     splits = [float("-inf")] + cuts + [float("inf")]
+    if len(splits) < 3:
+        return g.withColumn("bucket", F.lit(0))
     bz = Bucketizer(splits=splits, inputCol="score", outputCol="_b", handleInvalid="keep")
     return bz.transform(g).withColumn("bucket", F.col("_b").cast("int")).drop("_b")
 

@@ -635,3 +635,162 @@ _both("predictions_long",
       lambda s, d: IO.parquet_roundtrip(_cls_pred(s, d), "predictions", partition_by=["model"]),
       "SELECT * FROM cls_pred", doubles=["score"], others=["model", "row_id", "label", "prediction"],
       ctes=_MET_CTES)
+
+# --------------------------------------------------------------------------
+# H: model training (rows-only checks) and kNN / standardisation / OLS (SQL)
+# --------------------------------------------------------------------------
+from decklens.operators import knn as KNN  # noqa: E402
+from decklens.operators import ml as ML  # noqa: E402
+
+# One setting per model, with small ensembles, so the registered queries run
+# in seconds at sf0.01; ``ML.CLS_GRID`` / ``ML.REG_GRID`` (the reference's
+# full grids) are the defaults of ``compare_models`` in library use.
+SMOKE_CLS = {"logreg": {"C": [1.0], "max_iter": [100]},
+             "svm": {"C": [1.0], "kernel": ["linear"], "gamma": ["scale"]},
+             "rf": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]},
+             "xgb": {"n_estimators": [10], "max_depth": [4], "learning_rate": [0.1], "subsample": [1.0]}}
+SMOKE_REG = {"linear_reg": {}, "ridge": {"alpha": [1.0], "max_iter": [1000]},
+             "svr": {"C": [1.0], "kernel": ["linear"], "gamma": ["scale"], "epsilon": [0.1]},
+             "rf_reg": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]},
+             "xgb_reg": {"n_estimators": [10], "max_depth": [4], "learning_rate": [0.1], "subsample": [1.0]}}
+
+
+def _feature_table(spark, sf_dir):
+    i = inputs(spark, sf_dir)
+    return deck_features(i["cards"], i["deck_lists"], i["decks"])
+
+
+def _train_one(name, task):
+    def fn(spark, sf_dir):
+        f = _feature_table(spark, sf_dir)
+        label = "competitive" if task == "cls" else "competitiveness_score"
+        grid = (SMOKE_CLS if task == "cls" else SMOKE_REG)[name]
+        d = S.split_flag(f, "row_id", purpose=task, stratify=label if task == "cls" else None)
+        t = ML.grid_search(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, label, name, grid, task)
+        return ML.predict(t, d.where(F.col("is_test")), FT.FEATURE_COLUMNS, label, task)
+    return fn
+
+
+for _n, _task, _key in [("logreg", "cls", "clf_logistic"), ("svm", "cls", "clf_svm"),
+                        ("rf", "cls", "clf_forest"), ("xgb", "cls", "clf_boosted"),
+                        ("ridge", "reg", "reg_ridge"), ("svr", "reg", "reg_svr"),
+                        ("rf_reg", "reg", "reg_forest"), ("xgb_reg", "reg", "reg_boosted")]:
+    register(_key, None)((lambda n, t: lambda s, d: rounded(_train_one(n, t)(s, d)))(_n, _task))
+
+
+def _grid_search(spark, sf_dir):
+    f = _feature_table(spark, sf_dir)
+    grid = {"C": ML.CLS_GRID["logreg"]["C"], "max_iter": [100]}
+    t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "logreg", grid, "cls")
+    return spark.createDataFrame([(float(c), float(m)) for c, m in zip(grid["C"], t.cv_metrics)],
+                                 "C double, mean_cv_f1 double")
+
+
+register("grid_search", None)(lambda s, d: rounded(_grid_search(s, d)))
+
+
+def _compare(task):
+    def fn(spark, sf_dir):
+        f = _feature_table(spark, sf_dir)
+        label = "competitive" if task == "cls" else "competitiveness_score"
+        res, _, _ = ML.compare_models(f, FT.FEATURE_COLUMNS, label, SMOKE_CLS if task == "cls" else SMOKE_REG, task)
+        return res.withColumn("best_params", F.to_json("best_params"))
+    return fn
+
+
+register("compare_classifiers", None)(lambda s, d: rounded(_compare("cls")(s, d)))
+register("compare_regressors", None)(lambda s, d: rounded(_compare("reg")(s, d)))
+
+
+def _importance(spark, sf_dir):
+    f = _feature_table(spark, sf_dir)
+    t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "rf", SMOKE_CLS["rf"], "cls")
+    return P.top_k(ML.feature_importance(t, FT.FEATURE_COLUMNS), "importance", 20, "feature")
+
+
+register("feature_importance", None)(lambda s, d: rounded(_importance(s, d)))
+
+
+def _score_new(spark, sf_dir, compare=False):
+    from pyspark.ml import PipelineModel
+    f = _feature_table(spark, sf_dir)
+    d = S.split_flag(f, "row_id", purpose="cls", stratify="competitive")
+    t = ML.grid_search(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, "competitive", "logreg",
+                       SMOKE_CLS["logreg"], "cls")
+    path = IO.scratch_path(spark, "model")
+    t.model.write().overwrite().save(path)                       # A5: save
+    loaded = PipelineModel.load(path)                            # A5: load
+    new = d.where(F.col("is_test")).select("row_id", *FT.FEATURE_COLUMNS)
+    out = loaded.transform(new).select("row_id", F.col("prediction").cast("int").alias("prediction"),
+                                       vector_to_array("probability")[1].alias("score"))
+    if compare:
+        before = t.model.transform(new).select("row_id", F.col("prediction").cast("int").alias("pred_before"))
+        out = out.join(before, "row_id").withColumn("same", F.col("prediction") == F.col("pred_before"))
+    return out
+
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+register("score_new_decks", None)(lambda s, d: rounded(_score_new(s, d)))
+register("model_roundtrip", None)(lambda s, d: rounded(_score_new(s, d, compare=True)))
+
+_STD_COLS = ["avg_cmc", "power_score", "avg_colors", "unique_types", "total_cards"]
+
+
+def _standardize(spark, sf_dir):
+    f = _features_only(spark, sf_dir)
+    return f.select("deck_name", *[ML.standardize_column(f, c).alias(c) for c in _STD_COLS])
+
+
+_both("standardize", _standardize,
+      "SELECT deck_name, " + ", ".join(
+          f"({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0"
+          f" ELSE stddev_pop({c}) OVER () END AS {c}" for c in _STD_COLS) + " FROM features",
+      doubles=_STD_COLS, others=["deck_name"], ctes=_AGG_CTES)
+
+
+def _ols(spark, sf_dir):
+    f = attach_deck_attributes(_features_only(spark, sf_dir), _decks_n(spark, sf_dir))
+    f = FT.add_targets(f)
+    return ML.simple_ols(f, "power_score", "competitiveness_score")
+
+
+_both("reg_linear", _ols,
+      "SELECT regr_slope(competitiveness_score, power_score) AS slope,"
+      " regr_intercept(competitiveness_score, power_score) AS intercept, count(*) AS n FROM final",
+      doubles=["slope", "intercept"], others=["n"], ctes=O.FEATURES_CTES)
+
+
+def _emb_split(spark, sf_dir):
+    e = D.read_table(spark, sf_dir, "embeddings")
+    return S.split_flag(e, "vec_id", purpose="knn")
+
+
+def _knn(spark, sf_dir):
+    e = _emb_split(spark, sf_dir)
+    return KNN.knn_predict(e.where(~F.col("is_test")), e.where(F.col("is_test")), k=5).select(
+        "vec_id", "prediction")
+
+
+def _knn_nn(spark, sf_dir):
+    e = _emb_split(spark, sf_dir)
+    return KNN.nearest_neighbours(e.where(~F.col("is_test")), e.where(F.col("is_test")), k=5)
+
+
+_KNN_CTES = O.BASE + [
+    f"e AS (SELECT vec_id, embedding, label, {_u_sql('vec_id', chr(39) + 'split-knn-42' + chr(39))} < 0.25 AS is_test"
+    " FROM embeddings)",
+    "pairs AS (SELECT q.vec_id AS qid, t.vec_id AS nid, t.label AS nlabel,"
+    " sqrt(list_sum(list_transform(range(1, len(q.embedding) + 1),"
+    " lambda i: (q.embedding[i]::DOUBLE - t.embedding[i]::DOUBLE) * (q.embedding[i]::DOUBLE - t.embedding[i]::DOUBLE))))"
+    " AS dist FROM e q, e t WHERE q.is_test AND NOT t.is_test)",
+    "nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, nid) AS rank FROM pairs)"
+    " WHERE rank <= 5)",
+]
+_both("knn_neighbours", _knn_nn, "SELECT qid, nid, dist, rank FROM nn",
+      doubles=["dist"], others=["qid", "nid", "rank"], ctes=_KNN_CTES)
+_both("clf_knn", _knn,
+      "SELECT qid AS vec_id, nlabel AS prediction FROM (SELECT qid, nlabel, row_number() OVER"
+      " (PARTITION BY qid ORDER BY count(*) DESC, nlabel) AS r FROM nn GROUP BY qid, nlabel) WHERE r = 1",
+      others=["vec_id", "prediction"], ctes=_KNN_CTES)
+REGISTRY["knn_embeddings"] = REGISTRY["clf_knn"]
