@@ -71,21 +71,31 @@ def _derive(cmc: Column, rarity: Column, type_: Column, power: Column, toughness
     return out
 
 
+def _card_derived(c: DataFrame) -> dict[str, Column]:
+    return _derive(*[_col_or_null(c, n) for n in
+                     ("cmc", "rarity", "type", "power", "toughness", "text", "color_identity")])
+
+
 def card_values(cards: DataFrame) -> DataFrame:
     """Per-printing derived card values (name + one column per statistic)."""
     c = prune_card_columns(cards)
-    d = _derive(*[_col_or_null(c, n) for n in
-                  ("cmc", "rarity", "type", "power", "toughness", "text", "color_identity")])
-    return c.select("name", *[v.alias(k) for k, v in d.items()])
+    return c.select("name", *[v.alias(k) for k, v in _card_derived(c).items()])
 
 
 def card_stats(cards: DataFrame) -> DataFrame:
-    """Per-name sums over all printings (NULLs skipped, as pandas sums do)."""
-    v = card_values(cards).where(F.col("name").isNotNull())
-    stats = [k for k in v.columns if k != "name"]
+    """Per-name sums over all printings (NULLs skipped, as pandas sums do)
+    and the distinct type tokens of the name.
+
+    The token state is a set of distinct type-token arrays: bounded by the
+    catalogue's vocabulary of type lines, not by the number of printings."""
+    c = prune_card_columns(cards).where(F.col("name").isNotNull())
+    d = _card_derived(c)
+    v = c.select("name", X.type_tokens(_col_or_null(c, "type")).alias("_tok"),
+                 *[e.alias(k) for k, e in d.items()])
     return v.groupBy("name").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in stats])
+        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d],
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_tok")))).alias("tokens"))
 
 
 def _miss_defaults() -> dict[str, Column]:
@@ -133,25 +143,16 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int):
         [f"t_{w}" for w in X.TYPE_WORDS] + [f"k_{k}" for k in KEYWORDS] + \
         [f"c_{c}" for c in X.COLOR_LABELS]
     unweighted = ["n_rows", "n_cmc", "s_cmc", "ss_cmc", "s_cc", "s_rar", "n_rar"]
+    # Distinct type tokens per deck.  The set holds distinct per-name
+    # token arrays (bounded by the type-line vocabulary); it is partially
+    # aggregated map-side like the sums, so no second pass over the lines.
     agg = j.groupBy("deck_name").agg(
         *[F.sum(q * v(k)).alias(f"w_{k}") for k in weighted],
-        *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted])
+        *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted],
+        F.size(F.array_distinct(F.flatten(F.collect_set("tokens")))).cast("bigint").alias("unique_types"))
     return agg, pairs
 
 
-def _unique_types(pairs: DataFrame, cards: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Distinct type tokens per deck (count-distinct over (deck, token))."""
-    toks = broadcast_if_small(card_type_tokens(cards), broadcast_rows)
-    tj = pairs.select("deck_name", "card_name").join(toks, pairs.card_name == toks.name)
-    return tj.groupBy("deck_name").agg(F.count_distinct("token").alias("unique_types"))
-
-
-def _with_unique_types(main: DataFrame, pairs: DataFrame, cards: DataFrame, broadcast_rows: int) -> DataFrame:
-    ut = _unique_types(pairs, cards, broadcast_rows)
-    return main.join(ut, "deck_name", "left").withColumn(
-        "unique_types", F.coalesce(F.col("unique_types"), F.lit(0)).cast("bigint"))
-
-
 def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """D1-D10 fused: one row per deck_name with the 25 features."""
@@ -180,8 +181,8 @@ def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
     for c, name in zip(X.COLOR_LABELS, COLOR_PCT_COLUMNS):
         cols[name] = X.pct(F.col(f"w_c_{c}"), color_total)
     cols["avg_colors"] = F.col("u_s_cc") / F.col("u_n_rows")
-    main = agg.select("deck_name", *[e.alias(k) for k, e in cols.items()])
-    return _with_unique_types(main, pairs, cards, broadcast_rows).select("deck_name", *FEATURE_COLUMNS)
+    cols["unique_types"] = F.col("unique_types")
+    return agg.select("deck_name", *[e.alias(k) for k, e in cols.items()]).select("deck_name", *FEATURE_COLUMNS)
 
 
 def baseline_features(deck_cards: DataFrame, cards: DataFrame,
@@ -190,12 +191,11 @@ def baseline_features(deck_cards: DataFrame, cards: DataFrame,
     unique_types (the exploratory feature set)."""
     agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows)
     n, nr = F.col("u_n_cmc"), F.col("u_n_rar")
-    main = agg.select(
+    return agg.select(
         "deck_name", F.when(n > 0, F.col("u_s_cmc") / n).alias("avg_cmc"),
         F.when(nr > 0, F.col("u_s_rar") / nr).alias("avg_rarity"),
         F.col("w_n_rows").cast("bigint").alias("total_cards"),
-        (F.col("u_s_cc") / F.col("u_n_rows")).alias("avg_colors"))
-    return _with_unique_types(main, pairs, cards, broadcast_rows)
+        (F.col("u_s_cc") / F.col("u_n_rows")).alias("avg_colors"), "unique_types")
 
 
 def color_pivot(deck_cards: DataFrame, cards: DataFrame,
