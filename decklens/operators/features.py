@@ -19,7 +19,7 @@ Plan (see README, "Feature plan"):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decklens.functions import expressions as X
@@ -82,20 +82,38 @@ def card_values(cards: DataFrame) -> DataFrame:
     return c.select("name", *[v.alias(k) for k, v in _card_derived(c).items()])
 
 
-def card_stats(cards: DataFrame) -> DataFrame:
-    """Per-name sums over all printings (NULLs skipped, as pandas sums do)
-    and the distinct type tokens of the name.
+def token_vocabulary(cards: DataFrame) -> DataFrame:
+    """Distinct type tokens of the catalogue with a dense 0-based index.
+
+    The table has one row per distinct token (the type-word vocabulary), so
+    the global ordering window runs over a small, catalogue-bounded input."""
+    c = prune_card_columns(cards)
+    toks = c.select(F.explode(X.type_tokens(_col_or_null(c, "type"))).alias("token")).distinct()
+    return toks.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("idx"))
+
 
-    The token state is a set of distinct type-token arrays: bounded by the
-    catalogue's vocabulary of type lines, not by the number of printings."""
+def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Per-name sums over all printings (NULLs skipped, as pandas sums do)
+    and the name's type tokens as a bitmap over the vocabulary (``tw0``,
+    ``tw1``, ... 64-bit words), so decks can OR them in a plain hash
+    aggregate."""
     c = prune_card_columns(cards).where(F.col("name").isNotNull())
     d = _card_derived(c)
-    v = c.select("name", X.type_tokens(_col_or_null(c, "type")).alias("_tok"),
-                 *[e.alias(k) for k, e in d.items()])
-    return v.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d],
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_tok")))).alias("tokens"))
+    sums = c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
+    vocab = token_vocabulary(c)
+    n_words = vocab.count() // 64 + 1                     # one number to the driver
+    vocab = broadcast_if_small(vocab, broadcast_rows)
+    t = c.select("name", F.explode(X.type_tokens(_col_or_null(c, "type"))).alias("token")).join(vocab, "token")
+    bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(idx % 64 AS INT))")
+    words = t.groupBy("name").agg(*[
+        F.bit_or(F.when(F.floor(F.col("idx") / 64) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"tw{w}")
+        for w in range(n_words)])
+    return sums.join(words, "name", "left").fillna(0, [f"tw{w}" for w in range(n_words)])
+
+
+def token_words(stats: DataFrame) -> list[str]:
+    return sorted((c for c in stats.columns if c.startswith("tw") and c[2:].isdigit()), key=lambda x: int(x[2:]))
 
 
 def _miss_defaults() -> dict[str, Column]:
@@ -130,7 +148,9 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int):
 
     ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones."""
     pairs = deck_card_pairs(deck_cards)
-    stats = broadcast_if_small(card_stats(cards), broadcast_rows)
+    st = card_stats(cards, broadcast_rows)
+    words = token_words(st)
+    stats = broadcast_if_small(st, broadcast_rows)
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
     miss = _miss_defaults()
     q = F.col("q")
@@ -143,14 +163,14 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int):
         [f"t_{w}" for w in X.TYPE_WORDS] + [f"k_{k}" for k in KEYWORDS] + \
         [f"c_{c}" for c in X.COLOR_LABELS]
     unweighted = ["n_rows", "n_cmc", "s_cmc", "ss_cmc", "s_cc", "s_rar", "n_rar"]
-    # Distinct type tokens per deck.  The set holds distinct per-name
-    # token arrays (bounded by the type-line vocabulary); it is partially
-    # aggregated map-side like the sums, so no second pass over the lines.
+    # Distinct type tokens per deck = set bits of the OR of the cards'
+    # token bitmaps; fixed-width state, combined map-side like the sums.
     agg = j.groupBy("deck_name").agg(
         *[F.sum(q * v(k)).alias(f"w_{k}") for k in weighted],
         *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted],
-        F.size(F.array_distinct(F.flatten(F.collect_set("tokens")))).cast("bigint").alias("unique_types"))
-    return agg, pairs
+        *[F.bit_or(F.coalesce(F.col(w), F.lit(0).cast("bigint"))).alias(f"d_{w}") for w in words])
+    unique = sum((F.bit_count(F.col(f"d_{w}")) for w in words), F.lit(0))
+    return agg.withColumn("unique_types", unique.cast("bigint")), pairs
 
 
 def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
@@ -202,7 +222,7 @@ def color_pivot(deck_cards: DataFrame, cards: DataFrame,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Copies per (deck, colour bucket) as a pivot with 0 fill."""
     pairs = deck_card_pairs(deck_cards)
-    stats = broadcast_if_small(card_stats(cards), broadcast_rows)
+    stats = broadcast_if_small(card_stats(cards, broadcast_rows), broadcast_rows)
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
     miss = _miss_defaults()
     long = j.select("deck_name", F.explode(F.array(*[

@@ -140,7 +140,7 @@ class _SVRParams(Params):
 
 
 class EpsilonSVR(Estimator, _SVRParams):
-    def __init__(self, C: float = 1.0, epsilon: float = 0.1, maxIter: int = 200,
+    def __init__(self, C: float = 1.0, epsilon: float = 0.1, maxIter: int = 50,
                  featuresCol: str = "features", labelCol: str = "label", predictionCol: str = "prediction"):
         super().__init__()
         self._set(C=C, epsilon=epsilon, maxIter=maxIter, featuresCol=featuresCol, labelCol=labelCol,
@@ -248,6 +248,10 @@ def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str
                  est.stepSize: float(s["learning_rate"]), est.subsamplingRate: float(s["subsample"])}
                 for s in settings]
         return Built([est], settings, maps)
+    if name == "knn":
+        est = KNNClassifier(featuresCol="scaled")
+        maps = [{est.k: int(s["n_neighbors"]), est.weights: str(s.get("weights", "uniform"))} for s in settings]
+        return Built([est], settings, maps)
     if name == "linear_reg":
         est = LinearRegression(featuresCol="scaled", regParam=0.0, solver="normal", standardization=False)
         return Built([est], settings, [{} for _ in settings])
@@ -451,3 +455,44 @@ def simple_ols(df: DataFrame, x: str, y: str) -> DataFrame:
     n = m.summary.numInstances
     return df.sparkSession.createDataFrame([(float(m.coefficients[0]), float(m.intercept), int(n))],
                                            "slope double, intercept double, n long")
+
+
+# ---------------------------------------------------------------------------
+# kNN classifier as a Spark ML estimator (H6 inside the grid search)
+# ---------------------------------------------------------------------------
+class _KNNParams(Params):
+    k = Param(Params._dummy(), "k", "neighbours", TypeConverters.toInt)
+    weights = Param(Params._dummy(), "weights", "'uniform' or 'distance'", TypeConverters.toString)
+    featuresCol = Param(Params._dummy(), "featuresCol", "vector column", TypeConverters.toString)
+    idCol = Param(Params._dummy(), "idCol", "unique row key", TypeConverters.toString)
+
+
+class KNNClassifier(Estimator, _KNNParams):
+    """Lazy learner: the model keeps the (scaled) training rows and answers
+    with the exact pruned neighbour join of ``decklens.operators.knn``."""
+
+    def __init__(self, k: int = 5, weights: str = "uniform", featuresCol: str = "scaled",
+                 idCol: str = "row_id"):
+        super().__init__()
+        self._set(k=k, weights=weights, featuresCol=featuresCol, idCol=idCol)
+
+    def _fit(self, df: DataFrame) -> "KNNModel":
+        fc, idc = self.getOrDefault(self.featuresCol), self.getOrDefault(self.idCol)
+        train = df.select(F.col(idc).alias("vec_id"), vector_to_array(F.col(fc)).alias("embedding"),
+                          F.col("label").cast("int").alias("label"))
+        return KNNModel(train, self.getOrDefault(self.k), self.getOrDefault(self.weights), fc, idc)
+
+
+class KNNModel(Model):
+    def __init__(self, train, k, weights, featuresCol, idCol):
+        super().__init__()
+        self.train, self.k_, self.weights_, self.fc, self.idc = train, k, weights, featuresCol, idCol
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        from decklens.operators.knn import knn_predict
+        q = df.select(F.col(self.idc).alias("vec_id"), vector_to_array(F.col(self.fc)).alias("embedding"))
+        p = knn_predict(self.train, q, self.k_, self.weights_).select(
+            F.col("vec_id").alias(self.idc), F.col("prediction").cast("double").alias("prediction"),
+            array_to_vector(F.array(1 - F.col("score"), F.col("score"))).alias("probability"))
+        return df.join(p, self.idc, "left").withColumn("rawPrediction", F.col("probability"))

@@ -648,7 +648,8 @@ from decklens.operators import ml as ML  # noqa: E402
 SMOKE_CLS = {"logreg": {"C": [1.0], "max_iter": [100]},
              "svm": {"C": [1.0], "kernel": ["linear"], "gamma": ["scale"]},
              "rf": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]},
-             "xgb": {"n_estimators": [10], "max_depth": [4], "learning_rate": [0.1], "subsample": [1.0]}}
+             "xgb": {"n_estimators": [10], "max_depth": [4], "learning_rate": [0.1], "subsample": [1.0]},
+             "knn": {"n_neighbors": [5], "weights": ["uniform"]}}
 SMOKE_REG = {"linear_reg": {}, "ridge": {"alpha": [1.0], "max_iter": [1000]},
              "svr": {"C": [1.0], "kernel": ["linear"], "gamma": ["scale"], "epsilon": [0.1]},
              "rf_reg": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]},
@@ -671,7 +672,7 @@ def _train_one(name, task):
     return fn
 
 
-for _n, _task, _key in [("logreg", "cls", "clf_logistic"), ("svm", "cls", "clf_svm"),
+for _n, _task, _key in [("logreg", "cls", "clf_logistic"), ("svm", "cls", "clf_svm"), ("knn", "cls", "clf_knn_decks"),
                         ("rf", "cls", "clf_forest"), ("xgb", "cls", "clf_boosted"),
                         ("ridge", "reg", "reg_ridge"), ("svr", "reg", "reg_svr"),
                         ("rf_reg", "reg", "reg_forest"), ("xgb_reg", "reg", "reg_boosted")]:
@@ -794,3 +795,29 @@ _both("clf_knn", _knn,
       " (PARTITION BY qid ORDER BY count(*) DESC, nlabel) AS r FROM nn GROUP BY qid, nlabel) WHERE r = 1",
       others=["vec_id", "prediction"], ctes=_KNN_CTES)
 REGISTRY["knn_embeddings"] = REGISTRY["clf_knn"]
+
+
+def _metrics_json(spark, sf_dir):
+    summary = M.metrics_summary(_results(spark, sf_dir))
+    path = IO.scratch_path(spark, "metrics_json")
+    IO.write_json(summary, path)                                  # A4
+    return spark.read.schema(summary.schema).json(path)
+
+
+_both("metrics_json", _metrics_json,
+      "SELECT b.model AS best_model, b.accuracy AS best_accuracy, b.f1 AS best_f1, b.roc_auc AS best_roc_auc,"
+      " (SELECT string_agg(model || ':' || coalesce(printf('%.6f', accuracy), 'null') || ':'"
+      " || coalesce(printf('%.6f', f1), 'null') || ':' || coalesce(printf('%.6f', roc_auc), 'null'), ';'"
+      " ORDER BY model) FROM results) AS all_models"
+      " FROM (SELECT * FROM results ORDER BY f1 DESC NULLS LAST, model LIMIT 1) b",
+      doubles=["best_accuracy", "best_f1", "best_roc_auc"], others=["best_model", "all_models"], ctes=_MET_CTES)
+
+
+def _xy(spark, sf_dir):
+    x, _ = S.xy_views(_feature_table(spark, sf_dir), FT.FEATURE_COLUMNS, "competitive")
+    return x
+
+
+_both("xy_views", _xy, "SELECT row_id, " + ", ".join(FT.FEATURE_COLUMNS) + " FROM final",
+      doubles=[c for c in FT.FEATURE_COLUMNS if c not in ("total_cards", "unique_types")],
+      others=["row_id", "total_cards", "unique_types"], ctes=O.FEATURES_CTES)
