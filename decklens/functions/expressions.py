@@ -43,7 +43,8 @@ NOISE_HALF_WIDTH = 0.05
 NOISE_SEED = 42
 # ---------------------------------------------------------------------------
 
-_WS = "(?U)^\\s+|\\s+$"
+# Python's whitespace set for str.strip(), derived by rule (str.isspace).
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _NUMERIC = "^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$"
 
 
@@ -52,8 +53,9 @@ def _c(x) -> Column:
 
 
 def strip(x) -> Column:
-    """Python ``str.strip()``: removes leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(x), _WS, "")
+    """Python ``str.strip()``: removes leading/trailing Unicode whitespace
+    (a character-set trim, no regular expression)."""
+    return F.btrim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def normalize_key(x) -> Column:
