@@ -51,12 +51,22 @@ def merge_cards(deck_cards: DataFrame, cards: DataFrame) -> DataFrame:
 
 
 def attach_deck_attributes(features: DataFrame, decks: DataFrame, name_col: str = "Name",
-                           keep: list[str] | None = None) -> DataFrame:
-    """Left join deck attributes on the deck name; repeated names fan out.
-
-    Both sides are hash-partitioned on the deck name, so the aggregate's
-    output partitioning is reused by the sort-merge join."""
+                           keep: list[str] | None = None, complete: bool = False) -> DataFrame:
+    """Features LEFT JOIN deck attributes on the deck name; repeated
+    names fan out.
+
+    Written as decks INNER JOIN features, decks on the streamed side: a name
+    shared by a third of all decks streams through one task against a single
+    buffered feature row, and AQE may split it (inner joins are skew-splittable;
+    the null-supplying side of an outer join is not).  Features whose name has
+    no deck are added by an anti join against the *distinct* deck names,
+    unless ``complete`` says every feature name comes from ``decks``."""
     keep = keep or [c for c in ("row_id", "Tier", "Year") if c in decks.columns]
-    d = decks.select(F.col(name_col).alias("_dn"), *keep)
-    return (features.join(d, features.deck_name == d._dn, "left").drop("_dn")
-            .withColumnsRenamed({"Tier": "tier", "Year": "year"}))
+    d = decks.select(F.col(name_col).alias("deck_name"), *keep)
+    out = d.join(features, "deck_name").select(*features.columns, *keep)
+    if not complete:
+        names = d.select("deck_name").distinct()
+        unmatched = features.join(names, "deck_name", "left_anti").select(
+            "*", *[F.lit(None).cast(d.schema[c].dataType).alias(c) for c in keep])
+        out = out.unionByName(unmatched)
+    return out.withColumnsRenamed({"Tier": "tier", "Year": "year"})

@@ -28,7 +28,16 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 256
 
 
-def _sqdist(a: str, b: str):
+def _sqdist(a: str, b: str, dim: int | None = None):
+    """Squared euclidean distance.  With a known dimension it is an explicit
+    sum of element differences (whole-stage codegen); otherwise a
+    higher-order aggregate over the zipped arrays."""
+    if dim:
+        terms = [(F.col(a)[i] - F.col(b)[i]) * (F.col(a)[i] - F.col(b)[i]) for i in range(dim)]
+        out = terms[0]
+        for t in terms[1:]:
+            out = out + t
+        return out
     return F.aggregate(F.zip_with(F.col(a), F.col(b), lambda x, y: (x - y) * (x - y)),
                        F.lit(0.0), lambda acc, v: acc + v)
 
@@ -56,6 +65,7 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, id_col: str =
     qs = _prep(query, id_col, vec_col, metric).select("id", "v")
     pca = PCA(k=1, inputCol="_vv", outputCol="_pc").fit(tr.select(array_to_vector("v").alias("_vv")))
     direction = [float(x) for x in pca.pc.toArray()[:, 0]]
+    dim = len(direction) if len(direction) <= 256 else None
     dvec = F.array(*[F.lit(x) for x in direction])
 
     def proj(df):
@@ -83,7 +93,7 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, id_col: str =
     qs_b = blocks(qs, "p", "block")
 
     # round 1: own block -> upper bound U of the k-th distance
-    c1 = qs_b.join(tr_b, "block").select("id", "p", F.sqrt(_sqdist("v", "nv")).alias("d"))
+    c1 = qs_b.join(tr_b, "block").select("id", "p", F.sqrt(_sqdist("v", "nv", dim)).alias("d"))
     w1 = Window.partitionBy("id").orderBy("d")
     ub = (c1.select("id", "p", "d", F.row_number().over(w1).alias("r"))
           .where(F.col("r") == k).select("id", F.col("d").alias("U")))
@@ -95,7 +105,7 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, id_col: str =
            .withColumn("b_hi", F.when(F.col("U").isNull(), F.lit(last_block)).otherwise(F.col("b_hi")))
     # round 2: every block in range, exact top k
     cand = q2.select("id", "v", F.explode(F.sequence("b_lo", "b_hi")).alias("block")).join(tr_b, "block")
-    cand = cand.select(F.col("id").alias("qid"), "nid", F.sqrt(_sqdist("v", "nv")).alias("dist"))
+    cand = cand.select(F.col("id").alias("qid"), "nid", F.sqrt(_sqdist("v", "nv", dim)).alias("dist"))
     w2 = Window.partitionBy("qid").orderBy("dist", "nid")
     return cand.select("*", F.row_number().over(w2).alias("rank")).where(F.col("rank") <= k)
 

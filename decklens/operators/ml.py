@@ -140,37 +140,48 @@ class _SVRParams(Params):
 
 
 class EpsilonSVR(Estimator, _SVRParams):
-    def __init__(self, C: float = 1.0, epsilon: float = 0.1, maxIter: int = 50,
+    def __init__(self, C: float = 1.0, epsilon: float = 0.1, maxIter: int = 100,
                  featuresCol: str = "features", labelCol: str = "label", predictionCol: str = "prediction"):
         super().__init__()
         self._set(C=C, epsilon=epsilon, maxIter=maxIter, featuresCol=featuresCol, labelCol=labelCol,
                   predictionCol=predictionCol)
 
     def _fit(self, df: DataFrame) -> "LinearVectorModel":
-        import numpy as np
-        from pyspark.ml.stat import Summarizer
+        """Full-batch subgradient descent with iterate averaging.  The data
+        is cut once into numpy blocks per partition (cached); every step is
+        one ``treeAggregate`` of X_block^T g_block over the blocks, so the
+        per-step work is vectorised and only d+1 numbers reach the driver."""
         fc, lc = self.getOrDefault(self.featuresCol), self.getOrDefault(self.labelCol)
         C, eps = self.getOrDefault(self.C), self.getOrDefault(self.epsilon)
-        data = df.select(F.col(fc).alias("x"), F.col(lc).cast("double").alias("y")).cache()
-        n = data.count()
-        d = len(data.first()["x"])
-        w = np.zeros(d)
-        b = float(data.agg(F.percentile_approx("y", 0.5)).first()[0] or 0.0)
+
+        def to_block(rows):
+            xs, ys = [], []
+            for r in rows:
+                xs.append(r[0].toArray())
+                ys.append(float(r[1]))
+            if xs:
+                yield np.vstack(xs), np.asarray(ys)
+
+        blocks = df.select(fc, F.col(lc).cast("double")).rdd.mapPartitions(to_block).cache()
+        n, d, ysum = blocks.treeAggregate(
+            (0, 0, 0.0), lambda acc, blk: (acc[0] + len(blk[1]), blk[0].shape[1], acc[2] + blk[1].sum()),
+            lambda a_, b_: (a_[0] + b_[0], max(a_[1], b_[1]), a_[2] + b_[2]))
+        w, b = np.zeros(d), ysum / max(n, 1)
         w_avg, b_avg = np.zeros(d), 0.0
         lam = 1.0 / (C * max(n, 1))
         for t in range(1, self.getOrDefault(self.maxIter) + 1):
-            r = F.col("y") - _dot("x", w, b)
-            g = F.when(r > eps, F.lit(-1.0)).when(r < -eps, F.lit(1.0)).otherwise(F.lit(0.0))
-            gx = data.select(g.alias("g"), "x").where(F.col("g") != 0)
-            sums = gx.agg(Summarizer.sum(_scaled("x", "g")).alias("gw"), F.sum("g").alias("gb")).first()
-            gw = np.asarray(sums["gw"].toArray()) if sums["gw"] is not None else np.zeros(d)
-            gb = float(sums["gb"] or 0.0)
+            def grad(blk, w=w, b=b):
+                X, y = blk
+                r = y - (X @ w + b)
+                g = np.where(r > eps, -1.0, np.where(r < -eps, 1.0, 0.0))
+                return X.T @ g, g.sum()
+            gw, gb = blocks.map(grad).treeReduce(lambda a_, b_: (a_[0] + b_[0], a_[1] + b_[1]))
             step = 0.5 / math.sqrt(t)  # features are standardised; averaged iterates
             w = w - step * (lam * w + gw / max(n, 1))
             b = b - step * (gb / max(n, 1))
             w_avg += (w - w_avg) / t
             b_avg += (b - b_avg) / t
-        data.unpersist()
+        blocks.unpersist()
         return LinearVectorModel(w_avg, b_avg, fc, self.getOrDefault(self.predictionCol))
 
 

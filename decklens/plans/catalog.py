@@ -59,7 +59,8 @@ _FEATURE_OTHERS = ["deck_name", "row_id", "tier", "year", "total_cards", "unique
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = inputs(spark, sf_dir)
-    return rounded(deck_features(i["cards"], i["deck_lists"], i["decks"]))
+    # the fragments are built from the orders, so every list has its deck
+    return rounded(deck_features(i["cards"], i["deck_lists"], i["decks"], lists_from_decks=True))
 
 
 register("deck_features", sql_rounded(O.with_ctes(*O.FEATURES_CTES) + "SELECT * FROM final",
@@ -658,7 +659,7 @@ SMOKE_REG = {"linear_reg": {}, "ridge": {"alpha": [1.0], "max_iter": [1000]},
 
 def _feature_table(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    return deck_features(i["cards"], i["deck_lists"], i["decks"])
+    return deck_features(i["cards"], i["deck_lists"], i["decks"], lists_from_decks=True)
 
 
 def _train_one(name, task):
