@@ -44,10 +44,9 @@ def merge_cards(deck_cards: DataFrame, cards: DataFrame) -> DataFrame:
     This materialises the fan-out; the feature builder does not use it (it
     joins per-name statistics instead, see ``features.card_stats``)."""
     c = prune_card_columns(cards)
-    j = deck_cards.join(c, deck_cards.card_name == c.name, "left").drop("name")
-    if "cmc" in j.columns:
-        j = j.withColumn("cmc", X.cmc_value("cmc").cast("float"))
-    return j
+    if "cmc" in c.columns:  # coerced once per printing, before the fan-out
+        c = c.withColumn("cmc", X.cmc_value("cmc").cast("float"))
+    return deck_cards.join(c, deck_cards.card_name == c.name, "left").drop("name")
 
 
 def attach_deck_attributes(features: DataFrame, decks: DataFrame, name_col: str = "Name",

@@ -380,6 +380,22 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
     return Trained(name, cvm.bestModel, b.settings[best_i] if b.settings else {}, list(cvm.avgMetrics))
 
 
+def fit_single(train: DataFrame, features: list[str], label: str, name: str, setting: dict,
+               task: str = "cls", key: str = "row_id") -> Trained:
+    """Fit one model with one setting on the whole training set (no
+    cross-validation; ``grid_search`` does the selection)."""
+    data = cut_lineage(train.select(key, *features, F.col(label).alias("label")))
+    n = data.count()
+    label_std = 1.0
+    if name == "ridge":
+        label_std = float(data.agg(F.stddev_pop("label")).first()[0] or 1.0)
+    grid = {k: [v] for k, v in setting.items()}
+    b = build(name, grid, n, label_std, task)
+    pipe = Pipeline(stages=_front(features, name in SCALED) + b.stages)
+    model = pipe.fit(data, b.maps[0]) if b.maps and b.maps[0] else pipe.fit(data)
+    return Trained(name, model, b.settings[0] if b.settings else {}, [])
+
+
 def _pred_col(name: str) -> str:
     return "prediction"
 

@@ -668,7 +668,8 @@ def _train_one(name, task):
         label = "competitive" if task == "cls" else "competitiveness_score"
         grid = (SMOKE_CLS if task == "cls" else SMOKE_REG)[name]
         d = S.split_flag(f, "row_id", purpose=task, stratify=label if task == "cls" else None)
-        t = ML.grid_search(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, label, name, grid, task)
+        setting = {k: v[0] for k, v in grid.items()}
+        t = ML.fit_single(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, label, name, setting, task)
         return ML.predict(t, d.where(F.col("is_test")), FT.FEATURE_COLUMNS, label, task)
     return fn
 
@@ -706,7 +707,8 @@ register("compare_regressors", None)(lambda s, d: rounded(_compare("reg")(s, d))
 
 def _importance(spark, sf_dir):
     f = _feature_table(spark, sf_dir)
-    t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "rf", SMOKE_CLS["rf"], "cls")
+    t = ML.fit_single(f, FT.FEATURE_COLUMNS, "competitive", "rf",
+                      {k: v[0] for k, v in SMOKE_CLS["rf"].items()}, "cls")
     return P.top_k(ML.feature_importance(t, FT.FEATURE_COLUMNS), "importance", 20, "feature")
 
 
@@ -717,8 +719,8 @@ def _score_new(spark, sf_dir, compare=False):
     from pyspark.ml import PipelineModel
     f = _feature_table(spark, sf_dir)
     d = S.split_flag(f, "row_id", purpose="cls", stratify="competitive")
-    t = ML.grid_search(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, "competitive", "logreg",
-                       SMOKE_CLS["logreg"], "cls")
+    t = ML.fit_single(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, "competitive", "logreg",
+                      {k: v[0] for k, v in SMOKE_CLS["logreg"].items()}, "cls")
     path = IO.scratch_path(spark, "model")
     t.model.write().overwrite().save(path)                       # A5: save
     loaded = PipelineModel.load(path)                            # A5: load
