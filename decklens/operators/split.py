@@ -9,7 +9,7 @@ holding most rows is never pulled into one task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from decklens.functions import expressions as X
@@ -51,4 +51,51 @@ def xy_views(df: DataFrame, features: list[str], target: str, key: str = "row_id
     return df.select(key, *features), df.select(key, target)
 
 
-__all__ = ["split_flag", "fold_column", "xy_views", "X"]
+
+
+EXACT_BUCKETS = 1 << 16
+
+
+def split_exact(df: DataFrame, key: str, stratify: str | None = None, test_size: float = TEST_SIZE,
+                seed: int = SEED, purpose: str = "cls") -> DataFrame:
+    """G1 exact mode: exactly ceil(test_size * n) test rows, allocated to the
+    classes in proportion (floor, then the largest remainders, ties by class
+    value); within a class the rows with the smallest keyed hash go to test.
+
+    No window spans a class: the 32-bit hash is cut into 65,536 buckets, the
+    per-(class, bucket) counts give each class's boundary bucket, and only
+    the rows of boundary buckets are ranked, partitioned by (class, bucket).
+    """
+    cls = F.col(stratify).cast("string") if stratify else F.lit("")
+    k = F.concat(F.col(key).cast("string"), F.lit(f":exact-{purpose}-{seed}"))
+    h = F.conv(F.substr(F.md5(k), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
+    d = df.select("*", cls.alias("_c"), h.alias("_h"),
+                  F.floor(h / (4294967296 // EXACT_BUCKETS)).cast("int").alias("_b"))
+    per = d.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("nb"))          # classes x buckets
+    sizes = per.groupBy("_c").agg(F.sum("nb").alias("nc"))                   # one row per class
+    n = sizes.agg(F.sum("nc")).scalar()
+    n_test = F.ceil(n * F.lit(test_size))
+    raw = F.col("nc") * n_test / n
+    alloc = sizes.select("_c", F.floor(raw).alias("base"), (raw - F.floor(raw)).alias("frac"))
+    short = n_test - alloc.agg(F.sum("base")).scalar()
+    order = Window.orderBy(F.desc("frac"), F.asc("_c"))                      # one row per class
+    alloc = alloc.select("_c", (F.col("base") + (F.row_number().over(order) <= short).cast("long"))
+                         .alias("tc"))
+    wcum = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = per.select("_c", "_b", "nb", F.sum("nb").over(wcum).alias("cum")).join(alloc, "_c")
+    # boundary bucket: first bucket whose cumulative count reaches tc
+    bnd = (cum.where(F.col("cum") >= F.col("tc")).groupBy("_c").agg(F.min("_b").alias("bb"))
+           .join(cum.select("_c", "_b", (F.col("cum") - F.col("nb")).alias("before"), "tc"), "_c")
+           .where(F.col("_b") == F.col("bb")).select("_c", "bb", "before", "tc"))
+    j = d.join(F.broadcast(bnd), "_c", "left")   # bnd: one row per class
+    decided = (j.where(F.col("bb").isNull() | (F.col("_b") != F.col("bb")))
+               .select(*df.columns, F.coalesce(F.col("_b") < F.col("bb"), F.lit(False)).alias("is_test")))
+    # only boundary buckets are ranked (about n_class / 65,536 rows each; the
+    # key must be unique so that the hash spreads the rows)
+    inside = Window.partitionBy("_c", "_b").orderBy("_h", key)
+    edge = (j.where(F.col("_b") == F.col("bb"))
+            .select(*df.columns, (F.col("before") + F.row_number().over(inside) <= F.col("tc")).alias("is_test")))
+    return decided.unionByName(edge)
+
+
+__all__ = ["split_flag", "split_exact", "fold_column", "xy_views", "X"]

@@ -824,3 +824,22 @@ def _xy(spark, sf_dir):
 _both("xy_views", _xy, "SELECT row_id, " + ", ".join(FT.FEATURE_COLUMNS) + " FROM final",
       doubles=[c for c in FT.FEATURE_COLUMNS if c not in ("total_cards", "unique_types")],
       others=["row_id", "total_cards", "unique_types"], ctes=O.FEATURES_CTES)
+
+
+def _split_exact(spark, sf_dir):
+    t = _targets(spark, sf_dir)
+    return S.split_exact(t, "row_id", stratify="competitive").select("row_id", "competitive", "is_test")
+
+
+_both("split_exact", _split_exact,
+      "SELECT row_id, competitive, rn <= tc AS is_test FROM ranked JOIN alloc USING (c)",
+      others=["row_id", "competitive", "is_test"],
+      ctes=_TGT_CTES + [
+          "sb AS (SELECT row_id, competitive, CAST(competitive AS VARCHAR) AS c,"
+          " CAST('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':exact-cls-42'), 1, 8) AS BIGINT) AS h FROM final)",
+          "sizes AS (SELECT c, count(*) AS nc FROM sb GROUP BY c)",
+          "tot AS (SELECT sum(nc) AS n, ceil(sum(nc) * 0.25) AS nt FROM sizes)",
+          "alloc0 AS (SELECT c, floor(nc * nt / n) AS base, nc * nt / n - floor(nc * nt / n) AS frac FROM sizes, tot)",
+          "alloc AS (SELECT c, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, c)"
+          " <= (SELECT nt FROM tot) - (SELECT sum(base) FROM alloc0) THEN 1 ELSE 0 END AS tc FROM alloc0)",
+          "ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY h, row_id) AS rn FROM sb)"])

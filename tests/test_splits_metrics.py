@@ -77,3 +77,15 @@ def test_knn_matches_brute_force(spark):
         d = sorted((math.dist(qv, tv), ti) for ti, tv in tr)[:5]
         for rank, (_, ti) in enumerate(d, 1):
             assert got[(qi, rank)] == ti
+
+
+def test_exact_split_counts(spark):
+    df = spark.range(1003).withColumn("c", F.when(F.col("id") % 10 < 7, 0).otherwise(1))
+    out = S.split_exact(df, "id", stratify="c")
+    got = {(r.c, r.is_test): r.n for r in out.groupBy("c", "is_test").agg(F.count("*").alias("n")).collect()}
+    n_test = got.get((0, True), 0) + got.get((1, True), 0)
+    assert n_test == math.ceil(0.25 * 1003)
+    # 703 / 300 rows: floor shares 175 / 75, remainder 1 to the larger fraction
+    assert got[(0, True)] == 176 and got[(1, True)] == 75
+    again = {r.id: r.is_test for r in S.split_exact(df.repartition(5), "id", stratify="c").collect()}
+    assert again == {r.id: r.is_test for r in out.collect()}
