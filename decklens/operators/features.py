@@ -92,7 +92,8 @@ def token_vocabulary(cards: DataFrame) -> DataFrame:
     return toks.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("idx"))
 
 
-def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               with_tokens: bool = True) -> DataFrame:
     """Per-name sums over all printings (NULLs skipped, as pandas sums do)
     and the name's type tokens as a bitmap over the vocabulary (``tw0``,
     ``tw1``, ... 64-bit words), so decks can OR them in a plain hash
@@ -101,9 +102,13 @@ def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -
     d = _card_derived(c)
     sums = c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
-    vocab = token_vocabulary(c)
-    n_words = vocab.count() // 64 + 1                     # one number to the driver
-    vocab = broadcast_if_small(vocab, broadcast_rows)
+    if not with_tokens:
+        return sums
+    vocab = token_vocabulary(c).cache()
+    n_vocab = vocab.count()              # one number to the driver; also the size proof
+    n_words = n_vocab // 64 + 1
+    if n_vocab <= broadcast_rows:
+        vocab = F.broadcast(vocab)
     t = c.select("name", F.explode(X.type_tokens(_col_or_null(c, "type"))).alias("token")).join(vocab, "token")
     bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(idx % 64 AS INT))")
     words = t.groupBy("name").agg(*[
@@ -222,7 +227,7 @@ def color_pivot(deck_cards: DataFrame, cards: DataFrame,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Copies per (deck, colour bucket) as a pivot with 0 fill."""
     pairs = deck_card_pairs(deck_cards)
-    stats = broadcast_if_small(card_stats(cards, broadcast_rows), broadcast_rows)
+    stats = broadcast_if_small(card_stats(cards, broadcast_rows, with_tokens=False), broadcast_rows)
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
     miss = _miss_defaults()
     long = j.select("deck_name", F.explode(F.array(*[

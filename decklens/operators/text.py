@@ -14,7 +14,7 @@ from decklens.functions import expressions as X
 # Line grammar: count, whitespace, card name (Python ``re.match`` on the
 # stripped line, so anchored at the start only).  (?s): Python's '.' matches
 # '\r', Java's does not by default.
-LINE_PATTERN = "(?s)^([0-9]+)\\s+(.+)$"
+LINE_PATTERN = "(?s)^([0-9]+)\\s+(.+)"
 
 
 def normalize_frames(cards: DataFrame, decks: DataFrame, card_key: str = "name",
@@ -35,12 +35,13 @@ def parse_decklist(df: DataFrame, text_col: str = "Deck list", keep: list[str] |
     lines = F.split(X.as_text(text_col), "\n")
     exploded = (df.select(*keep, F.explode(lines).alias("_raw"))
                   .select(*keep, X.strip("_raw").alias("_line")))
-    # group 1 is empty exactly when the line does not match: two regex
-    # evaluations per line instead of three
+    # One regex evaluation per line: group 1 is empty exactly when the line
+    # does not match.  On a match the name (group 2) is the rest of the line
+    # after the count with its leading whitespace removed.
     count = F.regexp_extract("_line", LINE_PATTERN, 1)
+    rest = F.expr("substring(_line, length(_n) + 1)")
     return (exploded.select(*keep, "_line", count.alias("_n")).where(F.col("_n") != "")
-            .select(*keep,
-                    F.lower(X.strip(F.regexp_extract("_line", LINE_PATTERN, 2))).alias("card_name"),
+            .select(*keep, F.lower(X.strip(rest)).alias("card_name"),
                     F.col("_n").try_cast("int").alias("quantity")))
 
 
