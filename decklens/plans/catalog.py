@@ -412,7 +412,8 @@ def _li(spark, sf_dir):
 
 _both("describe", lambda s, d: P.describe(_li(s, d), _LI_NUM),
       " UNION ALL ".join(
-          f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,"
+          f"SELECT '{c}' AS \"column\", count({c}) AS count,"
+          f" CAST(sum(TRY_CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c}) AS mean, stddev_samp({c}) AS std,"
           f" min({c})::DOUBLE AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,"
           f" quantile_cont({c}, 0.75) AS p75, max({c})::DOUBLE AS max FROM lineitem" for c in _LI_NUM),
       doubles=["mean", "std", "min", "p25", "p50", "p75", "max"], others=["column", "count"])
