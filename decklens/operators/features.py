@@ -92,12 +92,24 @@ def token_vocabulary(cards: DataFrame) -> DataFrame:
     return toks.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("idx"))
 
 
+def dedupe_printings(cards: DataFrame) -> DataFrame:
+    """S3 opt-in: keep one printing per name (the smallest by its columns),
+    instead of letting every printing multiply the line."""
+    c = prune_card_columns(cards).where(F.col("name").isNotNull())
+    rest = [x for x in c.columns if x != "name"]
+    if not rest:
+        return c.distinct()
+    return c.groupBy("name").agg(F.min(F.struct(*rest)).alias("_p")).select("name", "_p.*")
+
+
 def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               with_tokens: bool = True) -> DataFrame:
+               with_tokens: bool = True, dedupe: str = "none") -> DataFrame:
     """Per-name sums over all printings (NULLs skipped, as pandas sums do)
     and the name's type tokens as a bitmap over the vocabulary (``tw0``,
     ``tw1``, ... 64-bit words), so decks can OR them in a plain hash
-    aggregate."""
+    aggregate.  ``dedupe='first'`` keeps one printing per name (S3)."""
+    if dedupe == "first":
+        cards = dedupe_printings(cards)
     c = prune_card_columns(cards).where(F.col("name").isNotNull())
     d = _card_derived(c)
     sums = c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
@@ -148,12 +160,12 @@ def deck_card_pairs(deck_cards: DataFrame) -> DataFrame:
             .agg(F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")))
 
 
-def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int):
+def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int, dedupe: str = "none"):
     """Per-deck sums over the (line x printing) rows, via per-name statistics.
 
     ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones."""
     pairs = deck_card_pairs(deck_cards)
-    st = card_stats(cards, broadcast_rows)
+    st = card_stats(cards, broadcast_rows, dedupe=dedupe)
     words = token_words(st)
     stats = broadcast_if_small(st, broadcast_rows)
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
@@ -179,9 +191,10 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int):
 
 
 def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """D1-D10 fused: one row per deck_name with the 25 features."""
-    agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows)
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dedupe: str = "none") -> DataFrame:
+    """D1-D10 fused: one row per deck_name with the 25 features.
+    ``dedupe``: 'none' (every printing counts, as the reference) or 'first'."""
+    agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows, dedupe)
     Q = F.col("w_n_rows")
     n = F.col("u_n_cmc")
     s, ss = F.col("u_s_cmc"), F.col("u_ss_cmc")

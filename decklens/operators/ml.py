@@ -337,8 +337,16 @@ class _MarginVector(Model):
         return self
 
 
-def _front(features: list[str], scaled: bool) -> list:
-    st = [VectorAssembler(inputCols=features, outputCol="features")]
+def _front(features: list[str], scaled: bool, impute: bool = False) -> list:
+    """Assembler (+ scaler).  NULL features make the assembler fail (S9:
+    avg_cmc stays NULL when no card of a deck matched); ``impute`` inserts a
+    mean Imputer fitted inside each training fold instead."""
+    st = []
+    if impute:
+        from pyspark.ml.feature import Imputer
+        st.append(Imputer(inputCols=features, outputCols=[f"{c}__imp" for c in features], strategy="mean"))
+        features = [f"{c}__imp" for c in features]
+    st.append(VectorAssembler(inputCols=features, outputCol="features"))
     if scaled:
         st.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
     return st
@@ -352,10 +360,24 @@ class Trained:
     cv_metrics: list
 
 
+def _evaluator(task: str, metric: str | None):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    if task == "cls":
+        if metric in (None, "f1"):
+            return MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
+        if metric == "roc_auc":
+            return BinaryClassificationEvaluator(metricName="areaUnderROC", rawPredictionCol="probability")
+        return MulticlassClassificationEvaluator(metricName=metric)
+    return RegressionEvaluator(metricName=metric or "r2")
+
+
 def grid_search(train: DataFrame, features: list[str], label: str, name: str, grid: dict,
-                task: str = "cls", k: int = S.CV_FOLDS, parallelism: int = 2, key: str = "row_id") -> Trained:
-    """K-fold CV over the grid (scoring binary F1 / R2), refit on the whole
-    training set.  Folds come from a keyed hash (stratified for classifiers)."""
+                task: str = "cls", k: int = S.CV_FOLDS, parallelism: int = 2, key: str = "row_id",
+                metric: str | None = None, impute: bool = False) -> Trained:
+    """K-fold CV over the grid, refit on the whole training set.  Scoring
+    is binary F1 (classification) or R2 (regression) by default; ``metric``
+    may name 'roc_auc' (the notebook's choice, S13) or any Spark evaluator
+    metric.  Folds come from a keyed hash (stratified for classifiers)."""
     data = train.select(key, *features, F.col(label).alias("label"))
     data = S.fold_column(data, key, k, purpose=task, stratify="label" if task == "cls" else None)
     data = cut_lineage(data)
@@ -364,24 +386,21 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
     if name == "ridge":
         label_std = float(data.agg(F.stddev_pop("label")).first()[0] or 1.0)
     b = build(name, grid, int(n * (k - 1) / k), label_std, task)
-    pipe = Pipeline(stages=_front(features, name in SCALED) + b.stages)
+    pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     maps = [{p: v for p, v in m.items()} for m in b.maps]
-    if task == "cls":
-        ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0,
-                                               predictionCol=_pred_col(name))
-    else:
-        ev = RegressionEvaluator(metricName="r2")
+    ev = _evaluator(task, metric)
     if len(maps) == 1 and not maps[0]:
         maps = [{}]
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
                         parallelism=parallelism, numFolds=k)
     cvm = cv.fit(data)
-    best_i = max(range(len(cvm.avgMetrics)), key=lambda i: (cvm.avgMetrics[i], -i))
+    sign = 1 if ev.isLargerBetter() else -1
+    best_i = max(range(len(cvm.avgMetrics)), key=lambda i: (sign * cvm.avgMetrics[i], -i))
     return Trained(name, cvm.bestModel, b.settings[best_i] if b.settings else {}, list(cvm.avgMetrics))
 
 
 def fit_single(train: DataFrame, features: list[str], label: str, name: str, setting: dict,
-               task: str = "cls", key: str = "row_id") -> Trained:
+               task: str = "cls", key: str = "row_id", impute: bool = False) -> Trained:
     """Fit one model with one setting on the whole training set (no
     cross-validation; ``grid_search`` does the selection)."""
     data = cut_lineage(train.select(key, *features, F.col(label).alias("label")))
@@ -391,15 +410,11 @@ def fit_single(train: DataFrame, features: list[str], label: str, name: str, set
         label_std = float(data.agg(F.stddev_pop("label")).first()[0] or 1.0)
     grid = {k: [v] for k, v in setting.items()}
     b = build(name, grid, n, label_std, task)
-    pipe = Pipeline(stages=_front(features, name in SCALED) + b.stages)
+    pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     model = pipe.fit(data, b.maps[0]) if b.maps and b.maps[0] else pipe.fit(data)
     return Trained(name, model, b.settings[0] if b.settings else {}, [])
 
 
-def _pred_col(name: str) -> str:
-    return "prediction"
-
-
 def predict(t: Trained, test: DataFrame, features: list[str], label: str, task: str,
             key: str = "row_id") -> DataFrame:
     """Long prediction table (model, row_id, label, prediction[, score])."""

@@ -81,3 +81,10 @@ def test_percentages_bounded_and_colours_sum_to_100(spark):
 def test_deck_without_valid_lines_vanishes(spark):
     out = run(spark, CARDS, [(1, "Empty", 1, 2020, "Sideboard\n4x Bolt"), (2, "Ok", 1, 2020, "1 Bolt")])
     assert set(out) == {("ok", 2)}
+
+
+def test_dedupe_first_counts_one_printing(spark):
+    c = spark.createDataFrame(CARDS, CARD_SCHEMA)
+    d = spark.createDataFrame([(1, "T", 2, 2020, "3 Twin")], DECK_SCHEMA)
+    r = deck_features(c, d, broadcast_rows=100, dedupe="first").first()
+    assert r["total_cards"] == 3 and r["avg_cmc"] == 2.0       # the smaller printing ('Twin', 2.0, ...)

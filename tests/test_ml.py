@@ -51,3 +51,10 @@ def test_knn_estimator_in_grid(spark, linear_data):
 def test_registry_rejects_unknown_model():
     with pytest.raises(KeyError):
         ML.build("nope", {}, 10)
+
+
+def test_grid_search_by_roc_auc_and_imputer(spark, linear_data):
+    d = linear_data.withColumn("a", F.when(F.col("row_id") % 10 == 0, None).otherwise(F.col("a")))
+    t = ML.grid_search(d, ["a", "b"], "c", "logreg", {"C": [1.0], "max_iter": [50]}, "cls",
+                       metric="roc_auc", impute=True)
+    assert t.cv_metrics[0] > 0.8
