@@ -131,11 +131,13 @@ def type_flag(type_, word: str) -> Column:
     return F.lower(as_text(type_)).contains(word).cast("int")
 
 
-def keyword_flag(text, name: str) -> Column:
-    """1 when any pattern of keyword ``name`` matches lower(text)."""
+def keyword_flag(text, name: str, patterns: dict | None = None) -> Column:
+    """1 when any pattern of keyword ``name`` matches lower(text)
+    (substring / regex search over the whole text, like pandas
+    ``str.contains``).  ``patterns`` defaults to the reference's keywords."""
     t = F.lower(as_text(text))
     cond = None
-    for pat in KEYWORD_PATTERNS[name]:
+    for pat in (patterns or KEYWORD_PATTERNS)[name]:
         c = t.rlike(pat)
         cond = c if cond is None else (cond | c)
     return cond.cast("int")

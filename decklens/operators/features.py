@@ -265,3 +265,13 @@ def add_targets(df: DataFrame, tier_col: str = "tier", key_col: str = "row_id",
         X.competitive_label(t, positive_regex).alias("competitive"),
         tn.cast("int").alias("tier_multiclass"),
         X.clip(score, 0.0, 1.0).alias("competitiveness_score"))
+
+
+def keyword_percentages(df: DataFrame, group: str, text_col: str, patterns: dict,
+                        weight: str | None = None) -> DataFrame:
+    """D5 for any text table: per group, 100 * (weighted) share of rows whose
+    text matches each keyword; every text is searched whole."""
+    w = F.col(weight) if weight else F.lit(1)
+    flags = [X.keyword_flag(F.col(text_col), k, patterns) for k in patterns]
+    return df.groupBy(group).agg(*[X.pct(F.sum(f * w), F.sum(w)).alias(f"pct_{k}")
+                                   for k, f in zip(patterns, flags)])

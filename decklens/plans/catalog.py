@@ -844,3 +844,27 @@ _both("split_exact", _split_exact,
           "alloc AS (SELECT c, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, c)"
           " <= (SELECT nt FROM tot) - (SELECT sum(base) FROM alloc0) THEN 1 ELSE 0 END AS tc FROM alloc0)",
           "ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY h, row_id) AS rn FROM sb)"])
+
+
+# D5/C7 over the documents table: the reference's keywords never occur in the
+# invented prose, so the dictionary holds words that do (FIXTURES section 3).
+DOC_KEYWORDS = {
+    "article": ["the|der|die|la|le"],
+    "conjunction": ["and|und|que"],
+    "preposition": ["of|de|to|in"],
+    "pronoun": ["it|that"],
+    "separator": ["\\|"],
+}
+
+
+def _doc_keywords(spark, sf_dir):
+    docs = D.read_table(spark, sf_dir, "documents")
+    return FT.keyword_percentages(docs, "lang", "text", DOC_KEYWORDS)
+
+
+_both("document_keywords", _doc_keywords,
+      "SELECT lang, " + ", ".join(
+          f"coalesce(CAST(sum(CASE WHEN regexp_matches(lower(text), '{pats[0]}') THEN 1 ELSE 0 END) AS DOUBLE)"
+          f" / nullif(count(*), 0) * 100, 0.0) AS pct_{k}" for k, pats in DOC_KEYWORDS.items())
+      + " FROM documents GROUP BY lang",
+      doubles=[f"pct_{k}" for k in DOC_KEYWORDS], others=["lang"])
