@@ -44,8 +44,8 @@ CARD_TEXT_PARTS = [  # (p_partkey modulus, sentence)
 # ---------------------------------------------------------------------------
 
 
-# Fact tables whose rows drive per-row work (joins, parsing, partial aggregates).
-FACT_TABLES = {"lineitem", "events", "documents", "pages", "conversations"}
+# Tables whose rows drive per-row work (joins, parsing, derived card values).
+FACT_TABLES = {"lineitem", "part", "events", "documents", "pages", "conversations"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
