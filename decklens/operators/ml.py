@@ -227,6 +227,19 @@ def _product(grid: dict) -> list[dict]:
     return out
 
 
+def logistic_reg_param(C: float, n: int) -> float:
+    """scikit-learn's C * sum(loss) + |w|^2 / 2, divided by C * n, is Spark's
+    mean loss + regParam * |w|^2 / 2 with regParam = 1 / (C n)."""
+    return 1.0 / (C * max(n, 1))
+
+
+def ridge_reg_param(alpha: float, n: int, label_std: float) -> float:
+    """scikit-learn's |y - Xw|^2 + alpha |w|^2 equals Spark's normal-equation
+    solver (which scales the penalty by the label's std) with
+    regParam = alpha / n * std_pop(y)."""
+    return alpha / max(n, 1) * label_std
+
+
 def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str = "cls") -> Built:
     """Pipeline stages after the assembler (+ scaler) and one Spark param map
     per reference setting.  n_train is the size of a training fold."""
@@ -234,7 +247,8 @@ def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str
     n = max(n_train, 1)
     if name == "logreg":
         est = LogisticRegression(featuresCol="scaled", elasticNetParam=0.0, standardization=False)
-        maps = [{est.regParam: 1.0 / (s["C"] * n), est.maxIter: int(s.get("max_iter", 100))} for s in settings]
+        maps = [{est.regParam: logistic_reg_param(s["C"], n), est.maxIter: int(s.get("max_iter", 100))}
+                for s in settings]
         return Built([est], settings, maps)
     if name == "svm":
         svc = LinearSVC(featuresCol="svm_in", standardization=False, rawPredictionCol="margin",
@@ -242,7 +256,7 @@ def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str
         rff = RBFFeatures(inputCol="scaled", outputCol="rff")
         platt = LogisticRegression(featuresCol="margin_vec", maxIter=100)
         stages = [_SvmInput(rff), svc, _MarginVector(), platt]
-        maps = [{svc.regParam: 1.0 / (s["C"] * n), rff.gamma: str(s.get("gamma", "scale")),
+        maps = [{svc.regParam: logistic_reg_param(s["C"], n), rff.gamma: str(s.get("gamma", "scale")),
                  stages[0].kernel: s.get("kernel", "rbf")} for s in settings]
         return Built(stages, settings, maps)
     if name in ("rf", "rf_reg"):
@@ -268,7 +282,7 @@ def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str
         return Built([est], settings, [{} for _ in settings])
     if name == "ridge":
         est = LinearRegression(featuresCol="scaled", elasticNetParam=0.0, solver="normal", standardization=False)
-        maps = [{est.regParam: float(s["alpha"]) / n * label_std, est.maxIter: int(s["max_iter"])}
+        maps = [{est.regParam: ridge_reg_param(float(s["alpha"]), n, label_std), est.maxIter: int(s["max_iter"])}
                 for s in settings]
         return Built([est], settings, maps)
     if name == "svr":

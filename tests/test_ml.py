@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,39 @@ def test_grid_search_by_roc_auc_and_imputer(spark, linear_data):
     t = ML.grid_search(d, ["a", "b"], "c", "logreg", {"C": [1.0], "max_iter": [50]}, "cls",
                        metric="roc_auc", impute=True)
     assert t.cv_metrics[0] > 0.8
+
+
+def _xy(linear_data):
+    rows = linear_data.orderBy("row_id").collect()
+    X = np.array([[r.a, r.b] for r in rows])
+    return X, np.array([r.y for r in rows]), np.array([r.c for r in rows])
+
+
+def test_ridge_mapping_matches_closed_form(spark, linear_data):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    X, y, _ = _xy(linear_data)
+    n, alpha = len(y), 10.0
+    Xc, yc = X - X.mean(0), y - y.mean()
+    w = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(2), Xc.T @ yc)      # scikit-learn Ridge optimum
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        linear_data.select("a", "b", F.col("y").alias("label")))
+    m = LinearRegression(regParam=ML.ridge_reg_param(alpha, n, float(np.std(y))), elasticNetParam=0.0,
+                         solver="normal", standardization=False).fit(data)
+    assert np.allclose(m.coefficients.toArray(), w, atol=1e-8)
+    assert m.intercept == pytest.approx(y.mean() - X.mean(0) @ w, abs=1e-8)
+
+
+def test_logistic_mapping_zero_gradient(spark, linear_data):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    X, _, c = _xy(linear_data)
+    C = 0.5
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        linear_data.select("a", "b", F.col("c").alias("label")))
+    m = LogisticRegression(regParam=ML.logistic_reg_param(C, len(c)), elasticNetParam=0.0,
+                           standardization=False, maxIter=1000, tol=1e-12).fit(data)
+    w, b = m.coefficients.toArray(), m.intercept
+    p = 1 / (1 + np.exp(-(X @ w + b)))
+    grad_w = C * X.T @ (p - c) + w          # gradient of scikit-learn's objective
+    assert np.abs(grad_w).max() < 1e-4 and abs(C * (p - c).sum()) < 1e-4
