@@ -433,7 +433,7 @@ _both("kde", lambda s, d: P.kde(_cards(s, d), "cmc", 100),
       " (SELECT cmc AS v, count(*) AS c FROM cards_raw WHERE cmc IS NOT NULL GROUP BY cmc),"
       " (SELECT count(cmc)::DOUBLE AS n, min(cmc) AS lo, max(cmc) AS hi,"
       "  stddev_samp(cmc) * pow(count(cmc)::DOUBLE, -0.2) AS h FROM cards_raw),"
-      " (SELECT range AS g FROM range(100)) GROUP BY g, lo, hi, n, h",
+      " (SELECT CAST(range AS INTEGER) AS g FROM range(100)) GROUP BY g, lo, hi, n, h",
       doubles=["x", "density"], others=["g"])
 
 _PAIR_COLS = ["avg_cmc", "avg_rarity_weighted", "avg_colors", "unique_types", "total_cards"]
@@ -598,7 +598,7 @@ _both("metrics_unpivot", lambda s, d: P.unpivot_metrics(_results(s, d), "model",
       "SELECT model, metric, score FROM (UNPIVOT results ON accuracy, f1, roc_auc INTO NAME metric VALUE score)",
       doubles=["score"], others=["model", "metric"], ctes=_MET_CTES)
 _both("rank_models", lambda s, d: P.rank_rows(_results(s, d), "f1", "model"),
-      "SELECT *, row_number() OVER (ORDER BY f1 DESC NULLS LAST, model) AS rank FROM results",
+      "SELECT *, CAST(row_number() OVER (ORDER BY f1 DESC NULLS LAST, model) AS INTEGER) AS rank FROM results",
       doubles=["accuracy", "f1", "roc_auc"], others=["model", "rank"], ctes=_MET_CTES)
 _both("best_model", lambda s, d: P.top_k(_results(s, d), "f1", 1, "model"),
       "SELECT * FROM results ORDER BY f1 DESC NULLS LAST, model LIMIT 1",
@@ -789,7 +789,8 @@ _KNN_CTES = O.BASE + [
     " sqrt(list_sum(list_transform(range(1, len(q.embedding) + 1),"
     " lambda i: (q.embedding[i]::DOUBLE - t.embedding[i]::DOUBLE) * (q.embedding[i]::DOUBLE - t.embedding[i]::DOUBLE))))"
     " AS dist FROM e q, e t WHERE q.is_test AND NOT t.is_test)",
-    "nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, nid) AS rank FROM pairs)"
+    "nn AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY dist, nid) AS INTEGER)"
+    " AS rank FROM pairs)"
     " WHERE rank <= 5)",
 ]
 _both("knn_neighbours", _knn_nn, "SELECT qid, nid, dist, rank FROM nn",
