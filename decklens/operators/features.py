@@ -71,9 +71,24 @@ def _derive(cmc: Column, rarity: Column, type_: Column, power: Column, toughness
     return out
 
 
+_CARD_INPUTS = ("cmc", "rarity", "type", "power", "toughness", "text", "color_identity")
+# Column trees are plain (unresolved) expressions: built once per session and
+# column layout, then reused by every plan (each node is a JVM round trip).
+_EXPR_CACHE: dict = {}
+
+
+def _session_key(df: DataFrame | None = None) -> str:
+    from pyspark.sql import SparkSession
+    spark = df.sparkSession if df is not None else SparkSession.getActiveSession()
+    return spark.sparkContext.applicationId
+
+
 def _card_derived(c: DataFrame) -> dict[str, Column]:
-    return _derive(*[_col_or_null(c, n) for n in
-                     ("cmc", "rarity", "type", "power", "toughness", "text", "color_identity")])
+    present = tuple(n in c.columns for n in _CARD_INPUTS)
+    key = ("derived", _session_key(c), present)
+    if key not in _EXPR_CACHE:
+        _EXPR_CACHE[key] = _derive(*[_col_or_null(c, n) for n in _CARD_INPUTS])
+    return _EXPR_CACHE[key]
 
 
 def card_values(cards: DataFrame) -> DataFrame:
@@ -138,11 +153,14 @@ def _miss_defaults() -> dict[str, Column]:
 
     Obtained by evaluating the same expressions on NULL inputs; Catalyst folds
     them to constants."""
-    n = F.lit(None).cast("string")
-    d = _derive(n, n, n, n, n, n, n)
-    out = {k: F.coalesce(v, F.lit(0)) for k, v in d.items()}
-    out["n_rows"] = F.lit(1)
-    return out
+    key = ("miss", _session_key())
+    if key not in _EXPR_CACHE:
+        n = F.lit(None).cast("string")
+        d = _derive(n, n, n, n, n, n, n)
+        out = {k: F.coalesce(v, F.lit(0)) for k, v in d.items()}
+        out["n_rows"] = F.lit(1)
+        _EXPR_CACHE[key] = out
+    return _EXPR_CACHE[key]
 
 
 def card_type_tokens(cards: DataFrame) -> DataFrame:

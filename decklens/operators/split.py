@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decklens.functions import expressions as X
 
 TEST_SIZE = 0.25   # fixed values of the reference configuration
 SEED = 42
@@ -98,4 +97,4 @@ def split_exact(df: DataFrame, key: str, stratify: str | None = None, test_size:
     return decided.unionByName(edge)
 
 
-__all__ = ["split_flag", "split_exact", "fold_column", "xy_views", "X"]
+__all__ = ["split_flag", "split_exact", "fold_column", "xy_views"]

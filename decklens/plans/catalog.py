@@ -76,7 +76,6 @@ from decklens.operators import profile as P  # noqa: E402
 from decklens.operators import split as S  # noqa: E402
 from decklens.operators import text as T  # noqa: E402
 from decklens.operators.joins import attach_deck_attributes, merge_cards, prune_card_columns  # noqa: E402
-from decklens.session import checkpoint_dir  # noqa: E402
 
 
 def _cards(spark, sf_dir):
