@@ -414,7 +414,8 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
 
 
 def fit_single(train: DataFrame, features: list[str], label: str, name: str, setting: dict,
-               task: str = "cls", key: str = "row_id", impute: bool = False) -> Trained:
+               task: str = "cls", key: str = "row_id", impute: bool = False,
+               cv_folds: int | None = None) -> Trained:
     """Fit one model with one setting on the whole training set (no
     cross-validation; ``grid_search`` does the selection)."""
     data = cut_lineage(train.select(key, *features, F.col(label).alias("label")))
@@ -423,7 +424,10 @@ def fit_single(train: DataFrame, features: list[str], label: str, name: str, set
     if name == "ridge":
         label_std = float(data.agg(F.stddev_pop("label")).first()[0] or 1.0)
     grid = {k: [v] for k, v in setting.items()}
-    b = build(name, grid, n, label_std, task)
+    # with cv_folds the n-dependent regularisation is mapped as the grid
+    # search maps it (training-fold size), so the model equals its refit
+    n_params = int(n * (cv_folds - 1) / cv_folds) if cv_folds else n
+    b = build(name, grid, n_params, label_std, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     model = pipe.fit(data, b.maps[0]) if b.maps and b.maps[0] else pipe.fit(data)
     return Trained(name, model, b.settings[0] if b.settings else {}, [])
@@ -471,7 +475,13 @@ def compare_models(df: DataFrame, features: list[str], label: str, grids: dict,
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     trained, preds = [], []
     for name, grid in grids.items():
-        t = grid_search(train, features, label, name, grid, task)
+        settings = _product(grid) or [{}]
+        if len(settings) == 1:
+            # one candidate: cross-validation selects nothing; the refit alone
+            # gives the same model (and the result table has no CV scores)
+            t = fit_single(train, features, label, name, settings[0], task, key, cv_folds=S.CV_FOLDS)
+        else:
+            t = grid_search(train, features, label, name, grid, task)
         trained.append(t)
         preds.append(predict(t, test, features, label, task, key))
     long = preds[0]

@@ -96,3 +96,15 @@ def test_logistic_mapping_zero_gradient(spark, linear_data):
     p = 1 / (1 + np.exp(-(X @ w + b)))
     grad_w = C * X.T @ (p - c) + w          # gradient of scikit-learn's objective
     assert np.abs(grad_w).max() < 1e-4 and abs(C * (p - c).sum()) < 1e-4
+
+
+def test_compare_models_results_and_best(spark, linear_data):
+    grids = {"logreg": {"C": [1.0], "max_iter": [50]},
+             "rf": {"n_estimators": [5], "max_depth": [3], "min_samples_split": [2]}}
+    res, best, long = ML.compare_models(linear_data, ["a", "b"], "c", grids, "cls")
+    rows = {r.model: r for r in res.collect()}
+    assert set(rows) == {"logreg", "rf"}
+    top = max(rows.values(), key=lambda r: (r.f1, -list(grids).index(r.model)))
+    assert best.name == top.model
+    assert long.select("model").distinct().count() == 2
+    assert all(0.0 <= r.accuracy <= 1.0 and r.best_params is not None for r in rows.values())
