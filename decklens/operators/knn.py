@@ -65,7 +65,8 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, id_col: str =
     vectors the euclidean order equals the cosine order)."""
     tr = _prep(train, id_col, vec_col, metric)
     qs = _prep(query, id_col, vec_col, metric).select("id", "v")
-    d0 = len(tr.select("v").first()["v"])
+    size = tr.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()  # one small job
+    n_train, d0 = int(size["n"]), int(size["d"] or 0)
     m = max(1, min(n_proj, d0))
     pca = PCA(k=m, inputCol="_vv", outputCol="_pc").fit(tr.select(array_to_vector("v").alias("_vv")))
     dirs = pca.pc.toArray()                      # d x m, small
@@ -81,7 +82,6 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, id_col: str =
 
     tr, qs = proj(tr), proj(qs)
     extra = [f"p{j}" for j in range(1, m)]
-    n_train = tr.count()
     # home blocks of ~block_rows rows keep round 1 at O(block_rows) per query;
     # the cut points (one double per block) are the only data on the driver
     n_blocks = max(1, min(1_000_000, n_train // max(block_rows, 2 * k)))
