@@ -117,31 +117,51 @@ def dedupe_printings(cards: DataFrame) -> DataFrame:
     return c.groupBy("name").agg(F.min(F.struct(*rest)).alias("_p")).select("name", "_p.*")
 
 
-def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               with_tokens: bool = True, dedupe: str = "none") -> DataFrame:
+def card_stats_sized(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     dedupe: str = "none") -> tuple[DataFrame, int]:
     """Per-name sums over all printings (NULLs skipped, as pandas sums do)
     and the name's type tokens as a bitmap over the vocabulary (``tw0``,
     ``tw1``, ... 64-bit words), so decks can OR them in a plain hash
-    aggregate.  ``dedupe='first'`` keeps one printing per name (S3)."""
+    aggregate; also the exact row count of the result.
+
+    One small job over the catalogue counts distinct names and distinct
+    tokens: the token count fixes the number of bitmap words, and both counts
+    are the size proofs for broadcasting the statistics and the vocabulary.
+    ``dedupe='first'`` keeps one printing per name (S3)."""
     if dedupe == "first":
         cards = dedupe_printings(cards)
     c = prune_card_columns(cards).where(F.col("name").isNotNull())
     d = _card_derived(c)
     sums = c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
-    if not with_tokens:
-        return sums
-    vocab = token_vocabulary(c).cache()
-    n_vocab = vocab.count()              # one number to the driver; also the size proof
+    tokens = c.select("name", F.explode_outer(X.type_tokens(_col_or_null(c, "type"))).alias("token"))
+    size = tokens.agg(F.count_distinct("name").alias("names"), F.count_distinct("token").alias("vocab")).first()
+    n_names, n_vocab = int(size["names"]), int(size["vocab"])
     n_words = n_vocab // 64 + 1
+    vocab = token_vocabulary(c)
     if n_vocab <= broadcast_rows:
         vocab = F.broadcast(vocab)
-    t = c.select("name", F.explode(X.type_tokens(_col_or_null(c, "type"))).alias("token")).join(vocab, "token")
+    t = tokens.where(F.col("token").isNotNull()).join(vocab, "token")
     bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(idx % 64 AS INT))")
     words = t.groupBy("name").agg(*[
         F.bit_or(F.when(F.floor(F.col("idx") / 64) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"tw{w}")
         for w in range(n_words)])
-    return sums.join(words, "name", "left").fillna(0, [f"tw{w}" for w in range(n_words)])
+    stats = sums.join(words, "name", "left").fillna(0, [f"tw{w}" for w in range(n_words)])
+    return stats, n_names
+
+
+def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               with_tokens: bool = True, dedupe: str = "none") -> DataFrame:
+    """Per-name statistics (see ``card_stats_sized``); without tokens only the
+    sums, with no job at all."""
+    if with_tokens:
+        return card_stats_sized(cards, broadcast_rows, dedupe)[0]
+    if dedupe == "first":
+        cards = dedupe_printings(cards)
+    c = prune_card_columns(cards).where(F.col("name").isNotNull())
+    d = _card_derived(c)
+    return c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
 
 
 def token_words(stats: DataFrame) -> list[str]:
@@ -183,9 +203,9 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int, ded
 
     ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones."""
     pairs = deck_card_pairs(deck_cards)
-    st = card_stats(cards, broadcast_rows, dedupe=dedupe)
+    st, n_names = card_stats_sized(cards, broadcast_rows, dedupe)
     words = token_words(st)
-    stats = broadcast_if_small(st, broadcast_rows)
+    stats = F.broadcast(st) if n_names <= broadcast_rows else st   # one row per name: proven size
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
     miss = _miss_defaults()
     q = F.col("q")
