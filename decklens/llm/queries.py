@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decklens.llm import simhash
+from decklens.llm import packing, sharding, simhash
 from decklens.llm.common import read_table
 
 
@@ -14,6 +14,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(read_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 REGISTRY = {
+    "op4_packing": (op4_packing, None),
     "op8_simhash": (op8_simhash, None),
+    "op10_sharding": (op10_sharding, None),
 }
