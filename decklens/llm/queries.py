@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decklens.llm import packing, sharding, simhash
-from decklens.llm.common import read_table
+from decklens.llm import fingerprints, langid, packing, pii, quality, sharding, simhash, toxicity
+from decklens.llm.common import crc32_text, read_table
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = read_table(spark, sf_dir, "documents").select("doc_id", "text"), crc32_text(F.col("doc_id")) % 3 == 1
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels").filter(~held))
+    return _decided(quality.score(docs, model), held)
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = read_table(spark, sf_dir, "documents"), crc32_text(F.col("doc_id")) % 4 == 2
+    model = langid.fit(docs.filter(~held))
+    return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as long)").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(F.expr(pii.written("base")), 256).alias("base_sha256"), F.expr(pii.written("spans")).alias("spans"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +32,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(read_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = read_table(spark, sf_dir, "documents").select("doc_id", "text"), crc32_text(F.col("doc_id")) % 5 == 0
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").filter(~held))
+    return _decided(toxicity.score(docs, model), held)
+
+
+def _decided(scored: DataFrame, held) -> DataFrame:
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -24,7 +56,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op2_fingerprints": (op2_fingerprints, None),
+    "op3_toxicity": (op3_toxicity, None),
     "op4_packing": (op4_packing, None),
+    "op5_quality": (op5_quality, None),
+    "op6_langid": (op6_langid, None),
+    "op7_pii": (op7_pii, None),
     "op8_simhash": (op8_simhash, None),
     "op10_sharding": (op10_sharding, None),
 }
