@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decklens.llm import fingerprints, langid, packing, pii, quality, sharding, simhash, toxicity
+from decklens.llm import decontam, fingerprints, langid, packing, pii, quality, secrets, sharding, simhash, toxicity
 from decklens.llm.common import crc32_text, read_table
 
 
@@ -32,6 +32,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("hash")
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(read_table(spark, sf_dir, "documents"))
 
@@ -50,12 +54,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc32_text(F.col("doc_id")) % 5 == 0
+    found = secrets.scan(read_table(spark, sf_dir, "documents"), train=~held)
+    return found.select("doc_id", "start", "stop", F.sha2("value", 256).alias("value_sha256"), "label", held.alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("is_secret"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read_table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 REGISTRY = {
+    "op1_decontam": (op1_decontam, decontam.ORACLE),
     "op2_fingerprints": (op2_fingerprints, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_packing": (op4_packing, None),
@@ -63,5 +75,6 @@ REGISTRY = {
     "op6_langid": (op6_langid, None),
     "op7_pii": (op7_pii, None),
     "op8_simhash": (op8_simhash, None),
+    "op9_secrets": (op9_secrets, None),
     "op10_sharding": (op10_sharding, None),
 }
