@@ -12,18 +12,18 @@ Plan (see README, "Feature plan"):
    number of lines.  This map-side-combined shuffle also splits a hot deck
    across card names; a deck holding a third of all lines shrinks to at most
    one row per distinct card before the per-deck aggregate.
-3. One fused ``groupBy(deck_name).agg`` computes all sums; a second aggregate
-   over the same pairs counts distinct type tokens; both are hash-partitioned
-   on deck_name, so their join adds no exchange.
+3. One fused ``groupBy(deck_name).agg`` computes all sums; where type tokens
+   are asked for, a second aggregate over the same pairs counts the distinct
+   ones; both are hash-partitioned on deck_name, so their join adds no exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decklens.functions import expressions as X
-from decklens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, prune_card_columns
+from decklens.operators.joins import prune_card_columns
 
 KEYWORDS = list(X.KEYWORD_PATTERNS)
 KEYWORD_PCT_COLUMNS = [f"pct_{k}" for k in KEYWORDS]
@@ -97,16 +97,6 @@ def card_values(cards: DataFrame) -> DataFrame:
     return c.select("name", *[v.alias(k) for k, v in _card_derived(c).items()])
 
 
-def token_vocabulary(cards: DataFrame) -> DataFrame:
-    """Distinct type tokens of the catalogue with a dense 0-based index.
-
-    The table has one row per distinct token (the type-word vocabulary), so
-    the global ordering window runs over a small, catalogue-bounded input."""
-    c = prune_card_columns(cards)
-    toks = c.select(F.explode(X.type_tokens(_col_or_null(c, "type"))).alias("token")).distinct()
-    return toks.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("idx"))
-
-
 def dedupe_printings(cards: DataFrame) -> DataFrame:
     """S3 opt-in: keep one printing per name (the smallest by its columns),
     instead of letting every printing multiply the line."""
@@ -117,57 +107,17 @@ def dedupe_printings(cards: DataFrame) -> DataFrame:
     return c.groupBy("name").agg(F.min(F.struct(*rest)).alias("_p")).select("name", "_p.*")
 
 
-def card_stats_sized(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     dedupe: str = "none") -> tuple[DataFrame, int]:
-    """Per-name sums over all printings (NULLs skipped, as pandas sums do)
-    and the name's type tokens as a bitmap over the vocabulary (``tw0``,
-    ``tw1``, ... 64-bit words), so decks can OR them in a plain hash
-    aggregate; also the exact row count of the result.
-
-    One small job over the catalogue counts distinct names and distinct
-    tokens: the token count fixes the number of bitmap words, and both counts
-    are the size proofs for broadcasting the statistics and the vocabulary.
+def card_stats(cards: DataFrame, dedupe: str = "none") -> DataFrame:
+    """Per-name sums over all printings (NULLs skipped, as pandas sums do).
     ``dedupe='first'`` keeps one printing per name (S3)."""
     if dedupe == "first":
         cards = dedupe_printings(cards)
     c = prune_card_columns(cards).where(F.col("name").isNotNull())
     d = _card_derived(c)
-    sums = c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
-    tokens = c.select("name", F.explode_outer(X.type_tokens(_col_or_null(c, "type"))).alias("token"))
-    size = tokens.agg(F.count_distinct("name").alias("names"), F.count_distinct("token").alias("vocab")).first()
-    n_names, n_vocab = int(size["names"]), int(size["vocab"])
-    n_words = n_vocab // 64 + 1
-    vocab = token_vocabulary(c)
-    if n_vocab <= broadcast_rows:
-        vocab = F.broadcast(vocab)
-    t = tokens.where(F.col("token").isNotNull()).join(vocab, "token")
-    bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(idx % 64 AS INT))")
-    words = t.groupBy("name").agg(*[
-        F.bit_or(F.when(F.floor(F.col("idx") / 64) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"tw{w}")
-        for w in range(n_words)])
-    stats = sums.join(words, "name", "left").fillna(0, [f"tw{w}" for w in range(n_words)])
-    return stats, n_names
-
-
-def card_stats(cards: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               with_tokens: bool = True, dedupe: str = "none") -> DataFrame:
-    """Per-name statistics (see ``card_stats_sized``); without tokens only the
-    sums, with no job at all."""
-    if with_tokens:
-        return card_stats_sized(cards, broadcast_rows, dedupe)[0]
-    if dedupe == "first":
-        cards = dedupe_printings(cards)
-    c = prune_card_columns(cards).where(F.col("name").isNotNull())
-    d = _card_derived(c)
     return c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
 
 
-def token_words(stats: DataFrame) -> list[str]:
-    return sorted((c for c in stats.columns if c.startswith("tw") and c[2:].isdigit()), key=lambda x: int(x[2:]))
-
-
 def _miss_defaults() -> dict[str, Column]:
     """Statistics of a line whose card is missing: one all-NULL row.
 
@@ -198,14 +148,24 @@ def deck_card_pairs(deck_cards: DataFrame) -> DataFrame:
             .agg(F.sum("quantity").alias("q"), F.count(F.lit(1)).alias("n_lines")))
 
 
-def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int, dedupe: str = "none"):
+def unique_types(pairs: DataFrame, cards: DataFrame, dedupe: str = "none") -> DataFrame:
+    """Distinct type tokens per deck over its (deck, card) pairs.
+
+    Tokens are de-duplicated per name before the join and per (deck, token)
+    with a map-side combine after it; no vocabulary is numbered and no state
+    grows with it."""
+    tokens = card_type_tokens(dedupe_printings(cards) if dedupe == "first" else cards)
+    seen = pairs.join(tokens, pairs.card_name == tokens.name).select("deck_name", "token").distinct()
+    return seen.groupBy("deck_name").agg(F.count(F.lit(1)).alias("unique_types"))
+
+
+def _deck_sums(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none", with_types: bool = True) -> DataFrame:
     """Per-deck sums over the (line x printing) rows, via per-name statistics.
 
-    ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones."""
+    ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones.  The
+    join strategy is left to statistics and AQE."""
     pairs = deck_card_pairs(deck_cards)
-    st, n_names = card_stats_sized(cards, broadcast_rows, dedupe)
-    words = token_words(st)
-    stats = F.broadcast(st) if n_names <= broadcast_rows else st   # one row per name: proven size
+    stats = card_stats(cards, dedupe)
     j = pairs.join(stats, pairs.card_name == stats.name, "left")
     miss = _miss_defaults()
     q = F.col("q")
@@ -218,21 +178,18 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, broadcast_rows: int, ded
         [f"t_{w}" for w in X.TYPE_WORDS] + [f"k_{k}" for k in KEYWORDS] + \
         [f"c_{c}" for c in X.COLOR_LABELS]
     unweighted = ["n_rows", "n_cmc", "s_cmc", "ss_cmc", "s_cc", "s_rar", "n_rar"]
-    # Distinct type tokens per deck = set bits of the OR of the cards'
-    # token bitmaps; fixed-width state, combined map-side like the sums.
     agg = j.groupBy("deck_name").agg(
         *[F.sum(q * v(k)).alias(f"w_{k}") for k in weighted],
-        *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted],
-        *[F.bit_or(F.coalesce(F.col(w), F.lit(0).cast("bigint"))).alias(f"d_{w}") for w in words])
-    unique = sum((F.bit_count(F.col(f"d_{w}")) for w in words), F.lit(0))
-    return agg.withColumn("unique_types", unique.cast("bigint")), pairs
+        *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted])
+    if not with_types:
+        return agg
+    return agg.join(unique_types(pairs, cards, dedupe), "deck_name", "left").fillna(0, ["unique_types"])
 
 
-def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dedupe: str = "none") -> DataFrame:
+def deck_aggregates(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none") -> DataFrame:
     """D1-D10 fused: one row per deck_name with the 25 features.
     ``dedupe``: 'none' (every printing counts, as the reference) or 'first'."""
-    agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows, dedupe)
+    agg = _deck_sums(deck_cards, cards, dedupe)
     Q = F.col("w_n_rows")
     n = F.col("u_n_cmc")
     s, ss = F.col("u_s_cmc"), F.col("u_ss_cmc")
@@ -261,11 +218,10 @@ def deck_aggregates(deck_cards: DataFrame, cards: DataFrame,
     return agg.select("deck_name", *[e.alias(k) for k, e in cols.items()]).select("deck_name", *FEATURE_COLUMNS)
 
 
-def baseline_features(deck_cards: DataFrame, cards: DataFrame,
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def baseline_features(deck_cards: DataFrame, cards: DataFrame) -> DataFrame:
     """Unweighted avg_cmc and avg_rarity, total_cards, avg_colors,
     unique_types (the exploratory feature set)."""
-    agg, pairs = _deck_sums(deck_cards, cards, broadcast_rows)
+    agg = _deck_sums(deck_cards, cards)
     n, nr = F.col("u_n_cmc"), F.col("u_n_rar")
     return agg.select(
         "deck_name", F.when(n > 0, F.col("u_s_cmc") / n).alias("avg_cmc"),
@@ -274,19 +230,10 @@ def baseline_features(deck_cards: DataFrame, cards: DataFrame,
         (F.col("u_s_cc") / F.col("u_n_rows")).alias("avg_colors"), "unique_types")
 
 
-def color_pivot(deck_cards: DataFrame, cards: DataFrame,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Copies per (deck, colour bucket) as a pivot with 0 fill."""
-    pairs = deck_card_pairs(deck_cards)
-    stats = broadcast_if_small(card_stats(cards, broadcast_rows, with_tokens=False), broadcast_rows)
-    j = pairs.join(stats, pairs.card_name == stats.name, "left")
-    miss = _miss_defaults()
-    long = j.select("deck_name", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("cat"), (F.col("q") * F.coalesce(F.col(f"c_{c}"), miss[f"c_{c}"])).alias("v"))
-        for c in X.COLOR_LABELS])).alias("e")).select("deck_name", "e.cat", "e.v")
-    return (long.groupBy("deck_name").pivot("cat", X.COLOR_LABELS).agg(F.sum("v"))
-            .na.fill(0, X.COLOR_LABELS)
-            .select("deck_name", *[F.col(c).cast("bigint").alias(c) for c in X.COLOR_LABELS]))
+def color_pivot(deck_cards: DataFrame, cards: DataFrame) -> DataFrame:
+    """Copies per (deck, colour bucket) as a pivot with 0 fill: one conditional sum per bucket."""
+    agg = _deck_sums(deck_cards, cards, with_types=False)
+    return agg.select("deck_name", *[F.coalesce(F.col(f"w_c_{c}"), F.lit(0)).cast("bigint").alias(c) for c in X.COLOR_LABELS])
 
 
 def add_targets(df: DataFrame, tier_col: str = "tier", key_col: str = "row_id",

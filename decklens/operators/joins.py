@@ -9,10 +9,6 @@ from decklens.functions import expressions as X
 
 CARD_COLUMNS = ["name", "cmc", "rarity", "color_identity", "type", "power", "toughness", "text"]
 
-# Upper bound (rows) for an explicit broadcast of a derived lookup table.
-# Above it the planner/AQE chooses (sort-merge, skew-split by AQE).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def prune_card_columns(cards: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Keep the required columns that exist; ``name`` is mandatory."""
@@ -23,20 +19,6 @@ def prune_card_columns(cards: DataFrame, required: list[str] | None = None) -> D
     return cards.select(*present)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``); the proven-small
-    table is cached so the broadcast does not recompute it.  Beyond the bound
-    the plain DataFrame is returned and the planner picks a shuffle join.
-    """
-    if max_rows <= 0:
-        return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df.cache())
-    return df
-
-
 def merge_cards(deck_cards: DataFrame, cards: DataFrame) -> DataFrame:
     """Left outer join ``card_name = name``; every printing of a name
     multiplies the line (reference semantics).  cmc becomes FLOAT.

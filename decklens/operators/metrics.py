@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-AUC_BUCKETS = 128
+#: Distinct (model, score) rows that one bucket holds on average.
+BUCKET_ROWS = 50_000
 
 
 def classification_metrics(pred: DataFrame, group: str = "model") -> DataFrame:
@@ -35,13 +36,16 @@ def classification_metrics(pred: DataFrame, group: str = "model") -> DataFrame:
                     ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
-def _bucketize(g: DataFrame, buckets: int) -> DataFrame:
+def _bucketize(g: DataFrame, buckets: int | None) -> DataFrame:
     """Quantile buckets of the distinct scores: the cut points come from one
     ``percentile_approx`` (a sketch of ``buckets`` numbers, the only thing
-    the driver sees); ``Bucketizer`` assigns buckets by binary search."""
+    the driver sees); ``Bucketizer`` assigns buckets by binary search.  By
+    default the number of buckets follows the number of distinct scores."""
+    if buckets is None:
+        buckets = g.count() // BUCKET_ROWS + 8
     from pyspark.ml.feature import Bucketizer
     probs = [i / buckets for i in range(1, buckets)]
-    row = g.agg(F.percentile_approx("score", probs, 10000).alias("b")).first()
+    row = g.agg(F.percentile_approx("score", probs, max(10000, 20 * buckets)).alias("b")).first()
     cuts = sorted({float(x) for x in (row["b"] or [])})
     splits = [float("-inf")] + cuts + [float("inf")]
     if len(splits) < 3:
@@ -50,7 +54,7 @@ def _bucketize(g: DataFrame, buckets: int) -> DataFrame:
     return bz.transform(g).withColumn("bucket", F.col("_b").cast("int")).drop("_b")
 
 
-def _score_ranks(pred: DataFrame, group: str, buckets: int) -> DataFrame:
+def _score_ranks(pred: DataFrame, group: str, buckets: int | None) -> DataFrame:
     """Per (group, distinct score): pos, neg and counts of strictly lower scores."""
     g = pred.groupBy(group, F.col("score").cast("double").alias("score")).agg(
         F.sum(F.col("label").cast("long")).alias("pos"),
@@ -70,7 +74,7 @@ def _score_ranks(pred: DataFrame, group: str, buckets: int) -> DataFrame:
                     (F.col("neg_pre_b") + F.col("neg_pre_i")).alias("neg_below"))
 
 
-def roc_auc(pred: DataFrame, group: str = "model", buckets: int = AUC_BUCKETS) -> DataFrame:
+def roc_auc(pred: DataFrame, group: str = "model", buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (Mann-Whitney, ties count one half); NULL when a
     group has only one class (the reference stores NaN then)."""
     r = _score_ranks(pred, group, buckets)
@@ -81,7 +85,7 @@ def roc_auc(pred: DataFrame, group: str = "model", buckets: int = AUC_BUCKETS) -
                                   F.col("u") / (F.col("P") * F.col("N"))).alias("roc_auc"))
 
 
-def roc_curve(pred: DataFrame, group: str = "model", buckets: int = AUC_BUCKETS) -> DataFrame:
+def roc_curve(pred: DataFrame, group: str = "model", buckets: int | None = None) -> DataFrame:
     """One point per distinct score used as threshold (score >= t)."""
     r = _score_ranks(pred, group, buckets)
     tot = pred.groupBy(group).agg(F.sum(F.col("label").cast("long")).alias("P"),
@@ -93,14 +97,19 @@ def roc_curve(pred: DataFrame, group: str = "model", buckets: int = AUC_BUCKETS)
 
 
 def regression_metrics(pred: DataFrame, group: str = "model") -> DataFrame:
-    """R2, MAE, RMSE per group (one pass: sums of y, y^2, residuals)."""
+    """R2, MAE, RMSE per group in one pass; the total sum of squares is
+    centred (merged means and second moments), so large label offsets do not
+    cancel.  Constant labels: R2 is 1 for a perfect fit, else 0; NULL for
+    fewer than two rows."""
     y, p = F.col("label").cast("double"), F.col("prediction").cast("double")
     a = pred.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
+        F.count(F.lit(1)).alias("n"), F.var_pop(y).alias("var"),
         F.sum((y - p) * (y - p)).alias("sse"), F.sum(F.abs(y - p)).alias("sae"))
     n = F.col("n")
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / n
-    return a.select(group, F.when(sst > 0, 1 - F.col("sse") / sst).alias("r2"),
+    sst = F.col("var") * n
+    r2 = (F.when(n < 2, F.lit(None).cast("double")).when(sst > 0, 1 - F.col("sse") / sst)
+          .when(F.col("sse") == 0, 1.0).otherwise(0.0))
+    return a.select(group, r2.alias("r2"),
                     (F.col("sae") / n).alias("mae"), F.sqrt(F.col("sse") / n).alias("rmse"))
 
 

@@ -20,7 +20,7 @@ from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -240,28 +240,30 @@ def ridge_reg_param(alpha: float, n: int, label_std: float) -> float:
     return alpha / max(n, 1) * label_std
 
 
-def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str = "cls") -> Built:
+def build(name: str, grid: dict, task: str = "cls") -> Built:
     """Pipeline stages after the assembler (+ scaler) and one Spark param map
-    per reference setting.  n_train is the size of a training fold."""
+    per reference setting."""
     settings = _product(grid) or [{}]
-    n = max(n_train, 1)
     if name == "logreg":
         est = LogisticRegression(featuresCol="scaled", elasticNetParam=0.0, standardization=False)
-        maps = [{est.regParam: logistic_reg_param(s["C"], n), est.maxIter: int(s.get("max_iter", 100))}
-                for s in settings]
-        return Built([est], settings, maps)
+        fit = Penalised(est, "C")
+        maps = [{fit.strength: float(s["C"]), est.maxIter: int(s.get("max_iter", 100))} for s in settings]
+        return Built([fit], settings, maps)
     if name == "svm":
         svc = LinearSVC(featuresCol="svm_in", standardization=False, rawPredictionCol="margin",
-                        predictionCol="svm_pred")
+                        predictionCol="prediction")
         rff = RBFFeatures(inputCol="scaled", outputCol="rff")
-        platt = LogisticRegression(featuresCol="margin_vec", maxIter=100)
-        stages = [_SvmInput(rff), svc, _MarginVector(), platt]
-        maps = [{svc.regParam: logistic_reg_param(s["C"], n), rff.gamma: str(s.get("gamma", "scale")),
+        # the class is the sign of the margin; the sigmoid only gives the probability
+        platt = LogisticRegression(featuresCol="margin_vec", maxIter=100, predictionCol="platt_prediction")
+        fit = Penalised(svc, "C")
+        stages = [_SvmInput(rff), fit, _MarginVector(), platt]
+        maps = [{fit.strength: float(s["C"]), rff.gamma: str(s.get("gamma", "scale")),
                  stages[0].kernel: s.get("kernel", "rbf")} for s in settings]
         return Built(stages, settings, maps)
     if name in ("rf", "rf_reg"):
         cls = RandomForestClassifier if name == "rf" else RandomForestRegressor
-        est = cls(featuresCol="features", seed=42)
+        # every feature is tried at each split of a regression tree, the root of their number in a classification tree
+        est = cls(featuresCol="features", seed=42, featureSubsetStrategy="all" if name == "rf_reg" else "sqrt")
         maps = [{est.numTrees: int(s["n_estimators"]),
                  est.maxDepth: SPARK_MAX_DEPTH if s["max_depth"] is None else int(s["max_depth"]),
                  est.minInstancesPerNode: max(1, int(s["min_samples_split"]) // 2)} for s in settings]
@@ -282,9 +284,9 @@ def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str
         return Built([est], settings, [{} for _ in settings])
     if name == "ridge":
         est = LinearRegression(featuresCol="scaled", elasticNetParam=0.0, solver="normal", standardization=False)
-        maps = [{est.regParam: ridge_reg_param(float(s["alpha"]), n, label_std), est.maxIter: int(s["max_iter"])}
-                for s in settings]
-        return Built([est], settings, maps)
+        fit = Penalised(est, "alpha")
+        maps = [{fit.strength: float(s["alpha"]), est.maxIter: int(s["max_iter"])} for s in settings]
+        return Built([fit], settings, maps)
     if name == "svr":
         svr = EpsilonSVR(featuresCol="svm_in", labelCol="label")
         rff = RBFFeatures(inputCol="scaled", outputCol="rff")
@@ -295,6 +297,51 @@ def build(name: str, grid: dict, n_train: int, label_std: float = 1.0, task: str
     raise KeyError(f"unknown model {name!r}")
 
 
+class _PenaltyParams(Params):
+    strength = Param(Params._dummy(), "strength", "C or alpha of the reference", TypeConverters.toFloat)
+
+
+class Penalised(Estimator, _PenaltyParams):
+    """Fits ``inner`` with the penalty that ``strength`` means for the frame it
+    is given: row count and label spread are read at every fit, so folds and
+    the refit each use their own.  The fitted model is the inner one's."""
+
+    def __init__(self, inner, form: str):
+        super().__init__()
+        self.inner, self.form = inner, form
+        self._setDefault(strength=1.0)
+
+    def _fit(self, df: DataFrame):
+        n, spread = df.agg(F.count(F.lit(1)), F.stddev_pop(self.inner.getLabelCol())).first()
+        s = self.getOrDefault(self.strength)
+        reg = logistic_reg_param(s, n) if self.form == "C" else ridge_reg_param(s, n, float(spread or 1.0))
+        return self.inner.copy({self.inner.regParam: reg}).fit(df)
+
+    def copy(self, extra=None):
+        c = super().copy(extra)
+        c.inner = self.inner.copy({p: v for p, v in (extra or {}).items() if p.parent == self.inner.uid})
+        return c
+
+
+class PopulationScaler(Estimator):
+    """(x - mean) / population std: Spark's scaler divides by the sample std,
+    so its output is multiplied by sqrt(n / (n - 1)) of the frame it is fitted
+    on.  Fitted as two built-in stages, which can be saved."""
+
+    def __init__(self, inputCol: str = "features", outputCol: str = "scaled"):
+        super().__init__()
+        self.src, self.dst = inputCol, outputCol
+
+    def _fit(self, df: DataFrame):
+        from pyspark.ml import PipelineModel
+        from pyspark.ml.linalg import Vectors
+        m = StandardScaler(inputCol=self.src, outputCol=f"{self.dst}_sample", withMean=True, withStd=True).fit(df)
+        n = df.count()
+        factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+        return PipelineModel([m, ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(m.std)),
+                                                    inputCol=f"{self.dst}_sample", outputCol=self.dst)])
+
+
 class _KernelParams(Params):
     kernel = Param(Params._dummy(), "kernel", "'rbf' or 'linear'", TypeConverters.toString)
 
@@ -362,7 +409,7 @@ def _front(features: list[str], scaled: bool, impute: bool = False) -> list:
         features = [f"{c}__imp" for c in features]
     st.append(VectorAssembler(inputCols=features, outputCol="features"))
     if scaled:
-        st.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
+        st.append(PopulationScaler("features", "scaled"))
     return st
 
 
@@ -393,13 +440,8 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
     may name 'roc_auc' (the notebook's choice, S13) or any Spark evaluator
     metric.  Folds come from a keyed hash (stratified for classifiers)."""
     data = train.select(key, *features, F.col(label).alias("label"))
-    data = S.fold_column(data, key, k, purpose=task, stratify="label" if task == "cls" else None)
-    data = cut_lineage(data)
-    n = data.count()
-    label_std = 1.0
-    if name == "ridge":
-        label_std = float(data.agg(F.stddev_pop("label")).first()[0] or 1.0)
-    b = build(name, grid, int(n * (k - 1) / k), label_std, task)
+    data = cut_lineage(S.fold_exact(data, key, k, purpose=task, stratify="label" if task == "cls" else None))
+    b = build(name, grid, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     maps = [{p: v for p, v in m.items()} for m in b.maps]
     ev = _evaluator(task, metric)
@@ -414,20 +456,11 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
 
 
 def fit_single(train: DataFrame, features: list[str], label: str, name: str, setting: dict,
-               task: str = "cls", key: str = "row_id", impute: bool = False,
-               cv_folds: int | None = None) -> Trained:
+               task: str = "cls", key: str = "row_id", impute: bool = False) -> Trained:
     """Fit one model with one setting on the whole training set (no
     cross-validation; ``grid_search`` does the selection)."""
     data = cut_lineage(train.select(key, *features, F.col(label).alias("label")))
-    n = data.count()
-    label_std = 1.0
-    if name == "ridge":
-        label_std = float(data.agg(F.stddev_pop("label")).first()[0] or 1.0)
-    grid = {k: [v] for k, v in setting.items()}
-    # with cv_folds the n-dependent regularisation is mapped as the grid
-    # search maps it (training-fold size), so the model equals its refit
-    n_params = int(n * (cv_folds - 1) / cv_folds) if cv_folds else n
-    b = build(name, grid, n_params, label_std, task)
+    b = build(name, {k: [v] for k, v in setting.items()}, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     model = pipe.fit(data, b.maps[0]) if b.maps and b.maps[0] else pipe.fit(data)
     return Trained(name, model, b.settings[0] if b.settings else {}, [])
@@ -471,7 +504,8 @@ def compare_models(df: DataFrame, features: list[str], label: str, grids: dict,
     Returns (results, best Trained, long predictions).  The best model is the
     first with the strictly highest F1 (classification) or R2 (regression)."""
     strat = label if task == "cls" else None
-    d = S.split_flag(df, key, test_size, purpose=task, stratify=strat)
+    # the feature plan runs once, for all models, folds and scores
+    d = S.split_exact(cut_lineage(df.select(key, *features, label)), key, strat, test_size, purpose=task)
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     trained, preds = [], []
     for name, grid in grids.items():
@@ -479,7 +513,7 @@ def compare_models(df: DataFrame, features: list[str], label: str, grids: dict,
         if len(settings) == 1:
             # one candidate: cross-validation selects nothing; the refit alone
             # gives the same model (and the result table has no CV scores)
-            t = fit_single(train, features, label, name, settings[0], task, key, cv_folds=S.CV_FOLDS)
+            t = fit_single(train, features, label, name, settings[0], task, key)
         else:
             t = grid_search(train, features, label, name, grid, task)
         trained.append(t)

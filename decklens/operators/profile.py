@@ -55,11 +55,8 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True, accuracy: in
         x = F.col(c).cast("double")
         q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
              else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
-        # exact decimal sum: the mean does not depend on summation order
-        # (partitioning); falls back to the double mean on overflow
-        exact_mean = F.try_sum(x.try_cast("decimal(38,10)")).cast("double") / F.count(x)
         aggs.append(F.struct(
-            F.count(x).alias("count"), F.coalesce(exact_mean, F.avg(x)).alias("mean"),
+            F.count(x).alias("count"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max")).alias(c))
     wide = df.agg(*aggs)

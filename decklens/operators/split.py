@@ -45,6 +45,27 @@ def _uniform(key, salt):
     return h.cast("double") / F.lit(4294967296.0)
 
 
+def fold_exact(df: DataFrame, key: str, k: int = CV_FOLDS, seed: int = SEED, purpose: str = "cls",
+               stratify: str | None = None, name: str = "fold") -> DataFrame:
+    """G4/G5 exact mode: the rows of a class (of all, without ``stratify``) are
+    dealt in turn to the k folds by the order of a keyed hash, so the fold
+    sizes of every class differ by at most one.
+
+    As in ``split_exact`` no window spans a class: a row's rank is the count of
+    its class in the lower hash buckets plus its rank in its own bucket.  The
+    key must be unique."""
+    cls = F.col(stratify).cast("string") if stratify else F.lit("")
+    h = F.conv(F.substr(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":deal-{purpose}-{seed}"))), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
+    d = df.select("*", cls.alias("_c"), h.alias("_h"), F.floor(h / (4294967296 // EXACT_BUCKETS)).cast("int").alias("_b"))
+    per = d.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))       # classes x buckets
+    lower = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = per.select(F.col("_c").alias("_c2"), F.col("_b").alias("_b2"), F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_c", "_b").orderBy("_h", key)
+    ranked = d.withColumn("_r", F.row_number().over(inside) - 1)
+    out = ranked.join(before, F.col("_c").eqNullSafe(F.col("_c2")) & (F.col("_b") == F.col("_b2")))
+    return out.select(*df.columns, F.pmod(F.col("_before") + F.col("_r"), F.lit(k)).cast("int").alias(name))
+
+
 def xy_views(df: DataFrame, features: list[str], target: str, key: str = "row_id") -> tuple[DataFrame, DataFrame]:
     """X (key + features, targets excluded) and y (key + target) views."""
     return df.select(key, *features), df.select(key, target)
@@ -97,4 +118,4 @@ def split_exact(df: DataFrame, key: str, stratify: str | None = None, test_size:
     return decided.unionByName(edge)
 
 
-__all__ = ["split_flag", "split_exact", "fold_column", "xy_views"]
+__all__ = ["split_flag", "split_exact", "fold_column", "fold_exact", "xy_views"]

@@ -6,6 +6,9 @@ Python, and a deck list is processed whole, line by line.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +16,12 @@ from decklens.functions import expressions as X
 
 # Line grammar: count, whitespace, card name (Python ``re.match`` on the
 # stripped line, so anchored at the start only).  (?s): Python's '.' matches
-# '\r', Java's does not by default.
-LINE_PATTERN = "(?s)^([0-9]+)\\s+(.+)"
+# '\r', Java's does not by default.  (?U): digits and white space are Unicode's,
+# and Python also counts the four separators U+001C to U+001F as white space.
+LINE_PATTERN = "(?sU)^(\\d+)[\\s\\x1c-\\x1f]+(.+)"
+# Unicode decimal digits beyond ASCII and their ASCII values, derived by rule.
+_DIGITS = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+_ASCII_DIGITS = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
 def normalize_frames(cards: DataFrame, decks: DataFrame, card_key: str = "name",
@@ -42,7 +49,7 @@ def parse_decklist(df: DataFrame, text_col: str = "Deck list", keep: list[str] |
     rest = F.expr("substring(_line, length(_n) + 1)")
     return (exploded.select(*keep, "_line", count.alias("_n")).where(F.col("_n") != "")
             .select(*keep, F.lower(X.strip(rest)).alias("card_name"),
-                    F.col("_n").try_cast("int").alias("quantity")))
+                    F.translate("_n", "".join(_DIGITS), _ASCII_DIGITS).try_cast("int").alias("quantity")))
 
 
 def expand_decks(decks: DataFrame, text_col: str = "Deck list", name_col: str = "Name",

@@ -412,7 +412,7 @@ def _li(spark, sf_dir):
 _both("describe", lambda s, d: P.describe(_li(s, d), _LI_NUM),
       " UNION ALL ".join(
           f"SELECT '{c}' AS \"column\", count({c}) AS count,"
-          f" CAST(sum(TRY_CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c}) AS mean, stddev_samp({c}) AS std,"
+          f" avg({c}) AS mean, stddev_samp({c}) AS std,"
           f" min({c})::DOUBLE AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,"
           f" quantile_cont({c}, 0.75) AS p75, max({c})::DOUBLE AS max FROM lineitem" for c in _LI_NUM),
       doubles=["mean", "std", "min", "p25", "p50", "p75", "max"], others=["column", "count"])
@@ -846,6 +846,47 @@ _both("split_exact", _split_exact,
           "ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY h, row_id) AS rn FROM sb)"])
 
 
+def _kfold_exact(spark, sf_dir):
+    return S.fold_exact(_targets(spark, sf_dir), "row_id", stratify="competitive").select("row_id", "competitive", "fold")
+
+
+_both("kfold_exact", _kfold_exact,
+      "SELECT row_id, competitive, CAST((row_number() OVER (PARTITION BY competitive ORDER BY"
+      " CAST('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':deal-cls-42'), 1, 8) AS BIGINT), row_id) - 1) % 5 AS INTEGER) AS fold FROM final",
+      others=["row_id", "competitive", "fold"], ctes=_TGT_CTES)
+
+
+def _multi_line(spark, sf_dir):
+    """B2 on texts of several lines with headers, Unicode spaces and digits: the lines of an order in up to four texts."""
+    li, part = D.read_table(spark, sf_dir, "lineitem"), D.read_table(spark, sf_dir, "part")
+    k = F.col("l_partkey")
+    count = F.col("l_quantity").cast("int").cast("string")
+    count = F.when(k % 5 == 0, F.translate(count, "0123456789", "".join(chr(0xFF10 + i) for i in range(10)))).otherwise(count)
+    gap = F.element_at(F.array(*map(F.lit, [" ", "\u00a0", "\u2003", "\t", "\u3000 "])), (k % 5 + 1).cast("int"))
+    line = F.concat(F.lit(" "), count, gap, F.col("p_name"), F.lit(" "), F.col("p_brand"), F.lit("\r"))
+    texts = (li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey", (k % 4).alias("piece"))
+             .agg(F.concat_ws("\n", F.lit("Main deck"), F.array_join(F.sort_array(F.collect_list(line)), "\n"), F.lit("4x not a line")).alias("text")))
+    return T.parse_decklist(texts, "text", keep=["l_orderkey"])
+
+
+_both("parse_multi_line", _multi_line,
+      "SELECT l_orderkey, lower(p_name || ' ' || p_brand) AS card_name, CAST(l_quantity AS INTEGER) AS quantity"
+      " FROM lineitem JOIN part ON l_partkey = p_partkey",
+      others=["l_orderkey", "card_name", "quantity"])
+
+
+def _describe_spread(spark, sf_dir):
+    """F9 on values far outside any fixed decimal range."""
+    x = _li(spark, sf_dir).select((F.col("l_quantity") * F.pow(F.lit(10.0), (F.col("l_partkey") % 41 - 20).cast("double"))).alias("x"))
+    return P.describe(x, ["x"]).select("column", "count", (F.col("mean") / 1e18).alias("mean"), (F.col("max") / 1e18).alias("max"))
+
+
+_both("describe_spread", _describe_spread,
+      "SELECT 'x' AS \"column\", count(*) AS count, avg(x) / 1e18 AS mean, max(x) / 1e18 AS max"
+      " FROM (SELECT l_quantity * pow(10.0::DOUBLE, (l_partkey % 41 - 20)::DOUBLE) AS x FROM lineitem)",
+      doubles=["mean", "max"], others=["column", "count"])
+
+
 # D5/C7 over the documents table: the reference's keywords never occur in the
 # invented prose, so the dictionary holds words that do (FIXTURES section 3).
 DOC_KEYWORDS = {

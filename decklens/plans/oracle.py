@@ -193,7 +193,3 @@ def with_ctes(*ctes: str) -> str:
 
 BASE = [CARDS_RAW, CARDS, DECKS, FRAGMENTS, DECK_CARDS]
 FEATURES_CTES = BASE + [MERGED, VALUES, AGG, TARGETS]
-
-
-def round_select(cols_sql: str, from_sql: str) -> str:
-    return f"SELECT {cols_sql} FROM {from_sql}"

@@ -12,8 +12,7 @@ from decklens.operators import text as T
 
 def deck_features(cards: DataFrame, deck_lists: DataFrame, decks: DataFrame | None = None,
                   positive_regex: str = X.TIER_POSITIVE_REGEX, seed: int = X.NOISE_SEED,
-                  broadcast_rows: int = J.DEFAULT_BROADCAST_ROWS, lists_from_decks: bool = False,
-                  dedupe: str = "none") -> DataFrame:
+                  lists_from_decks: bool = False, dedupe: str = "none") -> DataFrame:
     """Normalise -> expand -> per-deck features -> deck attributes -> targets.
 
     ``deck_lists`` holds Name/Tier/Year/``Deck list`` (several rows may share a
@@ -29,7 +28,7 @@ def deck_features(cards: DataFrame, deck_lists: DataFrame, decks: DataFrame | No
     cards_n, lists_n = T.normalize_frames(cards, deck_lists)
     _, decks_n = T.normalize_frames(cards, decks)
     lines = T.expand_decks(lists_n)
-    feats = FT.deck_aggregates(lines, cards_n, broadcast_rows, dedupe)
+    feats = FT.deck_aggregates(lines, cards_n, dedupe)
     joined = J.attach_deck_attributes(feats, decks_n, complete=complete)
     return FT.add_targets(joined, positive_regex=positive_regex, seed=seed)
 

@@ -49,12 +49,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs and tests) a scratch folder is
-    created and registered; on a cluster the configured shared folder is used.
+    Only when the setting is absent under a local master (tests) is a scratch
+    folder created; on a cluster an unset folder is an error, since a folder of
+    one machine would lose rows.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="decklens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -70,11 +73,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back."""
-    base = checkpoint_dir(df.sparkSession)
-    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:8]}")
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)

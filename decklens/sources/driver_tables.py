@@ -44,28 +44,9 @@ CARD_TEXT_PARTS = [  # (p_partkey modulus, sentence)
 # ---------------------------------------------------------------------------
 
 
-# Tables whose rows drive per-row work (joins, parsing, derived card values).
-FACT_TABLES = {"lineitem", "orders", "part", "events", "documents", "pages", "conversations"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; a fact table that yields fewer scan partitions than the
-    cluster's parallelism (a file written as one row group) is spread
-    round-robin so that the pipelined joins and parsing use every core.  At
-    scale the scan already has thousands of splits and nothing is added."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if name in FACT_TABLES:
-        target = spark.sparkContext.defaultParallelism
-        key = (spark.sparkContext.applicationId, path)
-        if key not in _SCAN_PARTITIONS:          # planning the scan once per path
-            _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
-        if _SCAN_PARTITIONS[key] < max(2, target // 2):
-            df = df.repartition(target)
-    return df
-
-
-_SCAN_PARTITIONS: dict[tuple[str, str], int] = {}
+    """Parquet scan; the scan's splits (``spark.sql.files.maxPartitionBytes``) set its parallelism."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def cards_from_part(part: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from decklens.session import checkpoint_dir
 
@@ -27,12 +27,22 @@ def na_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(PANDAS_NA_STRINGS), F.col(c)) for c in cols})
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """A1: header CSV with quoted multi-line fields (deck lists hold newlines)."""
-    r = (spark.read.option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """A1: header CSV with quoted multi-line fields (deck lists hold newlines).
+
+    Every cell is read as text, pandas' missing-value strings become NULL, and
+    only then are the cells cast to ``schema``; a cell that does not parse is
+    NULL.  A file with multi-line fields is one task; ``multi_line=False``
+    lets Spark split files whose fields hold no line breaks."""
+    r = (spark.read.option("header", True).option("multiLine", multi_line).option("inferSchema", False)
          .option("quote", '"').option("escape", '"').option("mode", "FAILFAST"))
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
-    return na_to_null(r.csv(path))
+    if schema is None:
+        return na_to_null(r.csv(path))
+    if not isinstance(schema, StructType):
+        schema = StructType.fromDDL(schema)
+    text = na_to_null(r.schema(StructType([StructField(f.name, StringType()) for f in schema])).csv(path))
+    return text.select(*[(F.col(f"`{f.name}`") if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
+                         for f in schema])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -3,7 +3,8 @@
 The reference is batch only.  This re-uses the batch feature plan per
 micro-batch through ``foreachBatch``: every arriving file of deck lists is
 parsed, joined to the (static) card catalogue, aggregated per deck and scored
-with a saved ``PipelineModel``; results are appended to a Parquet sink.  A
+with a saved ``PipelineModel``; each batch writes its own
+``epoch=`` folder of the Parquet sink.  A
 deck is expected to arrive whole within one file (as a CSV row of the
 reference's deck table).
 """
@@ -31,8 +32,9 @@ def start_scoring(spark: SparkSession, source_dir: str, cards: DataFrame, model_
         feats = deck_features(cards, batch)
         out = model.transform(feats.select("deck_name", "row_id", *FT.FEATURE_COLUMNS)).select(
             "deck_name", "row_id", F.col("prediction").cast("int").alias("prediction"),
-            vector_to_array("probability")[1].alias("score"), F.lit(epoch).alias("epoch"))
-        out.write.mode("append").parquet(sink_dir)
+            vector_to_array("probability")[1].alias("score"))
+        # a replayed batch replaces its own folder, so its rows are never doubled
+        out.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch}")
 
     return (stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -13,7 +13,7 @@ DECK_SCHEMA = "row_id long, Name string, Tier int, Year int, `Deck list` string"
 def run(spark, cards, decks):
     c = spark.createDataFrame(cards, CARD_SCHEMA)
     d = spark.createDataFrame(decks, DECK_SCHEMA)
-    return {(r.deck_name, r.row_id): r.asDict() for r in deck_features(c, d, broadcast_rows=100).collect()}
+    return {(r.deck_name, r.row_id): r.asDict() for r in deck_features(c, d).collect()}
 
 
 CARDS = [
@@ -86,5 +86,5 @@ def test_deck_without_valid_lines_vanishes(spark):
 def test_dedupe_first_counts_one_printing(spark):
     c = spark.createDataFrame(CARDS, CARD_SCHEMA)
     d = spark.createDataFrame([(1, "T", 2, 2020, "3 Twin")], DECK_SCHEMA)
-    r = deck_features(c, d, broadcast_rows=100, dedupe="first").first()
+    r = deck_features(c, d, dedupe="first").first()
     assert r["total_cards"] == 3 and r["avg_cmc"] == 2.0       # the smaller printing ('Twin', 2.0, ...)

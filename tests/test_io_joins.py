@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from decklens.operators.joins import attach_deck_attributes, broadcast_if_small, merge_cards
+from decklens.operators.joins import attach_deck_attributes, merge_cards
 from decklens.sources import io as IO
 
 
@@ -31,16 +31,6 @@ def test_attach_deck_attributes_keeps_orphan_features(spark):
     assert complete == [1, 2]
 
 
-def test_broadcast_only_when_proven_small(spark):
-    df = spark.range(100)
-    small = broadcast_if_small(df, max_rows=1000)
-    big = broadcast_if_small(df, max_rows=10)
-    j_small = spark.range(1000).join(small, "id")
-    j_big = spark.range(1000).join(big, "id")
-    assert j_small.count() == j_big.count() == 100
-    assert big is df
-
-
 def test_merge_cards_fans_out_printings(spark):
     lines = spark.createDataFrame([("d", "x", 2), ("d", "y", 1)], "deck_name string, card_name string, quantity int")
     cards = spark.createDataFrame([("x", "1"), ("x", "2"), ("z", "3")], "name string, cmc string")

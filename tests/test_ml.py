@@ -52,7 +52,7 @@ def test_knn_estimator_in_grid(spark, linear_data):
 
 def test_registry_rejects_unknown_model():
     with pytest.raises(KeyError):
-        ML.build("nope", {}, 10)
+        ML.build("nope", {})
 
 
 def test_grid_search_by_roc_auc_and_imputer(spark, linear_data):
@@ -108,3 +108,34 @@ def test_compare_models_results_and_best(spark, linear_data):
     assert best.name == top.model
     assert long.select("model").distinct().count() == 2
     assert all(0.0 <= r.accuracy <= 1.0 and r.best_params is not None for r in rows.values())
+
+
+def _small(spark, n=60):
+    rows = [(i, float(i % 7), float((i * 13) % 11) * 1000, int((i * 5) % 12 < 4), float((i % 7) * 2 + (i * 13) % 11)) for i in range(n)]
+    return spark.createDataFrame(rows, "row_id long, a double, b double, y int, t double")
+
+
+def test_scaler_uses_population_std(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(_small(spark))
+    x = np.array([r.scaled.toArray() for r in ML.PopulationScaler().fit(df).transform(df).collect()])
+    assert abs(x.mean(0)).max() < 1e-12 and abs(x.std(0) - 1).max() < 1e-12
+
+
+def test_penalty_is_that_of_the_frame(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    df = VectorAssembler(inputCols=["a"], outputCol="features").transform(_small(spark)).withColumnRenamed("y", "label")
+    est = ML.Penalised(LogisticRegression(standardization=False), "C")
+    for part in (df, df.where("row_id < 40")):
+        m = est.copy({est.strength: 2.0}).fit(part)
+        assert abs(m.getRegParam() - 1 / (2.0 * part.count())) < 1e-15
+
+
+def test_svm_class_is_the_sign_of_the_margin(spark):
+    t = ML.fit_single(_small(spark), ["a", "b"], "y", "svm", {"C": 1.0, "kernel": "linear", "gamma": "scale"})
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+    out = t.model.transform(_small(spark).withColumnRenamed("y", "label")).select("prediction", vector_to_array("margin")[1].alias("m")).collect()
+    assert all(r.prediction == float(r.m > 0) for r in out)

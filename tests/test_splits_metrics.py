@@ -89,3 +89,21 @@ def test_exact_split_counts(spark):
     assert got[(0, True)] == 176 and got[(1, True)] == 75
     again = {r.id: r.is_test for r in S.split_exact(df.repartition(5), "id", stratify="c").collect()}
     assert again == {r.id: r.is_test for r in out.collect()}
+
+
+def test_exact_folds_are_stratified(spark):
+    df = spark.range(523).withColumn("c", (F.col("id") % 25 == 0).cast("int"))
+    rows = S.fold_exact(df, "id", 5, stratify="c").groupBy("c", "fold").count().collect()
+    for c in (0, 1):
+        sizes = [r["count"] for r in rows if r["c"] == c]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    assert S.fold_exact(df, "id", 5).count() == 523
+
+
+def test_r2_survives_large_offsets_and_constant_labels(spark):
+    ys = [1e9 + i / 100 for i in range(101)]
+    df = spark.createDataFrame([("m", y, y + 0.001) for y in ys] + [("c", 2.0, 2.0), ("c", 2.0, 2.0), ("d", 2.0, 1.0), ("d", 2.0, 2.0)], "model string, label double, prediction double")
+    got = {r.model: r.r2 for r in M.regression_metrics(df).collect()}
+    mean = sum(y - 1e9 for y in ys) / 101
+    want = 1 - 101 * 1e-6 / sum((y - 1e9 - mean) ** 2 for y in ys)
+    assert abs(got["m"] - want) < 1e-6 and got["c"] == 1.0 and got["d"] == 0.0
