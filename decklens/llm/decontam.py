@@ -84,7 +84,8 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     n = found.count()
     suspects = found.select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h")).distinct()
     texts = (rows.withColumn("hash", F.xxhash64("t")).join(_sized(suspects, n), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("hash") == F.col("_h")), "left_semi"))
-    grams = texts.select("doc_id", "hash", F.explode(_grams(_words(F.col("t")), shingle)).alias("gram"))
+    # the words are a column of their own: inside the shingle expression they would be split anew for every shingle
+    grams = texts.select("doc_id", "hash", _words(F.col("t")).alias("w")).select("doc_id", "hash", F.explode(_grams(F.col("w"), shingle)).alias("gram"))
     wanted = tests.select("key", F.explode("grams").alias("gram"))
     # rows that repeat id and text repeat all their shingles alike
     shared = (grams.join(_sized(wanted, sizes["grams"] or 0), "gram").groupBy("doc_id", "hash", "key")
