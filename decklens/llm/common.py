@@ -12,6 +12,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a narrow scratch table that share a file.
+ROWS_PER_FILE = 250_000
+
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 SLAB = 1 << 20
 
@@ -53,8 +56,11 @@ class Scratch:
         self.count = 0
         self.paths: dict[int, str] = {}
 
-    def table(self, df: DataFrame) -> DataFrame:
+    def table(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Write and read again; ``rows``, about how many narrow rows there are, keeps small tables in few files."""
         self.count += 1
+        if rows is not None:
+            df = df.coalesce(rows // ROWS_PER_FILE + 1)
         path = f"{self.base}/{self.count}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -145,7 +145,7 @@ def links(scratch: Scratch, codes: DataFrame, distance: int = 2) -> DataFrame:
     whole = meta.agg(F.bit_and("n_and").alias("x"), F.bit_or("n_or").alias("y"))
     pairs = pairs.join(whole, F.lit(True)).select("a", "b", F.col("x").alias("a_and"), F.col("y").alias("a_or"),
                                                  F.col("x").alias("b_and"), F.col("y").alias("b_or"))
-    depth = -(-bits // FAN_BITS)
+    depth, about = -(-bits // FAN_BITS), LEAF * sum(r["seq"] + 1 for r in tops)
     for level in range(depth - 1, -1, -1):
         low = FAN_BITS * level
         at = (meta.groupBy(F.shiftright("id", low).alias("id")).agg(F.bit_and("n_and").alias("n_and"), F.bit_or("n_or").alias("n_or"))
@@ -157,7 +157,7 @@ def links(scratch: Scratch, codes: DataFrame, distance: int = 2) -> DataFrame:
                             & ((F.col("a") != F.col("b")) | (F.col("a1") <= F.col("c"))))
                  .select(F.col("a1").alias("a"), F.col("c").alias("b"), "a_and", "a_or", F.col("c_and").alias("b_and"), F.col("c_or").alias("b_or")))
         if level and level % 2 == 0:
-            pairs = scratch.table(pairs)
+            pairs = scratch.table(pairs, about)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -170,12 +170,12 @@ def links(scratch: Scratch, codes: DataFrame, distance: int = 2) -> DataFrame:
     both = (pairs.select("a", "b")
             .join(leaf.select(F.col("id").alias("a"), F.col("codes").alias("x")), "a")
             .join(leaf.select(F.col("id").alias("b"), F.col("codes").alias("y")), "b").select("x", "y"))
-    return scratch.table(both.mapInArrow(run, "u long, v long").distinct())
+    return scratch.table(both.mapInArrow(run, "u long, v long").distinct(), about)
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(u, root): every vertex of ``edges`` but the roots, with the smallest vertex of its component."""
-    before, now = None, edges
+    before, now, rows = None, edges, edges.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -185,13 +185,13 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         small = (small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v"))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        new = scratch.table(small)
+        new = scratch.table(small, rows)
         state = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         scratch.drop(now)
         now = new
         if tuple(state) == before:
             return now.select("u", F.col("v").alias("root"))
-        before = tuple(state)
+        before, rows = tuple(state), state[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = linked.join(codes, linked["u"] == codes["code"]).select("u", "root", "first")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     named = linked.join(least, "root").select(F.col("u").alias("code"), "least")
-    by_code = scratch.table(codes.join(named, "code", "left").select("code", F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id")))
+    by_code = (codes.join(named, "code", "left").select("code", F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id")))
     return prints.join(by_code, "code").select("doc_id", "code", "component_id")
 
 
