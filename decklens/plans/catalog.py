@@ -683,7 +683,7 @@ for _n, _task, _key in [("logreg", "cls", "clf_logistic"), ("svm", "cls", "clf_s
 
 def _grid_search(spark, sf_dir):
     f = _feature_table(spark, sf_dir)
-    grid = {"C": ML.CLS_GRID["logreg"]["C"], "max_iter": [100]}
+    grid = ML.CLS_GRID["logreg"]
     t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "logreg", grid, "cls")
     return spark.createDataFrame([(float(c), float(m)) for c, m in zip(grid["C"], t.cv_metrics)],
                                  "C double, mean_cv_f1 double")
@@ -717,8 +717,8 @@ register("feature_importance", None)(lambda s, d: rounded(_importance(s, d)))
 
 def _score_new(spark, sf_dir, compare=False):
     from pyspark.ml import PipelineModel
-    f = _feature_table(spark, sf_dir)
-    d = S.split_flag(f, "row_id", purpose="cls", stratify="competitive")
+    f = ML.cut_lineage(_feature_table(spark, sf_dir))  # read several times by the exact split
+    d = S.split_exact(f, "row_id", stratify="competitive")
     t = ML.fit_single(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, "competitive", "logreg",
                       {k: v[0] for k, v in SMOKE_CLS["logreg"].items()}, "cls")
     path = IO.scratch_path(spark, "model")
@@ -729,14 +729,22 @@ def _score_new(spark, sf_dir, compare=False):
                                        vector_to_array("probability")[1].alias("score"))
     if compare:
         before = t.model.transform(new).select("row_id", F.col("prediction").cast("int").alias("pred_before"))
-        out = out.join(before, "row_id").withColumn("same", F.col("prediction") == F.col("pred_before"))
+        out = out.join(before, "row_id").select("row_id", (F.col("prediction") == F.col("pred_before")).alias("same"))
     return out
 
 
+def _one_feature(model, setting):
+    """The registry pipeline (assembler, scaler, penalised fit) on one feature, where the optimum has a closed form."""
+    def fn(spark, sf_dir):
+        f = _feature_table(spark, sf_dir)
+        t = ML.fit_single(f, ["power_score"], "competitiveness_score", model, setting, "reg")
+        return ML.predict(t, f, ["power_score"], "competitiveness_score", "reg").select("row_id", "label", "prediction")
+    return fn
+
+
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 register("score_new_decks", None)(lambda s, d: rounded(_score_new(s, d)))
-register("model_roundtrip", None)(lambda s, d: rounded(_score_new(s, d, compare=True)))
 
 _STD_COLS = ["avg_cmc", "power_score", "avg_colors", "unique_types", "total_cards"]
 
@@ -832,10 +840,7 @@ def _split_exact(spark, sf_dir):
     return S.split_exact(t, "row_id", stratify="competitive").select("row_id", "competitive", "is_test")
 
 
-_both("split_exact", _split_exact,
-      "SELECT row_id, competitive, rn <= tc AS is_test FROM ranked JOIN alloc USING (c)",
-      others=["row_id", "competitive", "is_test"],
-      ctes=_TGT_CTES + [
+_EXACT = [
           "sb AS (SELECT row_id, competitive, CAST(competitive AS VARCHAR) AS c,"
           " CAST('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':exact-cls-42'), 1, 8) AS BIGINT) AS h FROM final)",
           "sizes AS (SELECT c, count(*) AS nc FROM sb GROUP BY c)",
@@ -843,7 +848,18 @@ _both("split_exact", _split_exact,
           "alloc0 AS (SELECT c, floor(nc * nt / n) AS base, nc * nt / n - floor(nc * nt / n) AS frac FROM sizes, tot)",
           "alloc AS (SELECT c, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, c)"
           " <= (SELECT nt FROM tot) - (SELECT sum(base) FROM alloc0) THEN 1 ELSE 0 END AS tc FROM alloc0)",
-          "ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY h, row_id) AS rn FROM sb)"])
+          "ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY h, row_id) AS rn FROM sb)"]
+_both("split_exact", _split_exact,
+      "SELECT row_id, competitive, rn <= tc AS is_test FROM ranked JOIN alloc USING (c)",
+      others=["row_id", "competitive", "is_test"], ctes=_TGT_CTES + _EXACT)
+_both("model_roundtrip", lambda s, d: _score_new(s, d, compare=True),
+      "SELECT row_id, TRUE AS same FROM ranked JOIN alloc USING (c) WHERE rn <= tc", others=["row_id", "same"], ctes=O.FEATURES_CTES + _EXACT)
+for _key, _model, _setting, _alpha in [("reg_linear_closed_form", "linear_reg", {}, 0), ("reg_ridge_closed_form", "ridge", {"alpha": 100, "max_iter": 1000}, 100)]:
+    _both(_key, _one_feature(_model, _setting),
+          "SELECT row_id, competitiveness_score AS label, yb + covar / s * n / (n + %d) * (power_score - m) / s AS prediction FROM final,"
+          " (SELECT avg(power_score) AS m, stddev_pop(power_score) AS s, avg(competitiveness_score) AS yb,"
+          " covar_pop(competitiveness_score, power_score) AS covar, count(*) AS n FROM final)" % _alpha,
+          doubles=["label", "prediction"], others=["row_id"], ctes=O.FEATURES_CTES)
 
 
 def _kfold_exact(spark, sf_dir):
