@@ -19,6 +19,13 @@ _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 SLAB = 1 << 20
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores as make it unlike every column of ``df``."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -123,8 +130,8 @@ def crc32_text(col: Column) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")), F.lit(0).cast("long"))
 
 
-def number_rows(scratch: Scratch, df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
-    """``df`` with a gapless long ``name`` from 0 within each ``group``, ordered by ``order``.
+def number_rows(scratch: Scratch, df: DataFrame, group: str, order: list[str], name: str, rows: int) -> DataFrame:
+    """``df`` (of about ``rows`` narrow rows) with a gapless long ``name`` from 0 within each ``group``, ordered by ``order``.
 
     The rows are range-sorted by (group, order) and written once with their
     place in their partition; the places of a group that spans partitions are
@@ -137,7 +144,7 @@ def number_rows(scratch: Scratch, df: DataFrame, group: str, order: list[str], n
           .sortWithinPartitions(group, *order)
           .withColumn("_place", F.monotonically_increasing_id()))
     at = scratch.table(at.withColumn("_part", F.shiftright("_place", 33).cast("int"))
-                       .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))))
+                       .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))), rows)
     runs = at.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     # one row for each (group, partition it spans): at most groups + partitions rows, a window of at most `parts` rows
     before = F.expr(f"coalesce(sum(_n) over (partition by `{group}` order by _part rows between unbounded preceding and 1 preceding), 0L)")

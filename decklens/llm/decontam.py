@@ -99,9 +99,10 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) that contain no item."""
     scratch = Scratch(docs.sparkSession, "clean")
-    bad = scratch.table(contained(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h")).distinct())
-    text = F.col(text_col).cast("string")
-    return docs.join(_sized(bad, bad.count()), F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_h")), "left_anti")
+    bad = scratch.table(contained(docs, items, id_col, text_col, **options).select("doc_id", "hash").distinct())
+    bad = _sized(bad, bad.count())
+    same = docs[id_col].cast("long").eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 #: DuckDB: every document against every item, shingle by shingle.

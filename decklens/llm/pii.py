@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch
+from decklens.llm.common import Scratch, free_name
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_TRUST = 3, 3, 0.8, 0.9
@@ -153,7 +153,8 @@ def learn_patterns(scratch: Scratch, mentions: DataFrame, rounds: int = ROUNDS)
     edges = (mentions.select(F.explode("kinds").alias("kind"), "seed", "instance", "patterns")
              .select("kind", "seed", "instance", F.explode("patterns").alias("pattern"))
              .groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed")))
-    edges = scratch.table(edges)
+    n = 3 * mentions.count()  # a mention has at most three patterns
+    edges = scratch.table(edges, n)
     trusted = edges.filter("seed").select("instance", "kind").distinct()
     accepted = None
     for _ in range(rounds):
@@ -163,11 +164,11 @@ def learn_patterns(scratch: Scratch, mentions: DataFrame, rounds: int = ROUNDS)
         other = by.groupBy("pattern").agg(F.sum("good").alias("all_good"))
         scored = (by.filter(F.col("good") >= MIN_SEEDS).join(other, "pattern")
                   .withColumn("confidence", F.col("good") / (F.col("n") + F.col("all_good") - F.col("good"))))
-        now = scratch.table(scored.filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "kind", "confidence"))
+        now = scratch.table(scored.filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "kind", "confidence"), n)
         doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
         likely = (edges.join(now, ["pattern", "kind"]).groupBy("instance", "kind").agg(doubt.alias("doubt"))
                   .filter(F.col("doubt") <= F.log(F.lit(1 - MIN_TRUST))).select("instance", "kind"))
-        more = scratch.table(trusted.unionByName(likely).distinct())
+        more = scratch.table(trusted.unionByName(likely).distinct(), n)
         scratch.drop(accepted)
         trusted, accepted = more, now
     return accepted
@@ -206,10 +207,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Null texts stay null.  Spans that overlap are replaced together.
     """
-    found = (find(docs, id_col, text_col).filter(F.size("spans") > 0)
-             .groupBy("doc_id", "hash").agg(F.first("spans").alias("spans"))
-             .select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("spans").alias("_spans")))
-    names = docs.columns
+    names, extra = docs.columns, free_name(docs, "_spans")
+    found = find(docs, id_col, text_col).filter(F.size("spans") > 0).groupBy("doc_id", "hash").agg(F.first("spans").alias(extra))
     at, types = names.index(text_col), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +226,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 out.append(t)
             yield pa.RecordBatch.from_arrays([pa.array(out, b.schema.field(k).type) if k == at else b.column(k) for k in range(len(names))], names)
 
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select("*", F.col(id_col).cast("long").alias("_id0"), F.xxhash64(text).alias("_hash0"))
-    joined = keyed.join(found, F.col("_id0").eqNullSafe(F.col("_id")) & (F.col("_hash0") == F.col("_hash")), "left")
-    return joined.select(*[F.col(f"`{n}`") for n in names], "_spans").mapInArrow(run, types)
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    same = docs[id_col].cast("long").eqNullSafe(found["doc_id"]) & (F.xxhash64(text) == found["hash"])
+    return docs.join(found, same, "left").select(*[docs[n] for n in names], found[extra]).mapInArrow(run, types)

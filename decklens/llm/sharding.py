@@ -156,8 +156,9 @@ def assign(docs: DataFrame, shards: int | None = None, capacity: int | None = No
     spark = docs.sparkSession
     scratch = Scratch(spark, "sharding")
     rows = scratch.table(_groups(docs, id_col, text_col))
+    n = rows.count()
     groups = rows.groupBy("_text").agg(F.sum("size").alias("bytes")).select("_text", size_class(F.col("bytes")).alias("class"))
-    ranked = number_rows(scratch, groups, "class", ["_text"], "rank")
+    ranked = number_rows(scratch, groups, "class", ["_text"], "rank", n)
     classes = [(r["class"], r["n"]) for r in ranked.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()]  # bounded by PRECISION
     if not classes:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
@@ -167,4 +168,4 @@ def assign(docs: DataFrame, shards: int | None = None, capacity: int | None = No
     plan = F.broadcast(plan) if len(runs) <= 1_000_000 else plan
     where = (ranked.join(plan, "class").filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select("_text", "shard"))
     placed = rows.join(where, "_text").select("doc_id", "size", "text_crc32", "shard")
-    return number_rows(scratch, placed, "shard", ["doc_id", "text_crc32"], "slot")
+    return number_rows(scratch, placed, "shard", ["doc_id", "text_crc32"], "slot", n)

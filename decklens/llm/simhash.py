@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch, lower_slabs, shuffle_partitions
+from decklens.llm.common import Scratch, free_name, lower_slabs, shuffle_partitions
 
 LEAF = 256
 FAN_BITS = 5
@@ -59,14 +59,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, code): one row for each input row; code is the fingerprint as a signed long."""
+    """(doc_id, hash, code): one row for each input row; the text's hash and its fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            codes = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes.view(np.int64))], ["doc_id", "code"])
+            codes = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(2)), dtype=np.uint64, count=b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(codes.view(np.int64))], ["doc_id", "hash", "code"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, code long"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, "doc_id long, hash long, code long")
 
 
 def gray_rank(code: Column) -> Column:
@@ -195,7 +195,7 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """(doc_id, code, component_id): one row for each input row.
+    """(doc_id, hash, code, root, component_id): one row for each input row; root is a code that names the component.
 
     component_id is the smallest doc_id reachable over links, the document
     itself included.  Null text counts as empty (fingerprint zero); a null id
@@ -212,17 +212,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = roots.unionByName(roots.select(F.col("root").alias("u"), "root").distinct())
     linked = linked.join(codes, linked["u"] == codes["code"]).select("u", "root", "first")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    named = linked.join(least, "root").select(F.col("u").alias("code"), "least")
-    by_code = (codes.join(named, "code", "left").select("code", F.when(F.col("least").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id")))
-    return prints.join(by_code, "code").select("doc_id", "code", "component_id")
+    named = linked.join(least, "root").select(F.col("u").alias("code"), "root", "least")
+    name = F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id")
+    # written, so that the join below shuffles both sides for itself and a hot code can be split
+    by_code = scratch.table(codes.join(named, "code", "left").select("code", F.coalesce("root", "code").alias("root"), name), prints.count())
+    return prints.join(by_code, "code").select("doc_id", "hash", "code", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are the named document of their component; a repeated id stays once.
+    """One row of ``docs`` (all columns) for each component: that of its smallest id, a null id only if all are null.
 
-    Components whose ids are all null keep one row.
+    Of rows with this id, the text with the smallest hash stays; of rows that
+    repeat id and text, any one.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["_keep"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "hash")).alias("k")
+    keep = found.groupBy("root").agg(first).select("k.doc_id", F.col("k.hash").alias("keep_hash"))
+    tag = free_name(docs, "_hash")
+    tagged = docs.withColumn(tag, F.xxhash64(F.col(text_col).cast("string")))
+    same = tagged[id_col].cast("long").eqNullSafe(keep["doc_id"]) & (tagged[tag] == keep["keep_hash"])
+    return tagged.join(keep, same, "left_semi").dropDuplicates([id_col, tag]).drop(tag)

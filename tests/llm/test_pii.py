@@ -37,7 +37,7 @@ def corpus(spark):
     broken = [v[:-1] + str((int(v[-1]) + 1) % 10) for v in valid]
     rows = [(i, f"please bill card number {v} before noon") for i, v in enumerate(valid)]
     rows += [(100, f"then bill card number {broken[0]} before noon"), (101, f"serial {broken[1]} of the part"), (102, None), (103, ""), (None, "mail a@b.cd"), (103, "")]
-    return spark.createDataFrame([(d, t, "s", 1) for d, t in rows], "doc_id long, text string, spans string, hash int"), broken
+    return spark.createDataFrame([(d, t, "s", 1, 2) for d, t in rows], "doc_id long, text string, spans string, hash int, _spans int"), broken
 
 
 def test_contexts_find_unseen_identifiers(spark):

@@ -22,6 +22,7 @@ def test_containment_equals_brute_force(spark):
             (6, "two words"), (7, ITEM), (7, ITEM), (7, filler), (8, " ".join([ITEM] * 40))]
     items = [(10, ITEM), (11, "two words"), (12, None), (13, ""), (14, " ".join("f%d" % i for i in range(40, 140))), (None, "q r s t u v"), (15, "alpha beta gamma delta epsilon")]
     d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, hash int, gram string")
+    d = d.withColumn("_d", F.lit(1)).withColumn("_h", F.lit(1))
     b = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id long, text string, q int")
     got = {(r["doc_id"], r["item_id"], round(r["containment"], 9)) for r in decontam.contained(d, b).collect()}
     want = set()

@@ -38,7 +38,7 @@ def test_documents_match_brute_force(spark):
     extra = [(1000, None), (1001, ""), (1002, " \t "), (1003, "one two"), (1003, "one two"), (None, "one two"), (1005, "É A-Z b\nC d e " * 400)]
     rows = [(r[0], r[1]) for r in rows] + extra
     df = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, code int, component_id string")
-    got = sorted(((r[0] is None, r[0], r[1] & (2**64 - 1), r[2]) for r in simhash.near_duplicates(df).collect()), key=str)
+    got = sorted(((r["doc_id"] is None, r["doc_id"], r["code"] & (2**64 - 1), r["component_id"]) for r in simhash.near_duplicates(df).collect()), key=str)
     codes = [brute_print(t) for _, t in rows]
     want = sorted(((d is None, d, c, k) for (d, _), c, k in zip(rows, codes, brute_components([d for d, _ in rows], codes))), key=str)
     assert got == want
@@ -80,6 +80,9 @@ def test_empty_table(spark):
 
 
 def test_one_of_each(spark):
-    df = spark.createDataFrame([(2, "a b c d", "k"), (1, "a b c d", "l"), (1, "a b c d", "m"), (7, "other words here now", None)], "doc_id long, text string, lang string")
+    rows = [(2, "a b c d", "k"), (1, "a b c d", "l"), (1, "a b c d", "m"), (7, "other words here now", None), (None, "a b c d", "n"),
+            (None, "null id of its own", "o"), (None, "null id of its own", "p"), (None, "yet another null id text", "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _hash string")
     out = simhash.one_of_each(df)
-    assert out.columns == df.columns and sorted(r[0] for r in out.collect()) == [1, 7]
+    assert out.columns == df.columns
+    assert sorted((str(r[0]), r[1]) for r in out.collect()) == [("1", "a b c d"), ("7", "other words here now"), ("None", "null id of its own"), ("None", "yet another null id text")]
