@@ -7,9 +7,7 @@ convenience for scripts and tests.  On a cluster the caller's session (and its
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 

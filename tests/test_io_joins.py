@@ -1,6 +1,5 @@
 """IO round trips and join helpers on hand-written rows."""
 
-from pyspark.sql import functions as F
 
 from decklens.operators.joins import attach_deck_attributes, merge_cards
 from decklens.sources import io as IO
