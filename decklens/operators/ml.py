@@ -32,6 +32,7 @@ from decklens.operators import metrics as M
 from decklens.operators import split as S
 from decklens.session import cut_lineage
 
+SVR_BLOCK_ROWS = 4096
 SPARK_MAX_DEPTH = 30  # Spark's tree depth cap; stands in for "no limit"
 
 # The reference's model grids (classification and regression).
@@ -148,7 +149,7 @@ class EpsilonSVR(Estimator, _SVRParams):
 
     def _fit(self, df: DataFrame) -> "LinearVectorModel":
         """Full-batch subgradient descent with iterate averaging.  The data
-        is cut once into numpy blocks per partition (cached); every step is
+        is cut once into numpy blocks of bounded size (cached); every step is
         one ``treeAggregate`` of X_block^T g_block over the blocks, so the
         per-step work is vectorised and only d+1 numbers reach the driver."""
         fc, lc = self.getOrDefault(self.featuresCol), self.getOrDefault(self.labelCol)
@@ -159,6 +160,9 @@ class EpsilonSVR(Estimator, _SVRParams):
             for r in rows:
                 xs.append(r[0].toArray())
                 ys.append(float(r[1]))
+                if len(xs) == SVR_BLOCK_ROWS:
+                    yield np.vstack(xs), np.asarray(ys)
+                    xs, ys = [], []
             if xs:
                 yield np.vstack(xs), np.asarray(ys)
 
