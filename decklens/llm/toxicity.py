@@ -7,10 +7,9 @@ pairs that skip one or two words.  FTRL-proximal keeps a rate for every coordina
 and its L1 term leaves most weights exactly zero, so the model is a short
 sparse vector that is broadcast.
 
-Training reads a bounded sample of the labelled rows.  The rows are dealt to
-``SHARDS`` tasks by hash; in each epoch every task continues from the common
-state over its rows in a fixed order, and the states are averaged (iterative
-parameter mixing), so no task or driver holds the training rows.
+Training reads a bounded sample of the labelled rows, dealt by hash to tasks
+of about ``SHARD_ROWS`` rows.  Every task learns over its rows in a fixed order
+and returns its nonzero weights only, which are averaged (parameter mixing).
 """
 
 from __future__ import annotations
@@ -24,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch, word_hashes
+from decklens.llm.common import word_hashes
 
-BITS = 20
-SHARDS = 4
+BITS = 22
+SHARD_ROWS = 5000
 STEMS = (4, 5)
 _WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -60,15 +59,13 @@ def features(text: str | None) -> Iterator[np.ndarray]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", key: str = "doc_id", text_col: str = "text", max_rows: int = 20_000,
-        epochs: int = 8, alpha: float = 3.0, beta: float = 1.0, l1: float = 3.0, l2: float = 0.0) -> tuple[np.ndarray, np.ndarray, float]:
+        epochs: int = 5, alpha: float = 3.0, beta: float = 1.0, l1: float = 3.0, l2: float = 0.0) -> tuple[np.ndarray, np.ndarray, float]:
     """(indices, weights, bias) learned from ``labels`` (key, label 0/1) and the texts of ``docs``.
 
     At most about ``max_rows`` labelled rows, chosen by a hash of the key, are
     used.  Labels that are null are left out; a key labelled twice counts as 1
     if any of its labels is 1.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "toxicity")
     given = labels.select(F.col(key).alias("k"), F.col(label_col).cast("int").alias("y")).filter("k is not null and y is not null").groupBy("k").agg(F.max("y").alias("y"))
     n = given.count()
     if n == 0:
@@ -83,47 +80,37 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", key: str =
 
     # the sample's keys and labels: at most about max_rows rows of 24 bytes
     rows = docs.select(F.col(key).alias("k"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(given), "k").select("y", "h", "text")
-    rows = scratch.table(rows.mapInArrow(extract, "y int, h long, x binary"))
-    size = (1 << BITS) + 1
-    z, s = np.zeros(size, np.float32), np.zeros(size, np.float32)
-
-    for _ in range(epochs):
-        state = spark.sparkContext.broadcast((z, s))
-
-        def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-            z, s = (x.astype(np.float64) for x in state.value)
-            touched = np.zeros(size, bool)
-            pdf = pdf.sort_values(["h", "y"], kind="stable")
-            for y, raw in zip(pdf["y"], pdf["x"]):
-                i = np.append(np.frombuffer(raw, np.int32).astype(np.int64), size - 1)
+    size, shards = (1 << BITS) + 1, min(n, max_rows) // SHARD_ROWS + 1
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        z, s, pen = np.zeros(size, np.float32), np.zeros(size, np.float32), np.full(size, l1, np.float32)
+        pen[-1] = 0.0  # the last coordinate is the bias
+        pdf = pdf.sort_values(["h", "y"], kind="stable")
+        sets = [np.append(np.frombuffer(raw, np.int32), size - 1) for raw in pdf["x"]]
+        for _ in range(epochs):
+            for y, i in zip(pdf["y"], sets):
                 zi, si = z[i], s[i]
                 root = np.sqrt(si)
-                pen = np.where(i == size - 1, 0.0, l1)
-                w = np.where(np.abs(zi) <= pen, 0.0, (np.sign(zi) * pen - zi) / ((beta + root) / alpha + l2))
-                p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
-                g = p - min(1, max(0, y))
+                w = np.where(np.abs(zi) <= pen[i], 0.0, (np.sign(zi) * pen[i] - zi) / ((beta + root) / alpha + l2))
+                g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - min(1, max(0, y))
                 z[i] = zi + g - (np.sqrt(si + g * g) - root) / alpha * w
                 s[i] = si + g * g
-                touched[i] = True
-            at = np.flatnonzero(touched).astype(np.int32)
-            return pd.DataFrame({"shard": pdf["shard"].iloc[:1].to_numpy(), "i": [at.tobytes()], "z": [z[at].astype(np.float32).tobytes()], "s": [s[at].astype(np.float32).tobytes()]})
-
-        parts = (rows.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(SHARDS))).groupBy("shard")
-                 .applyInPandas(lambda pdf: learn(pdf), "shard long, i binary, z binary, s binary").collect())  # SHARDS states
-        dz, ds, by = np.zeros(size), np.zeros(size), np.zeros(size)
-        for p in sorted(parts, key=lambda p: p["shard"]):
-            i = np.frombuffer(bytes(p["i"]), np.int32)
-            dz[i] += np.frombuffer(bytes(p["z"]), np.float32) - z[i]
-            ds[i] += np.frombuffer(bytes(p["s"]), np.float32) - s[i]
-            by[i] += 1
-        # a coordinate moves by its mean change over the tasks that met it, times the root of their number
-        by = np.sqrt(np.maximum(by, 1))
-        z, s = (z + dz / by).astype(np.float32), (s + ds / by).astype(np.float32)
-    pen = np.full(size, l1)
-    pen[-1] = 0.0
-    w = np.where(np.abs(z) <= pen, 0.0, (np.sign(z) * pen - z) / ((beta + np.sqrt(s)) / alpha + l2))
-    at = np.flatnonzero(w[:-1])
-    return at, w[at], float(w[-1])
+        at = np.flatnonzero(np.abs(z) > pen).astype(np.int32)
+        w = (np.sign(z[at]) * pen[at] - z[at]) / ((beta + np.sqrt(s[at])) / alpha + l2)
+        return pd.DataFrame({"n": [len(pdf)], "i": [at.tobytes()], "w": [w.astype(np.float64).tobytes()]})
+
+    parts = (rows.mapInArrow(extract, "y int, h long, x binary").withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
+             .groupBy("shard").applyInPandas(learn, "n long, i binary, w binary").collect())  # the nonzero weights of each shard
+    total = sum(p["n"] for p in parts)
+    if not total:
+        return np.empty(0, np.int64), np.empty(0), 0.0
+    i = np.concatenate([np.frombuffer(bytes(p["i"]), np.int32) for p in parts])
+    w = np.concatenate([np.frombuffer(bytes(p["w"])) * (p["n"] / total) for p in parts])
+    at, place = np.unique(i, return_inverse=True)
+    mean = np.bincount(place, weights=w, minlength=len(at))
+    bias = float(mean[at == size - 1].sum())
+    keep = (at != size - 1) & (mean != 0)
+    return at[keep].astype(np.int64), mean[keep], bias
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

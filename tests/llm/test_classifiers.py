@@ -89,12 +89,12 @@ def test_toxic_features_in_parts_equal_the_whole(monkeypatch):
     text = " ".join("w%d" % (i * 31 % 101) for i in range(140_000))
     got = np.unique(np.concatenate(list(toxicity.features(text))))
     h = toxicity.word_hashes(toxicity._WORDS.findall(text.encode()))
-    want = {int((h[i] * toxicity._MULT[0]) >> np.uint64(44)) for i in range(len(h))}
+    want = {int((h[i] * toxicity._MULT[0]) >> np.uint64(64 - toxicity.BITS)) for i in range(len(h))}
     for n in toxicity.STEMS:
         stems = toxicity.word_hashes([w[:n] for w in text.encode().split() if len(w) > n])
-        want |= set(((stems * toxicity._MULT[n % 4]) >> np.uint64(44)).astype(np.int64).tolist())
+        want |= set(((stems * toxicity._MULT[n % 4]) >> np.uint64(64 - toxicity.BITS)).astype(np.int64).tolist())
     for gap in (1, 2, 3):
-        want |= set((((h[:-gap] * toxicity._MULT[gap] ^ (h[gap:] >> np.uint64(7))) * toxicity._MULT[0]) >> np.uint64(44)).astype(np.int64).tolist())
+        want |= set((((h[:-gap] * toxicity._MULT[gap] ^ (h[gap:] >> np.uint64(7))) * toxicity._MULT[0]) >> np.uint64(64 - toxicity.BITS)).astype(np.int64).tolist())
     assert set(got.tolist()) == want
 
 
