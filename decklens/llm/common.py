@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,12 @@ def lower_slabs(text: str | None) -> Iterator[list[bytes]]:
         at = end
 
 
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of an Arrow batch, so that only a few texts at a time become Python objects."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 _WORD = xxhash.xxh3_64_intdigest
 
 

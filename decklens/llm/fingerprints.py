@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import lower_slabs, shuffle_partitions, window_hashes, word_hashes
+from decklens.llm.common import lower_slabs, shuffle_partitions, slices, window_hashes, word_hashes
 
 K = 128
 SHINGLE = 5
@@ -136,7 +136,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
     last = None
-    for b in batches:
+    for b in (s for batch in batches for s in slices(batch)):
         out = []
         for bucket, ahead, doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
             if ahead and (last is None or last[0] != bucket):

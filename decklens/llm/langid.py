@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from decklens.llm.common import slices
+
 DIMS = 512
 BLOCK = 1 << 18
 SLICE = 4096
@@ -75,7 +77,7 @@ def _bundle(parts: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
         docs.append(np.full(len(s) - 2, at[r]))
         begin += len(s)
     keys, docs = np.concatenate(keys), np.concatenate(docs)
-    if n ** 3 <= 1 << 22:
+    if n ** 3 <= 1 << 20:
         distinct = np.flatnonzero(np.bincount(keys, minlength=n ** 3))
         place = np.zeros(n ** 3, dtype=np.int64)
         place[distinct] = np.arange(len(distinct))
@@ -139,7 +141,7 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", key_co
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict = {}
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             unit = _unit(vectors([t.as_py() for t in b.column(1)], dims)).astype(np.float64)
             for lang, salt, v in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), unit):
                 total[lang, salt] = total.get((lang, salt), 0.0) + v
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     shared = docs.sparkSession.sparkContext.broadcast((langs, prototypes))  # languages (at most MAX_LANGUAGES) x dims
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             pred, score = _scores([t.as_py() for t in b.column(1)], *shared.value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
@@ -191,7 +193,7 @@ def known_language(docs: DataFrame, model: tuple[list[str], np.ndarray], text_co
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             pred, _ = _scores([t.as_py() for t in b.column(at)], *shared.value)
             yield b.filter(pa.array([p != "und" and (wanted is None or p in wanted) for p in pred], pa.bool_()))
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch, free_name
+from decklens.llm.common import Scratch, free_name, slices
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_TRUST = 3, 3, 0.8, 0.9
@@ -134,7 +134,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                   ("instance", pa.string()), ("patterns", pa.list_(pa.string()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             spans, mentions = [], []
             for t in b.column(2):
                 t = t.as_py() or ""
