@@ -9,8 +9,8 @@ several slots.  Pieces and slots that a task cannot match inside its range are
 ranked; only the counts of each range go to the driver, which pairs ranks of
 leftover pieces with ranks of leftover slots of the ranges above - again the
 nearest first, each slot once - and a join on (range, rank) completes the
-match.  The gaps are updated and the round is repeated; pieces that fit no gap
-open new sequences.  No task holds more than its range, and no row but the
+match.  The gaps are updated, sequences are opened for the pieces that found no
+gap, and the round is repeated.  No task holds more than its range, and no row but the
 counts of the ranges reaches the driver.
 """
 
@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch, shuffle_partitions
+from decklens.llm.common import Scratch, shuffle_partitions, slices
 from decklens.llm.tokens import encoder, vocabulary_path
 
 #: Size classes: pieces of more than capacity/(next) and at most capacity/(this) tokens.
-DIVISORS = (1, 2, 3, 4, 6, 8, 12, 16, 32)
+DIVISORS = (1, 2, 3, 4, 6, 10, 20, 50)
 
 
 def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             out: list[tuple] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encode(text.as_py()) + end
@@ -65,25 +65,26 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range, large to small: (part, kind, id, bin, rank); kind 2 matched, 1 piece left over, 0 slot left over."""
+    """One range, large to small: (part, kind, id, length, bin, rank); kind 2 matched, 1 piece left over, 0 slot left over."""
     part, left, stack = TaskContext.get().partitionId(), 0, []
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["part", "kind", "id", "bin", "rank"]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["part", "kind", "id", "length", "bin", "rank"]
     for b in batches:
         out = []
-        for kind, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for kind, key, size in zip(*(c.to_pylist() for c in b.columns)):
             if kind == 0:
                 stack.append(key)
             elif stack:
-                out.append((part, 2, key, stack.pop(), None))
+                out.append((part, 2, key, size, stack.pop(), None))
             else:
-                out.append((part, 1, key, None, left))
+                out.append((part, 1, key, size, None, left))
                 left += 1
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
     for at in range(0, len(stack), 65536):
         ids = stack[at:at + 65536]
-        cols = ([part] * len(ids), [0] * len(ids), ids, [None] * len(ids), range(at, at + len(ids)))
+        none = [None] * len(ids)
+        cols = ([part] * len(ids), [0] * len(ids), ids, none, none, range(at, at + len(ids)))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
 
@@ -112,14 +113,14 @@ def pair_ranges(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int,
 
 
 def _match(scratch: Scratch, slots: DataFrame, docs: DataFrame) -> DataFrame:
-    """(uid, bin): each piece with the slot that the sweep gives it."""
+    """(uid, length, bin): each piece that the sweep gives a slot."""
     spark = scratch.spark
     both = (slots.select("size", F.lit(0).alias("kind"), F.col("bin").alias("id"))
             .unionByName(docs.select(F.col("length").alias("size"), F.lit(1).alias("kind"), F.col("uid").alias("id"))))
     order = [F.col("size").desc(), F.col("kind"), F.col("id")]
     swept = scratch.table(both.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-                          .select("kind", "id").mapInArrow(_sweep, "part int, kind int, id long, bin long, rank long"))
-    near = swept.filter("kind = 2").select(F.col("id").alias("uid"), "bin")
+                          .select("kind", "id", "size").mapInArrow(_sweep, "part int, kind int, id long, length long, bin long, rank long"))
+    near = swept.filter("kind = 2").select(F.col("id").alias("uid"), "length", "bin")
     counts = (swept.filter("kind < 2").groupBy("part").agg(F.sum("kind").alias("docs"), F.sum(1 - F.col("kind")).alias("slots")).collect())
     runs = pair_ranges([(r["part"], r["docs"], r["slots"]) for r in counts])
     if not runs:
@@ -127,9 +128,9 @@ def _match(scratch: Scratch, slots: DataFrame, docs: DataFrame) -> DataFrame:
     # at most two runs for each range of the sort: a bound by the number of partitions
     plan = F.broadcast(spark.createDataFrame(runs, "dpart int, lo long, hi long, spart int, top long"))
     far = (swept.filter("kind = 1").join(plan, (F.col("part") == F.col("dpart")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
-           .select(F.col("id").alias("uid"), "spart", (F.col("top") - F.col("rank") + F.col("lo")).alias("srank")))
+           .select(F.col("id").alias("uid"), "length", "spart", (F.col("top") - F.col("rank") + F.col("lo")).alias("srank")))
     free = swept.filter("kind = 0").select(F.col("part").alias("p"), F.col("rank").alias("r"), F.col("id").alias("bin"))
-    return near.unionByName(far.join(free, (F.col("spart") == F.col("p")) & (F.col("srank") == F.col("r"))).select("uid", "bin"))
+    return near.unionByName(far.join(free, (F.col("spart") == F.col("p")) & (F.col("srank") == F.col("r"))).select("uid", "length", "bin"))
 
 
 def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFrame:
@@ -138,34 +139,36 @@ def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFr
     bounds = [capacity // d for d in DIVISORS] + [0]
     large = items.filter(F.col("length") > bounds[1])
     placed = [large.select("uid", F.col("uid").alias("bin"))]
-    bins = scratch.table(large.filter(F.col("length") < capacity).select(F.col("uid").alias("bin"), (capacity - F.col("length")).alias("gap")))
     which = sum((F.col("length") <= b).cast("int") for b in bounds[1:-1])
-    present = {r["c"] for r in items.groupBy(which.alias("c")).count().collect()}  # one row for each size class
+    present = {r["c"]: r["count"] for r in items.groupBy(which.alias("c")).count().collect()}  # one row for each size class
+    n_bins = present.get(0, 0)
+    bins = scratch.table(large.filter(F.col("length") < capacity).select(F.col("uid").alias("bin"), (capacity - F.col("length")).alias("gap")), n_bins)
     new_bins = 0
     for k, (hi, lo) in enumerate(zip(bounds, bounds[1:])):
         if k == 0 or k not in present:
             continue
-        docs, left, kept = items.filter((F.col("length") <= hi) & (F.col("length") > lo)), None, []
-        while left != 0:
+        docs, left, kept = items.filter((F.col("length") <= hi) & (F.col("length") > lo)), present[k], []
+        while left:
             fits = F.greatest(F.lit(1), F.floor(F.col("gap") / hi).cast("int"))
             slots = (bins.filter(F.col("gap") > lo).withColumn("n", fits)
                      .select("bin", "gap", "n", F.explode(F.sequence(F.lit(1), "n")).alias("j"))
                      .select("bin", F.when(F.col("j") < F.col("n"), F.lit(hi).cast("long")).otherwise(F.col("gap") - (F.col("n") - 1) * hi).alias("size")))
-            got = scratch.table(_match(scratch, slots, docs).join(docs, "uid").select("uid", "bin", "length"))
+            got = scratch.table(_match(scratch, slots, docs), left)
             placed.append(got.select("uid", "bin"))
-            rest = scratch.table(docs.join(got, "uid", "left_anti"))
+            rest = scratch.table(docs.join(got, "uid", "left_anti"), left)
             used = got.groupBy("bin").agg(F.sum("length").alias("used"))
             state = bins.join(used, "bin", "left").select("bin", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).filter("gap > 0")
-            was, left = left, rest.count()
-            if left and left == was or left and was is None and got.isEmpty():
-                # no gap holds any of them: open sequences that hold `capacity // hi` of them each
+            left = rest.count()
+            if left:
+                # open sequences for all that is left, `capacity // hi` in each; the next sweep fills the
+                # smaller gaps first, and what stays empty is there for the smaller classes
                 n = -(-left // (capacity // hi))
-                ids = spark.range(new_bins, new_bins + n).select((-1 - F.col("id")).alias("bin"), F.lit(capacity).cast("long").alias("gap"))
+                fresh = spark.range(new_bins, new_bins + n).select((-1 - F.col("id")).alias("bin"), F.lit(capacity).cast("long").alias("gap"))
                 new_bins += n
-                state = state.unionByName(ids)
-            fresh = scratch.table(state)
+                state = state.unionByName(fresh)
+            state = scratch.table(state, n_bins + new_bins)
             scratch.drop(bins, *kept)
-            bins, docs, kept = fresh, rest, [rest]
+            bins, docs, kept = state, rest, [rest]
     out = placed[0]
     for p in placed[1:]:
         out = out.unionByName(p)
