@@ -1,36 +1,31 @@
-"""Best-fit packing of documents into fixed-length token sequences.
-
-Bulk-synchronous best fit.  Pieces are taken in falling size classes.  In a
-round the pieces of the class and the gaps of the open sequences are
-range-sorted together by size; every task sweeps its range from large to small
-and gives each piece the smallest gap that still holds it (the gap last seen:
-its successor).  A gap for several pieces of the class stands in the sort as
-several slots.  Pieces and slots that a task cannot match inside its range are
-ranked; only the counts of each range go to the driver, which pairs ranks of
-leftover pieces with ranks of leftover slots of the ranges above - again the
-nearest first, each slot once - and a join on (range, rank) completes the
-match.  The gaps are updated, sequences are opened for the pieces that found no
-gap, and the round is repeated.  No task holds more than its range, and no row but the
-counts of the ranges reaches the driver.
+"""Best-fit-decreasing packing of documents into fixed-length token sequences.
+
+Where best-fit decreasing puts the pieces depends on their lengths alone, and
+there are at most ``capacity`` lengths.  The driver reads the number of pieces
+of each length and packs whole lengths, large to small: the pieces of a length
+go to the sequences with the smallest gap that still holds one, as many to
+each as its true gap takes, and sequences are opened only when no gap holds a
+piece.  Sequences alike are kept as runs of consecutive numbers; a run that is
+taken whole more than halves its gap and a length splits one run at most, so the
+plan grows with ``capacity`` and not with the data.  Pieces are numbered
+within their length in a distributed way (no task holds more than its range),
+and each finds its sequence in the broadcast plan by its number.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch, shuffle_partitions, slices
+from decklens.llm.common import Scratch, number_rows, slices
 from decklens.llm.tokens import encoder, vocabulary_path
 
-#: Size classes: pieces of more than capacity/(next) and at most capacity/(this) tokens.
-DIVISORS = (1, 2, 3, 4, 6, 10, 20, 50)
-
 
 def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
            vocabulary: str | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -64,30 +59,6 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range, large to small: (part, kind, id, length, bin, rank); kind 2 matched, 1 piece left over, 0 slot left over."""
-    part, left, stack = TaskContext.get().partitionId(), 0, []
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["part", "kind", "id", "length", "bin", "rank"]
-    for b in batches:
-        out = []
-        for kind, key, size in zip(*(c.to_pylist() for c in b.columns)):
-            if kind == 0:
-                stack.append(key)
-            elif stack:
-                out.append((part, 2, key, size, stack.pop(), None))
-            else:
-                out.append((part, 1, key, size, None, left))
-                left += 1
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-    for at in range(0, len(stack), 65536):
-        ids = stack[at:at + 65536]
-        none = [None] * len(ids)
-        cols = ([part] * len(ids), [0] * len(ids), ids, none, none, range(at, at + len(ids)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
-
-
 def pair_ranges(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
     """Pair leftovers over ranges in falling size: (piece range, first rank, end rank, slot range, slot rank of the first).
 
@@ -112,67 +83,63 @@ def pair_ranges(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int,
     return runs
 
 
-def _match(scratch: Scratch, slots: DataFrame, docs: DataFrame) -> DataFrame:
-    """(uid, length, bin): each piece that the sweep gives a slot."""
-    spark = scratch.spark
-    both = (slots.select("size", F.lit(0).alias("kind"), F.col("bin").alias("id"))
-            .unionByName(docs.select(F.col("length").alias("size"), F.lit(1).alias("kind"), F.col("uid").alias("id"))))
-    order = [F.col("size").desc(), F.col("kind"), F.col("id")]
-    swept = scratch.table(both.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-                          .select("kind", "id", "size").mapInArrow(_sweep, "part int, kind int, id long, length long, bin long, rank long"))
-    near = swept.filter("kind = 2").select(F.col("id").alias("uid"), "length", "bin")
-    counts = (swept.filter("kind < 2").groupBy("part").agg(F.sum("kind").alias("docs"), F.sum(1 - F.col("kind")).alias("slots")).collect())
-    runs = pair_ranges([(r["part"], r["docs"], r["slots"]) for r in counts])
-    if not runs:
-        return near
-    # at most two runs for each range of the sort: a bound by the number of partitions
-    plan = F.broadcast(spark.createDataFrame(runs, "dpart int, lo long, hi long, spart int, top long"))
-    far = (swept.filter("kind = 1").join(plan, (F.col("part") == F.col("dpart")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
-           .select(F.col("id").alias("uid"), "length", "spart", (F.col("top") - F.col("rank") + F.col("lo")).alias("srank")))
-    free = swept.filter("kind = 0").select(F.col("part").alias("p"), F.col("rank").alias("r"), F.col("id").alias("bin"))
-    return near.unionByName(far.join(free, (F.col("spart") == F.col("p")) & (F.col("srank") == F.col("r"))).select("uid", "length", "bin"))
+def plan(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int]]:
+    """Best-fit decreasing of ``counts`` (length, pieces) as runs (first piece, first sequence, pieces to a sequence).
 
+    Pieces are numbered from 0 in falling length; a run ends where the next begins.
+    """
+    runs, gaps, alike, opened, at = [], [], {}, 0, 0
 
-def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFrame:
-    """(uid, bin) for ``items`` (uid long, unique and not negative; length from 1 to ``capacity``)."""
-    spark = scratch.spark
-    bounds = [capacity // d for d in DIVISORS] + [0]
-    large = items.filter(F.col("length") > bounds[1])
-    placed = [large.select("uid", F.col("uid").alias("bin"))]
-    which = sum((F.col("length") <= b).cast("int") for b in bounds[1:-1])
-    present = {r["c"]: r["count"] for r in items.groupBy(which.alias("c")).count().collect()}  # one row for each size class
-    n_bins = present.get(0, 0)
-    bins = scratch.table(large.filter(F.col("length") < capacity).select(F.col("uid").alias("bin"), (capacity - F.col("length")).alias("gap")), n_bins)
-    new_bins = 0
-    for k, (hi, lo) in enumerate(zip(bounds, bounds[1:])):
-        if k == 0 or k not in present:
-            continue
-        docs, left, kept = items.filter((F.col("length") <= hi) & (F.col("length") > lo)), present[k], []
+    def keep(gap: int, first: int, n: int) -> None:
+        if gap and n:
+            if gap not in alike:
+                insort(gaps, gap)
+            alike.setdefault(gap, []).append((first, n))
+
+    for length, left in sorted(counts, reverse=True):
         while left:
-            fits = F.greatest(F.lit(1), F.floor(F.col("gap") / hi).cast("int"))
-            slots = (bins.filter(F.col("gap") > lo).withColumn("n", fits)
-                     .select("bin", "gap", "n", F.explode(F.sequence(F.lit(1), "n")).alias("j"))
-                     .select("bin", F.when(F.col("j") < F.col("n"), F.lit(hi).cast("long")).otherwise(F.col("gap") - (F.col("n") - 1) * hi).alias("size")))
-            got = scratch.table(_match(scratch, slots, docs), left)
-            placed.append(got.select("uid", "bin"))
-            rest = scratch.table(docs.join(got, "uid", "left_anti"), left)
-            used = got.groupBy("bin").agg(F.sum("length").alias("used"))
-            state = bins.join(used, "bin", "left").select("bin", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).filter("gap > 0")
-            left = rest.count()
-            if left:
-                # open sequences for all that is left, `capacity // hi` in each; the next sweep fills the
-                # smaller gaps first, and what stays empty is there for the smaller classes
-                n = -(-left // (capacity // hi))
-                fresh = spark.range(new_bins, new_bins + n).select((-1 - F.col("id")).alias("bin"), F.lit(capacity).cast("long").alias("gap"))
-                new_bins += n
-                state = state.unionByName(fresh)
-            state = scratch.table(state, n_bins + new_bins)
-            scratch.drop(bins, *kept)
-            bins, docs, kept = state, rest, [rest]
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.unionByName(p)
-    return out
+            i = bisect_left(gaps, length)
+            if i < len(gaps):
+                gap = gaps[i]
+                first, n = alike[gap].pop()
+                if not alike[gap]:
+                    del alike[gap], gaps[i]
+            else:
+                gap, first, n = capacity, opened, -(-left // (capacity // length))
+                opened += n
+            each = gap // length
+            full = min(n, left // each)
+            if full:
+                runs.append((at, first, each))
+                keep(gap - each * length, first, full)
+                at, left = at + full * each, left - full * each
+            if full < n:
+                if left:
+                    # fewer than `each`: the last pieces of this length
+                    runs.append((at, first + full, left))
+                    keep(gap - left * length, first + full, 1)
+                    full, at, left = full + 1, at + left, 0
+                keep(gap, first + full, n - full)
+    return runs
+
+
+def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFrame:
+    """(uid, bin) for ``items`` (uid long, unique and not negative; length from 1 to ``capacity``); bins are numbered from 0."""
+    counts = sorted(((r["length"], r["count"]) for r in items.groupBy("length").count().collect()), reverse=True)  # at most `capacity` rows
+    before = np.cumsum([0] + [n for _, n in counts])
+    starts = dict(zip((length for length, _ in counts), before[:-1].tolist()))
+    runs = np.array(plan(counts, capacity), dtype=np.int64).reshape(-1, 3)
+    shared = scratch.spark.sparkContext.broadcast((starts, runs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, runs = shared.value
+        for b in batches:
+            at = np.array([starts[n] for n in b.column(1).to_pylist()], dtype=np.int64) + b.column(2).to_numpy()
+            first, bin_, each = runs[np.searchsorted(runs[:, 0], at, side="right") - 1].T
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bin_ + (at - first) // each)], ["uid", "bin"])
+
+    ranked = number_rows(scratch, items.select("uid", "length"), "length", ["uid"], "rank", int(before[-1]))
+    return ranked.select("uid", "length", "rank").mapInArrow(run, "uid long, bin long")
 
 
 def pack(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",

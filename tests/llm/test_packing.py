@@ -1,8 +1,10 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from decklens.llm import packing
 from decklens.llm.common import Scratch
 from decklens.llm.tokens import encoder, vocabulary_path
@@ -78,6 +80,47 @@ def test_fill_is_close_to_best_fit_decreasing(spark):
     assert len(fill) <= 1.01 * len(bins) + 1
 
 
+def best_fit_decreasing(lengths, capacity=2048):
+    gaps = [0] * (capacity + 1)
+    for x in sorted(lengths, reverse=True):
+        gap = next((g for g in range(x, capacity + 1) if gaps[g]), None)
+        if gap is None:
+            gaps[capacity - x] += 1
+        else:
+            gaps[gap] -= 1
+            gaps[gap - x] += 1
+    return sum(gaps)
+
+
+@pytest.mark.parametrize("lengths", [[400] * 1000, [1] * 5000, [20 + i % 21 for i in range(5000)], [700, 683, 648, 30] * 300, [1100] * 40 + [300] * 100 + [3] * 900])
+def test_alike_and_short_pieces_fill_their_sequences(spark, lengths):
+    items = spark.createDataFrame(list(enumerate(lengths)), "uid long, length long").repartition(5)
+    got = packing.best_fit(Scratch(spark, "t"), items).collect()
+    assert sorted(r["uid"] for r in got) == list(range(len(lengths)))
+    fill = {}
+    for r in got:
+        fill[r["bin"]] = fill.get(r["bin"], 0) + lengths[r["uid"]]
+    assert max(fill.values()) <= 2048 and len(fill) <= 1.02 * best_fit_decreasing(lengths)
+
+
+def test_plan_is_best_fit_decreasing():
+    rng = random.Random(3)
+    for capacity in (1, 7, 50, 2048):
+        for _ in range(30):
+            lengths = [rng.randrange(1, rng.randrange(1, capacity + 1) + 1) for _ in range(rng.randrange(1, 300))]
+            runs = packing.plan(list(Counter(lengths).items()), capacity) + [(len(lengths), 0, 1)]
+            fill = Counter()
+            for (a, first, each), (b, _, _) in zip(runs, runs[1:]):
+                for i in range(a, b):
+                    fill[first + (i - a) // each] += sorted(lengths, reverse=True)[i]
+            assert max(fill.values()) <= capacity and len(fill) == best_fit_decreasing(lengths, capacity)
+
+
+def test_empty_texts_share_sequences(spark):
+    docs = spark.createDataFrame([(i, None if i % 2 else "") for i in range(4100)], "doc_id long, text string")
+    assert check(packing.pack(docs).collect()) == 3
+
+
 def test_ranges_pair_nearest_first():
     assert packing.pair_ranges([(0, 2, 3), (1, 1, 0), (2, 4, 1)]) == [(1, 0, 1, 0, 2), (2, 0, 2, 0, 1)]
 
