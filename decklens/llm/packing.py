@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = encoder(vocabulary, special=True), np.array([end_id], dtype="<u4").tobytes()
         for b in (s for batch in batches for s in slices(batch)):
             out: list[tuple] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):

@@ -2,7 +2,9 @@
 
 The vocabulary is the public byte-level BPE; its rank file gives, through
 ``tiktoken``, the same ids as the ``tokenizers`` JSON (held against it by a
-test) in a fraction of the time.  Strings of special tokens are ordinary text.
+test) in a fraction of the time.  With ``special`` the strings of the JSON's
+added tokens (``<|endoftext|>``) get their own ids, as the JSON gives them by
+default; else they are ordinary text.
 
 A boundary before a single space between two non-white characters always ends
 a pre-token, so the ids of a text are the concatenated ids of such chunks.
@@ -13,10 +15,14 @@ together the neighbouring chunks are joined first, so the ids stay exact.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
 
+#: Added tokens of the JSON, which the rank file does not name.
+SPECIAL = {"<|endoftext|>": 50256}
+_SPECIAL = re.compile("|".join(map(re.escape, SPECIAL)))
 #: Chunks that a Python worker keeps, some 220 bytes each.
 CACHE = 300_000
 
@@ -43,16 +49,28 @@ class _Chunks(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         import public_tokenizers
         import tiktoken
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.chunks = _Chunks(self.encoding)
+        self.special = special
 
     def __call__(self, text: str | None) -> bytes:
         """Ids of ``text`` (null: none) as little-endian unsigned 32-bit integers."""
+        if not text:
+            return b""
+        if not self.special:
+            return self._ordinary(text)
+        out, at = [], 0
+        for m in _SPECIAL.finditer(text):
+            out += [self._ordinary(text[at:m.start()]), np.array([SPECIAL[m.group()]], dtype="<u4").tobytes()]
+            at = m.end()
+        return b"".join(out) + self._ordinary(text[at:]) if out else self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         text = text.encode("utf-8", "replace").decode() if not text.isascii() else text
@@ -74,5 +92,5 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, special: bool = False) -> Encoder:
+    return Encoder(path, special)

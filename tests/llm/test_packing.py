@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from decklens.llm import packing
+from decklens.llm import packing, tokens
 from decklens.llm.common import Scratch
 from decklens.llm.tokens import encoder, vocabulary_path
 from tokenizers import Tokenizer
@@ -26,6 +26,19 @@ def test_ids_equal_the_tokenizers_library(spark):
     assert [np.frombuffer(enc(t), "<u4").tolist() for t in texts] == reference_ids(texts)
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {a.content: i for i, a in t.get_added_tokens_decoder().items()} == tokens.SPECIAL
+    rng = random.Random(8)
+    alphabet = ["<|endoftext|>", "<|endoftext|>", "a", "é", "🙂", " ", "  ", "\n", "\t", "1", "'s", "the", " of", "<|", "|>", "<|endoftext", "endoftext|>"]
+    texts = ["a<|endoftext|>b", "<|endoftext|>"] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 20))) for _ in range(2000)]
+    want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    enc = encoder(vocabulary_path(), special=True)
+    assert [np.frombuffer(enc(x), "<u4").tolist() for x in texts] == want and want[0] == [64, 50256, 65]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts[:50])), "doc_id long, text string"), with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {i: ids + [0] for i, ids in enumerate(want[:50])}
+
+
 def check(rows, capacity=2048):
     by = {}
     for r in rows:
