@@ -2,14 +2,14 @@
 
 The base expressions find e-mail addresses, IP addresses, card numbers and
 phone numbers.  What they find are the seed entities.  The words beside every
-entity, and beside every token that only looks like an identifier (enough
-digits, or an ``@``), form lexical patterns: two words to the left, two to the
+entity, and beside every token or run of digit groups that only looks like an
+identifier (enough digits, or an ``@``), form lexical patterns: two words to the left, two to the
 right, or one on each side.  Spark scores the graph of patterns and instances
 in rounds: a pattern's confidence in a kind is the share of trusted instances
 of that kind among the distinct instances it extracts; a pattern with enough
 of them is accepted; an instance is trusted once the accepted patterns that
 extract it make it likely enough (noisy or).  Accepted patterns finally mark
-the look-alike tokens beside them as identifiers of their kind.
+the look-alikes beside them as identifiers of their kind.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOK = re.compile(r"[0-9@]\S*")
+#: Digit groups joined by a single blank, dot or hyphen or by brackets: the other forms of cards and phones.
+_RUN = re.compile(r"(?<![\w@])(?:\+?\([0-9]++\)[ .-]?|\+)?[0-9]++(?:(?:[ .-]|[ .-]?\([0-9]++\)[ .-]?)[0-9]++)*+")
 _EDGE = ".,;:!?\"'()[]{}<>|"
 _WINDOW = 64
 
@@ -90,8 +92,38 @@ def _fits(token: str) -> list[int]:
     return kinds
 
 
+def _overlaps(taken: list[tuple[int, int]], s: int, e: int) -> bool:
+    """``taken``, the sorted spans from the first that ends behind ``s``, overlap (s, e)."""
+    return any(a < e and s < b for a, b in taken)
+
+
+def _spaced(text: str, base: list[tuple[int, int]]) -> list[tuple[int, int, list[int]]]:
+    """Runs of digit groups that together have the digits of a card or phone number.
+
+    A run that holds a complete number (a card's digits in one token, or an
+    address) is left to the tokens.
+    """
+    out, k = [], 0
+    for m in _RUN.finditer(text):
+        run, s = m.group(), m.start()
+        if re.match(r"[\w@]", text[m.end():m.end() + 1]):
+            run = run.rstrip("0123456789").rstrip(" .-(")  # the last group belongs to a word
+        e = s + len(run)
+        if not 7 <= e - s <= _WINDOW or " " not in run and "(" not in run:
+            continue
+        kinds = [x for x in _fits(run) if x > 1]
+        if kinds and not any(x in (1, 2) for w in run.split() for x in _fits(w) if " " in run):
+            while k < len(base) and base[k][1] <= s:
+                k += 1
+            if not _overlaps(base[k:k + 3], s, e):
+                out.append((s, e, kinds))
+    return out
+
+
 def _lookalikes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, list[int]]]:
-    out, taken, k = [], sorted((s, e) for s, _, e in base), 0
+    taken, k = sorted((s, e) for s, _, e in base), 0
+    out = _spaced(text, taken)
+    taken = sorted(taken + [(s, e) for s, e, _ in out])
     for m in _LOOK.finditer(text):
         s, e = m.span()
         while s > 0 and e - s < 256 and not text[s - 1].isspace():
@@ -104,7 +136,7 @@ def _lookalikes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         if kinds:
             while k < len(taken) and taken[k][1] <= s:
                 k += 1
-            if not any(a < e and s < b for a, b in taken[k:k + 3]):
+            if not _overlaps(taken[k:k + 3], s, e):
                 out.append((s, e, kinds))
     return out
 

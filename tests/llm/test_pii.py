@@ -72,3 +72,36 @@ def test_base_stays_and_empty(spark):
 @pytest.mark.parametrize("token,kinds", [("555-1234", [3]), ("4111111111111112", [2]), ("a@", []), ("x(at)y@z", [0]), ("1.2.3.999", [1]), ("abc123456789", [])])
 def test_kinds_of_lookalikes(token, kinds):
     assert pii._fits(token) == kinds
+
+
+@pytest.mark.parametrize("text,found", [
+    ("4111 1111 1111 1112", [("4111 1111 1111 1112", [2])]), ("0049 30 1234567", [("0049 30 1234567", [2, 3])]),
+    ("call (487) 555-7209, or", [("(487) 555-7209", [3])]), ("(487)555.7209", [("(487)555.7209", [3])]), ("(0049 30 123456)", [("0049 30 123456", [3])]),
+    ("tel: 030 (0) 12 34 56.", [("030 (0) 12 34 56", [3])]), ("4111-1111-1111-1112", [("4111-1111-1111-1112", [2])]),
+    ("5 4111111111111112", [("4111111111111112", [2])]), ("1.2.3.999 80", [("1.2.3.999", [1])]), ("12 34 and 5  678901", []), ("a12 3456789", [("3456789", [3])]),
+    ("(487) 555-7209 2nd", [("(487) 555-7209", [3])]), ("12 " * 40, []), ("1 " * 100_000 + "1x", []), ("+1 (487) 555-7209", []), ("555-1234 5551234567 5551234567", [("555-1234", [3]), ("5551234567", [3]), ("5551234567", [3])])])
+def test_spaced_lookalikes(text, found):
+    assert [(text[s:e], k) for s, e, k in pii._lookalikes(text, pii.base_spans(text))] == found
+
+
+def test_contexts_find_spaced_identifiers(spark):
+    valid = [v for v in ("4%015d" % (i * 7919) for i in range(400)) if pii.luhn(v)][:8]
+    spaced = [" ".join(v[i:i + 4] for i in range(0, 16, 4)) for v in valid]
+    rows = [(i, f"please bill card number {v} before noon") for i, v in enumerate(spaced)]
+    rows += [(20 + i, f"or ring my phone +1 (487) 555-72{i:02d} after six") for i in range(8)]
+    rows += [(100, "please bill card number 4111 1111 1111 1112 before noon"), (101, "or ring my phone (487) 555-7309 after six"), (102, "or ring my phone 0049 30 1234567 after six"),
+             (103, "the part 4111 1111 1111 1112 was sold")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert texts[100] == "please bill card number [CARD] before noon"
+    assert texts[101] == texts[102] == "or ring my phone [PHONE] after six" and texts[103] == rows[-1][1]
+
+
+def test_spaced_lookalikes_count_against_a_pattern(spark):
+    valid = [v for v in ("4%015d" % (i * 7919) for i in range(400)) if pii.luhn(v)][:4]
+    rows = [(i, f"the serial number {v} was read") for i, v in enumerate(valid)]
+    broken = [n for n in ("9111 1111 1111 %04d" % i for i in range(40)) if not pii.luhn(n.replace(" ", ""))][:12]
+    rows += [(100 + i, f"the serial number {n} was read") for i, n in enumerate(broken)]
+    rows += [(200, "the serial number 4111111111111112 was read")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[200] == [] and got[100] == []
