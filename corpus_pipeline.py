@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
-language         rows without a determined language go (decklens.llm.langid)
+language         rows whose text is null or has no letter go (decklens.llm.langid)
 near_duplicates  one document of each SimHash component stays (decklens.llm.simhash)
 decontamination  documents that contain a benchmark item go (decklens.llm.decontam)
 personal_data    personal data in the texts is replaced by its kind (decklens.llm.pii)

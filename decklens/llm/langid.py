@@ -59,6 +59,10 @@ def symbols(text: str, size: int = 1 << 20) -> Iterator[np.ndarray]:
         tail = s[-2:]
 
 
+def has_letter(text: str | None) -> bool:
+    return any((s != 32).any() for s in symbols(text or ""))
+
+
 def _bundle(parts: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
     """Add the trigram vectors of ``parts`` (row of ``out``, symbols) to ``out``."""
     rows = sorted({r for r, _ in parts})
@@ -189,12 +193,16 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
 
 
 def known_language(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", wanted: set[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose language is determined, and in ``wanted`` if given."""
+    """The rows of ``docs`` (all columns) whose text has a letter and whose language is in ``wanted`` if given.
+
+    Without learned languages no text can be told from ``wanted``, so every text with a letter stays.
+    """
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (s for batch in batches for s in slices(batch)):
-            pred, _ = _scores([t.as_py() for t in b.column(at)], *shared.value)
-            yield b.filter(pa.array([p != "und" and (wanted is None or p in wanted) for p in pred], pa.bool_()))
+            texts, (langs, prototypes) = [t.as_py() for t in b.column(at)], shared.value
+            pred = _scores(texts, langs, prototypes)[0] if langs else ["und"] * len(texts)
+            yield b.filter(pa.array([(p != "und" or has_letter(t)) and (not langs or wanted is None or p in wanted) for t, p in zip(texts, pred)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

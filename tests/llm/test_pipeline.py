@@ -1,6 +1,6 @@
 """The pipeline's stages hold against what their operators and brute force say of each stage's own input."""
 import corpus_pipeline
-from decklens.llm import pii
+from decklens.llm import langid, pii
 from pyspark.sql import functions as F
 from test_packing import check
 from test_pii import brute
@@ -37,6 +37,18 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in final} == {r["doc_id"] for r in private} and check(final) > 0
 
 
+def test_unlabelled_documents_stay(spark):
+    rows = [(1, "some words"), (2, "日本語"), (3, None), (4, ""), (5, "12 - 34"), (6, "x")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id long, text string, lang string")
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == [1, 2, 6]
+    # a label may be ``und`` itself: the text decides
+    named = docs.withColumn("lang", F.when(F.col("doc_id") == 2, "und").when(F.col("doc_id") == 1, "en"))
+    assert sorted(r["doc_id"] for r in stage(spark, named, "").collect()) == [1, 2, 6]
+    assert sorted(r["doc_id"] for r in langid.known_language(named, langid.fit(named), wanted={"en"}).collect()) == [1, 6]
+    assert langid.known_language(docs, langid.fit(docs), wanted={"en"}).count() == 3
+
+
 def test_run_is_the_stages(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.agg(F.count(F.lit(1))).first()[0] > 0 and "sequence_id" in out.columns
