@@ -643,18 +643,8 @@ _both("predictions_long",
 from decklens.operators import knn as KNN  # noqa: E402
 from decklens.operators import ml as ML  # noqa: E402
 
-# One setting per model, with small ensembles, so the registered queries run
-# in seconds at sf0.01; ``ML.CLS_GRID`` / ``ML.REG_GRID`` (the reference's
-# full grids) are the defaults of ``compare_models`` in library use.
-SMOKE_CLS = {"logreg": {"C": [1.0], "max_iter": [100]},
-             "svm": {"C": [1.0], "kernel": ["linear"], "gamma": ["scale"]},
-             "rf": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]},
-             "xgb": {"n_estimators": [10], "max_depth": [4], "learning_rate": [0.1], "subsample": [1.0]},
-             "knn": {"n_neighbors": [5], "weights": ["uniform"]}}
-SMOKE_REG = {"linear_reg": {}, "ridge": {"alpha": [1.0], "max_iter": [1000]},
-             "svr": {"C": [1.0], "kernel": ["linear"], "gamma": ["scale"], "epsilon": [0.1]},
-             "rf_reg": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]},
-             "xgb_reg": {"n_estimators": [10], "max_depth": [4], "learning_rate": [0.1], "subsample": [1.0]}}
+# The training queries search the reference's whole grids (``ML.CLS_GRID`` /
+# ``ML.REG_GRID``) with 5 folds on one written feature table; the README gives times.
 
 
 def _feature_table(spark, sf_dir):
@@ -662,15 +652,20 @@ def _feature_table(spark, sf_dir):
     return deck_features(i["cards"], i["deck_lists"], i["decks"], lists_from_decks=True)
 
 
+def _written_split(spark, sf_dir, task):
+    """(training rows, test rows, label) of the feature table, written once for all folds and settings."""
+    label = "competitive" if task == "cls" else "competitiveness_score"
+    f = ML.cut_lineage(_feature_table(spark, sf_dir))
+    d = ML.cut_lineage(S.split_exact(f, "row_id", stratify=label if task == "cls" else None, purpose=task))
+    return d.where(~F.col("is_test")), d.where(F.col("is_test")), label
+
+
 def _train_one(name, task):
     def fn(spark, sf_dir):
-        f = _feature_table(spark, sf_dir)
-        label = "competitive" if task == "cls" else "competitiveness_score"
-        grid = (SMOKE_CLS if task == "cls" else SMOKE_REG)[name]
-        d = S.split_flag(f, "row_id", purpose=task, stratify=label if task == "cls" else None)
-        setting = {k: v[0] for k, v in grid.items()}
-        t = ML.fit_single(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, label, name, setting, task)
-        return ML.predict(t, d.where(F.col("is_test")), FT.FEATURE_COLUMNS, label, task)
+        train, test, label = _written_split(spark, sf_dir, task)
+        grid = (ML.CLS_GRID if task == "cls" else ML.REG_GRID)[name]
+        t = ML.grid_search(train, FT.FEATURE_COLUMNS, label, name, grid, task)
+        return ML.predict(t, test, FT.FEATURE_COLUMNS, label, task)
     return fn
 
 
@@ -696,7 +691,7 @@ def _compare(task):
     def fn(spark, sf_dir):
         f = _feature_table(spark, sf_dir)
         label = "competitive" if task == "cls" else "competitiveness_score"
-        res, _, _ = ML.compare_models(f, FT.FEATURE_COLUMNS, label, SMOKE_CLS if task == "cls" else SMOKE_REG, task)
+        res, _, _ = ML.compare_models(f, FT.FEATURE_COLUMNS, label, ML.CLS_GRID if task == "cls" else ML.REG_GRID, task)
         return res.withColumn("best_params", F.to_json("best_params"))
     return fn
 
@@ -706,9 +701,8 @@ register("compare_regressors", None)(lambda s, d: rounded(_compare("reg")(s, d))
 
 
 def _importance(spark, sf_dir):
-    f = _feature_table(spark, sf_dir)
-    t = ML.fit_single(f, FT.FEATURE_COLUMNS, "competitive", "rf",
-                      {k: v[0] for k, v in SMOKE_CLS["rf"].items()}, "cls")
+    f = ML.cut_lineage(_feature_table(spark, sf_dir))
+    t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "rf", ML.CLS_GRID["rf"], "cls")
     return P.top_k(ML.feature_importance(t, FT.FEATURE_COLUMNS), "importance", 20, "feature")
 
 
@@ -717,14 +711,12 @@ register("feature_importance", None)(lambda s, d: rounded(_importance(s, d)))
 
 def _score_new(spark, sf_dir, compare=False):
     from pyspark.ml import PipelineModel
-    f = ML.cut_lineage(_feature_table(spark, sf_dir))  # read several times by the exact split
-    d = S.split_exact(f, "row_id", stratify="competitive")
-    t = ML.fit_single(d.where(~F.col("is_test")), FT.FEATURE_COLUMNS, "competitive", "logreg",
-                      {k: v[0] for k, v in SMOKE_CLS["logreg"].items()}, "cls")
+    train, test, label = _written_split(spark, sf_dir, "cls")
+    t = ML.grid_search(train, FT.FEATURE_COLUMNS, label, "logreg", ML.CLS_GRID["logreg"], "cls")
     path = IO.scratch_path(spark, "model")
     t.model.write().overwrite().save(path)                       # A5: save
     loaded = PipelineModel.load(path)                            # A5: load
-    new = d.where(F.col("is_test")).select("row_id", *FT.FEATURE_COLUMNS)
+    new = test.select("row_id", *FT.FEATURE_COLUMNS)
     out = loaded.transform(new).select("row_id", F.col("prediction").cast("int").alias("prediction"),
                                        vector_to_array("probability")[1].alias("score"))
     if compare:

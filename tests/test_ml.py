@@ -139,3 +139,32 @@ def test_svm_class_is_the_sign_of_the_margin(spark):
     from pyspark.sql import functions as F
     out = t.model.transform(_small(spark).withColumnRenamed("y", "label")).select("prediction", vector_to_array("margin")[1].alias("m")).collect()
     assert all(r.prediction == float(r.m > 0) for r in out)
+
+
+def test_one_setting_is_cross_validated(spark):
+    _, best, _ = ML.compare_models(_small(spark), ["a", "b"], "t", {"linear_reg": {}}, "reg")
+    assert len(best.cv_metrics) == 1 and best.cv_metrics[0] > 0.9
+
+
+def test_training_queries_search_the_whole_grids(spark, monkeypatch):
+    from decklens.plans import catalog
+
+    class Searched(Exception):
+        pass
+
+    def search(train, features, label, name, grid, task="cls", *args, **options):
+        raise Searched({name: grid})
+
+    def compare(df, features, label, grids, task="cls", *args, **options):
+        raise Searched(grids)
+
+    monkeypatch.setattr(catalog, "_feature_table", lambda s, d: _small(s).selectExpr("*", "y as competitive", "t as competitiveness_score"))
+    monkeypatch.setattr(ML, "grid_search", search)
+    monkeypatch.setattr(ML, "compare_models", compare)
+    one = {"clf_logistic": "logreg", "clf_svm": "svm", "clf_knn_decks": "knn", "clf_forest": "rf", "clf_boosted": "xgb", "feature_importance": "rf",
+           "score_new_decks": "logreg", "model_roundtrip": "logreg", "reg_ridge": "ridge", "reg_svr": "svr", "reg_forest": "rf_reg", "reg_boosted": "xgb_reg"}
+    want = {q: {name: (ML.CLS_GRID | ML.REG_GRID)[name]} for q, name in one.items()} | {"compare_classifiers": ML.CLS_GRID, "compare_regressors": ML.REG_GRID}
+    for query, grids in want.items():
+        with pytest.raises(Searched) as got:
+            catalog.REGISTRY[query][0](spark, "")
+        assert got.value.args[0] == grids, query
