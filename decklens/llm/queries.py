@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decklens.llm import decontam, fingerprints, langid, packing, pii, quality, secrets, sharding, simhash, toxicity
+from decklens.llm import decontam, dedup, fingerprints, langid, merkle, packing, pii, quality, secrets, sharding, simhash, spelling, toxicity
 from decklens.llm.common import crc32_text, read_table
 
 
@@ -66,6 +66,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = spelling.variants(spelling.word_counts(docs, deleted=199), min_count=5, min_length=6, ratio=5)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplicates(read_table(spark, sf_dir, "documents"), longest=True)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.when(crc32_text(F.col("doc_id")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": tampered})
+    return (found.withColumn("folded_root", merkle.folded(F.col("changed_leaf"), F.col("path")))
+            .select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                    (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
 REGISTRY = {
     "op1_decontam": (op1_decontam, decontam.ORACLE),
     "op2_fingerprints": (op2_fingerprints, None),
@@ -77,4 +96,7 @@ REGISTRY = {
     "op8_simhash": (op8_simhash, None),
     "op9_secrets": (op9_secrets, None),
     "op10_sharding": (op10_sharding, None),
+    "op11_spelling": (op11_spelling, spelling.ORACLE),
+    "op12_dedup": (op12_dedup, dedup.ORACLE),
+    "op13_merkle": (op13_merkle, merkle.ORACLE),
 }
