@@ -149,3 +149,40 @@ def manifest(docs: DataFrame, columns: list[str], id_col: str = "doc_id", group_
     whole = descend(stages, scratch.table(above))
     source = F.when(F.col("g") != "", F.expr("substring(g, 2)")).alias("source")
     return whole.select("doc_id", source, F.col("h").alias("leaf"), "subroot", "root", "path", *(["changed_leaf"] if changed is not None else []))
+
+
+#: DuckDB SQL of the query ``op13_merkle``: each tree level by level, then each leaf folded up with the nodes beside it.
+ORACLE = """
+WITH RECURSIVE
+bits AS (SELECT list(list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i::BIGINT) ORDER BY i) AS tb FROM range(256) r(i)),
+t AS (SELECT *, CASE WHEN list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda a, b: xor(a >> 8, tb[(xor(a, b) & 255) + 1]), 4294967295::BIGINT) % 2 = 1 THEN replace(text, chr(10), '') ELSE text END AS changed FROM documents, bits),
+w AS (SELECT doc_id, source, changed, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM t),
+leaves AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS changed_leaf FROM w),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+nodes(level, source, i, n, h) AS (
+    SELECT 0, source, pos, n, leaf FROM placed
+    UNION ALL SELECT level + 1, source, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY level, source, i // 3, n),
+tops AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper(level, i, n, h) AS (
+    SELECT 0, pos, n, subroot FROM tops
+    UNION ALL SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM upper WHERE n > 1 GROUP BY level, i // 3, n),
+up(level, source, start, pos, h, beside) AS (
+    SELECT 0, source, pos, pos, changed_leaf, '' FROM placed
+    UNION ALL SELECT up.level + 1, up.source, start, up.pos // 3, sha256(string_agg(CASE WHEN nodes.i = up.pos THEN up.h ELSE nodes.h END, '' ORDER BY nodes.i)),
+        beside || coalesce(string_agg(nodes.h, '' ORDER BY nodes.i) FILTER (WHERE nodes.i <> up.pos), '')
+    FROM up JOIN nodes ON up.level = nodes.level AND up.source IS NOT DISTINCT FROM nodes.source AND up.pos // 3 = nodes.i // 3 AND nodes.n > 1
+    GROUP BY up.level, up.source, start, up.pos, up.h, beside),
+inner_done AS (SELECT source, start, h, beside FROM (SELECT *, max(level) OVER (PARTITION BY source) AS last FROM up) WHERE level = last),
+over(level, source, start, pos, h, beside) AS (
+    SELECT 0, d.source, start, tops.pos, h, beside FROM inner_done d JOIN tops ON d.source IS NOT DISTINCT FROM tops.source
+    UNION ALL SELECT over.level + 1, source, start, over.pos // 3, sha256(string_agg(CASE WHEN upper.i = over.pos THEN over.h ELSE upper.h END, '' ORDER BY upper.i)),
+        beside || coalesce(string_agg(upper.h, '' ORDER BY upper.i) FILTER (WHERE upper.i <> over.pos), '')
+    FROM over JOIN upper ON over.level = upper.level AND over.pos // 3 = upper.i // 3 AND upper.n > 1
+    GROUP BY over.level, source, start, over.pos, over.h, beside),
+done AS (SELECT * FROM over WHERE level = (SELECT max(level) FROM over))
+SELECT p.doc_id, p.leaf, tops.subroot, (SELECT h FROM upper WHERE n = 1) AS root, sha256(done.beside) AS proof_sha256, done.h AS folded_root,
+    done.h = (SELECT h FROM upper WHERE n = 1) AS verified
+FROM placed p JOIN tops ON p.source IS NOT DISTINCT FROM tops.source JOIN done ON p.source IS NOT DISTINCT FROM done.source AND p.pos = done.start
+"""

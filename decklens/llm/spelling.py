@@ -25,7 +25,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decklens.llm.common import Scratch, shuffle_partitions, slices
@@ -280,7 +280,7 @@ _LINKS = "word string, n_near long, best_n long, best string"
 
 def near_words(scratch: Scratch, words: DataFrame, node_words: int = NODE_WORDS) -> DataFrame:
     """(word, n_near, best_n, best) of the words of ``words`` (word, n; written) that have near words; best: of largest n, then first."""
-    spark: SparkSession = scratch.spark
+    spark = scratch.spark
     shared = spark.sparkContext.broadcast(upper_trees(words, node_words))  # one split for each ``node_words`` words or so
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,5 +363,24 @@ def variants(counts: DataFrame, min_count: int = 5, min_length: int = 6, ratio:
     return rows.join(jump, "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
-#: The deletions need the CRC-32 of every run, and the pairs an edit distance over code points: written out below from plain SQL.
-ORACLE = None
+#: DuckDB SQL of the query ``op11_spelling``: near words share what is left of them when a letter is taken out.
+ORACLE = r"""
+WITH RECURSIVE
+bits AS (SELECT list(list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i::BIGINT) ORDER BY i) AS tb FROM range(256) r(i)),
+found AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+each AS (SELECT doc_id, run, count(*) AS k FROM found GROUP BY doc_id, run),
+hashed AS (SELECT run, k, xor(list_reduce(flatten(list_transform(string_split(doc_id || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END)),
+    lambda a, b: xor(a >> 8, tb[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM each, bits),
+edited AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM edited GROUP BY word HAVING length(word) >= 6 AND sum(k) >= 5),
+cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, range(1, length(word) + 1) r(i)),
+links AS (SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM links),
+forms AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word AND place = 1),
+chain(word, target, step) AS (SELECT word, word, 0 FROM forms UNION ALL SELECT chain.word, form, step + 1 FROM chain JOIN forms ON chain.target = forms.word WHERE form IS NOT NULL)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(target, step) AS root FROM chain GROUP BY word) r ON forms.word = r.word
+"""

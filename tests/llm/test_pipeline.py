@@ -23,16 +23,21 @@ def test_stages(spark, tmp_path):
     final = [r.asDict() for r in docs.collect()]
     start, known, single, clean, private = inputs
     assert {r["doc_id"] for r in start} - {r["doc_id"] for r in known} == {9000, 9001, 9002}
-    comp = brute_components([r["doc_id"] for r in known], [brute_print(r["text"]) for r in known])
-    assert sorted(r["doc_id"] for r in single) == sorted(set(comp))
+    # components of rows, not of ids: an id may come twice with different texts
+    comp = brute_components(list(range(len(known))), [brute_print(r["text"]) for r in known])
+    members = {c: [r for r, k in zip(known, comp) if k == c] for c in set(comp)}
+    stays = [min(((r["doc_id"], r["text"]) for r in rows if r["doc_id"] == min(x["doc_id"] for x in rows))) for rows in members.values()]
+    assert sorted((r["doc_id"], r["text"]) for r in single) == sorted(stays)
     items = [shingles(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     want = [r["doc_id"] for r in single if not any(len(q & shingles(r["text"])) >= 0.8 * len(q) - 1e-9 for q in items)]
     assert sorted(r["doc_id"] for r in clean) == sorted(want)
     assert [r["doc_id"] for r in sorted(clean, key=lambda r: r["doc_id"])] == [r["doc_id"] for r in sorted(private, key=lambda r: r["doc_id"])]
-    before = {r["doc_id"]: r["text"] for r in clean}
+    before = {}
+    for r in clean:
+        before.setdefault(r["doc_id"], []).append(r["text"])
     for r in private:
         assert r["n_chars"] == len(r["text"])
-        assert (r["text"] == before[r["doc_id"]]) or brute(before[r["doc_id"]]) or "[" in r["text"]
+        assert r["text"] in before[r["doc_id"]] or any(map(brute, before[r["doc_id"]])) or "[" in r["text"]
         assert not any(k == 0 for _, k, _ in pii.base_spans(r["text"]))
     assert {r["doc_id"] for r in final} == {r["doc_id"] for r in private} and check(final) > 0
 
@@ -52,3 +57,11 @@ def test_unlabelled_documents_stay(spark):
 def test_run_is_the_stages(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.agg(F.count(F.lit(1))).first()[0] > 0 and "sequence_id" in out.columns
+
+
+def test_empty_table(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, "/root/testdata/sf0.001").write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.count() == 0
