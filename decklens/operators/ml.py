@@ -1,9 +1,9 @@
 """Model training and comparison on Spark ML.
 
-Every fit is a distributed Spark job; the grid search runs folds and
-settings through ``CrossValidator`` with a hash-based ``foldCol`` (no random
-split, reproducible under any partitioning) and ``parallelism=2`` like the
-reference.  The training set is checkpointed into the shared checkpoint
+Folds are a hash-based column (no random split, reproducible under any
+partitioning).  Settings whose fits can share work are searched together
+(forests and boosted trees: ``trees``); the others run through
+``CrossValidator`` with ``parallelism=2`` like the reference.  The training set is checkpointed into the shared checkpoint
 folder first, so the many fits re-read it instead of recomputing the
 feature plan, and a lost executor costs one re-read.
 """
@@ -17,23 +17,22 @@ import numpy as np
 import pandas as pd
 
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decklens.operators import metrics as M
 from decklens.operators import split as S
+from decklens.operators import trees as T
 from decklens.session import cut_lineage
 
 SVR_BLOCK_ROWS = 4096
-SPARK_MAX_DEPTH = 30  # Spark's tree depth cap; stands in for "no limit"
 
 # The reference's model grids (classification and regression).
 CLS_GRID = {
@@ -259,21 +258,6 @@ def build(name: str, grid: dict, task: str = "cls") -> Built:
         maps = [{fit.strength: float(s["C"]), rff.gamma: str(s.get("gamma", "scale")),
                  stages[0].kernel: s.get("kernel", "rbf")} for s in settings]
         return Built(stages, settings, maps)
-    if name in ("rf", "rf_reg"):
-        cls = RandomForestClassifier if name == "rf" else RandomForestRegressor
-        # every feature is tried at each split of a regression tree, the root of their number in a classification tree
-        est = cls(featuresCol="features", seed=42, featureSubsetStrategy="all" if name == "rf_reg" else "sqrt")
-        maps = [{est.numTrees: int(s["n_estimators"]),
-                 est.maxDepth: SPARK_MAX_DEPTH if s["max_depth"] is None else int(s["max_depth"]),
-                 est.minInstancesPerNode: max(1, int(s["min_samples_split"]) // 2)} for s in settings]
-        return Built([est], settings, maps)
-    if name in ("xgb", "xgb_reg"):
-        cls = GBTClassifier if name == "xgb" else GBTRegressor
-        est = cls(featuresCol="features", seed=42)
-        maps = [{est.maxIter: int(s["n_estimators"]), est.maxDepth: int(s["max_depth"]),
-                 est.stepSize: float(s["learning_rate"]), est.subsamplingRate: float(s["subsample"])}
-                for s in settings]
-        return Built([est], settings, maps)
     if name == "knn":
         est = KNNClassifier(featuresCol="scaled")
         maps = [{est.k: int(s["n_neighbors"]), est.weights: str(s.get("weights", "uniform"))} for s in settings]
@@ -431,15 +415,131 @@ def _evaluator(task: str, metric: str | None):
     return RegressionEvaluator(metricName=metric or "r2")
 
 
+TREES = {"rf": "forest", "rf_reg": "forest", "xgb": "boosting", "xgb_reg": "boosting"}
+#: A forest or boosted model of at most so many bytes is broadcast for scoring.
+MODEL_BYTES = 512 << 20
+
+
+class TreesModel(Model):
+    """A fitted forest or boosted model: its trees are a written table (tree, raw), scored from a broadcast of checked size."""
+
+    def __init__(self, trees: DataFrame, edges: list, features: list[str], boosting: bool, task: str, imputer=None):
+        super().__init__()
+        self.trees, self.edges, self.features, self.boosting, self.task, self.imputer = trees, edges, features, boosting, task, imputer
+        size = trees.agg(F.sum(F.length("raw"))).first()[0] or 0
+        self.parts = -(-size // MODEL_BYTES) or 1
+        self._shared: list | None = None
+
+    def _broadcasts(self) -> list:
+        if self._shared is None:
+            sc = self.trees.sparkSession.sparkContext
+            self._shared = [sc.broadcast([bytes(r["raw"]) for r in self.trees.filter(F.col("tree") % self.parts == k).orderBy("tree").collect()]) for k in range(self.parts)]
+        return self._shared
+
+    def _sums(self, df: DataFrame):
+        """One column of sums over the trees of each broadcast."""
+        from pyspark.sql.functions import pandas_udf
+        edges = self.edges
+
+        def over(shared):
+            def part(frame: pd.DataFrame) -> pd.Series:
+                x = np.column_stack([np.searchsorted(e, frame.iloc[:, i].to_numpy(dtype=np.float64)) for i, e in enumerate(edges)])
+                return pd.Series(T.score(x, _loaded(shared), True))
+            return pandas_udf(part, "double")
+        row = F.struct(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(self.features)])
+        return [over(shared)(row) for shared in self._broadcasts()]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        if self.imputer is not None:
+            df = self.imputer.transform(df)
+        first, *more = self._sums(df)
+        value = sum(more, first)
+        if not self.boosting:
+            value = value / F.lit(float(self.trees.count()))
+        if self.task != "cls":
+            return df.withColumn("prediction", value)
+        p = 1 / (1 + F.exp(-value)) if self.boosting else value
+        return (df.withColumn("probability", p).withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+                .withColumn("probability", array_to_vector(F.array(1 - F.col("probability"), F.col("probability")))).withColumn("rawPrediction", F.col("probability")))
+
+    def importances(self) -> np.ndarray:
+        return T.importances(self.trees, len(self.features), self.boosting)
+
+
+def _loaded(shared):
+    """The trees of a broadcast, read once in each Python worker."""
+    if getattr(shared, "_trees", None) is None:
+        shared._trees = [T.Tree.load(raw) for raw in shared.value]
+    return shared._trees
+
+
+def fold_scores(oof: DataFrame, by: list[str], task: str, metric: str | None = None) -> DataFrame:
+    """(*by, score): out-of-fold predictions (fold, y, prediction, score) scored within each fold, then averaged over the folds.
+
+    Binary F1 (0 without a positive), accuracy or exact ROC AUC; R2, MAE or RMSE.
+    """
+    y, p, n = F.col("y"), F.col("prediction"), F.count(F.lit(1))
+    if metric == "roc_auc":
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in [*by, "fold"]])
+        auc = M.roc_auc(oof.select(key.alias("model"), F.col("y").cast("int").alias("label"), "score"))
+        parts = F.split("model", "/")
+        return (auc.select(*[parts[i].cast(oof.schema[c].dataType).alias(c) for i, c in enumerate(by)], "roc_auc").groupBy(*by).agg(F.avg("roc_auc").alias("score")))
+    tp = F.count_if((y == 1) & (p == 1))
+    form = {"f1": F.coalesce(F.try_divide(2 * tp, F.count_if(y == 1) + F.count_if(p == 1)), F.lit(0.0)), "accuracy": F.count_if(y == p) / n,
+            "r2": 1 - F.try_divide(F.sum((y - p) ** 2), F.var_pop(y) * n), "mae": -F.avg(F.abs(y - p)), "rmse": -F.sqrt(F.avg((y - p) ** 2))}
+    score = form[metric or ("f1" if task == "cls" else "r2")]
+    return oof.groupBy(*by, "fold").agg(score.cast("double").alias("score")).groupBy(*by).agg(F.avg("score").alias("score"))
+
+
+def _search_trees(data: DataFrame, features: list[str], name: str, grid: dict, task: str, k: int, key: str, metric: str | None, impute: bool) -> Trained:
+    """The whole grid of a forest or boosted model in one set of passes (see ``trees``), then the best setting on all rows."""
+    spark, settings, imputer = data.sparkSession, _product(grid), None
+    if impute:
+        from pyspark.ml.feature import Imputer
+        imputer = Imputer(inputCols=features, outputCols=features, strategy="mean").fit(data)
+        data = imputer.transform(data)
+    edges = T.bin_edges(data, features)
+    rows = cut_lineage(T.binned(data, features, edges, key, "label", "fold"))
+    marks = sorted({int(s["n_estimators"]) for s in settings})
+    if TREES[name] == "boosting":
+        def run(s, fold=-1):
+            return T.Boosting(float(s["learning_rate"]), int(s["max_depth"]), float(s["subsample"]), fold)
+        kinds = list(dict.fromkeys(run(s) for s in settings))
+        oof = T.boosted(rows, [T.Boosting(r.rate, r.depth, r.subsample, f) for r in kinds for f in range(k)], marks, task == "cls")
+        oof = oof.select("fold", "y", "mark", F.floor(F.col("run") / k).cast("int").alias("kind"), F.col("margin").alias("score"))
+        value = (F.col("score") > 0).cast("int") if task == "cls" else F.col("score")
+        which = [(kinds.index(run(s)), int(s["n_estimators"])) for s in settings]
+    else:
+        kinds = list(dict.fromkeys((s["max_depth"], int(s["min_samples_split"])) for s in settings))
+        m = max(1, math.isqrt(len(features))) if name == "rf" else None
+        oof = T.forest(rows, list(range(k)), marks, kinds, m).select("fold", "y", "mark", F.col("cap").alias("kind"), F.col("value").alias("score"))
+        value = (F.col("score") > 0.5).cast("int") if task == "cls" else F.col("score")
+        which = [(kinds.index((s["max_depth"], int(s["min_samples_split"]))), int(s["n_estimators"])) for s in settings]
+    found = {(r["kind"], r["mark"]): r["score"] for r in fold_scores(oof.withColumn("prediction", value), ["kind", "mark"], task, metric).collect()}  # one row a setting
+    scores = [found[w] for w in which]
+    best = max(range(len(scores)), key=lambda i: (scores[i], -i))
+    kind, mark = which[best]
+    if TREES[name] == "boosting":
+        trees = T.boosted(rows, [kinds[kind]], [mark], task == "cls", trees=True).select("tree", "raw")
+    else:
+        trees = T.forest_trees(rows, mark, kinds[kind], m)
+    model = TreesModel(cut_lineage(trees), edges, features, TREES[name] == "boosting", task, imputer)
+    return Trained(name, model, settings[best], scores)
+
+
 def grid_search(train: DataFrame, features: list[str], label: str, name: str, grid: dict,
                 task: str = "cls", k: int = S.CV_FOLDS, parallelism: int = 2, key: str = "row_id",
                 metric: str | None = None, impute: bool = False) -> Trained:
     """K-fold CV over the grid, refit on the whole training set.  Scoring
     is binary F1 (classification) or R2 (regression) by default; ``metric``
     may name 'roc_auc' (the notebook's choice, S13) or any Spark evaluator
-    metric.  Folds come from a keyed hash (stratified for classifiers)."""
+    metric.  Folds come from a keyed hash (stratified for classifiers).
+    Settings whose fits can share work are searched together."""
     data = train.select(key, *features, F.col(label).alias("label"))
     data = cut_lineage(S.fold_exact(data, key, k, purpose=task, stratify="label" if task == "cls" else None))
+    if name in TREES:
+        return _search_trees(data, features, name, grid, task, k, key, metric, impute)
     b = build(name, grid, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     maps = [{p: v for p, v in m.items()} for m in b.maps]
@@ -479,8 +579,10 @@ def predict(t: Trained, test: DataFrame, features: list[str], label: str, task:
 def feature_importance(t: Trained, features: list[str]) -> DataFrame:
     """Importances (trees) or absolute coefficients (linear) by name."""
     from pyspark.sql import SparkSession
-    last = t.model.stages[-1]
-    if hasattr(last, "featureImportances"):
+    last = t.model if isinstance(t.model, TreesModel) else t.model.stages[-1]
+    if isinstance(last, TreesModel):
+        vals, kind = last.importances().tolist(), "importance"
+    elif hasattr(last, "featureImportances"):
         vals = last.featureImportances.toArray().tolist()
         kind = "importance"
     elif hasattr(last, "coefficients"):
