@@ -26,6 +26,8 @@ from decklens.llm.common import lower_slabs, shuffle_partitions, slices, window_
 K = 128
 SHINGLE = 5
 SPACE = float(1 << 48)
+#: Sampled ids a bucket of the order; they only place the cuts.
+SAMPLE = 64
 
 
 def sketch(text: str | None, k: int = K, shingle: int = SHINGLE) -> np.ndarray:
@@ -116,13 +118,13 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - m] + following[:m]
 
 
-def _bucket(cuts: list[float]):
+def _bucket(cuts: list[int]):
     """Bucket of (key, hash) in the order of falling key; a key at several cuts spreads over as many buckets by hash."""
-    points = np.array(cuts, dtype=np.float64)
+    points = np.array(cuts, dtype=np.int64)
 
     @F.pandas_udf("int")
     def at(key: pd.Series, h: pd.Series) -> pd.Series:
-        x = key.to_numpy().astype(np.float64)
+        x = key.to_numpy(dtype=np.int64)
         right = np.searchsorted(points, x, "right")
         same = right - np.searchsorted(points, x, "left")
         share = h.to_numpy().astype(np.float64) / 2.0 ** 64 + 0.5
@@ -171,7 +173,10 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), key.alias("key"))
     n = 4 * shuffle_partitions(spark)
-    cuts = sorted(rows.select(F.col("key").cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.25 / n))
+    # cuts are keys of a bounded sample: neighbouring longs beyond 2**53 would be one double
+    share = min(1.0, SAMPLE * n / max(1, rows.count()))
+    some = sorted(r["key"] for r in rows.select("key").sample(share, seed=1).collect())
+    cuts = [some[len(some) * i // n] for i in range(1, n)] if some else []
     rows = rows.withColumn("hash", F.xxhash64("text"))
     rows = rows.withColumn("bucket", _bucket(cuts)(F.col("key"), F.col("hash")))
     order = F.struct(F.bitwise_not("key").alias("k"), F.col("hash").alias("h"))

@@ -58,3 +58,13 @@ def test_very_long_text_is_read_whole():
     words = ["w%d" % (i * i % 9973) for i in range(300_000)]
     h = fp.window_hashes(fp.word_hashes([w.encode() for w in words]), 5) >> np.uint64(16)
     assert (fp.sketch(" ".join(words)) == np.unique(h)[:fp.K]).all()
+
+
+def test_successors_of_large_ids(spark):
+    """Neighbouring ids beyond 2**53, around 0 and at both ends of the longs, each beside the next smaller one."""
+    for base in (1 << 53, 1 << 60, 1 << 62, -(1 << 53), -(1 << 63) + 1, -50):
+        ids = [base + i for i in range(200)] + [3 * i + 7 for i in range(20)]
+        rows = sorted({d: f"text of {k} and some words" for k, d in enumerate(ids)}.items(), reverse=True)
+        got = {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in fp.edits(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+        want = {d: (len(t), hashlib.sha256(fp.edited(t, rows[(k + 1) % len(rows)][1]).encode()).hexdigest()) for k, (d, t) in enumerate(rows)}
+        assert got == want
