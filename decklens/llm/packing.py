@@ -1,15 +1,22 @@
-"""Best-fit-decreasing packing of documents into fixed-length token sequences.
-
-Where best-fit decreasing puts the pieces depends on their lengths alone, and
-there are at most ``capacity`` lengths.  The driver reads the number of pieces
-of each length and packs whole lengths, large to small: the pieces of a length
-go to the sequences with the smallest gap that still holds one, as many to
-each as its true gap takes, and sequences are opened only when no gap holds a
-piece.  Sequences alike are kept as runs of consecutive numbers; a run that is
-taken whole more than halves its gap and a length splits one run at most, so the
-plan grows with ``capacity`` and not with the data.  Pieces are numbered
-within their length in a distributed way (no task holds more than its range),
-and each finds its sequence in the broadcast plan by its number.
+"""Best-fit packing of documents into fixed-length token sequences.
+
+Bulk-synchronous best fit.  Pieces are taken in falling size classes.  In a
+round the pieces of the class and the gaps of the open sequences are
+range-sorted together by size; every task sweeps its range from large to small
+and gives each piece the smallest gap that still holds it (the gap last seen:
+its successor).  A gap that holds several of the largest pieces left stands in
+the sort once for each of them, always at its true size, so a tight gap is
+taken before a wide one and an untouched sequence last.  Pieces and gaps that
+a task cannot match inside its range are ranked; only the counts of each range
+go to the driver, which pairs ranks of leftover pieces with ranks of leftover
+gaps of the ranges above, the nearest first, each once, and a join on (range,
+rank) completes the match.  The gaps are updated, sequences are opened for the
+tokens that are left, and the round is repeated until every piece has a place.
+No task holds more than its range, and no row but the counts of the ranges
+reaches the driver.
+
+``plan`` is sequential best-fit decreasing over counts of lengths: what tests
+hold the number of sequences against.
 """
 
 from __future__ import annotations
@@ -20,12 +27,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decklens.llm.common import Scratch, number_rows, slices
+from decklens.llm.common import Scratch, shuffle_partitions, slices
 from decklens.llm.tokens import encoder, vocabulary_path
 
+#: Size classes: pieces of more than capacity/(next) and at most capacity/(this) tokens.
+DIVISORS = (1, 2, 3, 6, 24)
+#: Pieces and gaps that a task sweeps; smaller tables are sorted into fewer ranges.
+RANGE_ROWS = 50_000
+#: Once so small a share of a class is left, sequences are opened for all of it at once.
+LAST_SHARE = 0.01
+#: Sequences are opened when a sweep places at most such a share of the pieces that were left.
+FEW_PLACED = 0.2
+
 
 def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
            vocabulary: str | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -123,23 +140,93 @@ def plan(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, i
     return runs
 
 
-def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFrame:
-    """(uid, bin) for ``items`` (uid long, unique and not negative; length from 1 to ``capacity``); bins are numbered from 0."""
-    counts = sorted(((r["length"], r["count"]) for r in items.groupBy("length").count().collect()), reverse=True)  # at most `capacity` rows
-    before = np.cumsum([0] + [n for _, n in counts])
-    starts = dict(zip((length for length, _ in counts), before[:-1].tolist()))
-    runs = np.array(plan(counts, capacity), dtype=np.int64).reshape(-1, 3)
-    shared = scratch.spark.sparkContext.broadcast((starts, runs))
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One range, large to small: (part, kind, id, length, bin, rank); kind 2 matched, 1 piece left over, 0 slot left over."""
+    part, left, stack = TaskContext.get().partitionId(), 0, []
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["part", "kind", "id", "length", "bin", "rank"]
+    for b in batches:
+        out = []
+        for kind, key, size in zip(*(c.to_pylist() for c in b.columns)):
+            if kind == 0:
+                stack.append(key)
+            elif stack:
+                out.append((part, 2, key, size, stack.pop(), None))
+            else:
+                out.append((part, 1, key, size, None, left))
+                left += 1
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+    for at in range(0, len(stack), 65536):
+        ids = stack[at:at + 65536]
+        none = [None] * len(ids)
+        cols = ([part] * len(ids), [0] * len(ids), ids, none, none, range(at, at + len(ids)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+
+
+def _match(scratch: Scratch, slots: DataFrame, docs: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """((uid, length, bin) of the pieces that the sweep gives a gap, (uid, length) of the others)."""
+    spark = scratch.spark
+    both = (slots.select("size", F.lit(0).alias("kind"), F.col("bin").alias("id"))
+            .unionByName(docs.select(F.col("length").alias("size"), F.lit(1).alias("kind"), F.col("uid").alias("id"))))
+    order = [F.col("size").desc(), F.col("kind"), F.col("id")]
+    parts = min(shuffle_partitions(spark), rows // RANGE_ROWS + 1)
+    swept = scratch.table(both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                          .select("kind", "id", "size").mapInArrow(_sweep, "part int, kind int, id long, length long, bin long, rank long"))
+    near = swept.filter("kind = 2").select(F.col("id").alias("uid"), "length", "bin")
+    counts = (swept.filter("kind < 2").groupBy("part").agg(F.sum("kind").alias("docs"), F.sum(1 - F.col("kind")).alias("slots")).collect())
+    runs = pair_ranges([(r["part"], r["docs"], r["slots"]) for r in counts])
+    # at most two runs for each range of the sort: a bound by the number of partitions
+    plan = F.broadcast(spark.createDataFrame(runs, "dpart int, lo long, hi long, spart int, top long"))
+    inside = (F.col("part") == F.col("dpart")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
+    left = swept.filter("kind = 1")
+    rest = left.join(plan, inside, "left_anti").select(F.col("id").alias("uid"), "length")
+    if not runs:
+        return near, rest
+    far = left.join(plan, inside).select(F.col("id").alias("uid"), "length", "spart", (F.col("top") - F.col("rank") + F.col("lo")).alias("srank"))
+    free = swept.filter("kind = 0").select(F.col("part").alias("p"), F.col("rank").alias("r"), F.col("id").alias("bin"))
+    return near.unionByName(far.join(free, (F.col("spart") == F.col("p")) & (F.col("srank") == F.col("r"))).select("uid", "length", "bin")), rest
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, runs = shared.value
-        for b in batches:
-            at = np.array([starts[n] for n in b.column(1).to_pylist()], dtype=np.int64) + b.column(2).to_numpy()
-            first, bin_, each = runs[np.searchsorted(runs[:, 0], at, side="right") - 1].T
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bin_ + (at - first) // each)], ["uid", "bin"])
-
-    ranked = number_rows(scratch, items.select("uid", "length"), "length", ["uid"], "rank", int(before[-1]))
-    return ranked.select("uid", "length", "rank").mapInArrow(run, "uid long, bin long")
+
+def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFrame:
+    """(uid, bin) for ``items`` (uid long, unique and not negative; length from 1 to ``capacity``; written)."""
+    spark = scratch.spark
+    bounds = [capacity // d for d in DIVISORS] + [0]
+    which = sum((F.col("length") <= b).cast("int") for b in bounds[1:-1])
+    sizes = {r["c"]: (r["n"], r["total"], r["most"]) for r in items.groupBy(which.alias("c"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total"), F.max("length").alias("most")).collect()}  # one row for each size class
+    large = items.filter(F.col("length") > bounds[1])  # no two of them fit together
+    placed, n_bins, opened = [large.select("uid", F.col("uid").alias("bin"))], sizes.get(0, (0,))[0], 0
+    bins = scratch.table(large.filter(F.col("length") < capacity).select(F.col("uid").alias("bin"), (capacity - F.col("length")).alias("gap")), n_bins)
+    for k, (hi, lo) in enumerate(zip(bounds, bounds[1:])):
+        if k == 0 or k not in sizes:
+            continue
+        docs, (left, total, most) = items.filter((F.col("length") <= hi) & (F.col("length") > lo)), sizes[k]
+        whole, before, fresh = left, None, 0
+        while left:
+            usable = bins.filter(F.col("gap") > lo)
+            # as many places a gap as hold the largest piece left, and in all not many more than there are pieces
+            most_places = max(1, -(-2 * left // max(1, usable.count()))) if not fresh else capacity
+            places = F.least(F.greatest(F.lit(1), F.floor(F.col("gap") / most).cast("int")), F.lit(min(most_places, capacity)))
+            slots = usable.select("bin", F.col("gap").alias("size"), F.explode(F.sequence(F.lit(1), places)))
+            got, rest = _match(scratch, slots, docs, n_bins + opened + 2 * left)
+            got = scratch.table(got, left)
+            placed.append(got.select("uid", "bin"))
+            used = got.groupBy("bin").agg(F.sum("length").alias("used"))
+            state = bins.join(used, "bin", "left").select("bin", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).filter("gap > 0")
+            before, (left, total, most) = left, rest.agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
+            if left and before - left <= FEW_PLACED * before:
+                # hardly any gap holds one of them: open sequences for their tokens, or, of few that are left, for each
+                fresh = -(-total // capacity) if left > LAST_SHARE * whole else -(-left // (capacity // most))
+                state = state.unionByName(spark.range(opened, opened + fresh).select((-1 - F.col("id")).alias("bin"), F.lit(capacity).cast("long").alias("gap")))
+                opened += fresh
+            state = scratch.table(state, n_bins + opened)
+            scratch.drop(bins)
+            bins, docs = state, rest
+    out = placed[0]
+    for p in placed[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def pack(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
