@@ -142,8 +142,8 @@ def solve_path(x: np.ndarray, y: np.ndarray, machines: list[Machine]) -> dict[Ma
 
 # --- grids ---------------------------------------------------------------------------------------
 
-def fold_moments(df: DataFrame, features: list[str], folds: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """{fold: (mean, population std)} of the rows outside each fold (-1: of all); a std of 0 counts as 1."""
+def fold_moments(df: DataFrame, features: list[str], folds: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """{fold: (mean, population std, share of features that vary)} of the rows outside each fold (-1: of all); a std of 0 counts as 1."""
     cols = [F.count(F.lit(1)).alias("n")] + [x for i, c in enumerate(features) for x in (F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"))]
     parts = {r["fold"]: (r["n"], np.array([r[f"m{i}"] for i in range(len(features))]), np.array([r[f"v{i}"] for i in range(len(features))]))
              for r in df.groupBy("fold").agg(*cols).collect()}  # one row a fold
@@ -153,46 +153,92 @@ def fold_moments(df: DataFrame, features: list[str], folds: list[int]) -> dict[i
         n = sum(u[0] for u in use)
         mean = sum(u[0] * u[1] for u in use) / n
         var = sum(u[0] * (u[2] + (u[1] - mean) ** 2) for u in use) / n
-        out[fold] = (mean, np.where(var > 1e-300, np.sqrt(var), 1.0))
+        out[fold] = (mean, np.where(var > 1e-300, np.sqrt(var), 1.0), float((var > 1e-300).mean()))
     return out
 
 
-def gamma_of(kind: str, kernel_name: str, std: np.ndarray, spread: np.ndarray) -> float | None:
-    """The reference's gamma on standardised features; None for the linear kernel."""
+def gamma_of(kind: str, kernel_name: str, features: int, varied: float) -> float | None:
+    """The reference's gamma on standardised features, of which the share ``varied`` has variance 1; None for the linear kernel."""
     if kernel_name == "linear":
         return None
-    if kind == "auto":
-        return 1.0 / len(std)
-    if kind == "scale":
-        varied = float((spread > 0).mean())  # the variance of the whole scaled matrix: 1 in each feature that varies
-        return 1.0 / (len(std) * varied) if varied else 1.0
-    return float(kind)
+    if kind == "auto" or kind == "scale" and not varied:
+        return 1.0 / features
+    return 1.0 / (features * varied) if kind == "scale" else float(kind)
 
 
-def out_of_fold(df: DataFrame, features: list[str], key: str, machines: list[Machine], folds: list[int], moments: dict) -> DataFrame:
+def out_of_fold(df: DataFrame, features: list[str], key: str, machines: list[Machine], folds: list[int], moments: dict,
+                kernel_rows: int = KERNEL_ROWS) -> DataFrame:
     """(id, y, fold, machine, margin, gap): every row's margin from the machines that leave its fold out; ``df`` has y and fold.
 
-    One task for each (fold, kernel), which holds the training rows of the
-    fold; ``df`` has at most ``KERNEL_ROWS`` rows a task.
+    Linear machines share their passes.  RBF: one task for each (fold, kernel)
+    if the training rows are at most ``kernel_rows``, else one decomposition
+    for each fold and machine.
     """
-    kinds = list(dict.fromkeys(m.gamma for m in machines))
+    kind, flat = df.schema[key].dataType.simpleString(), "machine int, margin double, gap double"
+    rows = df.select(F.col(key).alias("id"), "y", "fold", F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    linear, parts = [m for m in machines if m.gamma is None], []
+    if linear:
+        found = linear_machines(rows.select("x", "y", "fold"), len(features), linear, folds, moments)
+
+        def margins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                for (f, i), (w, b, primal, dual) in found.items():
+                    part = pdf[pdf["fold"] == f]
+                    if len(part):
+                        x = (np.stack(part["x"].to_numpy()) - moments[f][0]) / moments[f][1]
+                        yield part[["id", "y", "fold"]].assign(machine=machines.index(linear[i]), margin=x @ w + b, gap=(primal - dual) / max(abs(primal), 1e-12))
+        parts.append(rows.mapInPandas(margins, f"id {kind}, y double, fold int, {flat}"))
+    curved = [m for m in machines if m.gamma is not None]
+    if curved and df.count() * (len(folds) - 1) <= kernel_rows * len(folds):
+        parts.append(_curved(rows, curved, machines, folds, moments))
+    else:
+        for f in folds:
+            for m in curved:
+                vectors, b, primal, dual = fit(df.filter(F.col("fold") != f), features, m, *moments[f][:2], kernel_rows)
+                margin = margin_of(vectors, b, m.gamma, *moments[f][:2])
+                parts.append(rows.filter(F.col("fold") == f).select("id", "y", "fold", F.lit(machines.index(m)).alias("machine"), margin(F.col("x")).alias("margin"),
+                                                                     F.lit((primal - dual) / max(abs(primal), 1e-12)).alias("gap")))
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole
+
+
+def margin_of(vectors: DataFrame, b: float, gamma: float | None, mean: np.ndarray, std: np.ndarray):
+    """A column function over feature arrays: the machine's margin, in blocks against its support vectors."""
+    got = vectors.collect()  # the support vectors: the model itself, shipped once
+    x, w = np.array([r["x"] for r in got]).reshape(len(got), len(mean)), np.array([r["weight"] for r in got])
+    shared = vectors.sparkSession.sparkContext.broadcast((x.T @ w if gamma is None else x, w))
+
+    def margin(rows: pd.Series) -> pd.Series:
+        x, w = shared.value
+        z = (np.stack(rows.to_numpy()) - mean) / std
+        if gamma is None:
+            return pd.Series(z @ x + b)
+        step = max(1, (1 << 23) // max(1, len(w)))
+        return pd.Series(np.concatenate([kernel(z[i:i + step], x, gamma) @ w + b for i in range(0, len(z), step)]))
+
+    return F.pandas_udf(margin, "double")
+
+
+def _curved(rows: DataFrame, curved: list[Machine], machines: list[Machine], folds: list[int], moments: dict) -> DataFrame:
+    kind = rows.schema["id"].dataType.simpleString()
+    kinds = list(dict.fromkeys(m.gamma for m in curved))
     jobs = [(f, g) for f in folds for g in kinds]
-    kind = df.schema[key].dataType.simpleString()
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         fold, gamma = jobs[int(pdf["job"].iloc[0])]
-        mean, std = moments[fold]
+        mean, std, _ = moments[fold]
         x = (np.stack(pdf["x"].to_numpy()) - mean) / std
         y, held, out = pdf["y"].to_numpy(), (pdf["fold"] == fold).to_numpy(), []
-        found = solve_path(x[~held], y[~held], [m for m in machines if m.gamma == gamma])
+        found = solve_path(x[~held], y[~held], [m for m in curved if m.gamma == gamma])
         between = kernel(x[held], x[~held], gamma)
         for m, (w, b, primal, dual) in found.items():
             out.append(pd.DataFrame({"id": pdf["id"][held], "y": y[held], "fold": fold, "machine": machines.index(m), "margin": between @ w + b,
                                      "gap": (primal - dual) / max(abs(primal), 1e-12)}))
         return pd.concat(out)
 
-    rows = df.select(F.col(key).alias("id"), "y", "fold", F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
     rows = rows.withColumn("job", F.explode(F.sequence(F.lit(0), F.lit(len(jobs) - 1)))).repartition(len(jobs), "job")
     return rows.groupBy("job").applyInPandas(fit, f"id {kind}, y double, fold int, machine int, margin double, gap double")
 
@@ -264,8 +310,10 @@ def _pass(rows: DataFrame, d: int, work: dict, moments: dict, machines: list[Mac
 
 def linear_machines(rows: DataFrame, d: int, machines: list[Machine], folds: list[int], moments: dict) -> dict[tuple[int, int], tuple[np.ndarray, float, float, float]]:
     """{(fold, machine): (w, b, primal, dual)} on the rows (x, y, fold) outside each fold, on features scaled by ``moments``."""
+    spread = rows.agg(F.max(F.abs("y"))).first()[0] or 1.0
     point = {(f, i): np.zeros(d + 1) for f in folds for i in range(len(machines))}
-    width, out = {j: 1.0 if machines[j[1]].epsilon is None else 0.1 for j in point}, {}
+    # so wide at first that every row is on the rounded part
+    width, damp, out = {j: 8.0 if machines[j[1]].epsilon is None else 8.0 * spread for j in point}, dict.fromkeys(point, 0.0), {}
     ridge = np.append(np.ones(d), 0.0)
     while point:
         found = _pass(rows, d, {j: (p, None, width[j]) for j, p in point.items()}, moments, machines)
@@ -273,30 +321,29 @@ def linear_machines(rows: DataFrame, d: int, machines: list[Machine], folds: lis
         for j, p in list(point.items()):
             C, v = machines[j[1]].C, found[j]
             grad = ridge * p + C * v[3:4 + d]
-            hess = np.diag(ridge) + C * v[4 + d:].reshape(d + 1, d + 1)
-            hess[d, d] += 1e-9 * (1 + abs(hess[d, d]))
-            # the slopes are dual variables: feasible once the bias's gradient is 0, their objective uses their own weights
+            hess = np.diag(ridge + damp[j]) + C * v[4 + d:].reshape(d + 1, d + 1)
+            hess[d, d] += 1e-9 * (1 + C)
+            # the slopes are dual variables, feasible once the bias's gradient is 0; their objective uses their own weights
             w_dual = -C * v[3:3 + d]
             primal, dual = p[:d] @ p[:d] / 2 + C * v[0], C * v[2] - w_dual @ w_dual / 2
-            settled = np.abs(grad).max() <= 1e-6 * C * max(1.0, np.abs(v[3:4 + d]).max()) or found[j][1] == 0 and not p.any()
-            if settled and (abs(primal - dual) <= LINEAR_GAP * max(abs(primal), 1e-9) or width[j] < 1e-7):
+            flat = np.abs(grad).max() <= 1e-7 * C * max(1.0, v[1]) or damp[j] > 1e12
+            if flat and (primal - dual <= LINEAR_GAP * max(abs(primal), 1e-6) or width[j] < 1e-9):
                 out[j] = (p[:d], float(p[d]), float(primal), float(dual))
                 del point[j]
-            elif settled:
-                width[j] /= 4
             else:
-                ask[j] = (p, -np.linalg.solve(hess, grad), width[j])
+                if flat:
+                    width[j], damp[j] = width[j] / 4, 0.0
+                ask[j] = (p, -np.linalg.solve(hess, grad), width[j]) if not flat else None
+        ask = {j: a for j, a in ask.items() if a is not None}
         if ask:
             tried = _pass(rows, d, ask, moments, machines)
             for j, (p, direction, _) in ask.items():
                 value = [(p + t * direction)[:d] @ (p + t * direction)[:d] / 2 + machines[j[1]].C * loss for t, loss in zip(STEPS, tried[j])]
                 best = int(np.argmin(value))
-                if STEPS[best] == 0 or value[best] >= value[-1] - 1e-12 * abs(value[-1]):
-                    width[j] /= 4  # no further at this width
-                point[j] = p + STEPS[best] * direction
-                if width[j] < 1e-9:
-                    out[j] = (p[:d], float(p[d]), float(value[-1]), float("nan"))
-                    del point[j]
+                if STEPS[best] == 0:
+                    damp[j] = max(1e-3, damp[j] * 100)
+                else:
+                    point[j], damp[j] = p + STEPS[best] * direction, damp[j] / 100 if damp[j] > 1e-2 else 0.0
     return out
 
 
@@ -304,6 +351,11 @@ def linear_machines(rows: DataFrame, d: int, machines: list[Machine], folds: lis
 
 def fit(df: DataFrame, features: list[str], m: Machine, mean: np.ndarray, std: np.ndarray, kernel_rows: int = KERNEL_ROWS, work_rows: int = WORK_ROWS) -> tuple[DataFrame, float, float, float]:
     """(support vectors (x scaled, weight; written), bias, primal, dual) of ``df`` with y."""
+    if m.gamma is None:
+        rows = df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), "y", F.lit(0).alias("fold"))
+        w, b, primal, dual = linear_machines(rows, len(features), [m], [-1], {-1: (mean, std, 1.0)})[-1, 0]
+        # the weights as one vector
+        return df.sparkSession.createDataFrame([(w.tolist(), 1.0)], "x array<double>, weight double"), b, primal, dual
     from decklens.session import cut_lineage
     z = F.array(*[(F.col(c).cast("double") - F.lit(float(a))) / F.lit(float(s)) for c, a, s in zip(features, mean, std)]).alias("x")
     rows = df.select(F.xxhash64(*features, "y").alias("h"), F.col("y").cast("double").alias("y"), z)
@@ -318,8 +370,8 @@ def fit(df: DataFrame, features: list[str], m: Machine, mean: np.ndarray, std: n
 
         # at most kernel_rows rows: one task
         got = cut_lineage(rows.groupBy(F.lit(0).alias("all")).applyInPandas(whole, "x array<double>, weight double"))
-        b, primal, dual = got.filter(F.isnan("weight")).first()["x"]
-        return got.filter(~F.isnan("weight")), b, primal, dual
+        b, primal, dual = got.filter("weight is null").first()["x"]
+        return got.filter("weight is not null"), b, primal, dual
     return _decomposed(rows, m, work_rows)
 
 

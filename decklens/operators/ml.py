@@ -27,6 +27,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from decklens.operators import kernel as K
 from decklens.operators import metrics as M
 from decklens.operators import split as S
 from decklens.operators import trees as T
@@ -528,6 +529,56 @@ def _search_trees(data: DataFrame, features: list[str], name: str, grid: dict, t
     return Trained(name, model, settings[best], scores)
 
 
+class KernelModel(Model):
+    """A support vector machine: its vectors are a written table (x scaled, weight); ``sigmoid`` (A, B) gives the probability."""
+
+    def __init__(self, vectors: DataFrame, bias: float, machine, mean, std, features: list[str], task: str, sigmoid=None, gap: float = 0.0, imputer=None):
+        super().__init__()
+        self.vectors, self.bias, self.machine, self.mean, self.std = vectors, bias, machine, mean, std
+        self.features, self.task, self.sigmoid, self.gap, self.imputer = features, task, sigmoid, gap, imputer
+        self._margin = None
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        if self.imputer is not None:
+            df = self.imputer.transform(df)
+        self._margin = self._margin or K.margin_of(self.vectors, self.bias, self.machine.gamma, self.mean, self.std)
+        out = df.withColumn("prediction", self._margin(F.array(*[F.col(c).cast("double") for c in self.features])))
+        if self.task != "cls":
+            return out
+        a, b = self.sigmoid
+        p = 1 / (1 + F.exp(F.lit(a) * F.col("prediction") + F.lit(b)))
+        # the class is the sign of the margin; the sigmoid only gives the probability
+        return (out.withColumn("probability", array_to_vector(F.array(1 - p, p))).withColumn("rawPrediction", array_to_vector(F.array(-F.col("prediction"), F.col("prediction"))))
+                .withColumn("prediction", (F.col("prediction") > 0).cast("double")))
+
+
+def _search_kernel(data: DataFrame, features: list[str], task: str, grid: dict, name: str, k: int, key: str, metric: str | None, impute: bool) -> Trained:
+    """The whole grid of a support vector machine on shared passes and kernels (see ``kernel``), then the best setting on all rows."""
+    settings, imputer = _product(grid), None
+    if impute:
+        from pyspark.ml.feature import Imputer
+        imputer = Imputer(inputCols=features, outputCols=features, strategy="mean").fit(data)
+        data = imputer.transform(data)
+    data = cut_lineage(data.select(key, "fold", F.col("label").cast("double").alias("y"), *features))
+    moments = K.fold_moments(data, features, [*range(k), -1])
+    varied = moments[-1][2]
+    which = [K.Machine(float(s["C"]), K.gamma_of(str(s.get("gamma", "scale")), s.get("kernel", "rbf"), len(features), varied),
+                       float(s["epsilon"]) if task == "reg" else None) for s in settings]
+    machines = list(dict.fromkeys(which))
+    oof = cut_lineage(K.out_of_fold(data, features, key, machines, list(range(k)), moments))
+    value = (F.col("margin") > 0).cast("int") if task == "cls" else F.col("margin")
+    scored = oof.select("fold", "y", "machine", F.col("margin").alias("score"), value.alias("prediction"))
+    found = {r["machine"]: r["score"] for r in fold_scores(scored, ["machine"], task, metric).collect()}  # one row a machine
+    scores = [found[machines.index(m)] for m in which]
+    best = max(range(len(scores)), key=lambda i: (scores[i], -i))
+    m, (mean, std, _) = which[best], moments[-1]
+    vectors, bias, primal, dual = K.fit(data, features, m, mean, std)
+    sigmoid = K.sigmoid(oof.filter(F.col("machine") == machines.index(m)).select("y", "margin")) if task == "cls" else None
+    model = KernelModel(vectors, bias, m, mean, std, features, task, sigmoid, (primal - dual) / max(abs(primal), 1e-12), imputer)
+    return Trained(name, model, settings[best], scores)
+
+
 def grid_search(train: DataFrame, features: list[str], label: str, name: str, grid: dict,
                 task: str = "cls", k: int = S.CV_FOLDS, parallelism: int = 2, key: str = "row_id",
                 metric: str | None = None, impute: bool = False) -> Trained:
@@ -540,6 +591,8 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
     data = cut_lineage(S.fold_exact(data, key, k, purpose=task, stratify="label" if task == "cls" else None))
     if name in TREES:
         return _search_trees(data, features, name, grid, task, k, key, metric, impute)
+    if name in ("svm", "svr"):
+        return _search_kernel(data, features, task, grid, name, k, key, metric, impute)
     b = build(name, grid, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     maps = [{p: v for p, v in m.items()} for m in b.maps]
