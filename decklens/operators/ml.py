@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from decklens.operators import kernel as K
 from decklens.operators import metrics as M
+from decklens.operators import neighbours as N
 from decklens.operators import split as S
 from decklens.operators import trees as T
 from decklens.session import cut_lineage
@@ -579,6 +580,95 @@ def _search_kernel(data: DataFrame, features: list[str], task: str, grid: dict,
     return Trained(name, model, settings[best], scores)
 
 
+class NeighbourModel(Model):
+    """Votes of the nearest training rows, which are kept scaled and written (space, id, x, label)."""
+
+    def __init__(self, train: DataFrame, mean, std, features: list[str], k: int, weights: str, key: str):
+        super().__init__()
+        self.train, self.mean, self.std, self.features, self.k, self.weights, self.key = train, mean, std, features, k, weights, key
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        x = _scaled_array(self.features, self.mean, self.std)
+        found = N.nearest(self.train, df.select(F.lit(0).alias("space"), F.col(self.key).alias("qid"), x.alias("x")), self.k)
+        voted = found.select(F.col("qid").alias(self.key), N.votes(F.col("found"), self.k, self.weights).alias("_p"))
+        p = F.col("_p")
+        return (df.join(voted, self.key, "left").withColumn("prediction", (p > 0.5).cast("double"))
+                .withColumn("probability", array_to_vector(F.array(1 - p, p))).withColumn("rawPrediction", F.col("probability")).drop("_p"))
+
+
+def _scaled_array(features: list[str], mean, std):
+    return F.array(*[(F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(features, mean, std)])
+
+
+def _search_neighbours(data: DataFrame, features: list[str], grid: dict, k: int, key: str, metric: str | None) -> Trained:
+    """Every fold's space is searched together, once for the largest k; smaller k and other weights are read off the same lists."""
+    settings = _product(grid)
+    data = cut_lineage(data.select(key, "fold", F.col("label").cast("double").alias("y"), *features))
+    moments = K.fold_moments(data, features, [*range(k), -1])
+    spaces = [data.select(F.lit(f).alias("space"), key, "fold", "y", _scaled_array(features, *moments[f][:2]).alias("x")) for f in range(k)]
+    rows = spaces[0]
+    for part in spaces[1:]:
+        rows = rows.unionByName(part)
+    rows = cut_lineage(rows)
+    most = max(int(s["n_neighbors"]) for s in settings)
+    train = rows.filter(F.col("fold") != F.col("space")).select("space", F.col(key).alias("id"), "x", F.col("y").alias("label"))
+    asked = rows.filter(F.col("fold") == F.col("space"))
+    found = cut_lineage(N.nearest(train, asked.select("space", F.col(key).alias("qid"), "x"), most))
+    forms = [F.struct(F.lit(i).alias("setting"), N.votes(F.col("found"), int(s["n_neighbors"]), str(s.get("weights", "uniform"))).alias("score")) for i, s in enumerate(settings)]
+    oof = (asked.select("fold", "y", F.col(key).alias("qid")).join(found.select("qid", F.explode(F.array(*forms)).alias("e")), "qid")
+           .select("fold", "y", "e.*").withColumn("prediction", (F.col("score") > 0.5).cast("int")))
+    got = {r["setting"]: r["score"] for r in fold_scores(oof, ["setting"], "cls", metric).collect()}  # one row a setting
+    scores = [got[i] for i in range(len(settings))]
+    best = max(range(len(scores)), key=lambda i: (scores[i], -i))
+    mean, std, _ = moments[-1]
+    kept = cut_lineage(data.select(F.lit(0).alias("space"), F.col(key).alias("id"), _scaled_array(features, mean, std).alias("x"), F.col("y").alias("label")))
+    model = NeighbourModel(kept, mean, std, features, int(settings[best]["n_neighbors"]), str(settings[best].get("weights", "uniform")), key)
+    return Trained("knn", model, settings[best], scores)
+
+
+def fold_sums(data: DataFrame, features: list[str], shift) -> dict[int, np.ndarray]:
+    """{fold: sums of (1, x - shift, y) times itself}: one pass, from which every fold's least-squares problem follows."""
+    d = len(features)
+
+    def sums(frames):
+        total: dict = {}
+        for pdf in frames:
+            for f, part in pdf.groupby("fold"):
+                z = np.column_stack([np.ones(len(part)), part[features].to_numpy(dtype=np.float64) - shift[:d], part["label"].to_numpy(dtype=np.float64) - shift[d]])
+                total[f] = total.get(f, 0) + z.T @ z
+        yield pd.DataFrame([(f, v.ravel().tolist()) for f, v in total.items()], columns=["fold", "v"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"fold": pdf["fold"].iloc[:1], "v": [np.sum(np.stack(pdf["v"].to_numpy()), axis=0).tolist()]})
+
+    rows = data.select("fold", *[F.col(c).cast("double").alias(c) for c in features], F.col("label").cast("double").alias("label"))
+    got = rows.mapInPandas(sums, "fold int, v array<double>").groupBy("fold").applyInPandas(add, "fold int, v array<double>").collect()  # one row a fold
+    return {r["fold"]: np.array(r["v"]).reshape(d + 2, d + 2) for r in got}
+
+
+def _ridge_scores(data: DataFrame, features: list[str], alphas: list[float], k: int) -> list[float]:
+    """Mean R2 over the folds of each penalty: a fold's problem is the whole's sums minus its own."""
+    d = len(features)
+    shift = np.array(data.agg(*[F.avg(c) for c in features], F.avg("label")).first(), dtype=np.float64)
+    parts = fold_sums(data, features, shift)
+    whole, out = sum(parts.values()), [[] for _ in alphas]
+    for f in sorted(parts):
+        g, h = whole - parts[f], parts[f]
+        n, mean = g[0, 0], g[0, 1:] / g[0, 0]
+        cov = g[1:, 1:] - n * np.outer(mean, mean)
+        scale = np.sqrt(np.maximum(cov.diagonal()[:d] / n, 0))
+        scale[scale <= 1e-150] = 1.0
+        gram, xy = cov[:d, :d] / np.outer(scale, scale), cov[:d, d] / scale
+        for i, alpha in enumerate(alphas):
+            w = np.linalg.lstsq(gram + alpha * np.eye(d), xy, rcond=None)[0] / scale
+            # residuals y - b - w x of the left-out rows as one quadratic form of their sums
+            r = np.concatenate([[-(mean[d] - w @ mean[:d])], -w, [1.0]])
+            total = h[d + 1, d + 1] - h[0, d + 1] ** 2 / h[0, 0]
+            out[i].append(1 - float(r @ h @ r) / total)
+    return [float(np.mean(v)) for v in out]
+
+
 def grid_search(train: DataFrame, features: list[str], label: str, name: str, grid: dict,
                 task: str = "cls", k: int = S.CV_FOLDS, parallelism: int = 2, key: str = "row_id",
                 metric: str | None = None, impute: bool = False) -> Trained:
@@ -593,8 +683,14 @@ def grid_search(train: DataFrame, features: list[str], label: str, name: str, gr
         return _search_trees(data, features, name, grid, task, k, key, metric, impute)
     if name in ("svm", "svr"):
         return _search_kernel(data, features, task, grid, name, k, key, metric, impute)
+    if name == "knn" and not impute:
+        return _search_neighbours(data, features, grid, k, key, metric)
     b = build(name, grid, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
+    if name in ("linear_reg", "ridge") and metric in (None, "r2") and not impute:
+        scores = _ridge_scores(data, features, [float(s.get("alpha", 0.0)) for s in b.settings], k)
+        best_i = max(range(len(scores)), key=lambda i: (scores[i], -i))
+        return Trained(name, pipe.fit(data, b.maps[best_i]) if b.maps[best_i] else pipe.fit(data), b.settings[best_i], scores)
     maps = [{p: v for p, v in m.items()} for m in b.maps]
     ev = _evaluator(task, metric)
     if len(maps) == 1 and not maps[0]:
