@@ -521,13 +521,19 @@ def _search_trees(data: DataFrame, features: list[str], name: str, grid: dict, t
     found = {(r["kind"], r["mark"]): r["score"] for r in fold_scores(oof.withColumn("prediction", value), ["kind", "mark"], task, metric).collect()}  # one row a setting
     scores = [found[w] for w in which]
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
-    kind, mark = which[best]
+    return Trained(name, _tree_model(rows, edges, features, name, settings[best], task, imputer), settings[best], scores)
+
+
+def _tree_model(rows: DataFrame, edges: list, features: list[str], name: str, setting: dict, task: str, imputer=None) -> TreesModel:
+    """One setting on all binned rows."""
+    n = int(setting["n_estimators"])
     if TREES[name] == "boosting":
-        trees = T.boosted(rows, [kinds[kind]], [mark], task == "cls", trees=True).select("tree", "raw")
+        run = T.Boosting(float(setting["learning_rate"]), int(setting["max_depth"]), float(setting["subsample"]))
+        trees = T.boosted(rows, [run], [n], task == "cls", trees=True).select("tree", "raw")
     else:
-        trees = T.forest_trees(rows, mark, kinds[kind], m)
-    model = TreesModel(cut_lineage(trees), edges, features, TREES[name] == "boosting", task, imputer)
-    return Trained(name, model, settings[best], scores)
+        m = max(1, math.isqrt(len(features))) if name == "rf" else None
+        trees = T.forest_trees(rows, n, (setting["max_depth"], int(setting["min_samples_split"])), m)
+    return TreesModel(cut_lineage(trees), edges, features, TREES[name] == "boosting", task, imputer)
 
 
 class KernelModel(Model):
@@ -708,6 +714,10 @@ def fit_single(train: DataFrame, features: list[str], label: str, name: str, set
     """Fit one model with one setting on the whole training set (no
     cross-validation; ``grid_search`` does the selection)."""
     data = cut_lineage(train.select(key, *features, F.col(label).alias("label")))
+    if name in TREES and not impute:
+        edges = T.bin_edges(data, features)
+        rows = cut_lineage(T.binned(data, features, edges, key, "label"))
+        return Trained(name, _tree_model(rows, edges, features, name, setting, task), setting, [])
     b = build(name, {k: [v] for k, v in setting.items()}, task)
     pipe = Pipeline(stages=_front(features, name in SCALED, impute) + b.stages)
     model = pipe.fit(data, b.maps[0]) if b.maps and b.maps[0] else pipe.fit(data)

@@ -677,9 +677,9 @@ for _n, _task, _key in [("logreg", "cls", "clf_logistic"), ("svm", "cls", "clf_s
 
 
 def _grid_search(spark, sf_dir):
-    f = _feature_table(spark, sf_dir)
+    train, _, label = _written_split(spark, sf_dir, "cls")
     grid = ML.CLS_GRID["logreg"]
-    t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "logreg", grid, "cls")
+    t = ML.grid_search(train, FT.FEATURE_COLUMNS, label, "logreg", grid, "cls")
     return spark.createDataFrame([(float(c), float(m)) for c, m in zip(grid["C"], t.cv_metrics)],
                                  "C double, mean_cv_f1 double")
 
@@ -701,8 +701,8 @@ register("compare_regressors", None)(lambda s, d: rounded(_compare("reg")(s, d))
 
 
 def _importance(spark, sf_dir):
-    f = ML.cut_lineage(_feature_table(spark, sf_dir))
-    t = ML.grid_search(f, FT.FEATURE_COLUMNS, "competitive", "rf", ML.CLS_GRID["rf"], "cls")
+    train, _, label = _written_split(spark, sf_dir, "cls")
+    t = ML.grid_search(train, FT.FEATURE_COLUMNS, label, "rf", ML.CLS_GRID["rf"], "cls")
     return P.top_k(ML.feature_importance(t, FT.FEATURE_COLUMNS), "importance", 20, "feature")
 
 
