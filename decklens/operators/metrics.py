@@ -176,6 +176,17 @@ def metrics_summary(results: DataFrame, by: str = "f1", group: str = "model",
                        *[F.col(m).alias(f"best_{m}") for m in metrics], allm.alias("all_models"))
 
 
+def metrics_records(results: DataFrame, by: str, metrics: list[str], group: str = "model") -> DataFrame:
+    """One row: best model (first by ``by`` desc, ties by name), its
+    scores and ``all_models``, a record of every model (with ``best_params``
+    where the results have them)."""
+    best = results.orderBy(F.desc_nulls_last(by), F.asc(group)).limit(1)
+    cols = [group, *metrics, *(c for c in ("best_params",) if c in results.columns)]
+    # one record per model: the result table is small by construction
+    allm = results.agg(F.array_sort(F.collect_list(F.struct(*cols)))).scalar() if "best_params" not in cols else results.agg(F.collect_list(F.struct(*cols))).scalar()
+    return best.select(F.col(group).alias("best_model"), *[F.col(m).alias(f"best_{m}") for m in metrics], allm.alias("all_models"))
+
+
 def chart_series(results: DataFrame, metrics: list[str], group: str = "model") -> DataFrame:
     """Bar-chart data: metric values with NULL -> 0 and a 3-decimal label."""
     long = results.unpivot([group], metrics, "metric", "value")

@@ -19,6 +19,19 @@ def shape(df: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table"), "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_cols"))
 
 
+def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``order`` (a table has no order of its own)."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
+
+
+def target_profile(df: DataFrame, targets: list[str]) -> DataFrame:
+    """count and share of every value of each target; the share of value 1 is the positive share."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(t).alias("column"), F.col(t).cast("string").alias("value")) for t in targets])).alias("e"))
+    counts = each.groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("column", "value", "n", (F.col("n") / total).alias("share"))
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """value, count and share of rows (the total is a scalar subquery)."""
     total = df.agg(F.count(F.lit(1))).scalar()

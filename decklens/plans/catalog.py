@@ -895,6 +895,41 @@ _both("describe_spread", _describe_spread,
       doubles=["mean", "max"], others=["column", "count"])
 
 
+def _records(spark, results, by, metrics):
+    """The summary through the JSON sink (A4, H21), its records as rows."""
+    summary = M.metrics_records(results, by, metrics)
+    path = IO.scratch_path(spark, "metrics_records")
+    IO.write_json(summary, path)
+    return spark.read.schema(summary.schema).json(path).select("best_model", F.explode("all_models").alias("r")).select("best_model", "r.*")
+
+
+_both("metrics_records", lambda s, d: _records(s, _results(s, d), "f1", ["accuracy", "f1", "roc_auc"]),
+      "SELECT (SELECT model FROM results ORDER BY f1 DESC NULLS LAST, model LIMIT 1) AS best_model, * FROM results",
+      doubles=["accuracy", "f1", "roc_auc"], others=["best_model", "model"], ctes=_MET_CTES)
+_both("regression_records", lambda s, d: _records(s, M.regression_metrics(_reg_pred(s, d)), "r2", ["r2", "mae", "rmse"]),
+      "SELECT (SELECT model FROM reg_m ORDER BY r2 DESC NULLS LAST, model LIMIT 1) AS best_model, * FROM reg_m",
+      doubles=["r2", "mae", "rmse"], others=["best_model", "model"], ctes=_MET_CTES)
+
+
+def _results_csv(spark, sf_dir):
+    """A3: the result table with its parameter map through the CSV sink; the map comes back as JSON text."""
+    results = _results(spark, sf_dir).withColumn("best_params", F.create_map(F.lit("model"), "model"))
+    path = IO.scratch_path(spark, "results_csv")
+    IO.write_csv(results, path)
+    return IO.read_csv(spark, path, "model string, accuracy double, f1 double, roc_auc double, best_params string")
+
+
+_both("results_csv", _results_csv, "SELECT *, '{\"model\":\"' || model || '\"}' AS best_params FROM results",
+      doubles=["accuracy", "f1", "roc_auc"], others=["model", "best_params"], ctes=_MET_CTES)
+_both("target_profile", lambda s, d: P.target_profile(_targets(s, d), ["competitive", "tier_multiclass"]),
+      " UNION ALL ".join(f"SELECT '{t}' AS \"column\", CAST({t} AS VARCHAR) AS value, count(*) AS n, count(*) / (SELECT count(*) FROM final)::DOUBLE AS share"
+                         f" FROM final GROUP BY {t}" for t in ("competitive", "tier_multiclass")),
+      doubles=["share"], others=["column", "value", "n"], ctes=_TGT_CTES)
+_both("preview", lambda s, d: P.preview(_targets(s, d).select("row_id", "tier", "competitive", "tier_multiclass"), ["row_id"]),
+      "SELECT row_id, tier, competitive, tier_multiclass FROM final ORDER BY row_id LIMIT 5",
+      others=["row_id", "tier", "competitive", "tier_multiclass"], ctes=_TGT_CTES)
+
+
 # D5/C7 over the documents table: the reference's keywords never occur in the
 # invented prose, so the dictionary holds words that do (FIXTURES section 3).
 DOC_KEYWORDS = {
