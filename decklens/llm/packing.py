@@ -1,19 +1,19 @@
 """Best-fit packing of documents into fixed-length token sequences.
 
 Bulk-synchronous best fit.  Pieces are taken in falling size classes.  In a
-round the pieces of the class and the gaps of the open sequences are
-range-sorted together by size; every task sweeps its range from large to small
-and gives each piece the smallest gap that still holds it (the gap last seen:
-its successor).  A gap that holds several of the largest pieces left stands in
-the sort once for each of them, always at its true size, so a tight gap is
-taken before a wide one and an untouched sequence last.  Pieces and gaps that
-a task cannot match inside its range are ranked; only the counts of each range
-go to the driver, which pairs ranks of leftover pieces with ranks of leftover
-gaps of the ranges above, the nearest first, each once, and a join on (range,
-rank) completes the match.  The gaps are updated, sequences are opened for the
-tokens that are left, and the round is repeated until every piece has a place.
-No task holds more than its range, and no row but the counts of the ranges
-reaches the driver.
+round the pieces of the class and the gaps of the open sequences are sorted by
+size and cut into ranges of about equal tokens, the largest pieces with the
+largest gaps; every task sweeps its ranges, pieces from large to small, and
+gives each piece its successor, the smallest gap that still holds it.  Of
+pieces that want the same gap the first in rank (length, then number) takes
+it, and what is left of the gap goes on standing at its true size.  The gaps
+are updated and dealt anew with the pieces that found none, until a round
+places few of them; then the tasks open sequences for the rest, and the next
+class begins.
+
+Only counts of sizes (at most ``capacity`` of pieces and of gaps) reach the
+driver, which cuts the ranges by them; a size that fills several ranges is
+spread over them by number.  No task holds more than its ranges.
 
 ``plan`` is sequential best-fit decreasing over counts of lengths: what tests
 hold the number of sequences against.
@@ -27,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +35,11 @@ from decklens.llm.tokens import encoder, vocabulary_path
 
 #: Size classes: pieces of more than capacity/(next) and at most capacity/(this) tokens.
 DIVISORS = (1, 2, 3, 6, 24)
-#: Pieces and gaps that a task sweeps; smaller tables are sorted into fewer ranges.
+#: Tokens of pieces in a range of a sweep, and rows in it.
+RANGE_TOKENS = 2_000_000
 RANGE_ROWS = 50_000
-#: Once so small a share of a class is left, sequences are opened for all of it at once.
-LAST_SHARE = 0.01
-#: Sequences are opened when a sweep places at most such a share of the pieces that were left.
-FEW_PLACED = 0.2
+#: Sequences are opened once a round places at most such a share of the pieces that were left.
+FEW_PLACED = 0.05
 
 
 def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
@@ -76,30 +74,6 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def pair_ranges(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Pair leftovers over ranges in falling size: (piece range, first rank, end rank, slot range, slot rank of the first).
-
-    ``counts``: (range, leftover pieces, leftover slots).  The pieces of a
-    range come before its slots, so they take slots of the ranges above, the
-    nearest (smallest) first; ranks of slots fall as ranks of pieces rise.
-    """
-    runs, stack = [], []
-    for part, docs, slots in sorted(counts):
-        at = 0
-        while at < docs and stack:
-            above, left = stack[-1]
-            n = min(left, docs - at)
-            runs.append((part, at, at + n, above, left - 1))
-            at += n
-            if n == left:
-                stack.pop()
-            else:
-                stack[-1] = (above, left - n)
-        if slots:
-            stack.append((part, slots))
-    return runs
-
-
 def plan(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int]]:
     """Best-fit decreasing of ``counts`` (length, pieces) as runs (first piece, first sequence, pieces to a sequence).
 
@@ -140,89 +114,109 @@ def plan(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, i
     return runs
 
 
-def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range, large to small: (part, kind, id, length, bin, rank); kind 2 matched, 1 piece left over, 0 slot left over."""
-    part, left, stack = TaskContext.get().partitionId(), 0, []
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["part", "kind", "id", "length", "bin", "rank"]
-    for b in batches:
-        out = []
-        for kind, key, size in zip(*(c.to_pylist() for c in b.columns)):
-            if kind == 0:
-                stack.append(key)
-            elif stack:
-                out.append((part, 2, key, size, stack.pop(), None))
-            else:
-                out.append((part, 1, key, size, None, left))
-                left += 1
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-    for at in range(0, len(stack), 65536):
-        ids = stack[at:at + 65536]
-        none = [None] * len(ids)
-        cols = ([part] * len(ids), [0] * len(ids), ids, none, none, range(at, at + len(ids)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
-
-
-def _match(scratch: Scratch, slots: DataFrame, docs: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
-    """((uid, length, bin) of the pieces that the sweep gives a gap, (uid, length) of the others)."""
-    spark = scratch.spark
-    both = (slots.select("size", F.lit(0).alias("kind"), F.col("bin").alias("id"))
-            .unionByName(docs.select(F.col("length").alias("size"), F.lit(1).alias("kind"), F.col("uid").alias("id"))))
-    order = [F.col("size").desc(), F.col("kind"), F.col("id")]
-    parts = min(shuffle_partitions(spark), rows // RANGE_ROWS + 1)
-    swept = scratch.table(both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-                          .select("kind", "id", "size").mapInArrow(_sweep, "part int, kind int, id long, length long, bin long, rank long"))
-    near = swept.filter("kind = 2").select(F.col("id").alias("uid"), "length", "bin")
-    counts = (swept.filter("kind < 2").groupBy("part").agg(F.sum("kind").alias("docs"), F.sum(1 - F.col("kind")).alias("slots")).collect())
-    runs = pair_ranges([(r["part"], r["docs"], r["slots"]) for r in counts])
-    # at most two runs for each range of the sort: a bound by the number of partitions
-    plan = F.broadcast(spark.createDataFrame(runs, "dpart int, lo long, hi long, spart int, top long"))
-    inside = (F.col("part") == F.col("dpart")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
-    left = swept.filter("kind = 1")
-    rest = left.join(plan, inside, "left_anti").select(F.col("id").alias("uid"), "length")
-    if not runs:
-        return near, rest
-    far = left.join(plan, inside).select(F.col("id").alias("uid"), "length", "spart", (F.col("top") - F.col("rank") + F.col("lo")).alias("srank"))
-    free = swept.filter("kind = 0").select(F.col("part").alias("p"), F.col("rank").alias("r"), F.col("id").alias("bin"))
-    return near.unionByName(far.join(free, (F.col("spart") == F.col("p")) & (F.col("srank") == F.col("r"))).select("uid", "length", "bin")), rest
+def _ranges(counts: dict[int, int], n: int) -> dict[int, tuple[int, int]]:
+    """size -> (first range, ranges): ``counts`` cut into ``n`` ranges of about equal tokens, large sizes first."""
+    total, done, out = sum(size * c for size, c in counts.items()), 0, {}
+    for size in sorted(counts, reverse=True):
+        lo = done * n // total
+        done += size * counts[size]
+        out[size] = (lo, max(1, -(-done * n // total) - lo))
+    return out
+
+
+def _sweep(capacity: int, opening: bool, turn: int):
+    """Rows (range, kind, size, id) in order, a range's gaps (kind 0) before its pieces, pieces from large to small.
+
+    Gives (kind, size, id, bin): kind 0 a gap as it is now, 1 a piece without a
+    place, 2 a piece and its sequence.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, gaps, sizes, opened, out = None, {}, [], 0, []
+
+        def put(gap: int, which: int) -> None:
+            if gap not in gaps:
+                gaps[gap] = []
+                insort(sizes, gap)
+            gaps[gap].append(which)
+
+        def flush(rows: list) -> pa.RecordBatch:
+            cols = list(zip(*rows)) or [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["kind", "size", "id", "bin"])
+
+        for b in batches:
+            for part, kind, size, key in zip(*(c.to_pylist() for c in b.columns)):
+                if part != at:
+                    out += [(0, gap, which, None) for gap, all_ in gaps.items() for which in all_]
+                    at, gaps, sizes, opened = part, {}, [], 0
+                if kind == 0:
+                    put(size, key)
+                    continue
+                i = bisect_left(sizes, size)
+                if i < len(sizes):
+                    gap = sizes[i]
+                    which = gaps[gap].pop()
+                    if not gaps[gap]:
+                        del gaps[gap], sizes[i]
+                elif opening:
+                    # numbers below -1, a block for each turn and range
+                    gap, which = capacity, -2 - (turn << 50 | part << 25 | opened)
+                    opened += 1
+                else:
+                    out.append((1, size, key, None))
+                    continue
+                out.append((2, size, key, which))
+                if gap > size:
+                    put(gap - size, which)
+            if len(out) > 1 << 16:
+                yield flush(out)
+                out = []
+        out += [(0, gap, which, None) for gap, all_ in gaps.items() for which in all_]
+        yield flush(out)
+
+    return run
 
 
 def best_fit(scratch: Scratch, items: DataFrame, capacity: int = 2048) -> DataFrame:
     """(uid, bin) for ``items`` (uid long, unique and not negative; length from 1 to ``capacity``; written)."""
     spark = scratch.spark
     bounds = [capacity // d for d in DIVISORS] + [0]
-    which = sum((F.col("length") <= b).cast("int") for b in bounds[1:-1])
-    sizes = {r["c"]: (r["n"], r["total"], r["most"]) for r in items.groupBy(which.alias("c"))
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total"), F.max("length").alias("most")).collect()}  # one row for each size class
-    large = items.filter(F.col("length") > bounds[1])  # no two of them fit together
-    placed, n_bins, opened = [large.select("uid", F.col("uid").alias("bin"))], sizes.get(0, (0,))[0], 0
-    bins = scratch.table(large.filter(F.col("length") < capacity).select(F.col("uid").alias("bin"), (capacity - F.col("length")).alias("gap")), n_bins)
-    for k, (hi, lo) in enumerate(zip(bounds, bounds[1:])):
-        if k == 0 or k not in sizes:
-            continue
-        docs, (left, total, most) = items.filter((F.col("length") <= hi) & (F.col("length") > lo)), sizes[k]
-        whole, before, fresh = left, None, 0
-        while left:
-            usable = bins.filter(F.col("gap") > lo)
-            # as many places a gap as hold the largest piece left, and in all not many more than there are pieces
-            most_places = max(1, -(-2 * left // max(1, usable.count()))) if not fresh else capacity
-            places = F.least(F.greatest(F.lit(1), F.floor(F.col("gap") / most).cast("int")), F.lit(min(most_places, capacity)))
-            slots = usable.select("bin", F.col("gap").alias("size"), F.explode(F.sequence(F.lit(1), places)))
-            got, rest = _match(scratch, slots, docs, n_bins + opened + 2 * left)
-            got = scratch.table(got, left)
-            placed.append(got.select("uid", "bin"))
-            used = got.groupBy("bin").agg(F.sum("length").alias("used"))
-            state = bins.join(used, "bin", "left").select("bin", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).filter("gap > 0")
-            before, (left, total, most) = left, rest.agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
-            if left and before - left <= FEW_PLACED * before:
-                # hardly any gap holds one of them: open sequences for their tokens, or, of few that are left, for each
-                fresh = -(-total // capacity) if left > LAST_SHARE * whole else -(-left // (capacity // most))
-                state = state.unionByName(spark.range(opened, opened + fresh).select((-1 - F.col("id")).alias("bin"), F.lit(capacity).cast("long").alias("gap")))
-                opened += fresh
-            state = scratch.table(state, n_bins + opened)
-            scratch.drop(bins)
-            bins, docs = state, rest
+    # no two pieces of more than half the capacity fit together: each opens its sequence
+    pieces_left = items.filter(F.col("length") <= bounds[1]).select(F.lit(1).alias("kind"), F.col("length").alias("size"), F.col("uid").alias("id"))
+    gaps = items.filter((F.col("length") > bounds[1]) & (F.col("length") < capacity)).select(F.lit(0).alias("kind"), (capacity - F.col("length")).alias("size"), F.col("uid").alias("id"))
+    placed, turn, tables = [items.filter(F.col("length") > bounds[1]).select("uid", F.col("uid").alias("bin"))], 0, []
+
+    def counted(df: DataFrame) -> dict[int, int]:
+        return {r["size"]: r["count"] for r in df.groupBy("size").count().collect()}  # at most `capacity` rows
+
+    every, free = counted(pieces_left), counted(gaps)
+    for hi, lo in zip(bounds[1:], bounds[2:]):
+        docs, todo = pieces_left.filter((F.col("size") <= hi) & (F.col("size") > lo)), {s: c for s, c in every.items() if lo < s <= hi}
+        before = 0
+        while todo:
+            left = sum(todo.values())
+            smallest = min(todo)
+            usable = {s: c for s, c in free.items() if s >= smallest}
+            opening, turn = not usable or 0 < before and before - left <= FEW_PLACED * before, turn + 1
+            rows = left + sum(usable.values())
+            n = max(1, sum(s * c for s, c in todo.items()) // RANGE_TOKENS, rows // RANGE_ROWS)
+            cuts = [(kind, s, *at) for kind, part in ((0, usable), (1, todo)) if part for s, at in _ranges(part, n).items()]
+            # a row for each size: at most `capacity` of pieces and of gaps
+            cuts = F.broadcast(spark.createDataFrame(cuts, "kind int, size long, lo long, span long"))
+            both = gaps.filter(F.col("size") >= smallest).unionByName(docs).join(cuts, ["kind", "size"])
+            part = (F.col("lo") + F.pmod(F.xxhash64("id"), F.col("span"))).alias("part")
+            swept = (both.select(part, "kind", "size", "id").repartition(min(shuffle_partitions(spark), n), "part")
+                     .sortWithinPartitions("part", "kind", F.desc("size"), "id").mapInArrow(_sweep(capacity, opening, turn), "kind int, size long, id long, bin long"))
+            table = scratch.table(swept)
+            tables.append(table)
+            placed.append(table.filter("kind = 2").select(F.col("id").alias("uid"), "bin"))
+            small = gaps.filter(F.col("size") < smallest)
+            gaps, docs = table.filter("kind = 0").select("kind", "size", "id").unionByName(small), table.filter("kind = 1").select("kind", "size", "id")
+            now = table.filter("kind < 2").groupBy("kind", "size").count().collect()  # at most 2 * `capacity` rows
+            before, todo = left, {r["size"]: r["count"] for r in now if r["kind"] == 1}
+            free = {s: c for s, c in free.items() if s < smallest} | {}
+            for r in now:
+                if r["kind"] == 0:
+                    free[r["size"]] = free.get(r["size"], 0) + r["count"]
     out = placed[0]
     for p in placed[1:]:
         out = out.unionByName(p)

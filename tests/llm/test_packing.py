@@ -134,8 +134,29 @@ def test_empty_texts_share_sequences(spark):
     assert check(packing.pack(docs).collect()) == 3
 
 
-def test_ranges_pair_nearest_first():
-    assert packing.pair_ranges([(0, 2, 3), (1, 1, 0), (2, 4, 1)]) == [(1, 0, 1, 0, 2), (2, 0, 2, 0, 1)]
+def test_ranges_hold_equal_tokens():
+    counts = {2048 - i: 1 + i % 7 for i in range(0, 2048, 3)}
+    cut = packing._ranges(counts, 10)
+    load = [0.0] * 11
+    for size, (lo, span) in cut.items():
+        for k in range(span):
+            load[lo + k] += size * counts[size] / span
+    assert load[10] == 0 and max(load) < 1.2 * sum(load) / 10 and cut[max(counts)][0] == 0
+    assert packing._ranges({5: 1000}, 4) == {5: (0, 4)} and packing._ranges({5: 1}, 1) == {5: (0, 1)}
+
+
+def test_many_ranges_and_rounds(spark, monkeypatch):
+    """Ranges of few tokens: pieces and gaps are dealt anew, and the count stays near that of one sequential sweep."""
+    monkeypatch.setattr(packing, "RANGE_TOKENS", 30_000)
+    rng = random.Random(5)
+    lengths = [rng.choice([rng.randrange(1, 2049), rng.randrange(1, 700), rng.randrange(1, 60)]) for _ in range(3000)]
+    items = spark.createDataFrame(list(enumerate(lengths)), "uid long, length long").repartition(3)
+    got = packing.best_fit(Scratch(spark, "t"), items).collect()
+    assert sorted(r["uid"] for r in got) == list(range(len(lengths)))
+    fill = Counter()
+    for r in got:
+        fill[r["bin"]] += lengths[r["uid"]]
+    assert max(fill.values()) <= 2048 and len(fill) <= 1.02 * best_fit_decreasing(lengths) + 1
 
 
 def test_empty(spark):
