@@ -91,12 +91,6 @@ def _card_derived(c: DataFrame) -> dict[str, Column]:
     return _EXPR_CACHE[key]
 
 
-def card_values(cards: DataFrame) -> DataFrame:
-    """Per-printing derived card values (name + one column per statistic)."""
-    c = prune_card_columns(cards)
-    return c.select("name", *[v.alias(k) for k, v in _card_derived(c).items()])
-
-
 def dedupe_printings(cards: DataFrame) -> DataFrame:
     """S3 opt-in: keep one printing per name (the smallest by its columns),
     instead of letting every printing multiply the line."""

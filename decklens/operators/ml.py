@@ -191,12 +191,6 @@ def _dot(vec: str, w, b: float):
                        F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(b))
 
 
-def _scaled(vec: str, weight: str):
-    """weight * vector as a vector column (built-in functions only)."""
-    from pyspark.ml.functions import array_to_vector
-    return array_to_vector(F.transform(vector_to_array(F.col(vec)), lambda v: v * F.col(weight)))
-
-
 class LinearVectorModel(Model):
     def __init__(self, w, b, featuresCol: str, predictionCol: str):
         super().__init__()
