@@ -2,10 +2,9 @@
 
 Prediction tables are long: (model, row_id, label, prediction[, score]).
 Every metric is a grouped aggregate per model.  ROC AUC and the ROC curve
-need ranks; they are computed exactly without a global sort or a window over
-a whole model: scores are first reduced to distinct values, cut into
-quantile buckets (bounds from ``percentile_approx``), cumulative counts are
-taken over the small per-bucket table and inside each bucket separately.
+need ranks; they are computed exactly without a window over a whole model:
+scores are first reduced to distinct values and range-partitioned; cumulative
+counts are taken over one row a range and inside each range separately.
 """
 
 from __future__ import annotations
@@ -13,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Distinct (model, score) rows that one bucket holds on average.
-BUCKET_ROWS = 50_000
-
+from decklens.session import cut_lineage
 
 def classification_metrics(pred: DataFrame, group: str = "model") -> DataFrame:
     """Accuracy, precision, recall, binary F1 (positive class 1; 0 when
@@ -36,30 +33,18 @@ def classification_metrics(pred: DataFrame, group: str = "model") -> DataFrame:
                     ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
-def _bucketize(g: DataFrame, buckets: int | None) -> DataFrame:
-    """Quantile buckets of the distinct scores: the cut points come from one
-    ``percentile_approx`` (a sketch of ``buckets`` numbers, the only thing
-    the driver sees); ``Bucketizer`` assigns buckets by binary search.  By
-    default the number of buckets follows the number of distinct scores."""
-    if buckets is None:
-        buckets = g.count() // BUCKET_ROWS + 8
-    from pyspark.ml.feature import Bucketizer
-    probs = [i / buckets for i in range(1, buckets)]
-    row = g.agg(F.percentile_approx("score", probs, max(10000, 20 * buckets)).alias("b")).first()
-    cuts = sorted({float(x) for x in (row["b"] or [])})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) < 3:
-        return g.withColumn("bucket", F.lit(0))
-    bz = Bucketizer(splits=splits, inputCol="score", outputCol="_b", handleInvalid="keep")
-    return bz.transform(g).withColumn("bucket", F.col("_b").cast("int")).drop("_b")
-
-
 def _score_ranks(pred: DataFrame, group: str, buckets: int | None) -> DataFrame:
-    """Per (group, distinct score): pos, neg and counts of strictly lower scores."""
+    """Per (group, distinct score): pos, neg and counts of strictly lower scores.
+
+    The distinct scores are range-partitioned by (group, score) and
+    checkpointed with the number of their partition, so that ranges stay as
+    they are if an executor is lost.  ``buckets``: the number of ranges, by
+    default that of shuffle partitions."""
     g = pred.groupBy(group, F.col("score").cast("double").alias("score")).agg(
         F.sum(F.col("label").cast("long")).alias("pos"),
         F.sum((1 - F.col("label")).cast("long")).alias("neg"))
-    g = _bucketize(g, buckets)
+    ranges = g.repartitionByRange(group, "score") if buckets is None else g.repartitionByRange(buckets, group, "score")
+    g = cut_lineage(ranges.withColumn("bucket", F.spark_partition_id()))
     bt = g.groupBy(group, "bucket").agg(F.sum("pos").alias("pb"), F.sum("neg").alias("nb"))
     wb = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select(group, "bucket", F.coalesce(F.sum("pb").over(wb), F.lit(0)).alias("pos_pre_b"),
@@ -67,7 +52,7 @@ def _score_ranks(pred: DataFrame, group: str, buckets: int | None) -> DataFrame:
     wi = Window.partitionBy(group, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     g = g.select("*", F.coalesce(F.sum("pos").over(wi), F.lit(0)).alias("pos_pre_i"),
                  F.coalesce(F.sum("neg").over(wi), F.lit(0)).alias("neg_pre_i"))
-    # bt has at most (#groups x buckets) rows
+    # bt has at most (ranges + groups) rows: ranges are contiguous
     j = g.join(F.broadcast(bt), [group, "bucket"])
     return j.select(group, "score", "pos", "neg",
                     (F.col("pos_pre_b") + F.col("pos_pre_i")).alias("pos_below"),

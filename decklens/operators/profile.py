@@ -1,17 +1,21 @@
 """Profiling and reporting operators.
 
 All of them are aggregates with a fixed-size output (one row per column,
-bin, grid point or pair), computed with partial aggregation; nothing is
-collected to the driver.
+bin, grid point or pair), computed with partial aggregation; the driver sees
+only cuts, counts and a bounded number of sorted rows of ``describe``.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Accuracy of the sketches that cut ranges of values, and the rows of a range that is sorted.
+SKETCH, PICK = 10_000, 10_000
+
 
 def shape(df: DataFrame, table: str) -> DataFrame:
     """Table, n_rows, n_cols."""
@@ -57,26 +61,88 @@ def column_info(df: DataFrame) -> DataFrame:
     return long.join(F.broadcast(types), "column")
 
 
+def order_statistics(df: DataFrame, wanted: dict[str, set[int]], sketch: int = SKETCH, pick: int = PICK) -> dict[tuple[str, int], float]:
+    """exact values at the 0-based ranks ``wanted`` of each (double) column, NULLs left out.
+
+    Every rank has an open range of values that holds it.  While a range holds
+    more than ``pick`` rows, a quantile sketch proposes two cuts around the
+    rank and one counting pass tells which part holds it: about
+    6 / ``sketch`` of the rows are left each time, whatever the distribution,
+    and a value that many rows share becomes a cut and answers by its count.
+    What is left is sorted.  All columns and ranks share their passes; state
+    is a sketch or ``pick`` rows for each range.
+    """
+    sizes = df.agg(*[F.count(c).alias(c) for c in wanted]).first()
+    open_, found = {(c, r): (None, None, 0, sizes[c]) for c, ranks in wanted.items() for r in ranks if 0 <= r < sizes[c]}, {}
+
+    def inside(c, lo, hi):
+        x = F.col(c)
+        return x.isNotNull() & (F.lit(True) if lo is None else x > F.lit(lo)) & (F.lit(True) if hi is None else x < F.lit(hi))
+
+    while open_:
+        aggs, ranges = [], {}
+        for i, ((c, r), (lo, hi, below, n)) in enumerate(open_.items()):
+            x = F.when(inside(c, lo, hi), F.col(c))
+            if n <= pick:
+                if (c, below) not in ranges:  # a range is known by the number of values before it
+                    ranges[c, below] = f"s{i}"
+                    aggs.append(F.array_sort(F.collect_list(x)).alias(f"s{i}"))
+            else:
+                p, d = (r - below) / n, 2 / sketch
+                aggs.append(F.percentile_approx(x, [max(0.0, p - d), min(1.0, p + d)], sketch).alias(f"c{i}"))
+        got, cuts, counts = df.agg(*aggs).first(), {}, []
+        for i, ((c, r), (lo, hi, below, n)) in enumerate(open_.items()):
+            if n <= pick:
+                found[c, r] = got[ranges[c, below]][r - below]
+            else:
+                cuts[i] = a, b = got[f"c{i}"]
+                x, ok = F.col(c), inside(c, lo, hi)
+                counts += [F.count_if(ok & t).alias(f"n{i}_{j}") for j, t in enumerate((x < F.lit(a), x == F.lit(a), (x > F.lit(a)) & (x < F.lit(b)), (x == F.lit(b)) & (x > F.lit(a))))]
+        got, left = df.agg(*counts).first() if counts else None, {}
+        for i, ((c, r), (lo, hi, below, n)) in enumerate(open_.items()):
+            if i not in cuts:
+                continue
+            (a, b), at = cuts[i], below
+            for j, part in enumerate(((lo, a), a, (a, b), b, (b, hi))):
+                size = got[f"n{i}_{j}"] if j < 4 else n - (at - below)
+                if r < at + size:
+                    if isinstance(part, tuple):
+                        left[c, r] = (*part, at, size)
+                    else:
+                        found[c, r] = part
+                    break
+                at += size
+        open_ = left
+    return found
+
+
 def describe(df: DataFrame, columns: list[str], exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """count, mean, std (ddof 1), min, 25/50/75 %, max per column.
 
-    ``exact`` uses ``percentile`` (linear interpolation, as pandas); its state
-    is a map of distinct values, so use ``exact=False`` (percentile_approx)
-    for high-cardinality columns at scale."""
+    ``exact`` quartiles interpolate linearly (as pandas) between order
+    statistics, found by a few counting passes with bounded state;
+    ``exact=False`` takes them from one ``percentile_approx``."""
+    quartiles = (0.25, 0.5, 0.75)
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     aggs = []
     for c in columns:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
+        x = F.col(c)
+        q = F.array(*[F.lit(None).cast("double")] * 3) if exact else F.percentile_approx(x, list(quartiles), accuracy)
         aggs.append(F.struct(
             F.count(x).alias("count"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max")).alias(c))
-    wide = df.agg(*aggs)
-    long = wide.unpivot([], columns, "column", "s")
-    return long.select("column", F.col("s.count").cast("bigint").alias("count"), "s.mean", "s.std",
-                       "s.min", F.col("s.q")[0].alias("p25"), F.col("s.q")[1].alias("p50"),
-                       F.col("s.q")[2].alias("p75"), "s.max")
+    wide = d.agg(*aggs).first()
+    at = {c: [p * (wide[c]["count"] - 1) for p in quartiles] if wide[c]["count"] else [] for c in columns}
+    ranks = {c: {r for x in at[c] for r in (math.floor(x), math.ceil(x))} for c in columns}
+    stats = order_statistics(d, ranks) if exact else {}
+    rows = []
+    for c in columns:
+        w, q = wide[c], list(wide[c]["q"] or [None] * 3)
+        if exact and at[c]:
+            q = [stats[c, math.floor(x)] + (stats[c, math.ceil(x)] - stats[c, math.floor(x)]) * (x - math.floor(x)) if x % 1 else stats[c, int(x)] for x in at[c]]
+        rows.append((c, w["count"], w["mean"], w["std"], w["min"], *q, w["max"]))
+    return df.sparkSession.createDataFrame(rows, "column string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
@@ -92,29 +158,68 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
                          (lo + F.col("bin") * w).alias("bin_hi"), "n")
 
 
-def kde(df: DataFrame, column: str, grid: int = 100) -> DataFrame:
+def kde(df: DataFrame, column: str, grid: int = 100, terms: int = 16) -> DataFrame:
     """Gaussian kernel density on ``grid`` points spanning [min, max],
-    Scott's bandwidth (n^-1/5 * sample std).
-
-    Values are first reduced to (distinct value, count); every distinct value
-    then emits one row per grid point (a generator with fixed fan-out
-    ``grid``) and the densities are summed per grid point.
+    Scott's bandwidth h (n^-1/5 * sample std).
+
+    Values are grouped into boxes of side h / sqrt(2), each reduced to
+    ``terms`` moments about its centre (one aggregate with partial sums).  A
+    grid point adds up each box's Hermite series.  With w = sqrt(2) h, u = (v - centre) / w
+    and t = (x - centre) / w, exp(-(t - u)^2) = sum of u^k / k! h_k(t), where
+    |u| <= 1/4 and |h_k(t)| < 1.09 sqrt(2^k k!); cut after 16 terms, the kernel
+    of a value is off by less than 2e-14.  The rows per grid point are the
+    occupied boxes, not the values.  A column without spread has NULL density.
     """
     x = F.col(column).cast("double")
     n = df.agg(F.count(x).cast("double")).scalar()
     sd = df.agg(F.stddev_samp(x)).scalar()
     lo, hi = df.agg(F.min(x)).scalar(), df.agg(F.max(x)).scalar()
-    h = sd * F.pow(n, F.lit(-0.2))
-    vals = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    pts = vals.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
+    h = F.nullif(sd * F.pow(n, F.lit(-0.2)), F.lit(0.0))
+    vals = df.where(x.isNotNull()).select(x.alias("v"), F.floor((x - lo) / (h / math.sqrt(2))).alias("box"))
+    centre = lo + (F.col("box") + 0.5) * (h / math.sqrt(2))
+    vals = vals.select("box", ((F.col("v") - centre) / (h * math.sqrt(2))).alias("u"))
+    boxes = vals.groupBy("box").agg(*[(F.sum(F.pow("u", F.lit(float(k)))) / math.factorial(k)).alias(f"a{k}") for k in range(terms)])
+    pts = boxes.select("box", F.array(*[f"a{k}" for k in range(terms)]).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
     gx = lo + (hi - lo) * F.col("g") / (grid - 1)
-    z = (gx - F.col("v")) / h
-    dens = F.col("c") * F.exp(-0.5 * z * z)
-    return (pts.groupBy("g").agg(F.sum(dens).alias("s"))
+    pts = pts.select("g", "a", ((gx - centre) / (h * math.sqrt(2))).alias("t"))
+
+    def state(k, now, before, total):
+        return F.struct(k.alias("k"), now.alias("now"), before.alias("before"), total.alias("total"))
+
+    # h_0 = exp(-t^2), h_(k+1) = 2 t h_k - 2 k h_(k-1)
+    series = F.aggregate("a", state(F.lit(0.0), F.exp(-F.col("t") * F.col("t")), F.lit(0.0), F.lit(0.0)),
+                         lambda s, c: state(s.k + 1, 2 * F.col("t") * s.now - 2 * s.k * s.before, s.now, s.total + c * s.now),
+                         lambda s: s.total)
+    return (pts.groupBy("g").agg(F.sum(series).alias("s"))
             .select("g", (lo + (hi - lo) * F.col("g") / (grid - 1)).alias("x"),
                     (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density")))
 
 
+def row_sample(df: DataFrame, key: str, k: int, seed: int = 42, purpose: str = "pairs") -> DataFrame:
+    """The ``k`` rows with the smallest keyed hashes: a bounded sample that does
+    not depend on partitioning.  Every task keeps its ``k`` smallest rows and
+    these are merged (a top-k, no sort of the table); NULL keys come last."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{purpose}-{seed}")))
+    return df.orderBy(h.asc_nulls_last(), F.asc_nulls_last(key)).limit(k)
+
+
+def pair_sample(df: DataFrame, columns: list[str], key: str, k: int = 500, seed: int = 42) -> DataFrame:
+    """scatter data of every column pair over ``k`` sampled rows: key, feature_a, feature_b, a, b."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    rows = row_sample(df.select(key, *columns), key, k, seed)
+    cells = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) for a, b in pairs]
+    return rows.select(key, F.explode(F.array(*cells)).alias("p")).select(key, "p.*")
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct non-NULL values of each column, one grouping a column.
+
+    Several ``count(DISTINCT)`` in one aggregate would copy every row once a
+    column; here each column's values are reduced where they are read."""
+    parts = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(c).alias("column"), "n_distinct") for c in columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def pairwise_corr(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every column pair, one aggregate pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]

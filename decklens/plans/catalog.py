@@ -342,16 +342,10 @@ _both("baseline_features", _baseline,
       others=["deck_name", "total_cards", "unique_types", "row_id", "tier", "year"], ctes=_AGG_CTES)
 
 
-def _distinct(spark, sf_dir):
-    dc = _deck_cards(spark, sf_dir)
-    cols = ["deck_name", "card_name", "tier", "year", "quantity"]
-    return dc.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot(
-        [], cols, "column", "n_distinct")
-
-
-_both("distinct_values", _distinct,
+_DISTINCT_COLS = ["deck_name", "card_name", "tier", "year", "quantity"]
+_both("distinct_values", lambda s, d: P.distinct_values(_deck_cards(s, d), _DISTINCT_COLS),
       " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct"
-                         " FROM deck_cards" for c in ["deck_name", "card_name", "tier", "year", "quantity"]),
+                         " FROM deck_cards" for c in _DISTINCT_COLS),
       others=["column", "n_distinct"])
 
 _both("deck_features_view",
@@ -440,6 +434,11 @@ _both("pairwise_corr", lambda s, d: P.pairwise_corr(_features_only(s, d), _PAIR_
       " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS corr FROM features"
                          for i, a in enumerate(_PAIR_COLS) for b in _PAIR_COLS[i + 1:]),
       doubles=["corr"], others=["feature_a", "feature_b"], ctes=_AGG_CTES)
+_both("pair_sample", lambda s, d: P.pair_sample(_features_only(s, d), _PAIR_COLS, "deck_name", 500),
+      " UNION ALL ".join(f"SELECT deck_name, '{a}' AS feature_a, '{b}' AS feature_b, {a} AS a, {b} AS b FROM"
+                         " (SELECT * FROM features ORDER BY md5(deck_name || ':pairs-42'), deck_name LIMIT 500)"
+                         for i, a in enumerate(_PAIR_COLS) for b in _PAIR_COLS[i + 1:]),
+      doubles=["a", "b"], others=["deck_name", "feature_a", "feature_b"], ctes=_AGG_CTES)
 
 _DC_TYPES = [("row_id", "bigint"), ("deck_name", "string"), ("tier", "int"), ("year", "int"),
              ("card_name", "string"), ("quantity", "int")]

@@ -61,3 +61,50 @@ def test_pairwise_corr_symmetric_pairs(spark):
     got = {(r.feature_a, r.feature_b): r.corr for r in P.pairwise_corr(df, ["a", "b", "c"]).collect()}
     assert got[("a", "b")] == pytest.approx(1.0) and got[("a", "c")] == pytest.approx(-1.0)
     assert len(got) == 3
+
+
+@pytest.mark.parametrize("values", [
+    [float(i) for i in range(5000)],
+    [3.0] * 3000 + [float(i) for i in range(10)],
+    [(-1) ** i * 10.0 ** (i % 600 - 300) for i in range(4000)],
+    [1e15 + i % 7 for i in range(3000)],
+    [2.0], []])
+def test_order_statistics_by_passes_equal_a_sort(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(3)
+    ranks = {r for r in (0, 1, len(values) // 4, len(values) // 2, len(values) * 3 // 4, len(values) - 1) if 0 <= r < len(values)}
+    got = P.order_statistics(df, {"x": ranks}, sketch=50, pick=20)
+    assert got == {("x", r): sorted(values)[r] for r in ranks}
+
+
+def test_describe_of_columns_with_nulls_and_without_rows(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None), (4.0, None)], "a double, b double")
+    a, b = P.describe(df, ["a", "b"]).collect()
+    assert (a["count"], a.p25, a.p50, a.p75) == (2, 1.75, 2.5, 3.25)
+    assert (b["count"], b.p25, b.p50, b["max"]) == (0, None, None, None)
+    rough = P.describe(df, ["a", "b"], exact=False).collect()
+    assert rough[0].p50 in (1.0, 4.0) and rough[1].p50 is None
+
+
+def test_kde_boxes_stay_within_the_stated_error(spark):
+    xs = [math.sin(i) * (1000.0 if i % 50 == 0 else 1.0) for i in range(1000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    mean = sum(xs) / len(xs)
+    h = math.sqrt(sum((x - mean) ** 2 for x in xs) / (len(xs) - 1)) * len(xs) ** -0.2
+    for r in P.kde(df, "x", 9).collect():
+        want = sum(math.exp(-0.5 * ((r.x - x) / h) ** 2) for x in xs) / (len(xs) * h * math.sqrt(2 * math.pi))
+        assert abs(r.density - want) < 2e-14 / (h * math.sqrt(2 * math.pi)) + 1e-12 * want
+    flat = P.kde(spark.createDataFrame([(5.0,), (5.0,)], "x double"), "x", 3).collect()
+    assert all(r.density is None for r in flat)
+
+
+def test_pair_sample_does_not_depend_on_partitions(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("a"), (F.col("id") * 2.0).alias("b"), F.lit(1).alias("c"))
+    one = sorted(P.pair_sample(df.repartition(7), ["a", "b", "c"], "id", 40).collect())
+    assert one == sorted(P.pair_sample(df.coalesce(1), ["a", "b", "c"], "id", 40).collect())
+    assert len(one) == 120 and len({r.id for r in one}) == 40
+    assert all(r.a == r.id % 7 and r.b == r.id * 2.0 for r in one if (r.feature_a, r.feature_b) == ("a", "b"))
+
+
+def test_distinct_values_leave_out_nulls(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 2)], "s string, v int")
+    assert {r.column: r.n_distinct for r in P.distinct_values(df, ["s", "v"]).collect()} == {"s": 1, "v": 2}

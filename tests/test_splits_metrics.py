@@ -107,3 +107,15 @@ def test_r2_survives_large_offsets_and_constant_labels(spark):
     mean = sum(y - 1e9 for y in ys) / 101
     want = 1 - 101 * 1e-6 / sum((y - 1e9 - mean) ** 2 for y in ys)
     assert abs(got["m"] - want) < 1e-6 and got["c"] == 1.0 and got["d"] == 0.0
+
+
+def test_roc_auc_of_many_distinct_scores_and_groups(spark):
+    rows = [(f"m{i % 3}", (i * 7919) % 2003 / 2003 + (1e9 if i % 2 else 0.0), int((i * 31) % 5 < 2)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "model string, score double, label int")
+    for buckets in (None, 1, 7):
+        got = {r.model: r.roc_auc for r in M.roc_auc(df, buckets=buckets).collect()}
+        for m in got:
+            pos = [s for g, s, y in rows if g == m and y]
+            neg = [s for g, s, y in rows if g == m and not y]
+            want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+            assert got[m] == pytest.approx(want, rel=1e-12)
