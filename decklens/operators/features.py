@@ -52,7 +52,6 @@ def _derive(cmc: Column, rarity: Column, type_: Column, power: Column, toughness
     out = {
         "n_cmc": F.when(cmc_d.isNotNull(), F.lit(1)).otherwise(F.lit(0)),
         "s_cmc": cmc_d,
-        "ss_cmc": cmc_d * cmc_d,
         "s_cps": X.card_power_score(p, t, cmc_d, rar, type_),
         "s_rar": rar,
         "n_rar": F.when(rar.isNotNull(), F.lit(1)).otherwise(F.lit(0)),
@@ -109,7 +108,8 @@ def card_stats(cards: DataFrame, dedupe: str = "none") -> DataFrame:
     c = prune_card_columns(cards).where(F.col("name").isNotNull())
     d = _card_derived(c)
     return c.select("name", *[e.alias(k) for k, e in d.items()]).groupBy("name").agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d])
+        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in d],
+        F.coalesce(F.var_pop("s_cmc") * F.count("s_cmc"), F.lit(0.0)).alias("m2_cmc"))
 
 
 def _miss_defaults() -> dict[str, Column]:
@@ -122,7 +122,7 @@ def _miss_defaults() -> dict[str, Column]:
         n = F.lit(None).cast("string")
         d = _derive(n, n, n, n, n, n, n)
         out = {k: F.coalesce(v, F.lit(0)) for k, v in d.items()}
-        out["n_rows"] = F.lit(1)
+        out |= {"n_rows": F.lit(1), "m2_cmc": F.lit(0.0)}
         _EXPR_CACHE[key] = out
     return _EXPR_CACHE[key]
 
@@ -153,7 +153,21 @@ def unique_types(pairs: DataFrame, cards: DataFrame, dedupe: str = "none") -> Da
     return seen.groupBy("deck_name").agg(F.count(F.lit(1)).alias("unique_types"))
 
 
-def _deck_sums(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none", with_types: bool = True) -> DataFrame:
+def cmc_spread(pairs: DataFrame, stats: DataFrame) -> DataFrame:
+    """Per deck the sum of squared cmc deviations from the deck's mean.
+
+    A name's own second moment is centred on its mean; the names are then
+    centred on the deck's mean, which a first aggregate over the same pairs
+    gives, so that no large squares are subtracted.  A missing card has no cmc."""
+    has = stats.where(F.col("n_cmc") > 0)
+    w = pairs.join(has, pairs.card_name == has.name).select(
+        "deck_name", (F.col("n_lines") * F.col("n_cmc")).alias("w"), (F.col("s_cmc") / F.col("n_cmc")).alias("mu"), (F.col("n_lines") * F.col("m2_cmc")).alias("m2"))
+    means = w.groupBy("deck_name").agg((F.sum(F.col("w") * F.col("mu")) / F.sum("w")).alias("mean"))
+    off = F.col("mu") - F.col("mean")
+    return w.join(means, "deck_name").groupBy("deck_name").agg(F.sum(F.col("m2") + F.col("w") * off * off).alias("u_m2_cmc"))
+
+
+def _deck_sums(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none", with_types: bool = True, with_spread: bool = False) -> DataFrame:
     """Per-deck sums over the (line x printing) rows, via per-name statistics.
 
     ``w_<stat>`` are copy-weighted sums, ``u_<stat>`` unweighted ones.  The
@@ -171,10 +185,12 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none", wi
     weighted = ["n_rows", "s_cps", "s_rar", "n_creat", "s_pow", "s_tou", "s_meff"] + \
         [f"t_{w}" for w in X.TYPE_WORDS] + [f"k_{k}" for k in KEYWORDS] + \
         [f"c_{c}" for c in X.COLOR_LABELS]
-    unweighted = ["n_rows", "n_cmc", "s_cmc", "ss_cmc", "s_cc", "s_rar", "n_rar"]
+    unweighted = ["n_rows", "n_cmc", "s_cmc", "s_cc", "s_rar", "n_rar"]
     agg = j.groupBy("deck_name").agg(
         *[F.sum(q * v(k)).alias(f"w_{k}") for k in weighted],
         *[F.sum(nl * v(k)).alias(f"u_{k}") for k in unweighted])
+    if with_spread:
+        agg = agg.join(cmc_spread(pairs, stats), "deck_name", "left")
     if not with_types:
         return agg
     return agg.join(unique_types(pairs, cards, dedupe), "deck_name", "left").fillna(0, ["unique_types"])
@@ -183,11 +199,10 @@ def _deck_sums(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none", wi
 def deck_aggregates(deck_cards: DataFrame, cards: DataFrame, dedupe: str = "none") -> DataFrame:
     """D1-D10 fused: one row per deck_name with the 25 features.
     ``dedupe``: 'none' (every printing counts, as the reference) or 'first'."""
-    agg = _deck_sums(deck_cards, cards, dedupe)
+    agg = _deck_sums(deck_cards, cards, dedupe, with_spread=True)
     Q = F.col("w_n_rows")
-    n = F.col("u_n_cmc")
-    s, ss = F.col("u_s_cmc"), F.col("u_ss_cmc")
-    var = F.when(n > 1, F.greatest((ss - s * s / n) / (n - 1), F.lit(0.0))).otherwise(F.lit(0.0))
+    n, s = F.col("u_n_cmc"), F.col("u_s_cmc")
+    var = F.when(n > 1, F.coalesce("u_m2_cmc", F.lit(0.0)) / (n - 1)).otherwise(F.lit(0.0))
     color_total = sum((F.col(f"w_c_{c}") for c in X.COLOR_LABELS), F.lit(0))
 
     cols = {

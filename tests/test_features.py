@@ -88,3 +88,13 @@ def test_dedupe_first_counts_one_printing(spark):
     d = spark.createDataFrame([(1, "T", 2, 2020, "3 Twin")], DECK_SCHEMA)
     r = deck_features(c, d, dedupe="first").first()
     assert r["total_cards"] == 3 and r["avg_cmc"] == 2.0       # the smaller printing ('Twin', 2.0, ...)
+
+
+def test_variance_far_from_zero(spark):
+    cards = [(f"c{i}", 16777000.0 + i % 2, "common", "[]", "Instant", None, None, None) for i in range(2000)]
+    cards += [("twice", 16777000.0, "common", "[]", "Instant", None, None, None), ("twice", 16777001.0, "common", "[]", "Instant", None, None, None)]
+    decks = [(1, "Far", 1, 2020, "\n".join(f"1 c{i}" for i in range(2000))), (2, "Pair", 1, 2020, "1 twice\n1 twice"), (3, "Gone", 1, 2020, "1 nothing")]
+    out = run(spark, cards, decks)
+    assert out[("far", 1)]["var_cmc"] == pytest.approx(2000 / 1999 / 4, rel=1e-9)
+    assert out[("pair", 2)]["var_cmc"] == pytest.approx(1 / 3, rel=1e-9)
+    assert out[("gone", 3)]["var_cmc"] == 0.0
