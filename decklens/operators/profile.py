@@ -61,58 +61,56 @@ def column_info(df: DataFrame) -> DataFrame:
     return long.join(F.broadcast(types), "column")
 
 
-def order_statistics(df: DataFrame, wanted: dict[str, set[int]], sketch: int = SKETCH, pick: int = PICK) -> dict[tuple[str, int], float]:
+def order_statistics(df: DataFrame, wanted: dict[str, set[int]], sizes: dict[str, int] | None = None,
+                     sketch: int = SKETCH, pick: int = PICK) -> dict[tuple[str, int], float]:
     """exact values at the 0-based ranks ``wanted`` of each (double) column, NULLs left out.
 
-    Every rank has an open range of values that holds it.  While a range holds
-    more than ``pick`` rows, a quantile sketch proposes two cuts around the
-    rank and one counting pass tells which part holds it: about
-    6 / ``sketch`` of the rows are left each time, whatever the distribution,
-    and a value that many rows share becomes a cut and answers by its count.
-    What is left is sorted.  All columns and ranks share their passes; state
-    is a sketch or ``pick`` rows for each range.
+    Ranks lie in open ranges of values, at first one range a column.  While a
+    range holds more than ``pick`` rows, a quantile sketch proposes two cuts
+    around each of its ranks and one counting pass tells which part holds it:
+    about 6 / ``sketch`` of the rows are left each time, whatever the
+    distribution, and a value that many rows share becomes a cut and answers
+    by its count.  What is left is sorted.  All columns share their passes;
+    state is a sketch or ``pick`` rows for each range.  ``sizes``: the
+    numbers of values that are not NULL, counted if absent.
     """
-    sizes = df.agg(*[F.count(c).alias(c) for c in wanted]).first()
-    open_, found = {(c, r): (None, None, 0, sizes[c]) for c, ranks in wanted.items() for r in ranks if 0 <= r < sizes[c]}, {}
+    sizes = sizes or df.agg(*[F.count(c).alias(c) for c in wanted]).first().asDict()
+    # (column, low, high, values before it, values in it) -> its ranks
+    ranges = {(c, None, None, 0, sizes[c]): {r for r in ranks if 0 <= r < sizes[c]} for c, ranks in wanted.items()}
+    ranges, found = {k: ranks for k, ranks in ranges.items() if ranks}, {}
 
     def inside(c, lo, hi):
         x = F.col(c)
         return x.isNotNull() & (F.lit(True) if lo is None else x > F.lit(lo)) & (F.lit(True) if hi is None else x < F.lit(hi))
 
-    while open_:
-        aggs, ranges = [], {}
-        for i, ((c, r), (lo, hi, below, n)) in enumerate(open_.items()):
+    while ranges:
+        aggs = []
+        for (c, lo, hi, below, n), ranks in ranges.items():
             x = F.when(inside(c, lo, hi), F.col(c))
+            near = sorted({min(1.0, max(0.0, (r - below) / n + d)) for r in ranks for d in (-2 / sketch, 2 / sketch)})
+            aggs.append(F.array_sort(F.collect_list(x)) if n <= pick else F.percentile_approx(x, near, sketch))
+        got, counts = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first(), []
+        for i, ((c, lo, hi, below, n), ranks) in enumerate(ranges.items()):
             if n <= pick:
-                if (c, below) not in ranges:  # a range is known by the number of values before it
-                    ranges[c, below] = f"s{i}"
-                    aggs.append(F.array_sort(F.collect_list(x)).alias(f"s{i}"))
+                found |= {(c, r): got[i][r - below] for r in ranks}
             else:
-                p, d = (r - below) / n, 2 / sketch
-                aggs.append(F.percentile_approx(x, [max(0.0, p - d), min(1.0, p + d)], sketch).alias(f"c{i}"))
-        got, cuts, counts = df.agg(*aggs).first(), {}, []
-        for i, ((c, r), (lo, hi, below, n)) in enumerate(open_.items()):
+                for j, cut in enumerate(sorted(set(got[i]))):
+                    ok = inside(c, lo, hi)
+                    counts += [F.count_if(ok & (F.col(c) < F.lit(cut))).alias(f"l{i}_{j}"), F.count_if(ok & (F.col(c) == F.lit(cut))).alias(f"e{i}_{j}")]
+        sizes_, left = df.agg(*counts).first() if counts else None, {}
+        for i, ((c, lo, hi, below, n), ranks) in enumerate(ranges.items()):
             if n <= pick:
-                found[c, r] = got[ranges[c, below]][r - below]
-            else:
-                cuts[i] = a, b = got[f"c{i}"]
-                x, ok = F.col(c), inside(c, lo, hi)
-                counts += [F.count_if(ok & t).alias(f"n{i}_{j}") for j, t in enumerate((x < F.lit(a), x == F.lit(a), (x > F.lit(a)) & (x < F.lit(b)), (x == F.lit(b)) & (x > F.lit(a))))]
-        got, left = df.agg(*counts).first() if counts else None, {}
-        for i, ((c, r), (lo, hi, below, n)) in enumerate(open_.items()):
-            if i not in cuts:
                 continue
-            (a, b), at = cuts[i], below
-            for j, part in enumerate(((lo, a), a, (a, b), b, (b, hi))):
-                size = got[f"n{i}_{j}"] if j < 4 else n - (at - below)
-                if r < at + size:
-                    if isinstance(part, tuple):
-                        left[c, r] = (*part, at, size)
-                    else:
-                        found[c, r] = part
-                    break
-                at += size
-        open_ = left
+            at, start = lo, below  # the open part before the next cut begins behind ``at``, at rank ``start``
+            parts = [(cut, below + sizes_[f"l{i}_{j}"], sizes_[f"e{i}_{j}"]) for j, cut in enumerate(sorted(set(got[i])))]
+            for cut, first, equal in parts + [(hi, below + n, 0)]:
+                for r in ranks:
+                    if start <= r < first:
+                        left.setdefault((c, at, cut, start, first - start), set()).add(r)
+                    elif first <= r < first + equal:
+                        found[c, r] = cut
+                at, start = cut, first + equal
+        ranges = left
     return found
 
 
@@ -135,7 +133,7 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True, accuracy: in
     wide = d.agg(*aggs).first()
     at = {c: [p * (wide[c]["count"] - 1) for p in quartiles] if wide[c]["count"] else [] for c in columns}
     ranks = {c: {r for x in at[c] for r in (math.floor(x), math.ceil(x))} for c in columns}
-    stats = order_statistics(d, ranks) if exact else {}
+    stats = order_statistics(d, ranks, {c: wide[c]["count"] for c in columns}) if exact else {}
     rows = []
     for c in columns:
         w, q = wide[c], list(wide[c]["q"] or [None] * 3)
