@@ -29,7 +29,8 @@ from decklens.llm.common import slices
 DIMS = 512
 BLOCK = 1 << 18
 SLICE = 4096
-MAX_LANGUAGES = 1000
+#: Prototypes that a block of documents is compared with at once.
+PROTOTYPES = 1024
 
 
 @lru_cache(maxsize=1)
@@ -131,16 +132,16 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", key_co
     """(languages, prototypes as unit rows) from the rows of ``docs`` with a language.
 
     About ``per_language`` rows of each language, chosen by a hash of the key,
-    are read; a language with fewer gives all its rows.
+    are read; a language with fewer gives all its rows.  Every language keeps
+    its prototype: the model takes 4 x ``dims`` bytes (2 KB) a language.
     """
     rows = docs.select(F.col(label_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        F.pmod(F.xxhash64(F.col(key_col)), F.lit(1 << 30)).alias("pick")).filter("lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return [], np.zeros((0, dims), dtype=np.float32)
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    share = F.broadcast(docs.sparkSession.createDataFrame([(k, min(1.0, per_language / n)) for k, n in counts.items()], "lang string, share double"))
+    share = docs.sparkSession.createDataFrame([(k, min(1.0, per_language / n)) for k, n in counts.items()], "lang string, share double")
+    share = F.broadcast(share) if len(counts) <= 100_000 else share  # beyond that the planner decides by size
     rows = rows.join(share, "lang").filter(F.col("pick") < F.col("share") * (1 << 30)).select("lang", "text", (F.col("pick") % salts).cast("int").alias("salt"))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +169,14 @@ def _scores(texts: list, langs: list[str], prototypes: np.ndarray) -> tuple[list
     known = v.any(axis=1)
     if not langs:
         return ["und"] * len(texts), np.zeros(len(texts))
-    cos = _unit(v) @ prototypes.T
-    best = cos.argmax(axis=1) if len(texts) else np.empty(0, int)
-    score = np.where(known, np.clip(cos[np.arange(len(texts)), best], 0.0, 1.0), 0.0).astype(np.float64)
+    unit, best, top = _unit(v), np.zeros(len(texts), dtype=int), np.full(len(texts), -2.0, dtype=np.float32)
+    for lo in range(0, len(langs) if texts else 0, PROTOTYPES):
+        cos = unit @ prototypes[lo:lo + PROTOTYPES].T
+        at = cos.argmax(axis=1)
+        value = cos[np.arange(len(texts)), at]
+        better = value > top
+        best, top = np.where(better, lo + at, best), np.where(better, value, top)
+    score = np.where(known, np.clip(top, 0.0, 1.0), 0.0).astype(np.float64)
     return [langs[b] if k else "und" for b, k in zip(best, known)], score
 
 
@@ -181,7 +187,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     language was learned.  Null and repeated ids keep their rows.
     """
     langs, prototypes = model
-    shared = docs.sparkSession.sparkContext.broadcast((langs, prototypes))  # languages (at most MAX_LANGUAGES) x dims
+    shared = docs.sparkSession.sparkContext.broadcast((langs, prototypes))  # languages x dims
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (s for batch in batches for s in slices(batch)):

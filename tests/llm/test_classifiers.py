@@ -110,3 +110,16 @@ def test_vote_equals_brute_force():
         top = np.argsort(-cos)[:quality.NEIGHBOURS]
         w = np.maximum(cos[top], 0).astype(float) ** 8
         assert s == pytest.approx((w * model["labels"][top]).sum() / w.sum(), abs=1e-4)
+
+
+def test_many_language_labels(spark):
+    from decklens.llm import langid
+    words = ["the cat", "der hund", "le chat"]
+    df = spark.createDataFrame([(i, f"{words[i % 3]} {i}", f"l{i % 1500}") for i in range(3000)] + [(9000, None, "l0")], "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model[0]) == 1500
+    rows = langid.predict(df, model).collect()
+    unit = langid._unit(langid.vectors([r["text"] for r in df.collect()]))
+    best = (unit @ model[1].T).max(axis=1)
+    assert len(rows) == 3001 and {r["doc_id"]: r["lang_pred"] for r in rows}[9000] == "und"
+    assert all(abs(r["score"] - max(0.0, best[i])) < 1e-5 for i, r in enumerate(sorted(rows, key=lambda r: r["doc_id"])))
