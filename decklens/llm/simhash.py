@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.table(fingerprints(docs, id_col, text_col, shingle))
-    codes = prints.groupBy("code").agg(F.min("doc_id").alias("first"))
+    codes = prints.groupBy("code").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     edges = links(scratch, codes.select("code"), distance)
     roots = components(scratch, edges)
     # the linked codes only: the smallest id of each component, the root's own included
@@ -214,9 +214,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     named = linked.join(least, "root").select(F.col("u").alias("code"), "root", "least")
     name = F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id")
-    # written, so that the join below shuffles both sides for itself and a hot code can be split
-    by_code = scratch.table(codes.join(named, "code", "left").select("code", F.coalesce("root", "code").alias("root"), name), prints.count())
-    return prints.join(by_code, "code").select("doc_id", "hash", "code", "root", "component_id")
+    rows = prints.count()
+    by_code = scratch.table(codes.join(named, "code", "left").select("code", "n", F.coalesce("root", "code").alias("root"), name), rows)
+    # at most HOT codes hold so many rows each: these are broadcast, the others are joined by a shuffle
+    hot = F.broadcast(by_code.filter(F.col("n") * HOT > rows))
+    found = prints.join(hot, "code").unionByName(prints.join(hot.select("code"), "code", "left_anti").join(by_code, "code"))
+    return found.select("doc_id", "hash", "code", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
