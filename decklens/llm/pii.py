@@ -14,6 +14,7 @@ the look-alikes beside them as identifiers of their kind.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from decklens.llm.common import Scratch, free_name, slices
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_TRUST = 3, 3, 0.8, 0.9
+MIN_SEEDS, MIN_CONFIDENCE, MIN_TRUST = 3, 0.8, 0.9
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -109,7 +110,7 @@ def _spaced(text: str, base: list[tuple[int, int]]) -> list[tuple[int, int, list
         if re.match(r"[\w@]", text[m.end():m.end() + 1]):
             run = run.rstrip("0123456789").rstrip(" .-(")  # the last group belongs to a word
         e = s + len(run)
-        if not 7 <= e - s <= _WINDOW or " " not in run and "(" not in run:
+        if e - s < 7 or " " not in run and "(" not in run:
             continue
         kinds = [x for x in _fits(run) if x > 1]
         if kinds and not any(x in (1, 2) for w in run.split() for x in _fits(w) if " " in run):
@@ -126,13 +127,13 @@ def _lookalikes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     taken = sorted(taken + [(s, e) for s, e, _ in out])
     for m in _LOOK.finditer(text):
         s, e = m.span()
-        while s > 0 and e - s < 256 and not text[s - 1].isspace():
+        while s > 0 and not text[s - 1].isspace():  # one match a token: each is walked once
             s -= 1
         while e > s and text[e - 1] in _EDGE:
             e -= 1
         while s < e and text[s] in _EDGE:
             s += 1
-        kinds = _fits(text[s:e]) if e - s <= 256 else []
+        kinds = _fits(text[s:e])
         if kinds:
             while k < len(taken) and taken[k][1] <= s:
                 k += 1
@@ -141,12 +142,35 @@ def _lookalikes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
+def _beside(text: str, at: int, step: int) -> list[str]:
+    """The two words before (``step`` -1) or after (1) a place, in reading order; a part of a word that touches it is a word.
+
+    Words come whole up to ``_WINDOW`` code points; of a longer one, those nearest to the place.
+    """
+    cut = text[max(0, at - _WINDOW):at] if step < 0 else text[at:at + _WINDOW]
+    words = cut.split()
+    if len(words) > 2 or len(cut) < _WINDOW or len(words) == 2 and (cut[0] if step < 0 else cut[-1]).isspace():
+        return words[-2:] if step < 0 else words[:2]
+    words, i, stop = [], at, 0 if step < 0 else len(text)
+    here = -1 if step < 0 else 0  # text[i + here] is the next code point
+    while i != stop and len(words) < 2:
+        while i != stop and text[i + here].isspace():
+            i += step
+        start, n = i, 0
+        while i != stop and n < _WINDOW and not text[i + here].isspace():
+            i, n = i + step, n + 1
+        if n:
+            words.append(text[min(start, i):max(start, i)])
+        if n == _WINDOW and i != stop and not text[i + here].isspace():
+            break  # a longer word: what lies beyond it is no neighbour
+    return words[::step]
+
+
 def _patterns(text: str, s: int, e: int) -> list[str]:
     def mask(w: str) -> str:
         return "".join("0" if c.isdigit() else c for c in w.lower())
 
-    left = [mask(w) for w in text[max(0, s - _WINDOW):s].split()[-2:]]
-    right = [mask(w) for w in text[e:e + _WINDOW].split()[:2]]
+    left, right = [mask(w) for w in _beside(text, s, -1)], [mask(w) for w in _beside(text, e, 1)]
     out = ["L " + " ".join(left)] if len(left) == 2 else []
     if left and right:
         out.append(f"M {left[-1]} _ {right[0]}")
@@ -155,6 +179,12 @@ def _patterns(text: str, s: int, e: int) -> list[str]:
     return out
 
 
+def _instance(value: str) -> str:
+    """What tells a mention from others: the value, or a hash of a long one."""
+    value = value.lower()
+    return value if len(value) <= 256 else "#" + hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 _MENTION = "array<struct<start:long,stop:long,kinds:array<int>,seed:boolean,instance:string,patterns:array<string>>>"
 _SPANS = "array<struct<start:long,kind:int,stop:long>>"
 
@@ -173,37 +203,46 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 base = base_spans(t)
                 found = [(s, e, [k], True) for s, k, e in base] + [(s, e, k, False) for s, e, k in _lookalikes(t, base)]
                 spans.append([{"start": s, "kind": k, "stop": e} for s, k, e in base])
-                mentions.append([{"start": s, "stop": e, "kinds": k, "seed": seed, "instance": t[s:e].lower(), "patterns": _patterns(t, s, e)} for s, e, k, seed in found])
+                mentions.append([{"start": s, "stop": e, "kinds": k, "seed": seed, "instance": _instance(t[s:e]), "patterns": _patterns(t, s, e)} for s, e, k, seed in found])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, span), pa.array(mentions, mention)], ["doc_id", "hash", "base", "mentions"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, f"doc_id long, hash long, base {_SPANS}, mentions {_MENTION}")
 
 
-def learn_patterns(scratch: Scratch, mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, kind, confidence) accepted after ``rounds`` over (kinds, seed, instance, patterns)."""
+def learn_patterns(scratch: Scratch, mentions: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(pattern, kind, confidence) accepted over (kinds, seed, instance, patterns).
+
+    Rounds go on until one trusts no further instance (trust is never taken
+    back, so this ends), or for at most ``rounds`` if given.
+    """
     edges = (mentions.select(F.explode("kinds").alias("kind"), "seed", "instance", "patterns")
              .select("kind", "seed", "instance", F.explode("patterns").alias("pattern"))
              .groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed")))
     n = 3 * mentions.count()  # a mention has at most three patterns
     edges = scratch.table(edges, n)
-    trusted = edges.filter("seed").select("instance", "kind").distinct()
-    accepted = None
-    for _ in range(rounds):
+    trusted = scratch.table(edges.filter("seed").select("instance", "kind").distinct(), n)
+    size, done = trusted.count(), 0
+    while True:
         marked = edges.join(trusted.withColumn("good", F.lit(1)), ["instance", "kind"], "left")
         # an instance counts once for each pattern, whatever the kinds it could be; a pattern is judged for the kind it meets
         by = marked.groupBy("pattern", "kind").agg(F.count("good").alias("good"), F.count(F.lit(1)).alias("n"))
         other = by.groupBy("pattern").agg(F.sum("good").alias("all_good"))
         scored = (by.filter(F.col("good") >= MIN_SEEDS).join(other, "pattern")
                   .withColumn("confidence", F.col("good") / (F.col("n") + F.col("all_good") - F.col("good"))))
-        now = scratch.table(scored.filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "kind", "confidence"), n)
+        accepted = scratch.table(scored.filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "kind", "confidence"), n)
+        done += 1
+        if done == rounds:
+            return accepted
         doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
-        likely = (edges.join(now, ["pattern", "kind"]).groupBy("instance", "kind").agg(doubt.alias("doubt"))
+        likely = (edges.join(accepted, ["pattern", "kind"]).groupBy("instance", "kind").agg(doubt.alias("doubt"))
                   .filter(F.col("doubt") <= F.log(F.lit(1 - MIN_TRUST))).select("instance", "kind"))
         more = scratch.table(trusted.unionByName(likely).distinct(), n)
+        scratch.drop(trusted)
+        trusted, before, size = more, size, more.count()
+        if size == before:
+            return accepted
         scratch.drop(accepted)
-        trusted, accepted = more, now
-    return accepted
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

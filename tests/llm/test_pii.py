@@ -105,3 +105,36 @@ def test_spaced_lookalikes_count_against_a_pattern(spark):
     rows += [(200, "the serial number 4111111111111112 was read")]
     got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[200] == [] and got[100] == []
+
+
+def test_long_logins_and_runs_are_taken_whole(spark):
+    seeds = [(i, f"please write to login user{i}@example.org before noon") for i in range(8)]
+    login = "x" * 300 + "(at)y@z"
+    df = spark.createDataFrame(seeds + [(50, f"then write to login {login} before noon")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find(df).collect()}
+    assert [(s["start"], s["kind"], s["stop"]) for s in got[50]["spans"]] == [(20, 0, 20 + len(login))]
+    texts = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert texts[50] == "then write to login [EMAIL] before noon"
+    run = "0 (0) " + " ".join(["(1)"] * 16) + " 2"
+    assert len(run) > 64 and [(s, e) for s, e, _ in pii._spaced(run, [])] == [m.span() for m in pii._RUN.finditer(run) if pii._fits(m.group())]
+
+
+@pytest.mark.parametrize("left,words", [("a b c ", ["b", "c"]), ("", []), ("c ", ["c"]), ("x" * 70 + " ", ["x" * 64]), ("w " + "y" * 40 + " " + "z" * 50 + " ", ["y" * 40, "z" * 50]),
+                                        ("one two" + " " * 200, ["one", "two"]), ("q " * 3 + "k=", ["q", "k="])])
+def test_neighbour_words_are_whole(left, words):
+    assert pii._beside(left + "@", len(left), -1) == words
+    right = left[::-1]
+    assert pii._beside("@" + right, 1, 1) == [w[::-1] for w in words[::-1]]
+
+
+def test_rounds_go_on_until_nothing_new_is_trusted(spark):
+    """A chain: each context is learned from the instances that the one before made trusted."""
+    valid = [v for v in ("4%015d" % (i * 7919) for i in range(16000)) if pii.luhn(v)][:1364]
+    unseen, sizes, rows, at = [v[:-1] + str((int(v[-1]) + 1) % 10) for v in valid], (256, 64, 16, 4), [], 0
+    held = valid[:1024]
+    for depth, size in enumerate(sizes):
+        new, at = unseen[at:at + size], at + size
+        rows += [f"x left{'abcd'[depth]} mid {v} end tail{'abcd'[depth]} x" for v in held + new]
+        held = new
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert all([s["kind"] for s in r["spans"]] == [2] for r in pii.find(df).collect())
