@@ -13,8 +13,8 @@ each.  The search starts with the pair (root, root) and replaces a pair by
 pairs of children; the bits in which the patterns of two nodes differ for
 certain only accumulate on the way down, and a pair is pruned with all below
 it as soon as they exceed the distance.  What survives at the leaves is
-compared code by code.  No code is compared with all others, nothing is
-broadcast by hint, and no cap cuts a bucket: the search is exact.
+compared code by code.  No code is compared with all others, only hot codes
+(at most ``HOT``) are broadcast by hint, and no cap cuts a bucket: the search is exact.
 
 Links are reduced to spanning links inside each pair of leaves (a dense group
 never emits all its pairs) and joined into components by alternating
@@ -37,6 +37,8 @@ from decklens.llm.common import Scratch, free_name, lower_slabs, shuffle_partiti
 
 LEAF = 256
 FAN_BITS = 5
+#: At most this many codes hold more than 1 / HOT of the rows each.
+HOT = 64
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
