@@ -108,3 +108,11 @@ def test_pair_sample_does_not_depend_on_partitions(spark):
 def test_distinct_values_leave_out_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 2)], "s string, v int")
     assert {r.column: r.n_distinct for r in P.distinct_values(df, ["s", "v"]).collect()} == {"s": 1, "v": 2}
+
+
+def test_correlation_with_a_constant_column(spark):
+    """SQL's corr is NaN there; Spark's own divides by zero."""
+    df = spark.createDataFrame([(1.0, 5.0, 2), (2.0, 5.0, 4), (3.0, 5.0, 6), (None, 5.0, 9)], "a double, b double, c int")
+    got = {(r.feature_a, r.feature_b): r.corr for r in P.pairwise_corr(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] != got["a", "b"] and got["b", "c"] != got["b", "c"] and abs(got["a", "c"] - 1) < 1e-12
+    assert [r.corr for r in P.pairwise_corr(df.where("c > 99"), ["a", "c"]).collect()] == [None]
