@@ -98,3 +98,33 @@ def test_variance_far_from_zero(spark):
     assert out[("far", 1)]["var_cmc"] == pytest.approx(2000 / 1999 / 4, rel=1e-9)
     assert out[("pair", 2)]["var_cmc"] == pytest.approx(1 / 3, rel=1e-9)
     assert out[("gone", 3)]["var_cmc"] == 0.0
+
+
+def _features(spark, seed=5, names=70):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    cards = [(f"c{i % names}", float(rng.integers(0, 9)) if i % 11 else None, "rare", "['W', 'U']", f"Type{i} Kind{i % 7} — Sort{i % 3}", "2", "*", "Draw a card.") for i in range(3 * names)]
+    decks = [(d, f"Deck {d % 9}", 1, 2020, "\n".join(f"{rng.integers(1, 5)} c{rng.integers(0, names + 5)}" for _ in range(12))) for d in range(40)]
+    return run(spark, cards, decks)
+
+
+def test_features_do_not_depend_on_how_the_names_are_joined(spark, monkeypatch):
+    small = _features(spark)
+    monkeypatch.setattr(FT, "MASK_TOKENS", 20)
+    rows = _features(spark)
+    monkeypatch.setattr(FT, "BROADCAST_NAMES", 10)
+    large = _features(spark)
+    assert len(small) == 40 and max(r["unique_types"] for r in small.values()) > 60
+    for other in (rows, large):
+        assert set(other) == set(small)
+        for key, r in small.items():
+            assert all(other[key][c] == (v if v is None or isinstance(v, str) else pytest.approx(v, abs=1e-9)) for c, v in r.items())
+
+
+def test_lines_are_read_once(spark):
+    """One scan of the deck lines feeds sums, cost spread and type tokens; the wide sums are not moved."""
+    c, d = spark.createDataFrame(CARDS, CARD_SCHEMA), spark.createDataFrame([(1, "A", 1, 2020, "1 Bolt\n2 Bear")], DECK_SCHEMA)
+    from decklens.operators import text as T
+    cards, lists = T.normalize_frames(c, d)
+    plan = FT.deck_aggregates(T.expand_decks(lists), cards)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") - plan.count("Generate explode(word") <= 2 and plan.count("hashpartitioning(deck_name") == 2
