@@ -67,3 +67,24 @@ def test_ridge_scores_equal_separate_fits(spark):
     single = ML.grid_search(df, ["a", "b"], "t", "ridge", grid, "reg", impute=True)  # goes through CrossValidator
     assert shared.cv_metrics == pytest.approx(single.cv_metrics, abs=1e-9) and shared.best_params == single.best_params
     assert ML.grid_search(df, ["a", "b"], "t", "linear_reg", {}, "reg").cv_metrics == pytest.approx(ML.grid_search(df, ["a", "b"], "t", "linear_reg", {}, "reg", impute=True).cv_metrics, abs=1e-9)
+
+
+@pytest.mark.parametrize("k", [1, 5, 11])
+def test_all_pairs_equal_brute_force(spark, k, monkeypatch):
+    """Many blocks; copies of rows and queries; ids beyond 2**53."""
+    for name, n in (("BLOCK_QUERIES", 40), ("BLOCK_ROWS", 90), ("BLOCK_PAIRS", 500)):
+        monkeypatch.setattr(N, name, n)
+    x = _clustered(700, 1, 6)
+    q = np.concatenate([_clustered(60, 2, 6), x[:20], x[:20]])
+    x[100:140] = x[100]
+    space, qspace, far = np.arange(700) % 2, np.arange(100) % 2, 2**53 + 1
+    train = _frame(spark, x, space, "id").withColumn("id", F.col("id") + far)
+    got = N.nearest(train.repartition(4), _frame(spark, q, qspace, "qid"), k).collect()
+    assert len(got) == 100
+    for r in got:
+        mine = np.flatnonzero(space == r["space"])
+        dist = np.zeros(len(mine))
+        for c in range(6):
+            dist += (x[mine, c] - q[r["qid"], c]) ** 2
+        want = sorted(zip(np.sqrt(dist).tolist(), (mine + far).tolist()))[:k]
+        assert [(f["dist"], f["id"]) for f in r["found"]] == want and r["compared"] == len(mine)
