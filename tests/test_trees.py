@@ -191,3 +191,26 @@ def test_importances(frame):
         trees = T.boosted(rows, [T.Boosting(0.3, 3, 1.0)], [5], False, trees=True) if boosting else T.forest_trees(rows, 5, (None, 2), None)
         got = T.importances(trees, 4, boosting)
         assert got.sum() == pytest.approx(1) and got[3] == 0 and got.argmax() in (0, 1)
+
+
+def test_equal_rows_are_split_as_one(monkeypatch):
+    rng = np.random.default_rng(3)
+    some = np.unique(rng.integers(0, 9, (30, 3)).astype(np.uint8), axis=0)
+    of = rng.integers(0, len(some), 400)
+    y, h, fold = rng.integers(0, 2, 400).astype(float), np.arange(400), np.arange(400) % 5
+    seen, real = [], T.best_splits
+    monkeypatch.setattr(T, "best_splits", lambda bins, rows, *a: seen.append(len(rows)) or real(bins, rows, *a))
+    for run in (T.Boosting(0.1, 3, 1.0, 0), T.Boosting(0.1, 3, 0.8, 0)):
+        *_, (_, margin) = T.boost(some[of], y, h, fold, run, 3, True)
+        assert len(margin) == 400 and len(np.unique(margin.round(12))) <= len(some)
+    assert 0 < max(seen) <= len(some)
+
+
+def test_tree_of_sums_equals_tree_of_rows():
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 6, (500, 4)).astype(np.uint8)
+    y, w = rng.integers(0, 5, 500) / 4, rng.integers(0, 4, 500).astype(float)
+    some, of = T._distinct(bins)
+    rows = T.grow(bins, y, w, T._seed(2), 2, None, 5)
+    sums = T._grow(some, *(np.bincount(of, x, len(some)) for x in (w, w * y, w * y * y, w > 0)), T._seed(2), 2, None, 5)
+    assert (rows.feature == sums.feature).all() and (rows.cut == sums.cut).all() and (rows.rows == sums.rows).all() and np.allclose(rows.value, sums.value)
