@@ -107,3 +107,34 @@ def test_grids(frame):
     assert len(t.cv_metrics) == 8 and max(t.cv_metrics) > 0.7 and t.best_params["kernel"] == "rbf"
     p = ML.predict(t, frame, FEATURES, "t", "reg").collect()
     assert np.mean([(r["label"] - r["prediction"]) ** 2 for r in p]) < 0.03
+
+
+@pytest.mark.parametrize("epsilon", [None, 0.05])
+def test_rows_of_equal_features_are_one_variable(spark, monkeypatch, epsilon):
+    """More rows than ``kernel_rows``, but fewer feature rows: one task a fold, with the optimum of the single rows."""
+    x, y, c = _data()
+    x, y = x[np.arange(len(x)) % 60], c if epsilon is None else y
+    rows = [(i, *map(float, r), float(t), i // 60 % 3) for i, (r, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, c double, y double, fold int").repartition(3)
+    machines, moments = [K.Machine(C, 0.3, epsilon) for C in (0.5, 2)], K.fold_moments(df, FEATURES, [0, 1, 2])
+
+    def fail(*a, **k):
+        raise AssertionError("decomposed")
+    monkeypatch.setattr(K, "fit", fail)
+    got = {(r["machine"], r["id"]): r for r in K.out_of_fold(df, FEATURES, "row_id", machines, [0, 1, 2], moments, kernel_rows=80).collect()}
+    assert len(got) == 2 * len(rows)
+    fold = np.arange(len(x)) // 60 % 3
+    for f in range(3):
+        z, use = (x - moments[f][0]) / moments[f][1], fold != f
+        k = K.kernel(z[use], z[use], 0.3)
+        for i, m in enumerate(machines):
+            sign, p = K._problem(y[use], m)
+            a, at = np.zeros(len(sign)), np.zeros(use.sum())
+            K.smo(k, sign, p, m.C, a, at, 1e-5)
+            w = K._weights(sign, a, len(at))
+            b = K._bias(-np.tile(k @ w, len(sign) // len(at)) - sign * p, sign, a, m.C)
+            # the rows' own variables need not be free where the feature row's one is
+            margin = K.kernel(z[~use], z[use], 0.3) @ w
+            found = np.array([got[i, int(r)]["margin"] for r in np.flatnonzero(~use)])
+            assert np.ptp(found - margin) < 5e-3 and abs((found - margin).mean() - b) < 2e-2
+            assert all(0 <= got[i, int(r)]["gap"] + 1e-9 < 5e-3 for r in np.flatnonzero(~use))
