@@ -138,3 +138,26 @@ def test_rows_of_equal_features_are_one_variable(spark, monkeypatch, epsilon):
             found = np.array([got[i, int(r)]["margin"] for r in np.flatnonzero(~use)])
             assert np.ptp(found - margin) < 5e-3 and abs((found - margin).mean() - b) < 2e-2
             assert all(0 <= got[i, int(r)]["gap"] + 1e-9 < 5e-3 for r in np.flatnonzero(~use))
+
+
+@pytest.mark.parametrize("most", [1, 64])
+def test_a_step_and_the_sums_after_it_share_a_pass(frame, monkeypatch, most):
+    """About one pass a Newton step (two before), whether tasks or the driver add the sums of the partitions."""
+    rows = frame.select(F.array(*FEATURES).alias("x"), F.col("t").alias("y"), F.col("fold").cast("int").alias("fold"))
+    moments = K.fold_moments(frame, FEATURES, [0])
+    taken, real = [], K._pass
+
+    def counted(rows, d, work, maps, machines):
+        got = real(rows, d, work, maps, machines)
+        taken.extend(got)
+        assert all(len(v) == 2 for v in got.values())
+        return got
+
+    monkeypatch.setattr(K, "_pass", counted)
+    monkeypatch.setattr(K, "PASS_PARTS", most)
+    m = K.Machine(2, None, 0.1)
+    w, b, primal, dual = K.linear_machines(rows, 3, [m], [0], moments)[0, 0]
+    assert primal - dual <= K.LINEAR_GAP * primal and len(taken) < 70
+    x, y = np.array([r.x for r in rows.filter("fold != 0").collect()]), np.array([r.y for r in rows.filter("fold != 0").collect()])
+    want, b2, *_ = K.solve_path((x - moments[0][0]) / moments[0][1], y, [m])[m]
+    assert np.allclose(((x - moments[0][0]) / moments[0][1]).T @ want, w, atol=0.01) and b == pytest.approx(b2, abs=0.01)

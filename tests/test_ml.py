@@ -210,3 +210,18 @@ def test_logistic_grid_with_a_missing_feature_still_fails(spark):
     _, _, df = _noisy(spark, 60)
     with pytest.raises(Exception, match="[Nn]ull"):
         ML.grid_search(df.withColumn("a", F.when(F.col("row_id") != 7, F.col("a"))), ["a", "b"], "y", "logreg", {"C": [1.0]}, "cls")
+
+
+def test_compared_models_are_searched_side_by_side(spark, linear_data, monkeypatch):
+    import threading
+    both, real = threading.Barrier(2, timeout=120), ML.grid_search
+
+    def search(*args, **more):
+        both.wait()  # breaks if the second search waits for the first to end
+        return real(*args, **more)
+
+    monkeypatch.setattr(ML, "grid_search", search)
+    grids = {"linear_reg": {}, "ridge": {"alpha": [0.1, 10], "max_iter": [100]}}
+    res, best, long = ML.compare_models(linear_data, ["a", "b"], "c", grids, "reg")
+    assert {r.model for r in res.collect()} == set(grids) and best.name in grids
+    assert [r["n"] for r in long.groupBy("model").agg(F.count("*").alias("n")).collect()] == [long.count() // 2] * 2
