@@ -214,3 +214,74 @@ def test_tree_of_sums_equals_tree_of_rows():
     rows = T.grow(bins, y, w, T._seed(2), 2, None, 5)
     sums = T._grow(some, *(np.bincount(of, x, len(some)) for x in (w, w * y, w * y * y, w > 0)), T._seed(2), 2, None, 5)
     assert (rows.feature == sums.feature).all() and (rows.cut == sums.cut).all() and (rows.rows == sums.rows).all() and np.allclose(rows.value, sums.value)
+
+
+def _repeated(n=300, seed=5, rows=12):
+    rng = np.random.default_rng(seed)
+    some = np.unique(rng.integers(0, 7, (rows, 3)).astype(np.uint8), axis=0)
+    return some, rng.integers(0, len(some), n), rng.integers(0, 2, n).astype(float), rng.integers(-2**60, 2**60, n), np.arange(n) % 5
+
+
+def test_a_job_gets_each_feature_row_once(spark):
+    some, of, y, h, fold = _repeated()
+    rows = spark.createDataFrame([(i, int(h[i]), float(y[i]), int(fold[i]), bytearray(some[of[i]].tobytes())) for i in range(len(of))],
+                                 "id long, h long, y double, fold int, bins binary")
+    got = T._jobs(rows, 3).withColumn("part", F.spark_partition_id()).collect()
+    assert len(got) == 3 * len(set(of.tolist())) and sum(len(r["members"]) for r in got) == 3 * len(of)
+    assert len({r["part"] for r in got}) == 3 and all(len({r["part"] for r in got if r["job"] == j}) == 1 for j in range(3))
+
+
+def test_of_two_children_only_the_smaller_is_summed_up(monkeypatch):
+    rng = np.random.default_rng(6)
+    bins, h, fold = rng.integers(0, 200, (600, 3)).astype(np.uint8), rng.integers(-2**60, 2**60, 600), np.arange(600) % 5
+    bins[:, 1] = 4  # a feature that never varies
+    y = (bins[:, 0] > 90) * 0.7 + rng.normal(size=600) * 0.2
+    seen, real = [], T._histograms
+    monkeypatch.setattr(T, "_histograms", lambda columns, rows, *a: seen.append((len(columns), len(rows))) or real(columns, rows, *a))
+    kept = [(t, m.copy()) for t, m in T.boost(bins, y, h, fold, T.Boosting(0.3, 4, 1.0, 0), 3, False)]
+    assert len(seen) == 12 and all(c == 2 for c, _ in seen)
+    assert all(n == seen[0][1] if i % 4 == 0 else n <= seen[0][1] / 2 for i, (_, n) in enumerate(seen))
+    monkeypatch.setattr(T, "KEPT_NODES", 0)  # every node's cells from its own rows
+    for (a, x), (b, z) in zip(kept, T.boost(bins, y, h, fold, T.Boosting(0.3, 4, 1.0, 0), 3, False)):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(x, z, rtol=0, atol=1e-12)
+
+
+def test_nodes_of_one_feature_row_are_not_searched(monkeypatch):
+    some, of, y, h, _ = _repeated()
+    sums = [np.bincount(of, x, len(some)) for x in (np.ones(len(of)), y, y * y, np.ones(len(of)))]
+    seen, real = [], T.best_splits
+    monkeypatch.setattr(T, "best_splits", lambda bins, rows, node, k, *a: seen.append(np.bincount(node, minlength=k).min()) or real(bins, rows, node, k, *a))
+    tree = T._grow(some, *sums, T._seed(3), 2, None, 2)
+    assert min(seen) >= 2
+    leaf = T._place(tree, some)
+    assert len(set(leaf.tolist())) == len(some) and np.allclose(tree.value[leaf], sums[1] / sums[0])
+
+
+def test_caps_are_settled_as_by_walking_down():
+    rng = np.random.default_rng(9)
+    bins, y = rng.integers(0, 30, (400, 3)).astype(np.uint8), rng.normal(size=400).round(2)
+    tree, caps = T.grow(bins, y, rng.integers(1, 3, 400).astype(float), T._seed(5), 2), [(0, 2), (3, 2), (3, 40), (None, 2), (None, 25)]
+    got = tree.settle(bins, caps)
+    for i, (deepest, fewest) in enumerate(caps):
+        for r in range(0, 400, 7):
+            at, depth = 0, 0
+            while tree.feature[at] >= 0 and tree.rows[at] >= fewest and (deepest is None or depth < deepest):
+                at, depth = tree.left[at] + (bins[r, tree.feature[at]] > tree.cut[at]), depth + 1
+            assert got[i, r] == tree.value[at]
+    assert tree.settle(bins[:0], caps).shape == (5, 0)
+
+
+@pytest.mark.parametrize("drawn", [False, True])
+def test_splits_of_many_nodes_equal_brute_force(drawn):
+    """Nodes of few rows, bins that repeat, splits that leave too little weight."""
+    rng = np.random.default_rng(11)
+    bins, node = rng.integers(0, 4, (120, 3)).astype(np.uint8), rng.permutation(np.repeat(np.arange(30), 4))
+    w, s = rng.integers(1, 3, 120).astype(float), rng.normal(size=120)
+    some = T._drawn(np.arange(30, dtype=np.uint64), 3, 2) if drawn else None
+    gain, feature, cut = T.best_splits(bins, np.arange(120), node, 30, some, w, s, 1.0, 2.5)
+    for k in range(30):
+        mine, cols = node == k, np.arange(3) if some is None else some[k]
+        best = _brute_split(bins[mine][:, cols], w[mine], s[mine], 1.0, 2.5)
+        assert gain[k] == pytest.approx(best[0], abs=1e-9)
+        if best[0] > -np.inf:
+            assert (feature[k], cut[k]) == (cols[best[1]], best[2])
