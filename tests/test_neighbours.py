@@ -88,3 +88,52 @@ def test_all_pairs_equal_brute_force(spark, k, monkeypatch):
             dist += (x[mine, c] - q[r["qid"], c]) ** 2
         want = sorted(zip(np.sqrt(dist).tolist(), (mine + far).tolist()))[:k]
         assert [(f["dist"], f["id"]) for f in r["found"]] == want and r["compared"] == len(mine)
+
+
+def test_equal_rows_and_queries_travel_once(spark, monkeypatch):
+    """Each distinct vector is one row of a block, with the k smallest ids; every row and query counts."""
+    seen, real = [], N.nearest_groups
+
+    def watched(train, asked, k):
+        seen.append((train.collect(), asked.collect()))
+        return real(train, asked, k)
+    monkeypatch.setattr(N, "nearest_groups", watched)
+    some = _clustered(20, 3)
+    x, q = some[np.arange(600) % 20], some[np.arange(90) % 9] + 0.25
+    got = N.nearest(_frame(spark, x, np.zeros(600), "id").repartition(5), _frame(spark, q, np.zeros(90), "qid"), 7).collect()
+    (rows, asked), = seen
+    assert len(rows) == 20 and len(asked) == 9 and all(r["n"] == 30 and len(r["ids"]) == 7 for r in rows)
+    assert sorted(r["qid"] for r in got) == list(range(90)) and all(r["compared"] == 600 for r in got)
+    for r in got:
+        dist = np.zeros(600)
+        for c in range(4):
+            dist += (x[:, c] - q[r["qid"], c]) ** 2
+        want = sorted(zip(np.sqrt(dist).tolist(), range(600)))[:7]
+        assert [(f["dist"], f["id"], f["label"]) for f in r["found"]] == [(d, i, float(i % 2)) for d, i in want]
+
+
+def test_grid_of_a_neighbour_vote_scores_each_fold_by_its_own_rows(spark):
+    """Repeated feature rows with labels of their own, against brute force fold by fold."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(40, 2))[rng.integers(0, 40, 240)] * [1, 10]  # distances tie between equal rows only
+    y = ((x[:, 0] > 0) ^ (rng.random(240) < 0.25)).astype(int)
+    df = spark.createDataFrame([(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(x, y))], "row_id long, a double, b double, k int")
+    t = ML.grid_search(df, ["a", "b"], "k", "knn", {"n_neighbors": [3, 8], "weights": ["uniform", "distance"]}, "cls")
+    folds = {r["row_id"]: r["fold"] for r in ML.S.fold_exact(df, "row_id", 5, purpose="cls", stratify="k").collect()}
+    fold, want = np.array([folds[i] for i in range(240)]), []
+    for k in (3, 8):
+        for weights in ("uniform", "distance"):
+            f1 = []
+            for f in range(5):
+                inside = np.flatnonzero(fold != f)
+                z = (x - x[inside].mean(axis=0)) / x[inside].std(axis=0)
+                said = {}
+                for i in np.flatnonzero(fold == f):
+                    dist = np.sqrt(((z[inside] - z[i]) ** 2).sum(axis=1)).round(9)
+                    near = np.lexsort((inside, dist))[:k]
+                    w = np.ones(k) if weights == "uniform" else (dist[near] == 0).astype(float) if (dist[near] == 0).any() else 1 / dist[near]
+                    said[i] = (w * y[inside[near]]).sum() / w.sum() > 0.5
+                yes, is1 = np.array(list(said.values())), y[list(said)] == 1
+                f1.append(2 * (yes & is1).sum() / max(yes.sum() + is1.sum(), 1))
+            want.append(np.mean(f1))
+    assert t.cv_metrics == pytest.approx(want, abs=1e-9)
