@@ -137,3 +137,10 @@ def test_grid_of_a_neighbour_vote_scores_each_fold_by_its_own_rows(spark):
                 f1.append(2 * (yes & is1).sum() / max(yes.sum() + is1.sum(), 1))
             want.append(np.mean(f1))
     assert t.cv_metrics == pytest.approx(want, abs=1e-9)
+
+
+def test_null_vectors_are_an_error(spark):
+    x = _clustered(40, 3)
+    train = _frame(spark, x, np.zeros(40), "id")
+    with pytest.raises(Exception, match="null"):
+        N.nearest(train.withColumn("x", F.when(F.col("id") % 2 == 0, F.col("x"))), _frame(spark, x, np.zeros(40), "qid"), 3).collect()
